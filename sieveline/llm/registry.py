@@ -5,16 +5,44 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.llm import bpe
+from sieveline.llm import bpe, chat, lines, sharding, token_files
 from sieveline.session import read_table
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return token_files.token_output(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return lines.remove_widespread_lines(docs).select("doc_id", "text", "n_lines", "n_removed_lines")
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return sharding.place(docs.select("doc_id", "source"), "doc_id")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), keep_ids=False)
 
 
+def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    return chat.format_preferences(chat.random_negatives(chat.turns_of(conversations)))
+
+
 QUERIES = {
+    "op1_token_files": op1_token_files,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_sharding": op7_sharding,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_preferences": op10_preferences,
+}
+ORACLES = {
+    "op6_line_dedup": lines.ORACLE,
+    "op7_sharding": sharding.oracle(),
+    "op10_preferences": chat.ORACLE,
 }
-ORACLES: dict[str, str] = {}
