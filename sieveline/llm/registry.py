@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.llm import bpe, chat, lines, sharding, token_files
+from sieveline.llm import bpe, chat, decontaminate, lines, pii, sharding, token_files
 from sieveline.session import read_table
 
 
@@ -14,6 +14,16 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_output(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return pii.find_pii(docs)
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return decontaminate.find_contamination(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return lines.remove_widespread_lines(docs).select("doc_id", "text", "n_lines", "n_removed_lines")
@@ -36,6 +46,8 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_pii": op2_pii,
+    "op3_decontamination": op3_decontamination,
     "op6_line_dedup": op6_line_dedup,
     "op7_sharding": op7_sharding,
     "op9_byte_bpe": op9_byte_bpe,
