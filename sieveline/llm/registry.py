@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, chat, decontaminate, lines, pii, sharding, token_files
+from sieveline.llm import bpe, chat, decontaminate, language, lines, pii, sharding, token_files
 from sieveline.session import read_table
 
 
@@ -24,6 +25,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contamination(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = language.predictions(docs.select("doc_id", "text"), language.fit(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return lines.remove_widespread_lines(docs).select("doc_id", "text", "n_lines", "n_removed_lines")
@@ -48,6 +55,7 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_pii": op2_pii,
     "op3_decontamination": op3_decontamination,
+    "op5_language": op5_language,
     "op6_line_dedup": op6_line_dedup,
     "op7_sharding": op7_sharding,
     "op9_byte_bpe": op9_byte_bpe,
