@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, chat, decontaminate, language, lines, pii, sharding, token_files
+from sieveline.llm import bpe, chat, decontaminate, language, lines, neighbours, pii, sharding, token_files
 from sieveline.session import read_table
 
 
@@ -41,6 +41,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs.select("doc_id", "source"), "doc_id")
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), keep_ids=False)
@@ -58,6 +62,7 @@ QUERIES = {
     "op5_language": op5_language,
     "op6_line_dedup": op6_line_dedup,
     "op7_sharding": op7_sharding,
+    "op8_neighbours": op8_neighbours,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_preferences": op10_preferences,
 }
