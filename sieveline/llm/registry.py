@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, chat, decontaminate, language, lines, neighbours, pii, sharding, token_files
+from sieveline.llm import bpe, chat, decontaminate, language, lines, neighbours, ngram_join, pii, sharding, token_files
 from sieveline.session import read_table
 
 
@@ -25,6 +25,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contamination(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return ngram_join.near_copies(docs)
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = language.predictions(docs.select("doc_id", "text"), language.fit(docs))
@@ -59,6 +64,7 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_pii": op2_pii,
     "op3_decontamination": op3_decontamination,
+    "op4_ngram_join": op4_ngram_join,
     "op5_language": op5_language,
     "op6_line_dedup": op6_line_dedup,
     "op7_sharding": op7_sharding,
