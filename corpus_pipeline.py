@@ -34,8 +34,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the least doc_id."""
     found = ngram_join.near_copies(docs)
-    copies = found.filter(F.col("component_id") < F.col("doc_id")).select("doc_id")
-    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    copies = cut(found.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct(), "near-copies")
+    few = copies.count() < ngram_join.BROADCAST_ROWS
+    return docs.join(F.broadcast(copies) if few else copies, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
