@@ -9,9 +9,11 @@ the files in order; beside each file, ``*.docs.arrows`` has each document's key,
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,34 +33,99 @@ CACHE_MOST = 3 << 18
 
 
 class CachedTokenizer:
-    """Whole texts by a tokenizers file; stretches without blanks, which no token crosses, are encoded once."""
+    """Whole texts by a tokenizers file; stretches without blanks, which no token crosses, are encoded once.
+
+    What is not cached goes to the library in one call a batch, with a special token between the stretches.
+    Where the file lower-cases, splits words from other signs and maps bytes to signs, a Latin word with at
+    most one mark after it needs none of these steps again, and goes straight to the merges.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        special = [x for x in told["added_tokens"] if x["special"] and x["content"].startswith("<|")]
+        self.mark_id, self.mark = (special[-1]["id"], special[-1]["content"]) if special else (None, None)
+        steps = [x["type"] for part in ("normalizer", "pre_tokenizer") for x in ((told[part] or {}).get("normalizers") or (told[part] or {}).get("pretokenizers") or [])]
+        self.bare = None
+        if self.mark and steps == ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]:
+            self.bare = Tokenizer.from_str(json.dumps(told | {"added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}))
+            suffix = told["model"].get("end_of_word_suffix") or None
+            self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # tokens that end a word
+            self.last[[i for x, i in told["model"]["vocab"].items() if suffix and x.endswith(suffix)]] = True
+        signs = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # bytes that stand for themselves; the others follow U+0100
+        self.signs = dict(zip([*signs, *(x for x in range(256) if x not in signs)], [*map(chr, signs), *map(chr, range(0x100, 0x100 + 256 - len(signs)))]))
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        special = [x for x in self.tokenizer.get_added_tokens_decoder().items() if x[1].special and x[1].content.startswith("<|")]
-        self.mark_id, self.mark = (special[-1][0], special[-1][1].content) if special else (None, None)
         self.forget()
 
     def forget(self) -> None:
         self.seen: dict[str, int] = {}
-        self.counts, self.flat = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32)
-
-    def _encode_each(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """How many ids each stretch has, and all ids; plain stretches go in one call, with a special token between them."""
-        if self.mark is None or any("<|" in x for x in stretches):
-            each = [x.ids for x in self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
+        self.counts, self.uses, self.flat = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32)
+
+    def thin(self) -> None:
+        """Keep the more used half of what is cached."""
+        order = np.argsort(-self.uses, kind="stable")[: CACHE_MOST // 2]
+        keep = np.zeros(len(self.counts), dtype=bool)
+        keep[order] = True
+        self.seen = {x: k for k, x in enumerate(x for x, kept in zip(self.seen, keep.tolist()) if kept)}
+        begins = np.cumsum(self.counts) - self.counts
+        self.flat = self.flat[_ranges(begins[keep], self.counts[keep])]
+        self.counts, self.uses = self.counts[keep], self.uses[keep] // 2
+
+    def _marked(self, tokenizer, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each stretch has, and all ids."""
+        if not stretches or self.mark is None or any("<|" in x for x in stretches):
+            each = [x.ids for x in tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
             return np.fromiter(map(len, each), dtype=np.int64, count=len(each)), np.array([x for ids in each for x in ids], dtype=np.uint32)
-        ids = np.array(self.tokenizer.encode(self.mark.join(["", *stretches]), add_special_tokens=False).ids, dtype=np.uint32)
+        ids = np.array(tokenizer.encode(self.mark.join(["", *stretches]), add_special_tokens=False).ids, dtype=np.uint32)
         marks = np.flatnonzero(ids == self.mark_id)
         return np.diff(np.append(marks, len(ids))) - 1, np.delete(ids, marks)
 
+    def _bare(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters alone, told apart by the tokens that end a word."""
+        ids = np.array(self.bare.encode(" ".join(words), add_special_tokens=False).ids, dtype=np.uint32)
+        ends = np.flatnonzero(self.last[ids])
+        if len(ends) == len(words):
+            return np.diff(ends, prepend=-1), ids
+        each = [x.ids for x in self.bare.encode_batch_fast(words, add_special_tokens=False)]
+        return np.fromiter(map(len, each), dtype=np.int64, count=len(each)), np.array([x for ids in each for x in ids], dtype=np.uint32)
+
+    def _learn(self, stretches: list[str]) -> None:
+        """Encode stretches that are not cached, and keep their ids."""
+        known = len(self.seen)
+        self.seen.update(zip(stretches, range(known, known + len(stretches))))
+        words: dict[str, int] = {}
+        where, ends, hard = [], [], []
+        for n, stretch in enumerate(stretches):
+            word, sign = (stretch[:-1], stretch[-1]) if stretch[-1:] in (",", ".") else (stretch, "")
+            if self.bare is not None and word.isalpha() and word.islower() and (word.isascii() or max(word) < "\u0250"):
+                where.append(words.setdefault(word, len(words)))
+                ends.append(sign)
+            else:
+                where.append(-1)
+                ends.append("")
+                hard.append(stretch)
+        mapped = [x if x.isascii() else x.encode().decode("latin-1").translate(self.signs) for x in words]
+        counts, flat = self._bare(mapped) if words else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32))
+        more, rest = self._marked(self.tokenizer, [*hard, ",", "."])  # a mark alone gives the ids that it adds to a word
+        counts, flat = np.append(counts, more), np.append(flat, rest)
+        begins = np.cumsum(counts) - counts
+        where = np.array(where, dtype=np.int64)
+        where[where < 0] = len(words) + np.arange(len(hard))
+        sign = np.array([(",", ".").index(x) if x else -1 for x in ends])
+        at = len(words) + len(hard)
+        parts = np.stack([where, np.where(sign >= 0, at + sign, where)], axis=1)
+        lengths = counts[parts]
+        lengths[sign < 0, 1] = 0
+        self.flat = np.append(self.flat, flat[_ranges(begins[parts].reshape(-1), lengths.reshape(-1))])
+        self.counts = np.append(self.counts, lengths.sum(axis=1))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids end."""
         if len(self.seen) > CACHE_MOST:
-            self.forget()
+            self.thin()
         stretches: list[str] = []
         ends = []
         for text in texts:
@@ -66,14 +133,14 @@ class CachedTokenizer:
             plain = text if "Σ" in text or "<|" in text else text.lower()
             stretches += plain.replace("\n", " ").split(" ")
             ends.append(len(stretches))
-        which = [*map(self.seen.get, stretches)]
-        if None in which:
-            missing = [*dict.fromkeys(x for x, k in zip(stretches, which) if k is None)]
-            counts, flat = self._encode_each(missing)
-            self.seen.update(zip(missing, range(len(self.seen), len(self.seen) + len(missing))))
-            self.counts, self.flat = np.append(self.counts, counts), np.append(self.flat, flat)
-            which = [*map(self.seen.__getitem__, stretches)]
-        which = np.array(which, dtype=np.int64)
+        which = np.fromiter(map(self.seen.get, stretches, repeat(-1)), dtype=np.int64, count=len(stretches))
+        if len(missing := np.flatnonzero(which < 0)):
+            names = [stretches[i] for i in missing.tolist()]
+            self._learn([*dict.fromkeys(names)])
+            which[missing] = np.fromiter(map(self.seen.__getitem__, names), dtype=np.int64, count=len(names))
+        used = np.bincount(which, minlength=len(self.counts))
+        used[: len(self.uses)] += self.uses
+        self.uses = used
         lengths = self.counts[which]
         ids = self.flat[_ranges((np.cumsum(self.counts) - self.counts)[which], lengths)]
         return ids, np.cumsum(lengths)[np.array(ends, dtype=np.int64) - 1] if ends else np.zeros(0, dtype=np.int64)
