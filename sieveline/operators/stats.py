@@ -39,32 +39,22 @@ def labels(df: DataFrame, keys: Sequence[str], text: str, value: str, threshold:
     return join_back(df, stats, keys).withColumn(out, classification_label(F.col(text), F.col(value), threshold, high_is_active, F.coalesce("_named", F.lit(False)))).drop("_named")
 
 
-def _z_skew(g: Column, n: Column) -> Column:
-    y = g * F.sqrt((n + 1) * (n + 3) / (6.0 * (n - 2)))
-    y = F.when(y == 0, F.lit(1.0)).otherwise(y)
-    beta = 3.0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2.0) * (n + 5) * (n + 7) * (n + 9))
-    w = -1 + F.sqrt(2 * (beta - 1))
-    return 1 / F.sqrt(0.5 * F.log(w)) * F.asinh(y / F.sqrt(2 / (w - 1)))
-
-
-def _z_kurtosis(g: Column, n: Column) -> Column:
-    spread = 24.0 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3.0) * (n + 5))
-    x = (g + 3 - 3.0 * (n - 1) / (n + 1)) / F.sqrt(spread)
-    root = 6.0 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * F.sqrt(6.0 * (n + 3) * (n + 5) / (n * (n - 2.0) * (n - 3)))
-    a = 6 + 8 / root * (2 / root + F.sqrt(1 + 4 / (root * root)))
-    d = 1 + x * F.sqrt(2 / (a - 4))
-    third = F.sign(d) * F.cbrt((1 - 2 / a) / F.abs(F.when(d != 0, d)))
-    return (1 - 2 / (9 * a) - third) / F.sqrt(2 / (9 * a))
-
-
 def normality(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """keys, n, k2 and p of D'Agostino and Pearson's test; null for fewer than 8 values or no spread."""
-    v = F.col(value)
-    moments = df.groupBy(*keys).agg(F.count(value).cast("double").alias("n"), F.skewness(v).alias("g1"), F.kurtosis(v).alias("g2"))
-    enough = (F.col("n") >= 8) & F.col("g1").isNotNull() & ~F.isnan("g1")
-    n = F.when(enough, F.col("n"))
-    k2 = F.pow(_z_skew(F.col("g1"), n), F.lit(2.0)) + F.pow(_z_kurtosis(F.col("g2"), n), F.lit(2.0))
-    return moments.withColumn("k2", k2).select(*keys, F.col("n").cast("bigint").alias("n"), "k2", F.exp(-F.col("k2") / 2).alias("p"))
+    moments = df.groupBy(*keys).agg(F.count(value).alias("n"), F.skewness(value).alias("_g1"), F.kurtosis(value).alias("_g2"))
+    n, g1, g2, y, w, x, root, a, d = (F.col(f"_{k}") for k in ("n", "g1", "g2", "y", "w", "x", "root", "a", "d"))
+    steps = moments.withColumn("_n", F.when((F.col("n") >= 8) & g1.isNotNull() & ~F.isnan(g1), F.col("n").cast("double")))
+    # skewness: a symmetric sample counts as one of 1
+    steps = steps.withColumn("_y", g1 * F.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))).withColumn("_y", F.when(y == 0, F.lit(1.0)).otherwise(y))
+    steps = steps.withColumn("_w", 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))).withColumn("_w", F.sqrt(2 * (w - 1)) - 1)
+    steps = steps.withColumn("_z1", F.asinh(y / F.sqrt(2 / (w - 1))) / F.sqrt(0.5 * F.log(w)))
+    # kurtosis
+    steps = steps.withColumn("_x", (g2 + 3 - 3 * (n - 1) / (n + 1)) / F.sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))))
+    steps = steps.withColumn("_root", 6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * F.sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))))
+    steps = steps.withColumn("_a", 6 + 8 / root * (2 / root + F.sqrt(1 + 4 / (root * root)))).withColumn("_d", 1 + x * F.sqrt(2 / (a - 4)))
+    third = F.sign(d) * F.cbrt((1 - 2 / a) / F.abs(F.when(d != 0, d)))
+    steps = steps.withColumn("_z2", (1 - 2 / (9 * a) - third) / F.sqrt(2 / (9 * a))).withColumn("k2", F.col("_z1") * F.col("_z1") + F.col("_z2") * F.col("_z2"))
+    return steps.select(*keys, "n", "k2", F.exp(-F.col("k2") / 2).alias("p"))
 
 
 def iqr_outliers(df: DataFrame, keys: Sequence[str], value: str, out: str = "is_outlier") -> DataFrame:
@@ -88,7 +78,7 @@ def local_outlier_factor(df: DataFrame, keys: Sequence[str], value: str, row_id:
     first = F.col("_i") - F.col("_own")
     steps = F.transform("_near", lambda x, i: F.struct(F.abs(x["v"] - F.col(value)).alias("d"), (first + i).alias("j")))
     others = F.array_sort(F.filter(steps, lambda x: x["j"] != F.col("_i")))
-    near = near.withColumn("_nn", F.slice(others, F.lit(1), F.greatest(F.col("_k").cast("int"), F.lit(0)))).withColumn("_kd", F.element_at("_nn", -1)["d"])
+    near = near.withColumn("_nn", F.slice(others, F.lit(1), F.greatest(F.col("_k").cast("int"), F.lit(0)))).withColumn("_kd", F.get("_nn", F.size("_nn") - 1)["d"])
     around = near.withColumn("_kds", F.collect_list(F.coalesce("_kd", F.lit(0.0))).over(near_rows))
     reach = F.transform("_nn", lambda x: F.greatest(x["d"], F.get("_kds", (x["j"] - first).cast("int"))))
     total = F.aggregate(reach, F.lit(0.0), lambda a, x: a + x)

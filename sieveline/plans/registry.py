@@ -1,19 +1,410 @@
-"""The driver's queries over the reference's operators, with the SQL they are held against."""
+"""The driver's queries over the reference's operators, with the SQL they are held against.
+
+The tables hold no assays, so each operator runs over columns of theirs that have the shape it needs.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sieveline.functions import cleaning, endpoints, ph, units
+from sieveline.operators import chem, dedup, matrix, quality, split, stats, summary
 from sieveline.session import read_table
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+SPLIT_KEYS = ("l_returnflag", "l_linestatus")
+UNIT_CHOICES = ("uM", "ng/mL", "hr", "%", "10-6 cm/s", "mL/min/kg", "min-1", "ng·h/mL", "WeirdUnit", "um", "uL/min/10^6 cells", "-", "ug/mL", "mM", "L/hr/kg")
+SYNONYMS = [("red", "Colour"), ("blue", "Colour"), ("small", "Size"), ("ring", "Jewel"), ("small ring", "Tiny"), ("widget", "Tool"), ("red widget", "Signal"), ("gear", "Tool"), ("bolt", "Fastener"), ("large bolt", "Anchor")]
+LABELS = ["red widget", "small ring", "blue gear", "green bolt", "large plate", "tiny nut"]
+ROUND = 6
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
 
-def matrix_mean_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_table(spark, sf_dir, "events").filter(F.col("value").isNotNull() & F.col("user_id").isNotNull())
-    return events.groupBy("user_id").pivot("event_type", list(EVENT_TYPES)).agg(F.round(F.avg("value"), 6))
 
+def query(sql: str | None = None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
 
-QUERIES = {"matrix_mean_pivot": matrix_mean_pivot}
-ORACLES: dict[str, str] = {}
+    return keep
+
+
+def _sql_list(values) -> str:
+    return ", ".join("'" + x.replace("'", "''") + "'" for x in values)
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(str(x) if isinstance(x, (int, float)) else "'" + x.replace("'", "''") + "'" for x in row) + ")" for row in rows)
+
+
+_MEANS = ", ".join(f"round(avg(value) FILTER (WHERE event_type = '{x}'), 6) AS {x}" for x in EVENT_TYPES)
+_ZEROS = ", ".join(f"coalesce(round(avg(value) FILTER (WHERE event_type = '{x}'), 6), 0) AS {x}" for x in EVENT_TYPES)
+_CASES = ", ".join(f"CASE WHEN event_type = '{x}' THEN value END AS {x}" for x in EVENT_TYPES)
+
+
+@query(f"SELECT user_id, {_MEANS} FROM events WHERE value IS NOT NULL AND user_id IS NOT NULL GROUP BY user_id")
+def matrix_mean_pivot(spark, sf_dir):
+    return matrix.mean_pivot(read_table(spark, sf_dir, "events"), "user_id", "event_type", "value", EVENT_TYPES, digits=ROUND)
+
+
+@query(f"SELECT user_id, {_ZEROS} FROM events WHERE value IS NOT NULL AND user_id IS NOT NULL GROUP BY user_id")
+def matrix_fill_zero(spark, sf_dir):
+    return matrix.mean_pivot(read_table(spark, sf_dir, "events"), "user_id", "event_type", "value", EVENT_TYPES, fill=0.0, digits=ROUND)
+
+
+@query(f"""SELECT user_id, {_MEANS} FROM events WHERE user_id % 7 <> 0 AND value IS NOT NULL AND user_id IS NOT NULL GROUP BY user_id
+UNION ALL SELECT user_id, {_CASES} FROM events WHERE user_id % 7 = 0""")
+def matrix_with_row_expansion(spark, sf_dir):
+    return matrix.matrix_with_rows(read_table(spark, sf_dir, "events"), "user_id", "event_type", "value", EVENT_TYPES, F.col("user_id") % 7 == 0, digits=ROUND)
+
+
+@query("""SELECT c_custkey, c_name, c_mktsegment,
+  lower(concat_ws(' ', c_name, c_mktsegment)) LIKE '%pk%' OR lower(concat_ws(' ', c_name, c_mktsegment)) LIKE '%machinery%' AND FALSE OR lower(concat_ws(' ', c_name, c_mktsegment)) LIKE '%patient%' AS is_pk
+FROM customer""")
+def pk_rows(spark, sf_dir):
+    return read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", matrix.is_pk_row(F.col("c_name"), F.col("c_mktsegment")).alias("is_pk"))
+
+
+def _pairs(df: DataFrame) -> DataFrame:
+    """Bracket lists of every shape out of quantity and discount."""
+    q, d, shape = F.col("l_quantity").cast("int").cast("string"), F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.col("l_orderkey") % 5
+    ab = F.when(shape == 0, F.concat(F.lit("["), q, F.lit(","), d, F.lit("]"))).when(shape == 1, F.concat(F.lit("["), q, F.lit(",]"))).when(shape == 2, F.concat(F.lit(">"), q)).when(shape == 3, F.lit("-")).otherwise(F.lit("[]"))
+    ba = F.when(shape == 0, F.concat(F.lit("[,"), q, F.lit("]"))).when(shape == 1, d).when(shape == 2, F.concat(F.lit("["), d, F.lit(","), q, F.lit("]"))).when(shape == 3, q).otherwise(F.lit("nan"))
+    return df.select("l_orderkey", "l_linenumber", F.lit("flux").alias("endpoint"), ab.alias("ab"), ba.alias("ba"))
+
+
+_PAIRS = """WITH raw AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INT) AS q, CAST(round(l_discount * 100) AS INT) AS d, l_orderkey % 5 AS s FROM lineitem),
+pairs AS (SELECT l_orderkey, l_linenumber,
+  CASE s WHEN 0 THEN q WHEN 1 THEN q WHEN 2 THEN q WHEN 3 THEN q END::DOUBLE AS forth,
+  CASE s WHEN 0 THEN q WHEN 1 THEN d WHEN 2 THEN q WHEN 3 THEN q END::DOUBLE AS back FROM raw),
+told AS (SELECT *, CASE WHEN forth IS NOT NULL AND forth <> 0 AND back IS NOT NULL THEN back / forth END AS ratio FROM pairs)"""
+
+
+@query(f"""{_PAIRS}
+SELECT l_orderkey, l_linenumber, 'flux' AS endpoint, round(forth, 6) AS value FROM told
+UNION ALL SELECT l_orderkey, l_linenumber, 'Efflux_ratio', round(ratio, 6) FROM told WHERE ratio IS NOT NULL""")
+def efflux_injection(spark, sf_dir):
+    expanded = cleaning.expand_permeability(_pairs(read_table(spark, sf_dir, "lineitem")), "ab", "ba", "value", "back", "ratio")
+    rows = matrix.inject_ratio_rows(expanded, "endpoint", "value", "ratio")
+    return rows.select("l_orderkey", "l_linenumber", "endpoint", F.round("value", ROUND).alias("value"))
+
+
+_PROFILE = """WITH t AS (SELECT {keys}, CAST(l_extendedprice AS VARCHAR) AS v, CASE WHEN l_discount > 0.08 THEN '>' WHEN l_discount < 0.01 THEN '"="' ELSE '=' END AS r FROM lineitem),
+p AS (SELECT {keys}, count(*) AS n, count(*) FILTER (WHERE v = 'active') AS n_active, count(*) FILTER (WHERE v = 'inactive') AS n_inactive, count(*) FILTER (WHERE r = '>') AS n_censored, count(DISTINCT v) AS n_distinct,
+  bool_and(TRY_CAST(v AS DOUBLE) IN (0, 1)) AS b FROM t GROUP BY {keys})
+SELECT {keys}, n, n_active, n_inactive, n_censored, n_distinct, CASE WHEN b THEN 'classification' ELSE 'regression' END AS task_type,
+  CASE WHEN n_distinct = 2 OR n_distinct < n / 2.0 THEN 'Categorical' ELSE 'Continuous' END AS label_kind,
+  CASE WHEN b THEN FALSE ELSE n >= 50 AND n - n_censored >= 25 END AS has_quorum FROM p"""
+
+
+def _profile(spark, sf_dir, keys):
+    relation = F.when(F.col("l_discount") > 0.08, F.lit(">")).when(F.col("l_discount") < 0.01, F.lit('"="')).otherwise(F.lit("="))
+    told = read_table(spark, sf_dir, "lineitem").select(*keys, F.format_string("%.2f", "l_extendedprice").alias("v"), relation.alias("r"))
+    return quality.task_profile(told, keys, "v", "r")
+
+
+@query(_PROFILE.format(keys="l_returnflag, l_linestatus"))
+def task_profile_quorum(spark, sf_dir):
+    return _profile(spark, sf_dir, SPLIT_KEYS)
+
+
+@query(_PROFILE.format(keys="l_suppkey"))
+def task_profile_many(spark, sf_dir):
+    return _profile(spark, sf_dir, ("l_suppkey",))
+
+
+@query("""SELECT event_id, user_id FROM events WHERE (user_id) IN (SELECT user_id FROM events GROUP BY user_id HAVING count(*) >= 50 AND count(*) - count(*) FILTER (WHERE CAST(value AS VARCHAR) SIMILAR TO '[<>].*') >= 25
+  AND NOT bool_and(value IN (0, 1)))""")
+def quorum_records(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events").filter(F.col("value").isNotNull()).withColumn("text", F.format_string("%.2f", "value"))
+    return quality.with_quorum(events, ("user_id",), "text").select("event_id", "user_id")
+
+
+@query("""SELECT 'event_type' AS "column", event_type AS value, count(*) AS n FROM events WHERE event_type NOT IN ('click', 'view', 'purchase') GROUP BY event_type""")
+def vocab_violations(spark, sf_dir):
+    return quality.vocabulary_violations(read_table(spark, sf_dir, "events"), {"event_type": ("click", "view", "purchase")})
+
+
+@query("""WITH t AS (SELECT l_orderkey, l_linenumber, CASE l_orderkey % 4 WHEN 0 THEN '>' WHEN 1 THEN '<= ' WHEN 2 THEN '' ELSE 'active ' END AS pre, l_quantity AS q FROM lineitem)
+SELECT l_orderkey, l_linenumber, nullif(regexp_extract(pre, '^([<>]=?)', 1), '') AS relation, CASE WHEN pre LIKE 'active%' THEN NULL ELSE q END AS value FROM t""")
+def censored_parse(spark, sf_dir):
+    pre = F.when(F.col("l_orderkey") % 4 == 0, F.lit(">")).when(F.col("l_orderkey") % 4 == 1, F.lit("<= ")).when(F.col("l_orderkey") % 4 == 2, F.lit("")).otherwise(F.lit("active "))
+    text = F.concat(pre, F.col("l_quantity").cast("string"))
+    return read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", cleaning.censored(text).alias("c")).select("l_orderkey", "l_linenumber", "c.relation", "c.value")
+
+
+def _unit_of(key: str):
+    return F.element_at(F.array(*map(F.lit, UNIT_CHOICES)), (F.col(key) % len(UNIT_CHOICES)).cast("int") + 1)
+
+
+#: unit, factor, SI unit, kind, as the SQL's own table.
+_UNIT_ROWS = [
+    ("uM", 1e-3, "mole / meter ** 3", "concentration"), ("ng/mL", 1e-6, "kilogram / meter ** 3", "concentration"), ("hr", 3600, "second", "time"), ("%", 1, "percent", "dimensionless"), ("10-6 cm/s", 1, "1e-6 cm/s", "rate"),
+    ("mL/min/kg", 1e-6 / 60, "meter ** 3 / kilogram / second", "rate"), ("min-1", 1 / 60, "1 / second", "concentration"), ("ng·h/mL", 3.6e-3, "kilogram * second / meter ** 3", "concentration"), ("WeirdUnit", 1, "WeirdUnit", "unknown"),
+    ("um", 1e-6, "meter", "concentration"), ("uL/min/10^6 cells", 1, "ul/min/10^6cells", "dimensionless"), ("-", 1, "-", "dimensionless"), ("ug/mL", 1e-3, "kilogram / meter ** 3", "concentration"), ("mM", 1, "mole / meter ** 3", "concentration"), ("L/hr/kg", 1e-3 / 3600, "meter ** 3 / kilogram / second", "rate"),
+]
+
+@query(f"""WITH u AS (SELECT generate_subscripts(l, 1) - 1 AS i, unnest(l) AS x FROM (SELECT [{", ".join("{'unit': '%s', 'factor': %r, 'si': '%s'}" % (a, float(b), c) for a, b, c, _ in _UNIT_ROWS)}] AS l))
+SELECT p_partkey, u.x.unit AS unit, round(p_retailprice * u.x.factor, 9) AS value_si, u.x.si AS unit_si FROM part JOIN u ON p_partkey % {len(UNIT_CHOICES)} = u.i""")
+def unit_to_si(spark, sf_dir):
+    parts = read_table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit(">"), F.col("p_retailprice").cast("string")).alias("v"), _unit_of("p_partkey").alias("unit"))
+    return units.convert_column(parts, "v", "unit").select("p_partkey", "unit", F.round("value_si", 9).alias("value_si"), "unit_si")
+
+
+@query(f"""WITH u AS (SELECT generate_subscripts(l, 1) - 1 AS i, unnest(l) AS x FROM (SELECT [{", ".join("{'unit': '%s', 'kind': '%s'}" % (a, d) for a, _, _, d in _UNIT_ROWS)}] AS l))
+SELECT p_type AS measurement, u.x.unit AS unit, count(*) AS n, u.x.kind AS kind FROM part JOIN u ON p_partkey % {len(UNIT_CHOICES)} = u.i GROUP BY ALL""")
+def unit_summary(spark, sf_dir):
+    return units.unit_summary(read_table(spark, sf_dir, "part").withColumn("unit", _unit_of("p_partkey")), "p_type", "unit")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN p_size / 10.0 WHEN p_partkey % 5 = 1 THEN p_size / 4.0 WHEN p_partkey % 5 = 2 THEN p_size::DOUBLE
+  WHEN p_partkey % 5 = 3 THEN CASE WHEN p_size <= 14 THEN p_size::DOUBLE END END::DOUBLE AS inferred_ph FROM part""")
+def ph_infer(spark, sf_dir):
+    size, way = F.col("p_size"), F.col("p_partkey") % 5
+    told = read_table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.when(way == 0, (size / 10).cast("string")).alias("ph"),
+        F.when(way == 1, F.concat(F.lit("Human pH "), (size / 4).cast("string"))).otherwise(F.lit("Human")).alias("subject"),
+        F.when(way == 2, F.concat(F.lit("at PH"), size.cast("string"))).when(way == 3, size.cast("string")).alias("condition"),
+        F.lit("Solubility").alias("type"),
+    )
+    return told.select("p_partkey", ph.infer_ph([F.col("ph")], F.col("subject"), F.col("condition"), F.col("type")).alias("inferred_ph"))
+
+
+_PH = "CASE WHEN l_linenumber % 6 = 0 THEN NULL ELSE 4 + l_tax * 50 END"
+
+
+def _ph_query(spark, sf_dir, method, **columns):
+    lines = read_table(spark, sf_dir, "lineitem").withColumn("_ph", F.when(F.col("l_linenumber") % 6 != 0, 4 + F.col("l_tax") * 50))
+    found = ph.corrected(F.col("l_quantity"), F.col("_ph"), method, **columns)
+    return lines.select("l_orderkey", "l_linenumber", F.round(found[method], ROUND).alias("corrected"))
+
+
+_ACID, _BASE = "CASE WHEN l_linenumber % 3 > 0 THEN 4.5 END", "CASE WHEN l_linenumber % 2 > 0 THEN 5 + l_discount * 50 END"
+
+
+@query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, l_quantity AS v, {_PH} AS ph, {_ACID} AS a, {_BASE} AS b FROM lineitem),
+c AS (SELECT *, CASE WHEN a IS NOT NULL AND (b IS NULL OR abs(a - 7.4) < abs(b - 7.4)) THEN TRUE ELSE FALSE END AS acid FROM t),
+f AS (SELECT *, CASE WHEN acid THEN 1 - 1 / (1 + power(10.0, a - 7.4)) ELSE 1 - 1 / (1 + power(10.0, 7.4 - b)) END AS ft, CASE WHEN acid THEN 1 - 1 / (1 + power(10.0, a - ph)) ELSE 1 - 1 / (1 + power(10.0, ph - b)) END AS fm FROM c)
+SELECT l_orderkey, l_linenumber, round(CASE WHEN ph IS NULL THEN NULL WHEN ph = 7.4 OR (a IS NULL AND b IS NULL) THEN v ELSE v * ft / fm END, 6) AS corrected FROM f""")
+def ph_correct_hh(spark, sf_dir):
+    acid, base = F.when(F.col("l_linenumber") % 3 > 0, F.lit(4.5)), F.when(F.col("l_linenumber") % 2 > 0, 5 + F.col("l_discount") * 50)
+    return _ph_query(spark, sf_dir, "hh", acid_pka=acid, base_pka=base)
+
+
+@query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, l_quantity AS v, 7.4::DOUBLE - ({_PH}) AS d FROM lineitem)
+SELECT l_orderkey, l_linenumber, round(v * greatest(0.1, least(10, 1 + d * CASE WHEN abs(d) <= 1 THEN 0.05 WHEN abs(d) <= 2 THEN 0.1 ELSE 0.15 END)), 6) AS corrected FROM t WHERE d IS NOT NULL
+UNION ALL SELECT l_orderkey, l_linenumber, NULL FROM t WHERE d IS NULL""")
+def ph_correct_emp(spark, sf_dir):
+    return _ph_query(spark, sf_dir, "emp")
+
+
+@query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, l_quantity AS v, 7.4::DOUBLE - ({_PH}) AS d, l_discount * 80 AS logp, l_quantity * 4 AS tpsa, l_linenumber AS h FROM lineitem),
+s AS (SELECT *, (greatest(0.5, least(2, 1 - logp / 10)) + greatest(0.5, least(2, 1 + tpsa / 200)) + greatest(0.5, least(2, 1 + (h + 2.0) / 20))) / 3 AS s FROM t)
+SELECT l_orderkey, l_linenumber, CASE WHEN d IS NOT NULL THEN round(v * greatest(0.1, least(10, 1 + d * 0.1 * s)), 6) END AS corrected FROM s""")
+def ph_correct_mp(spark, sf_dir):
+    return _ph_query(spark, sf_dir, "mp", logp=F.col("l_discount") * 80, tpsa=F.col("l_quantity") * 4, donors=F.col("l_linenumber"), acceptors=F.lit(2))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, round((l_extendedprice - avg(l_extendedprice) OVER w) / stddev_pop(l_extendedprice) OVER w, 6) AS scaled FROM lineitem WINDOW w AS (PARTITION BY l_returnflag)""")
+def zscore_by_group(spark, sf_dir):
+    found = stats.zscore(read_table(spark, sf_dir, "lineitem"), ("l_returnflag",), "l_extendedprice", "scaled")
+    return found.select("l_orderkey", "l_linenumber", "l_partkey", F.round("scaled", ROUND).alias("scaled"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_acctbal IS NULL THEN 'Not classified' WHEN c_acctbal >= 4500 THEN 'active' ELSE 'inactive' END AS label FROM customer""")
+def threshold_label(spark, sf_dir):
+    customers = read_table(spark, sf_dir, "customer").withColumn("text", F.col("c_acctbal").cast("string"))
+    return stats.labels(customers, ("c_mktsegment",), "text", "c_acctbal", 4500.0, out="label").select("c_custkey", "label")
+
+
+@query("""WITH m AS (SELECT l_suppkey, count(*)::DOUBLE AS n, avg(l_extendedprice) AS mu FROM lineitem GROUP BY l_suppkey),
+p AS (SELECT l.l_suppkey, any_value(n) AS n, avg(power(l_extendedprice - mu, 2)) AS m2, avg(power(l_extendedprice - mu, 3)) AS m3, avg(power(l_extendedprice - mu, 4)) AS m4 FROM lineitem l JOIN m ON l.l_suppkey = m.l_suppkey GROUP BY l.l_suppkey),
+g AS (SELECT l_suppkey, n, m3 / power(m2, 1.5) AS g1, m4 / (m2 * m2) - 3 AS g2 FROM p WHERE n >= 8 AND m2 > 0),
+z AS (SELECT *, g1 * sqrt((n + 1) * (n + 3) / (6 * (n - 2))) AS y, 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9)) AS beta,
+  (g2 + 3 - 3 * (n - 1) / (n + 1)) / sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))) AS x,
+  6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))) AS sb FROM g),
+w AS (SELECT *, -1 + sqrt(2 * (beta - 1)) AS w2, 6 + 8 / sb * (2 / sb + sqrt(1 + 4 / (sb * sb))) AS a FROM z),
+k AS (SELECT l_suppkey, n, 1 / sqrt(0.5 * ln(w2)) * asinh(y / sqrt(2 / (w2 - 1))) AS z1, 1 + x * sqrt(2 / (a - 4)) AS d, a FROM w),
+r AS (SELECT l_suppkey, n, z1, ((1 - 2 / (9 * a)) - sign(d) * cbrt((1 - 2 / a) / abs(d))) / sqrt(2 / (9 * a)) AS z2 FROM k)
+SELECT l_suppkey, n::BIGINT AS n, round(z1 * z1 + z2 * z2, 4) AS k2, round(exp(-(z1 * z1 + z2 * z2) / 2), 4) AS p FROM r""")
+def normality_k2(spark, sf_dir):
+    found = stats.normality(read_table(spark, sf_dir, "lineitem"), ("l_suppkey",), "l_extendedprice")
+    return found.filter(F.col("k2").isNotNull()).select("l_suppkey", "n", F.round("k2", 4).alias("k2"), F.round("p", 4).alias("p"))
+
+
+@query("""WITH q AS (SELECT o_orderpriority, quantile_cont(o_totalprice::DOUBLE, 0.25) AS a, quantile_cont(o_totalprice::DOUBLE, 0.75) AS b FROM orders GROUP BY 1)
+SELECT o_orderkey, o_totalprice < a - 1.5 * (b - a) OR o_totalprice > b + 1.5 * (b - a) AS is_outlier FROM orders JOIN q USING (o_orderpriority)""")
+def iqr_outliers(spark, sf_dir):
+    return stats.iqr_outliers(read_table(spark, sf_dir, "orders"), ("o_orderpriority",), "o_totalprice").select("o_orderkey", "is_outlier")
+
+
+_NEAR = 5
+
+
+@query(f"""WITH s AS (SELECT s_suppkey, s_nationkey, s_acctbal AS v, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal, s_suppkey) AS i, count(*) OVER (PARTITION BY s_nationkey) AS n FROM supplier),
+nn AS (SELECT * FROM (SELECT a.s_suppkey, a.s_nationkey, a.i, b.i AS j, abs(a.v - b.v) AS d, least({_NEAR}, a.n - 1) AS k, row_number() OVER (PARTITION BY a.s_suppkey ORDER BY abs(a.v - b.v), b.i) AS r FROM s a JOIN s b ON a.s_nationkey = b.s_nationkey AND a.i <> b.i) WHERE r <= k),
+kd AS (SELECT s_nationkey, i, max(d) AS kd FROM nn GROUP BY ALL),
+lrd AS (SELECT nn.s_suppkey, nn.s_nationkey, nn.i, any_value(nn.k) AS k, 1 / (sum(greatest(nn.d, kd.kd)) / any_value(nn.k) + 1e-10) AS lrd FROM nn JOIN kd ON nn.s_nationkey = kd.s_nationkey AND nn.j = kd.i GROUP BY ALL),
+lof AS (SELECT nn.s_suppkey, sum(o.lrd) / any_value(nn.k) / any_value(own.lrd) AS lof FROM nn JOIN lrd o ON nn.s_nationkey = o.s_nationkey AND nn.j = o.i JOIN lrd own ON nn.s_suppkey = own.s_suppkey GROUP BY nn.s_suppkey)
+SELECT s.s_suppkey, round(lof, 6) AS lof, coalesce(lof > 1.5, FALSE) AS is_outlier FROM s LEFT JOIN lof ON s.s_suppkey = lof.s_suppkey""")
+def lof_1d(spark, sf_dir):
+    found = stats.local_outlier_factor(read_table(spark, sf_dir, "supplier"), ("s_nationkey",), "s_acctbal", "s_suppkey", k=_NEAR)
+    return found.select("s_suppkey", F.round("lof", ROUND).alias("lof"), "is_outlier")
+
+
+@query("SELECT o_orderkey, o_custkey FROM (SELECT *, count(*) OVER (PARTITION BY o_orderpriority, o_custkey) AS c FROM orders) WHERE c = 1")
+def strict_dedup(spark, sf_dir):
+    return dedup.strict(read_table(spark, sf_dir, "orders"), ("o_orderpriority",), "o_custkey").select("o_orderkey", "o_custkey")
+
+
+@query("""WITH c AS (SELECT doc_id, source, count(*) OVER (PARTITION BY source, text) AS n, row_number() OVER (PARTITION BY source, text ORDER BY doc_id) AS r FROM documents),
+s AS (SELECT *, sum((n = 1)::INT) OVER (PARTITION BY source) AS singles FROM c)
+SELECT doc_id, source FROM s WHERE CASE WHEN singles = 0 THEN r = 1 ELSE n = 1 END""")
+def dedup_recover(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", F.md5(F.col("text").cast("binary")).alias("digest"))
+    return dedup.strict_or_first(docs, ("source",), "digest", "doc_id").select("doc_id", "source")
+
+
+@query("SELECT min(doc_id) AS doc_id, lang FROM documents GROUP BY lang")
+def first_of_each(spark, sf_dir):
+    return dedup.first_of_each(read_table(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", "doc_id")
+
+
+_SHARES = "CASE WHEN r <= ceil(round(n * 0.2, 9)) THEN 'test' WHEN r <= ceil(round(n * 0.2, 9)) + ceil(round((n - ceil(round(n * 0.2, 9))) * 0.125, 9)) THEN 'valid' ELSE 'train' END AS split"
+
+
+@query(f"""WITH t AS (SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) AS r, count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders)
+SELECT o_orderkey, o_orderpriority, {_SHARES} FROM t""")
+def split_random(spark, sf_dir):
+    return split.random_split(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"), ("o_orderpriority",), "o_orderkey")
+
+
+@query("""WITH g AS (SELECT o_orderpriority, o_custkey, count(*) AS n, min(o_orderkey) AS f FROM orders GROUP BY ALL),
+b AS (SELECT *, sum(n) OVER (PARTITION BY o_orderpriority ORDER BY n DESC, f ROWS UNBOUNDED PRECEDING) - n AS before, sum(n) OVER (PARTITION BY o_orderpriority) AS total FROM g),
+t AS (SELECT *, before / total < 0.2 AS is_test FROM b),
+f AS (SELECT *, coalesce(max(CASE WHEN is_test THEN before + n END) OVER (PARTITION BY o_orderpriority), 0) AS taken FROM t)
+SELECT o.o_orderkey, CASE WHEN is_test THEN 'test' WHEN (before - taken) / total < 0.1 THEN 'valid' ELSE 'train' END AS split FROM orders o JOIN f ON o.o_orderpriority = f.o_orderpriority AND o.o_custkey = f.o_custkey""")
+def split_group_greedy(spark, sf_dir):
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
+    return split.group_split(orders, ("o_orderpriority",), "o_custkey", "o_orderkey").select("o_orderkey", "split")
+
+
+@query(f"""WITH q AS (SELECT c_mktsegment, list_distinct(quantile_cont(c_acctbal::DOUBLE, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1])) AS e FROM customer GROUP BY 1),
+b AS (SELECT c_custkey, c.c_mktsegment, greatest(len(list_filter(e, lambda x: x < c_acctbal)), 1) AS bin FROM customer c JOIN q ON c.c_mktsegment = q.c_mktsegment),
+t AS (SELECT c_custkey, row_number() OVER (PARTITION BY c_mktsegment, bin ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey) AS r, count(*) OVER (PARTITION BY c_mktsegment, bin) AS n FROM b)
+SELECT c_custkey, {_SHARES} FROM t""")
+def split_stratified(spark, sf_dir):
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    return split.stratified_split(customers, ("c_mktsegment",), "c_acctbal", "c_custkey").select("c_custkey", "split")
+
+
+@query("SELECT source, count(*) AS n FROM documents GROUP BY source ORDER BY n DESC, source LIMIT 7")
+def topk_groups(spark, sf_dir):
+    return summary.top_groups(read_table(spark, sf_dir, "documents"), "source", 7)
+
+
+@query("""SELECT doc_id, replace(replace(replace(replace(replace(replace(replace(replace(translate(text, 'μ×÷', 'ux/'), '°', 'deg'), 'α', 'alpha'), 'β', 'beta'), 'γ', 'gamma'), 'δ', 'delta'), '±', '+/-'), '≤', '<='), '≥', '>=') AS text FROM documents""")
+def text_clean(spark, sf_dir):
+    return read_table(spark, sf_dir, "documents").select("doc_id", cleaning.spell_out(F.col("text")).alias("text"))
+
+
+@query("""SELECT p_partkey, trim(regexp_replace(lower(p_name || '-' || p_brand || ' /' || p_type), '[^a-z0-9]+', ' ', 'g')) AS name,
+  CASE WHEN p_brand = 'Brand#2' THEN p_name ELSE regexp_replace(p_name || ' | ' || p_brand || ' | ' || CASE WHEN p_type = 'ECONOMY' THEN '' ELSE p_type END, '^[ |]+|[ |]+$', '', 'g') END AS endpoint_key FROM part""")
+def endpoint_key(spark, sf_dir):
+    blank = F.lit("Not specified")
+    second, third = F.when(F.col("p_brand") == "Brand#2", blank).otherwise(F.col("p_brand")), F.when((F.col("p_type") == "ECONOMY") | (F.col("p_brand") == "Brand#2"), blank).otherwise(F.col("p_type"))
+    name = endpoints.normal_name(F.concat("p_name", F.lit("-"), "p_brand", F.lit(" /"), "p_type"))
+    return read_table(spark, sf_dir, "part").select("p_partkey", name.alias("name"), cleaning.endpoint_key(F.col("p_name"), second, third).alias("endpoint_key"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'A' THEN 1.0 WHEN l_returnflag = 'R' THEN 0.0 ELSE l_quantity END::DOUBLE AS value FROM lineitem""")
+def qualitative_values(spark, sf_dir):
+    unit = F.when(F.col("l_returnflag") == "A", F.lit(" Positive")).when(F.col("l_returnflag") == "R", F.lit("NEGATIVE ")).otherwise(F.lit("uM"))
+    return read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", cleaning.qualitative(unit, F.col("l_quantity")).alias("value"))
+
+
+_TYPE_MAP = {"ECONOMY": "Cheap", "STANDARD": "Plain", "PROMO": "Offer"}
+
+
+@query("SELECT p_partkey, p_type, coalesce(CASE p_type WHEN 'ECONOMY' THEN 'Cheap' WHEN 'STANDARD' THEN 'Plain' WHEN 'PROMO' THEN 'Offer' END, p_type) AS endpoint FROM part")
+def dict_map_join(spark, sf_dir):
+    mapping = spark.createDataFrame(list(_TYPE_MAP.items()), "p_type string, endpoint string")
+    return endpoints.map_endpoints(read_table(spark, sf_dir, "part"), "p_type", F.broadcast(mapping)).select("p_partkey", "p_type", "endpoint")
+
+
+@query("""WITH m AS (SELECT p_type, CASE p_type WHEN 'ECONOMY' THEN 'Cheap' WHEN 'STANDARD' THEN 'Plain' WHEN 'PROMO' THEN 'Offer' ELSE p_type END AS endpoint FROM part)
+SELECT p_type, endpoint, count(*) AS n FROM m WHERE endpoint NOT IN ('Cheap', 'Plain') GROUP BY ALL""")
+def unmapped_report(spark, sf_dir):
+    mapping = spark.createDataFrame(list(_TYPE_MAP.items()), "p_type string, endpoint string")
+    mapped = endpoints.map_endpoints(read_table(spark, sf_dir, "part"), "p_type", F.broadcast(mapping))
+    return matrix.mapping_report(matrix.unmapped(mapped, "endpoint", ("Cheap", "Plain")), "p_type", "endpoint")
+
+
+_NAMED = "SELECT DISTINCT p_name AS name FROM part"
+
+
+@query(f"""WITH n AS ({_NAMED}), s(syn, endpoint, place, tokens) AS (VALUES {_values((a, b, i, len(a.split())) for i, (a, b) in enumerate(SYNONYMS))}),
+m AS (SELECT name, endpoint, row_number() OVER (PARTITION BY name ORDER BY tokens DESC, len(string_split(substr(' ' || name || ' ', 1, instr(' ' || name || ' ', ' ' || syn || ' ')::INT), ' ')) DESC, place) AS r FROM n JOIN s ON contains(' ' || name || ' ', ' ' || syn || ' '))
+SELECT p_partkey, p_name AS name, endpoint AS stretch FROM part LEFT JOIN m ON p_name = m.name AND r = 1""")
+def token_subsequence_match(spark, sf_dir):
+    parts = read_table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("name"))
+    return endpoints.best_stretch(parts, "name", SYNONYMS)
+
+
+@query(f"""WITH n AS ({_NAMED}), l(label, place) AS (VALUES {_values((x, i) for i, x in enumerate(LABELS))}),
+g AS (SELECT name, label, place, [substr(replace(name, ' ', ''), i, 2) FOR i IN range(1, len(replace(name, ' ', '')))] AS a, [substr(replace(label, ' ', ''), i, 2) FOR i IN range(1, len(replace(label, ' ', '')))] AS b, string_split(name, ' ') AS ta, string_split(label, ' ') AS tb FROM n, l),
+s AS (SELECT name, label, place, greatest(2.0 * len(list_intersect(a, b)) / (len(a) + len(b)), len(list_intersect(ta, tb)) / len(list_distinct(list_concat(ta, tb)))) + CASE WHEN ta[1] = tb[1] THEN 0.1 ELSE 0 END AS score FROM g),
+m AS (SELECT name, label, score, row_number() OVER (PARTITION BY name ORDER BY round(score, 12) DESC, place) AS r FROM s)
+SELECT p_partkey, p_name AS name, label AS alike, round(score, 6) AS score FROM part JOIN m ON p_name = m.name AND r = 1""")
+def bigram_similarity_match(spark, sf_dir):
+    parts = read_table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("name"))
+    return endpoints.most_alike(parts, "name", LABELS).withColumn("score", F.round("score", ROUND))
+
+
+@query("""SELECT doc_id, """ + ", ".join(f"length(text) - length(replace(text, '{x}', '')) AS {x.lower()}_plain" for x in "PI") + """, (length(text) - length(replace(text, 'Cl', ''))) // 2 AS cl, (length(text) - length(replace(text, 'Br', ''))) // 2 AS br,
+  length(replace(replace(text, 'Cl', ''), 'Br', '')) - length(regexp_replace(replace(replace(text, 'Cl', ''), 'Br', ''), '[Cc]', '', 'g')) AS c, length(replace(replace(text, 'Cl', ''), 'Br', '')) - length(regexp_replace(replace(replace(text, 'Cl', ''), 'Br', ''), '[Nn]', '', 'g')) AS n FROM documents""")
+def atom_text_count(spark, sf_dir):
+    counts = chem.atom_counts(F.col("text"), ("C", "N", "Cl", "Br"))
+    plain = {x: F.length("text") - F.length(F.replace("text", F.lit(x), F.lit(""))) for x in "PI"}
+    return read_table(spark, sf_dir, "documents").select("doc_id", *(plain[x].cast("bigint").alias(f"{x.lower()}_plain") for x in "PI"), *(counts[x].cast("bigint").alias(x.lower()) for x in ("Cl", "Br", "C", "N")))
+
+
+@query("SELECT event_id, " + ", ".join(f"(event_type = '{x}')::INT::DOUBLE AS is_{x}" for x in EVENT_TYPES[:3]) + f", (event_type NOT IN ({_sql_list(EVENT_TYPES[:3])}))::INT::DOUBLE AS is_other FROM events")
+def one_hot(spark, sf_dir):
+    coded = read_table(spark, sf_dir, "events").select("event_id", chem.one_hot(F.col("event_type"), EVENT_TYPES[:3], other=True).alias("x"))
+    return coded.select("event_id", *(F.get("x", F.lit(i)).alias(f"is_{x}") for i, x in enumerate((*EVENT_TYPES[:3], "other"))))
+
+
+@query("""WITH m AS (SELECT min(l_quantity) AS low FROM lineitem) SELECT floor((l_quantity - low) / 5)::BIGINT AS bin, low + floor((l_quantity - low) / 5) * 5 AS lower, count(*) AS n FROM lineitem, m GROUP BY ALL""")
+def histogram_bins(spark, sf_dir):
+    return summary.histogram(read_table(spark, sf_dir, "lineitem"), "l_quantity", 5.0)
+
+
+@query("SELECT event_id, coalesce(event_type, 'Not specified') AS event_type, CASE WHEN props IN ('', 'NA', 'N/A', 'nan', 'null') THEN 'Not specified' ELSE coalesce(props, 'Not specified') END AS props, 'Not specified' AS \"Test\" FROM events")
+def sentinel_fill(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events").select("event_id", "event_type", cleaning.missing_to_null(F.col("props")).alias("props"))
+    return cleaning.fill_conditions(events, ("event_type", "props", "Test"))
+
+
+@query()
+def gmm_low_density(spark, sf_dir):
+    return stats.gaussian_mixture_outliers(read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), "c_acctbal")
+
+
+@query()
+def outlier_dispatch(spark, sf_dir):
+    return stats.outliers(read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal"), ("s_nationkey",), "s_acctbal", "s_suppkey")
+
+
+@query()
+def endpoint_match(spark, sf_dir):
+    """The whole matcher over distinct names that the tables make up."""
+    told = read_table(spark, sf_dir, "part").select(F.concat_ws(" | ", "p_type", "p_name", F.when(F.col("p_size") % 3 == 0, F.lit("hERG")).when(F.col("p_size") % 3 == 1, F.lit("CYP2D6 substrate"))).alias("name"))
+    return endpoints.match_endpoints(told, "name")
