@@ -10,8 +10,9 @@ Two texts are linked when they share at least 75 % of the union of their five-wo
 3. The token-group matrix holds, for each shingle, the groups with it among their members' rarest shingles;
    a text and a group that share none cannot hold a link. What remains is a text's candidate groups: each has
    its union of shingles, and is opened only if three quarters of the text's shingles are in that union.
-4. First one text stands for each set of texts that are already connected; then all texts whose group is
-   still apart from a candidate are held against it, so that no link between two sets is missed.
+4. First one text stands for each set of texts that are already connected, and asks one group only. What is
+   connected by then is grouped anew. Then all texts ask every candidate group that they are not yet connected
+   with, so that no link between two sets is missed.
 
 Components are found by Spark joins, with each round written to the shared folder.
 """
@@ -36,7 +37,7 @@ PERCENT = 75
 TEXT_BYTES = 12 << 20
 SET_BYTES = 16 << 20
 #: Shingles that a task packs at a time, and texts in a group.
-PACK = 2_000_000
+PACK = 1_000_000
 GROUP = 64
 #: Rows up to which a table of keys is broadcast; beyond, Spark joins by sorting.
 BROADCAST_ROWS = 1_000_000
@@ -47,7 +48,7 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 19:
+        if len(self) > 1 << 18:
             self.clear()
         self[word] = found = xxhash.xxh3_64_intdigest(word)
         return found
@@ -79,6 +80,11 @@ def needed(n):
     return -(-PERCENT * n // 100)
 
 
+def needed_together(n, m):
+    """Shingles that two texts with n and m of them must share."""
+    return -(-PERCENT * (n + m) // (100 + PERCENT))
+
+
 def linked(shared, n, m):
     return 100 * shared >= PERCENT * (n + m - shared)
 
@@ -88,25 +94,25 @@ def linked(shared, n, m):
 PACKED = "part int, block long, counts binary, tokens binary, info binary"
 
 
-def _pack(block: int, sets: list[np.ndarray], parts: int, info: bytes) -> pa.RecordBatch:
-    """One row for each range of hashes that the block's shingles touch; the first has the info."""
-    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+def _by_part(sets: list[np.ndarray], parts: int, at_least: int, aligned: list[np.ndarray] | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """For each range of hashes with shingles, and for at_least: its number, counts of each text, and shingles (and what is aligned with them) by text."""
     tokens = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
-    owner = np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     part = _part(tokens, parts)
-    order = np.argsort(part, kind="stable")  # within a range, by text
-    tokens, owner = tokens[order], owner[order]
-    ends = np.cumsum(np.bincount(part, minlength=parts))
-    rows: list[list] = [[], [], [], [], []]
+    order = np.argsort(part, kind="stable")
+    tokens, owner, more = tokens[order], owner[order], np.concatenate(aligned)[order] if aligned else None
     begin = 0
-    for k, end in enumerate(ends.tolist()):
-        if end > begin or k == block % parts:
-            counts = np.bincount(owner[begin:end], minlength=len(sets)).astype(np.uint32)
-            for column, x in zip(rows, (k, block, counts.tobytes(), tokens[begin:end].tobytes(), info if k == block % parts else None)):
-                column.append(x)
+    for k, end in enumerate(np.cumsum(np.bincount(part, minlength=parts)).tolist()):
+        if end > begin or k == at_least:
+            yield k, np.bincount(owner[begin:end], minlength=len(sets)).astype("<u4"), tokens[begin:end], None if more is None else more[begin:end]
         begin = end
+
+
+def _pack(block: int, sets: list[np.ndarray], parts: int, info: bytes) -> pa.RecordBatch:
+    """One row for each range of hashes that the block's shingles touch; one of them has the info."""
+    rows = [(k, block, counts.tobytes(), tokens.tobytes(), info if k == block % parts else None) for k, counts, tokens, _ in _by_part(sets, parts, block % parts)]
     kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, kinds)], names=["part", "block", "counts", "tokens", "info"])
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=["part", "block", "counts", "tokens", "info"])
 
 
 def _part(tokens: np.ndarray, parts: int) -> np.ndarray:
@@ -326,62 +332,85 @@ def _members(sets: DataFrame) -> DataFrame:
 # --- 3: the token-group matrix ---
 
 CARD = np.dtype([("node", "<i8"), ("grp", "<i8"), ("comp", "<i8"), ("n", "<i8")])
+ENTRIES = "part int, counts binary, tokens binary, places binary, cards binary"
 
 
 def _pack_matrix(parts: int):
+    """Rows (node, grp, comp, n, prefix) by ranges of hashes, each shingle with its place in its text's order."""
+
+    def packed(sets: list[np.ndarray], cards: list[tuple]) -> pa.RecordBatch:
+        # shingles that no other text has come first in a text's order, and were left out of its prefix
+        places = [np.arange(len(x)) + c[3] - needed(c[3]) + 1 - len(x) for x, c in zip(sets, cards)]
+        cards = np.array(cards, dtype=CARD)
+        rows = [(k, counts[counts > 0].tobytes(), tokens.tobytes(), own.astype("<u4").tobytes(), cards[counts > 0].tobytes()) for k, counts, tokens, own in _by_part(sets, parts, -1, places)]
+        columns = [*zip(*rows)] or [()] * 5
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int32(), *[pa.binary()] * 4))], names=["part", "counts", "tokens", "places", "cards"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, cards, held, done = [], [], 0, 0
+        sets, cards, held = [], [], 0
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 sets.append(_numbers(row[4], "<u8"))
                 cards.append(row[:4])
                 held += len(sets[-1]) + 4
                 if held >= PACK:
-                    yield from _with_cards(_pack(_block(done), sets, parts, b""), cards)
-                    sets, cards, held, done = [], [], 0, done + 1
+                    yield packed(sets, cards)
+                    sets, cards, held = [], [], 0
         if cards:
-            yield from _with_cards(_pack(_block(done), sets, parts, b""), cards)
+            yield packed(sets, cards)
 
     return run
 
 
-def _with_cards(packed: pa.RecordBatch, cards: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Each row gets the cards of the texts that have shingles in it, and only their counts."""
-    cards = np.array(cards, dtype=CARD)
-    counts = [_numbers(x.as_py(), "<u4") for x in packed.column("counts")]
-    columns = [packed.column("part"), packed.column("block"), pa.array([x[x > 0].tobytes() for x in counts], pa.binary()), packed.column("tokens"), pa.array([cards[x > 0].tobytes() for x in counts], pa.binary())]
-    yield pa.RecordBatch.from_arrays(columns, schema=packed.schema)
+def _may_link(q: np.ndarray, at: np.ndarray, x: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Whether sizes, and the places of a first common shingle, leave room for a link: texts q by texts x."""
+    n, m = q["n"][:, None], x["n"]
+    rest = np.minimum(n - at[:, None], m - places)
+    return (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (rest >= needed_together(n, m))
 
 
 def _candidates(first: bool):
-    """Candidate groups of texts: those in other components, of a size that may link, with a rarest shingle in common."""
+    """Candidate groups of texts in other components, with a rarest shingle in common.
+
+    Of the texts that have a shingle, those outside its largest component ask. first: one text of each such
+    component asks the largest component's largest group. Else each asks every group that may hold a link.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         tokens = np.concatenate([_numbers(x.as_py(), "<u8") for x in table.column("tokens")])
-        cards = np.concatenate([np.repeat(_numbers(i.as_py(), CARD), _numbers(c.as_py(), "<u4")) for i, c in zip(table.column("info"), table.column("counts"))])
+        places = np.concatenate([_numbers(x.as_py(), "<u4") for x in table.column("places")]).astype(np.int64)
+        cards = np.concatenate([_numbers(x.as_py(), CARD) for x in table.column("cards")])
+        owner = np.repeat(np.arange(len(cards)), np.concatenate([_numbers(x.as_py(), "<u4") for x in table.column("counts")]))
         order = np.argsort(tokens, kind="stable")
-        tokens, cards = tokens[order], cards[order]
+        tokens, places, owner = tokens[order], places[order], owner[order]
         begins = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])) if len(tokens) else np.zeros(0, dtype=np.int64)
         ends = np.append(begins[1:], len(tokens))
         if len(begins):
-            apart = np.minimum.reduceat(cards["comp"], begins) != np.maximum.reduceat(cards["comp"], begins)
+            comp = cards["comp"][owner]
+            apart = np.minimum.reduceat(comp, begins) != np.maximum.reduceat(comp, begins)
             begins, ends = begins[apart], ends[apart]
-        found = []
+        found: set[tuple[int, int]] = set()
         for begin, end in zip(begins.tolist(), ends.tolist()):
-            run = np.sort(cards[begin:end], order=["grp", "comp", "n"])
-            # a group's entry in the matrix: its components here, with the sizes of their texts
-            start = np.flatnonzero(np.append(True, (run["grp"][1:] != run["grp"][:-1]) | (run["comp"][1:] != run["comp"][:-1])))
-            entry = run[start]
-            low, high = run["n"][start], run["n"][np.append(start[1:], len(run)) - 1]
-            asks = run
+            texts, at = cards[owner[begin:end]], places[begin:end]
+            names, sizes = np.unique(texts["comp"], return_counts=True)
+            main = names[sizes.argmax()]
+            asks = np.flatnonzero(texts["comp"] != main)
             if first:
-                asks = entry[np.unique(entry["comp"], return_index=True)[1]]
-            for k in range(0, len(asks), 1024):
-                q = asks[k : k + 1024]
-                fits = (q["comp"][:, None] != entry["comp"]) & (100 * high >= PERCENT * q["n"][:, None]) & (PERCENT * low <= 100 * q["n"][:, None])
+                groups, sizes = np.unique(texts["grp"][texts["comp"] == main], return_counts=True)
+                group = groups[sizes.argmax()]
+                held = np.flatnonzero((texts["grp"] == group) & (texts["comp"] == main))
+                asks = asks[_may_link(texts[asks], at[asks], texts[held], at[held]).any(axis=1)]
+                asks = asks[np.unique(texts["comp"][asks], return_index=True)[1]]
+                found.update((x, int(group)) for x in texts["node"][asks].tolist())
+                continue
+            for k in range(0, len(asks), 512):
+                q = asks[k : k + 512]
+                own, theirs = texts["comp"][q][:, None], texts["comp"]
+                fits = _may_link(texts[q], at[q], texts, at) & ((theirs == main) | (own > theirs))
                 a, b = np.nonzero(fits)
-                found.append(np.stack([q["node"][a], entry["grp"][b]], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), dtype=np.int64)
+                pairs = np.unique(np.stack([texts["node"][q[a]], texts["grp"][b]], axis=1), axis=0)
+                found.update(map(tuple, pairs.tolist()))
+        pairs = np.array(sorted(found), dtype=np.int64).reshape(-1, 2)
         return pa.table({"node": pairs[:, 0], "grp": pairs[:, 1]})
 
     return run
@@ -405,7 +434,7 @@ def _links(members: DataFrame, first: bool) -> DataFrame:
     """Pairs of components (u > v) that a link connects."""
     size = members.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
     parts = max(1, ceil(size / SET_BYTES))
-    packed = members.select("node", "grp", "comp", "n", "prefix").mapInArrow(_pack_matrix(parts), PACKED)
+    packed = members.select("node", "grp", "comp", "n", "prefix").mapInArrow(_pack_matrix(parts), ENTRIES)
     pairs = cut(packed.groupBy("part").applyInArrow(_candidates(first), "node long, grp long").distinct(), "candidates")
     asked = pairs.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / 2048).alias("splits"))  # many texts that ask are dealt out
     asked = cut(asked, "asked-groups")
@@ -446,7 +475,12 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _relabelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    return members.join(labels.select(F.col("node").alias("comp"), "label"), "comp", "left").withColumn("comp", F.coalesce("label", "comp")).drop("label")
+    """members with their components' labels, in new groups: a component's texts stand together."""
+    named = members.join(labels.select(F.col("node").alias("comp"), "label"), "comp", "left").withColumn("comp", F.coalesce("label", "comp")).drop("label")
+    named = cut(named, "relabelled")
+    large = cut(named.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("splits")).filter(F.col("splits") > 1), "large-components")
+    both = named.join(F.broadcast(large) if large.count() < BROADCAST_ROWS else large, "comp", "left")
+    return both.withColumn("grp", F.xxhash64("comp", F.pmod(F.xxhash64("node"), F.coalesce("splits", F.lit(1).cast("bigint"))))).drop("splits")
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
