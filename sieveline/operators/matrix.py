@@ -18,7 +18,7 @@ def mean_pivot(df: DataFrame, entity: str, endpoint: str, value: str, endpoints:
     kept = df.filter(F.col(value).isNotNull() & F.col(entity).isNotNull())
     mean = F.avg(value) if digits is None else F.round(F.avg(value), digits)
     wide = kept.groupBy(entity).pivot(endpoint, list(endpoints)).agg(mean)
-    return wide if fill is None else wide.fillna(fill, subset=list(endpoints))
+    return wide if fill is None else wide.select(entity, *(F.coalesce(F.col(f"`{x}`"), F.lit(fill)).alias(x) for x in endpoints))
 
 
 def expand_rows(df: DataFrame, entity: str, endpoint: str, value: str, endpoints: Sequence[str], fill: float | None = None) -> DataFrame:
