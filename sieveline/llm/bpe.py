@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.llm import workers
+
 #: The endings that the published pattern splits off after an apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Code points with Unicode's White_Space property.
@@ -29,7 +31,7 @@ WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0
 OTHER, LETTER, NUMBER, WHITE_ON, SPACE_LAST, WHITE_LAST, QUOTE_1, QUOTE_2, END = range(9)
 CLOSED, IN_LETTERS, IN_NUMBERS, IN_OTHER, AFTER_SPACE, IN_WHITE, ONE_LEFT, TWO_LEFT = range(8)
 COLUMNS = 256
-CACHE_MOST = 1 << 19
+CACHE_MOST = 3 << 17
 CHARS_AT_ONCE = 1 << 20
 
 
@@ -242,10 +244,11 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
         fields += [("ids", "binary"), ("byte_ends", "binary")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("bpe", load.cache_clear)
         bpe = load(path)
         for batch in batches:
             rows: list[list] = [[] for _ in fields[1:]]
-            for part in in_parts(x or "" for x in batch.column(1).to_pylist()):
+            for part in in_parts(x or "" for x in workers.texts(batch.column(1))):
                 ids, ends = bpe.encode(part)
                 decoded, byte_ends = bpe.decode(ids)
                 begin = 0
@@ -259,5 +262,6 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
                         column.append(value)
                     begin = end
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows[0], pa.int64()), *(pa.array(x, pa.string()) for x in rows[1:3]), *(pa.array(x, pa.binary()) for x in rows[3:])], names=[x for x, _ in fields])
+        workers.release()
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(run, ", ".join(f"`{name}` {kind}" for name, kind in fields))

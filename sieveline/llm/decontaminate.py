@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.llm import workers
+
 RATE = 0.1
 #: Items with fewer characters are too short to name a benchmark, and match nothing.
 LEAST = 20
@@ -168,9 +170,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            workers.enter("decontaminate", _matcher.cache_clear)
             matcher = _matcher(shared.value, rate, least)
             for batch in batches:
-                rows = [(k, *x) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for x in matcher.matches(t)]
+                rows = [(k, *x) for k, t in zip(batch.column(0).to_pylist(), workers.texts(batch.column(1))) for x in matcher.matches(t)]
                 columns = [*zip(*rows)] or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], batch.schema.field(0).type), *(pa.array(x, pa.int64()) for x in columns[1:])], names=[key, "item_id", "distance", "start", "end"])
 
@@ -186,6 +189,7 @@ def without_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "te
 
         @F.pandas_udf("boolean")
         def clean(texts, shared=shared):
+            workers.enter("decontaminate", _matcher.cache_clear)
             matcher = _matcher(shared.value, rate, least)
             return texts.map(lambda x: not matcher.matches(x, first=True)).astype(bool)
 

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.llm import workers
+
 #: Bounds of the sample that the classifier is fitted on: texts of each language, their length, languages.
 SAMPLE = 300
 SAMPLE_CHARS = 50_000
@@ -183,10 +185,12 @@ def predictions(docs: DataFrame, model: Classifier, text: str = "text") -> DataF
 
     @F.pandas_udf("lang_pred string, score double")
     def predicted(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        workers.enter("language", _SCORERS.clear)
         scorer = _scorer(token, shared)
         for part in parts:
             langs, scores = scorer.predict(part.tolist())
             yield pd.DataFrame({"lang_pred": langs, "score": scores})
+        workers.release()
 
     kept = [F.col(f"`{x}`") for x in docs.columns if x not in ("lang_pred", "score")]
     return docs.select(*kept, predicted(F.col(text)).alias("_found")).select(*kept, "_found.lang_pred", "_found.score")

@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.llm import workers
 from sieveline.session import cut
 
 WORDS = 5
@@ -140,6 +141,7 @@ MARKED = "id long, h1 long, h2 long, n long, alive boolean"
 
 def _pack_texts(parts: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("n-grams", _HASHES.clear)
         known: dict[tuple[int, int], int] = {}
         sets: list[np.ndarray] = []
         info: list[tuple] = []
@@ -161,6 +163,8 @@ def _pack_texts(parts: int, words: int):
                     known, sets, info, held, done = {}, [], [], 0, done + 1
         if info:
             yield packed()
+        _HASHES.clear()
+        workers.release()
 
     return run
 

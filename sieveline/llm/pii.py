@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.llm import workers
+
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "account")
 DIGITS = frozenset(string.digits)
@@ -215,14 +217,14 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", redact: b
     n_base = len(BASE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("pii", _anchors.cache_clear)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            found = [find(x) for x in texts]
+            found = [find(x) for x in workers.texts(batch.column(1))]
             base = [[x for x in spans if x[0] < n_base] for spans in found]
             columns = [batch.column(0), *(pa.array([sum(x[0] == k for x in spans) for spans in base], pa.int64()) for k in range(n_base))]
             columns += [pa.array([hashlib.sha256(joined(x).encode()).hexdigest() for x in base]), pa.array([joined(x) for x in found], pa.string())]
             if redact:
-                columns.append(pa.array([redacted(x, spans) for x, spans in zip(texts, found)], pa.string()))
+                columns.append(pa.array([redacted(x, spans) for x, spans in zip(workers.texts(batch.column(1)), found)], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=[x for x, _ in fields])
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(run, ", ".join(f"`{name}` {kind}" for name, kind in fields))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from sieveline.llm import workers
 from sieveline.llm.bpe import _ranges, in_parts
 from sieveline.session import cut, shared_path
 
@@ -236,11 +237,11 @@ def write_token_files(docs: DataFrame, path: str, out: str, key: str = "doc_id",
     index_type = pa.int64() if kind in (T.LongType(), T.IntegerType(), T.ShortType()) else pa.string()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("token-files", load.cache_clear)
         tokenizer, writer = load(path), None
         keys, begins, counts = [], [], []
         for rows in batches:
-            texts, done = [x or "" for x in rows.column(1).to_pylist()], 0
-            for part in in_parts(texts):
+            for part in in_parts(x or "" for x in workers.texts(rows.column(1))):
                 if writer is None:
                     place = TaskContext.get().partitionId()
                     name = f"{out}/part-{place:06d}-{TaskContext.get().taskAttemptId()}"
@@ -261,6 +262,7 @@ def write_token_files(docs: DataFrame, path: str, out: str, key: str = "doc_id",
                 stream.write_table(table)
             files.move(f"{where}.part", where)
             yield pa.RecordBatch.from_pydict({"part": pa.array([place], pa.int32()), "file": [f"{name}.arrows"], "index": [f"{name}.docs.arrows"], "n_docs": [len(keys)], "n_tokens": [writer.written]})
+        workers.release()
 
     if not isinstance(kind, (T.LongType, T.IntegerType, T.ShortType, T.StringType)):
         raise TypeError(f"{key} must be an integer or a string, not {kind.simpleString()}")
