@@ -6,6 +6,7 @@ endpoints are constants of the plan, of a size that is fixed when it is made.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -108,3 +109,19 @@ def map_by_callable(df: DataFrame, column: str, ask, most: int = 10_000) -> Data
         raise ValueError(f"more than {most} distinct names in {column}")
     found = ask(sorted(names))
     return df.sparkSession.createDataFrame([(x, found.get(x) or x) for x in sorted(names)], f"`{column}` string, endpoint string")
+
+
+def prompt_for(names: list[str], endpoints: tuple[str, ...] = ENDPOINTS) -> str:
+    """What an outside language service is asked, for map_by_callable."""
+    return f"Map each name to the one endpoint of the list that it measures, or to itself. Answer with one JSON object and nothing else.\nEndpoints: {', '.join(endpoints)}\nNames: {json.dumps(names, ensure_ascii=False)}"
+
+
+def read_reply(reply: str, names: list[str]) -> dict[str, str]:
+    """The JSON object of a reply, in or out of a fenced block; each name itself where there is none."""
+    fenced = re.search(r"```(?:json)?\s*(.*?)```", reply, re.DOTALL)
+    try:
+        found = json.loads(fenced[1] if fenced else reply)
+    except ValueError:
+        found = {}
+    found = found if isinstance(found, dict) else {}
+    return {x: found[x] if isinstance(found.get(x), str) else x for x in names}

@@ -54,3 +54,8 @@ def unmapped(df: DataFrame, endpoint: str, endpoints: Sequence[str]) -> DataFram
 
 def mapping_report(df: DataFrame, original: str, endpoint: str) -> DataFrame:
     return df.groupBy(original, endpoint).agg(F.count(F.lit(1)).alias("n"))
+
+
+def final_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """The wanted columns that are there, each once, in the order in which they are wanted."""
+    return df.select(*(F.col(f"`{x}`") for x in dict.fromkeys(wanted) if x in df.columns))

@@ -55,6 +55,11 @@ def task_profile(df: DataFrame, keys: Sequence[str], value: str, relation: str |
     return typed.withColumn("has_quorum", (F.col("n") >= MIN_ROWS) & F.when(F.col("task_type") == "classification", classes).otherwise(numbers))
 
 
+def has_numbers(df: DataFrame, keys: Sequence[str], value: str, out: str = "has_numbers") -> DataFrame:
+    """keys and whether any value is a plain number, with or without a comparator; one is enough."""
+    return df.groupBy(*keys).agg(F.bool_or(F.coalesce(F.col(value).rlike(r"^[<>]?=?\s*\d+\.?\d*$"), F.lit(False))).alias(out))
+
+
 def with_quorum(df: DataFrame, keys: Sequence[str], value: str, relation: str | None = None) -> DataFrame:
     """The records of tasks that have a quorum, with their task_type; task keys are compared null-safe."""
     good = task_profile(df, keys, value, relation).filter("has_quorum").select(*(F.col(x).alias(f"_k{i}") for i, x in enumerate(keys)), "task_type")

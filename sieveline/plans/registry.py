@@ -65,10 +65,23 @@ def matrix_with_row_expansion(spark, sf_dir):
 
 
 @query("""SELECT c_custkey, c_name, c_mktsegment,
-  lower(concat_ws(' ', c_name, c_mktsegment)) LIKE '%pk%' OR lower(concat_ws(' ', c_name, c_mktsegment)) LIKE '%machinery%' AND FALSE OR lower(concat_ws(' ', c_name, c_mktsegment)) LIKE '%patient%' AS is_pk
-FROM customer""")
+  lower(c_name || ' ' || text) LIKE '%pk%' OR lower(c_name || ' ' || text) LIKE '%patient%' AS is_pk
+FROM (SELECT *, CASE c_custkey % 4 WHEN 0 THEN 'pKa' WHEN 1 THEN 'Patient group' WHEN 2 THEN 'Pharmacokinetics' ELSE c_mktsegment END AS text FROM customer)""")
 def pk_rows(spark, sf_dir):
-    return read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", matrix.is_pk_row(F.col("c_name"), F.col("c_mktsegment")).alias("is_pk"))
+    text = F.when(F.col("c_custkey") % 4 == 0, F.lit("pKa")).when(F.col("c_custkey") % 4 == 1, F.lit("Patient group")).when(F.col("c_custkey") % 4 == 2, F.lit("Pharmacokinetics")).otherwise(F.col("c_mktsegment"))
+    return read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", matrix.is_pk_row(F.col("c_name"), text).alias("is_pk"))
+
+
+@query("""SELECT p_type, bool_or(regexp_matches(p_brand, '^[<>]?=?\\s*\\d+\\.?\\d*$') OR p_size > 10) AS has_numbers FROM part GROUP BY p_type""")
+def numeric_gate(spark, sf_dir):
+    parts = read_table(spark, sf_dir, "part").withColumn("text", F.when(F.col("p_size") > 10, F.concat(F.lit(">= "), F.col("p_size").cast("string"))).otherwise(F.col("p_brand")))
+    return quality.has_numbers(parts, ("p_type",), "text")
+
+
+@query("SELECT p_partkey, p_name AS name, p_size AS size FROM part")
+def final_projection(spark, sf_dir):
+    parts = read_table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("name"), F.col("p_size").alias("size"), "p_type")
+    return matrix.final_columns(parts, ("p_partkey", "name", "missing", "size", "name"))
 
 
 def _pairs(df: DataFrame) -> DataFrame:

@@ -108,3 +108,9 @@ def test_mapping_by_callable(spark):
 def test_own_synonyms_replace(spark):
     names = spark.createDataFrame([("my assay",)], "name string")
     assert endpoints.match_endpoints(names, "name", own={"my assay": "DILI"}).first().endpoint == "DILI"
+
+
+def test_replies():
+    assert endpoints.read_reply('```json\n{"a": "DILI", "b": 3}\n```', ["a", "b", "c"]) == {"a": "DILI", "b": "b", "c": "c"}
+    assert endpoints.read_reply("sorry", ["a"]) == {"a": "a"} and endpoints.read_reply("[1]", ["a"]) == {"a": "a"}
+    assert '"a"' in endpoints.prompt_for(["a"])
