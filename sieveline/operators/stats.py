@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Of approximate quantiles: their error in rank is at most a task's rows over this.
+QUANTILE_ACCURACY = 10_000
+
 
 def join_back(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """df with each task's aggregates; null keys meet null keys. Without keys, stats is one row."""
@@ -59,9 +62,46 @@ def normality(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return steps.select(*keys, "n", "k2", F.exp(-F.col("k2") / 2).alias("p"))
 
 
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float], out: str = "quantiles") -> DataFrame:
+    """keys and the quantiles of each task, exact and interpolated between neighbours, in the order of shares.
+
+    A first pass brackets each quantile by approximate ones, whose error in rank has a bound (one in small
+    tasks, where they are exact); a second counts what is outside each bracket and orders only the distinct
+    values in it, some ten-thousandths of a task.
+    """
+    margin = 2 / QUANTILE_ACCURACY
+    known = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    bounds = known.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.percentile_approx("_v", [max(0.0, x - margin) for x in shares], QUANTILE_ACCURACY).alias("_lows"),
+        F.percentile_approx("_v", [min(1.0, x + margin) for x in shares], QUANTILE_ACCURACY).alias("_highs"),
+    )
+    brackets = F.array(
+        *(
+            F.struct(F.lit(i).alias("i"), F.lit(float(x)).alias("p"), (F.col("_min") if x <= margin else F.get("_lows", F.lit(i))).alias("low"), (F.col("_max") if x >= 1 - margin else F.get("_highs", F.lit(i))).alias("high"))
+            for i, x in enumerate(shares)
+        )
+    )
+    both = join_back(known, bounds.select(*keys, "_n", brackets.alias("_b")), keys).select(*keys, "_v", "_n", F.explode("_b").alias("_b"))
+    # outside a bracket the number of values matters and the one next to it; in it, how often each value occurs
+    side = F.when(F.col("_v") < F.col("_b.low"), -1).when(F.col("_v") > F.col("_b.high"), 1).otherwise(0)
+    placed = both.select(*keys, "_n", "_v", F.col("_b.i").alias("_i"), F.col("_b.p").alias("_p"), side.alias("_side")).withColumn("_in", F.when(F.col("_side") == 0, F.col("_v")))
+    counts = placed.groupBy(*keys, "_n", "_i", "_p", "_side", "_in").agg(F.count(F.lit(1)).alias("_c"), F.max("_v").alias("_last"), F.min("_v").alias("_next"))
+    counts = counts.withColumn("_at", F.when(F.col("_side") < 0, F.col("_last")).otherwise(F.col("_next")))
+    upto = counts.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*keys, "_i").orderBy("_at")))
+    rank = (F.col("_n") - 1) * F.col("_p")
+    found = upto.groupBy(*keys, "_i").agg(
+        F.min(F.when(F.col("_upto") > F.floor(rank), F.col("_at"))).alias("_a"), F.min(F.when(F.col("_upto") > F.ceil(rank), F.col("_at"))).alias("_z"), F.first(rank - F.floor(rank)).alias("_part")
+    )
+    values = found.withColumn("_q", F.when(F.col("_part") == 0, F.col("_a")).otherwise(F.col("_a") + (F.col("_z") - F.col("_a")) * F.col("_part")))
+    return values.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))), lambda x: x["_q"]).alias(out))
+
+
 def iqr_outliers(df: DataFrame, keys: Sequence[str], value: str, out: str = "is_outlier") -> DataFrame:
     """df with whether a value lies more than 1.5 quartile ranges outside the quartiles (exact, interpolated)."""
-    q = df.groupBy(*keys).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("_q"))
+    q = exact_quantiles(df, keys, value, (0.25, 0.75), "_q")
     low, high = F.get("_q", F.lit(0)), F.get("_q", F.lit(1))
     flag = (F.col(value) < low - 1.5 * (high - low)) | (F.col(value) > high + 1.5 * (high - low))
     return join_back(df, q, keys).withColumn(out, F.coalesce(flag, F.lit(False))).drop("_q")

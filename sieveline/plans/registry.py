@@ -416,8 +416,54 @@ def outlier_dispatch(spark, sf_dir):
     return stats.outliers(read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal"), ("s_nationkey",), "s_acctbal", "s_suppkey")
 
 
-@query()
+_POINTS = [5.0, 20.0, 45.0]
+
+
+@query(" UNION ALL ".join(f"SELECT {p} AS point, round(avg(exp(-power((l_quantity - {p}) / 2, 2) / 2) / (2 * sqrt(2 * pi()))), 6) AS density FROM lineitem" for p in _POINTS))
+def kernel_density(spark, sf_dir):
+    return summary.density(read_table(spark, sf_dir, "lineitem"), "l_quantity", _POINTS, 2.0).select("point", F.round("density", ROUND).alias("density"))
+
+
+@query("SELECT l_suppkey, " + ", ".join(f"round(quantile_cont(l_extendedprice::DOUBLE, {p}), 6) AS q{int(p * 100)}" for p in (0.05, 0.5, 0.95)) + " FROM lineitem GROUP BY l_suppkey")
+def task_quantiles(spark, sf_dir):
+    found = stats.exact_quantiles(read_table(spark, sf_dir, "lineitem"), ("l_suppkey",), "l_extendedprice", (0.05, 0.5, 0.95))
+    return found.select("l_suppkey", *(F.round(F.get("quantiles", F.lit(i)), ROUND).alias(f"q{x}") for i, x in enumerate((5, 50, 95))))
+
+
+@query("SELECT source, min(doc_id) AS doc_id FROM documents GROUP BY source ORDER BY doc_id LIMIT 6")
+def gallery_heads(spark, sf_dir):
+    return summary.gallery(read_table(spark, sf_dir, "documents").select("source", "doc_id"), "source", "doc_id", 6)
+
+
+def _made_up_names(parts: DataFrame) -> DataFrame:
+    more = F.when(F.col("p_size") % 3 == 0, F.lit("hERG")).when(F.col("p_size") % 3 == 1, F.lit("CYP2D6 substrate")).when(F.col("p_size") % 5 == 0, F.lit("Solublity")).when(F.col("p_size") % 5 == 1, F.lit("cyp9z1 cytotoxicity"))
+    return parts.select(F.concat_ws(" | ", F.when(F.col("p_size") % 4 > 0, F.col("p_type")), F.when(F.col("p_size") % 2 > 0, F.col("p_name")), more).alias("name")).filter(F.col("name") != "")
+
+
+_SYNONYM_ROWS = [(s, e, i, len(s.split())) for i, (s, e) in enumerate(endpoints.synonym_list())]
+_ENDPOINT_ROWS = [(x, endpoints._normal(x), i) for i, x in enumerate(endpoints.ENDPOINTS)]
+
+
+@query(f"""WITH n AS (SELECT DISTINCT concat_ws(' | ', CASE WHEN p_size % 4 > 0 THEN p_type END, CASE WHEN p_size % 2 > 0 THEN p_name END,
+  CASE WHEN p_size % 3 = 0 THEN 'hERG' WHEN p_size % 3 = 1 THEN 'CYP2D6 substrate' WHEN p_size % 5 = 0 THEN 'Solublity' WHEN p_size % 5 = 1 THEN 'cyp9z1 cytotoxicity' END) AS name FROM part),
+t AS (SELECT name, trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')) AS k FROM n WHERE name <> ''),
+s(syn, endpoint, place, tokens) AS (VALUES {_values(_SYNONYM_ROWS)}), l(label, normal, place) AS (VALUES {_values(_ENDPOINT_ROWS)}),
+c AS (SELECT name, k, upper(regexp_extract(k, 'cyp(\\d+[a-z]\\d*)', 1)) AS iso FROM t),
+stretch AS (SELECT k, endpoint FROM (SELECT t.k, endpoint, row_number() OVER (PARTITION BY t.k ORDER BY tokens DESC, len(string_split(substr(' ' || t.k || ' ', 1, instr(' ' || t.k || ' ', ' ' || syn || ' ')::INT), ' ')) DESC, place) AS r
+  FROM (SELECT DISTINCT k FROM t) t JOIN s ON contains(' ' || t.k || ' ', ' ' || syn || ' ')) WHERE r = 1),
+g AS (SELECT k, label, place, [substr(replace(k, ' ', ''), i, 2) FOR i IN range(1, len(replace(k, ' ', '')))] AS a, [substr(replace(normal, ' ', ''), i, 2) FOR i IN range(1, len(replace(normal, ' ', '')))] AS b, string_split(k, ' ') AS ta, string_split(normal, ' ') AS tb FROM (SELECT DISTINCT k FROM t), l),
+sim AS (SELECT k, label, place, greatest(CASE WHEN len(a) + len(b) > 0 THEN 2.0 * len(list_intersect(a, b)) / (len(a) + len(b)) ELSE 0 END, len(list_intersect(ta, tb)) / len(list_distinct(list_concat(ta, tb)))) + CASE WHEN ta[1] = tb[1] THEN 0.1 ELSE 0 END AS score FROM g),
+best AS (SELECT k, label, score FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY round(score, 12) DESC, place) AS r FROM sim) WHERE r = 1)
+SELECT c.name, coalesce(CASE WHEN iso IN ({_sql_list(endpoints.ISOFORMS)}) THEN 'CYP' || iso || CASE WHEN contains(c.k, 'substrate') THEN '_Substrate' ELSE '_Inhibitor' END WHEN iso <> '' THEN c.name END,
+  e.endpoint, CASE WHEN len(list_intersect(string_split(c.k, ' '), ['cytotoxicity', 'genetoxicity'])) > 0 THEN c.name END, st.endpoint, CASE WHEN b.score >= 0.55 THEN b.label END, c.name) AS endpoint
+FROM c LEFT JOIN s e ON e.syn = c.k LEFT JOIN stretch st ON st.k = c.k LEFT JOIN best b ON b.k = c.k""")
 def endpoint_match(spark, sf_dir):
-    """The whole matcher over distinct names that the tables make up."""
-    told = read_table(spark, sf_dir, "part").select(F.concat_ws(" | ", "p_type", "p_name", F.when(F.col("p_size") % 3 == 0, F.lit("hERG")).when(F.col("p_size") % 3 == 1, F.lit("CYP2D6 substrate"))).alias("name"))
-    return endpoints.match_endpoints(told, "name")
+    return endpoints.match_endpoints(_made_up_names(read_table(spark, sf_dir, "part")), "name")
+
+
+@query(f"""SELECT p_partkey, CASE WHEN iso IN ({_sql_list(endpoints.ISOFORMS)}) THEN 'CYP' || iso || CASE WHEN p_size % 2 = 0 THEN '_Substrate' ELSE '_Inhibitor' END WHEN iso <> '' THEN name END AS endpoint
+FROM (SELECT *, CASE p_size % 4 WHEN 0 THEN '2C19' WHEN 1 THEN '3A4' WHEN 2 THEN '7Q1' ELSE '' END AS iso, 'CYP' || CASE p_size % 4 WHEN 0 THEN '2C19' WHEN 1 THEN '3A4' WHEN 2 THEN '7q1' ELSE '' END || CASE WHEN p_size % 2 = 0 THEN '-Substrate' ELSE ' inhibition' END AS name FROM part)""")
+def cyp_guard(spark, sf_dir):
+    iso = F.when(F.col("p_size") % 4 == 0, F.lit("2C19")).when(F.col("p_size") % 4 == 1, F.lit("3A4")).when(F.col("p_size") % 4 == 2, F.lit("7q1")).otherwise(F.lit(""))
+    name = F.concat(F.lit("CYP"), iso, F.when(F.col("p_size") % 2 == 0, F.lit("-Substrate")).otherwise(F.lit(" inhibition")))
+    return read_table(spark, sf_dir, "part").select("p_partkey", endpoints.cyp_endpoint(name).alias("endpoint"))

@@ -144,7 +144,9 @@ def test_chemistry_is_optional(spark):
 
 def test_density_and_gallery(spark):
     df = frame(spark, [(i, float(i), f"g{i % 3}") for i in range(9)], "i long, v double, g string")
-    assert summary.density(df, "v", [4.0], 1.0)[0] > summary.density(df, "v", [40.0], 1.0)[0]
+    got = {x.point: x.density for x in summary.density(df, "v", [4.0, 40.0], 1.0).collect()}
+    want = sum(math.exp(-((4 - v) ** 2) / 2) for v in range(9)) / 9 / math.sqrt(2 * math.pi)
+    assert math.isclose(got[4.0], want) and got[40.0] < 1e-9
     assert [x.i for x in summary.gallery(df, "g", "i", 2).collect()] == [0, 1]
 
 
@@ -152,3 +154,19 @@ def test_empty_tables(spark):
     empty = frame(spark, [], "i long, k string, v double, s string")
     for out in (stats.zscore(empty, KEYS, "v"), stats.iqr_outliers(empty, KEYS, "v"), dedup.strict_or_first(empty, KEYS, "s", "i"), split.random_split(empty, KEYS, "i"), split.group_split(empty, KEYS, "s", "i"), quality.task_profile(empty, KEYS, "v"), matrix.mean_pivot(empty, "k", "s", "v", ("X",))):
         assert out.count() == 0
+
+
+def test_exact_quantiles(spark, monkeypatch):
+    import random
+
+    draw = random.Random(1)
+    rows = [("a", round(draw.gauss(0, 1), 2)) for _ in range(3001)] + [("b", 5.0)] * 7 + [("c", 1.0), ("c", 2.0)] + [(None, float(x)) for x in range(10)] + [("d", None)]
+    df = frame(spark, rows, "k string, v double")
+    shares = (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0)
+    want = {x.k: x.q for x in df.filter("v IS NOT NULL").groupBy("k").agg(F.percentile("v", F.array(*map(F.lit, shares))).alias("q")).collect()}
+    for accuracy in (10_000, 50):  # a coarse bracket still holds the quantile
+        monkeypatch.setattr(stats, "QUANTILE_ACCURACY", accuracy)
+        got = {x.k: x.quantiles for x in stats.exact_quantiles(df, KEYS, "v", shares).collect()}
+        assert got.keys() == want.keys()
+        for k in want:
+            assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12) for a, b in zip(got[k], want[k]))
