@@ -18,12 +18,10 @@ def strict(df: DataFrame, keys: Sequence[str], key: str) -> DataFrame:
 
 def strict_or_first(df: DataFrame, keys: Sequence[str], key: str, row_id: str, skip: str | None = None) -> DataFrame:
     """strict(), but a task of which nothing would remain keeps the first record of each key; tasks with skip keep all."""
-    flagged = df if skip else df.withColumn("_skip", F.lit(False))
-    flag = skip or "_skip"
-    counts = flagged.groupBy(*keys, key).agg(F.count(F.lit(1)).alias("_n"), F.min(row_id).alias("_first"))
-    tasks = flagged.groupBy(*keys).agg(F.bool_or(flag).alias("_all"))
-    single = counts.groupBy(*keys).agg((F.count_if(F.col("_n") == 1) == 0).alias("_none"))
-    both = join_back(join_back(join_back(flagged, counts, [*keys, key]), tasks, keys), single, keys)
+    flag = F.col(skip) if skip else F.lit(False)
+    counts = df.groupBy(*keys, key).agg(F.count(F.lit(1)).alias("_n"), F.min(row_id).alias("_first"), F.bool_or(flag).alias("_any"))
+    tasks = counts.groupBy(*keys).agg(F.coalesce(F.bool_or("_any"), F.lit(False)).alias("_all"), (F.count_if(F.col("_n") == 1) == 0).alias("_none"))
+    both = join_back(df, join_back(counts, tasks, keys), [*keys, key])  # the records themselves are joined once
     kept = both.filter(F.col("_all") | F.when(F.col("_none"), F.col(row_id) == F.col("_first")).otherwise(F.col("_n") == 1))
     return kept.select(*df.columns)
 
