@@ -90,6 +90,11 @@ def linked(shared, n, m):
     return 100 * shared >= PERCENT * (n + m - shared)
 
 
+def _few(keys: DataFrame) -> DataFrame:
+    """A written table of keys, to be broadcast if its rows are few."""
+    return F.broadcast(keys) if keys.count() < BROADCAST_ROWS else keys
+
+
 # --- packed exchange: (part, block, counts of each text in the block, shingles by text) ---
 
 PACKED = "part int, block long, counts binary, tokens binary, info binary"
@@ -181,6 +186,8 @@ def _count_elsewhere(table: pa.Table) -> pa.Table:
         owner = np.repeat(np.arange(len(counts)), counts)
         hits.append(np.bincount(owner[again[begin:end]], minlength=len(counts)).astype("<u4").tobytes())
         begin = end
+    del tokens, inverse, again
+    workers.release()
     return pa.table({"block": table.column("block"), "hits": pa.array(hits, pa.binary()), "info": table.column("info")})
 
 
@@ -328,7 +335,7 @@ def _members(sets: DataFrame) -> DataFrame:
     times = packed.groupBy("part").applyInArrow(_frequencies, "block long, counts binary, tokens binary, times binary, info binary")
     ordered = cut(times.groupBy("block").applyInArrow(_ordered, ORDERED), "ordered-sets")
     large = cut(ordered.groupBy("least").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("splits")).filter(F.col("splits") > 1), "large-groups")
-    joined = ordered.join(F.broadcast(large) if large.count() < BROADCAST_ROWS else large, "least", "left")
+    joined = ordered.join(_few(large), "least", "left")
     grouped = joined.withColumn("split", F.pmod(F.xxhash64("node"), F.coalesce("splits", F.lit(1).cast("bigint"))))
     return cut(grouped.select("least", "split", "node", "n", "prefix", "tokens").groupBy("least", "split").applyInArrow(_join_group, MEMBERS), "groups")
 
@@ -442,11 +449,11 @@ def _links(members: DataFrame, first: bool) -> DataFrame:
     pairs = cut(packed.groupBy("part").applyInArrow(_candidates(first), "node long, grp long").distinct(), "candidates")
     asked = pairs.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / 2048).alias("splits"))  # many texts that ask are dealt out
     asked = cut(asked, "asked-groups")
-    small = asked.count() < BROADCAST_ROWS
-    asks = pairs.join(members.select("node", "comp", "n", "tokens"), "node").join(F.broadcast(asked) if small else asked, "grp")
+    asked = _few(asked)
+    asks = pairs.join(members.select("node", "comp", "n", "tokens"), "node").join(asked, "grp")
     asks = asks.withColumn("split", F.pmod(F.xxhash64("node"), F.col("splits")))
     asks = asks.select("grp", "split", *(F.col(x).alias(f"q_{x}") for x in ("comp", "n", "tokens")))
-    opened = members.join(F.broadcast(asked) if small else asked, "grp").withColumn("split", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("splits") - 1)))
+    opened = members.join(asked, "grp").withColumn("split", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("splits") - 1)))
     opened = opened.select("grp", "split", "comp", "n", "tokens")
     found = asks.groupBy("grp", "split").cogroup(opened.groupBy("grp", "split")).applyInArrow(_open, "u long, v long")
     return cut(found.distinct(), "links")
@@ -480,10 +487,10 @@ def components(links: DataFrame) -> DataFrame:
 
 def _relabelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """members with their components' labels, in new groups: a component's texts stand together."""
-    named = members.join(labels.select(F.col("node").alias("comp"), "label"), "comp", "left").withColumn("comp", F.coalesce("label", "comp")).drop("label")
+    named = members.join(_few(labels.select(F.col("node").alias("comp"), "label")), "comp", "left").withColumn("comp", F.coalesce("label", "comp")).drop("label")
     named = cut(named, "relabelled")
     large = cut(named.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("splits")).filter(F.col("splits") > 1), "large-components")
-    both = named.join(F.broadcast(large) if large.count() < BROADCAST_ROWS else large, "comp", "left")
+    both = named.join(_few(large), "comp", "left")
     return both.withColumn("grp", F.xxhash64("comp", F.pmod(F.xxhash64("node"), F.coalesce("splits", F.lit(1).cast("bigint"))))).drop("splits")
 
 
@@ -500,8 +507,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     hashed = hashed.select("id", "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(WORDS), "text").alias("h2"))
     marked = _marked(hashed, words)
     alive = cut(marked.filter("alive").select("h1", "h2").distinct(), "alive-texts")
-    keys = F.broadcast(alive) if alive.count() < BROADCAST_ROWS else alive
-    texts = hashed.join(keys, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.any_value("text").alias("text"))
+    texts = hashed.join(_few(alive), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.any_value("text").alias("text"))
     sets = cut(texts.mapInArrow(_sets_of(words), "h1 long, h2 long, n long, tokens binary").withColumn("node", F.monotonically_increasing_id()), "shingle-sets")
 
     members = _members(sets)
@@ -512,7 +518,9 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
 
     classes = marked.filter("n > 0").groupBy("h1", "h2").agg(F.min("id").alias("rep"))
     classes = cut(classes.join(sets.select("h1", "h2", "node"), ["h1", "h2"], "left").join(members.select("node", "comp"), "node", "left").select("h1", "h2", "rep", "comp"), "text-classes")
-    least = classes.filter("comp is not null").groupBy("comp").agg(F.min("rep").alias("least"))
-    named = cut(classes.join(least, "comp", "left").select("h1", "h2", F.coalesce("least", "rep").alias("component_id")), "named-classes")
+    connected = classes.filter("comp IS NOT NULL")
+    least = cut(connected.groupBy("comp").agg(F.min("rep").alias("least")), "least-keys")
+    named = connected.join(_few(least), "comp").select("h1", "h2", F.col("least").alias("component_id"))
+    named = cut(named.unionByName(classes.filter("comp IS NULL").select("h1", "h2", F.col("rep").alias("component_id"))), "named-classes")
     found = marked.join(named, ["h1", "h2"], "left")
     return found.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
