@@ -31,12 +31,25 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", changed).select(*COLUMNS)
 
 
+def _few(keys: DataFrame) -> DataFrame:
+    """A written table of keys, to be broadcast if its rows are few."""
+    return F.broadcast(keys) if keys.count() < ngram_join.BROADCAST_ROWS else keys
+
+
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the least doc_id."""
+    """One document of each group of near copies stays: the one with the least doc_id.
+
+    Of rows that share a doc_id and a text one stays; rows that share a doc_id alone stay or go together.
+    Documents without a doc_id cannot be told apart, and stay.
+    """
     found = ngram_join.near_copies(docs)
     copies = cut(found.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct(), "near-copies")
-    few = copies.count() < ngram_join.BROADCAST_ROWS
-    return docs.join(F.broadcast(copies) if few else copies, "doc_id", "left_anti").select(*COLUMNS)
+    kept = docs.join(_few(copies), "doc_id", "left_anti").select(*COLUMNS)
+    again = cut(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated-ids")
+    if again.isEmpty():
+        return kept
+    once = kept.join(_few(again), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(_few(again), "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

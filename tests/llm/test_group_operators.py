@@ -218,3 +218,27 @@ def test_pipeline(spark, data):
     run = corpus_pipeline.run(spark, data)
     assert {x.doc_id: x.ids_sha256 for x in run.collect()} == {k: x.ids_sha256 for k, x in after.items()}
     assert run.filter(F.col("doc_id").isNull()).count() == 0
+
+
+def test_pipeline_odd_tables(spark, data):
+    """Nulls in every column, repeated rows, repeated ids, blank and very long texts, other columns, and no rows."""
+    long = " ".join(f"word{i}" for i in range(30000))
+    prose = ["the cat sat on the mat and looked at the dog for a while", "le chat est assis sur le tapis et regarde le chien"]
+    rows = [(1, prose[0], "en", "a"), (1, prose[0], "en", "a"), (2, prose[0], None, None), (3, None, "en", "a"), (4, "", "en", None), (5, "12 !?", "en", "a"), (6, prose[1], "fr", "b"), (None, prose[1], "fr", "b"), (7, long, "en", "c"), (8, long + " more", "en", "c"), (9, "tout autre chose ici", "fr", None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, lang_pred string, n_lines long, _gone string"
+    docs = spark.createDataFrame([(*x, len(x[1] or ""), 1.0, "x", 1, "x") for x in rows], schema)
+    left = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, data)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        left[name] = sorted((x.doc_id for x in docs.collect()), key=str)
+        if name != "byte-level BPE":
+            assert docs.columns == list(corpus_pipeline.COLUMNS)
+    assert left["language ID"] == sorted([1, 1, 2, 6, None, 7, 8, 9], key=str)
+    assert left["line dedup"] == left["language ID"]
+    assert left["n-gram Jaccard join"] == left["byte-level BPE"] == sorted([1, 6, None, 7, 9], key=str)
+    empty = docs = spark.createDataFrame([], schema)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, data)
+        assert docs.count() == 0, name
+    assert empty.count() == 0
