@@ -419,7 +419,7 @@ def outlier_dispatch(spark, sf_dir):
 _POINTS = [5.0, 20.0, 45.0]
 
 
-@query(" UNION ALL ".join(f"SELECT {p} AS point, round(avg(exp(-power((l_quantity - {p}) / 2, 2) / 2) / (2 * sqrt(2 * pi()))), 6) AS density FROM lineitem" for p in _POINTS))
+@query(" UNION ALL ".join(f"SELECT {p}::DOUBLE AS point, round(avg(exp(-power((l_quantity - {p}) / 2, 2) / 2) / (2 * sqrt(2 * pi()))), 6) AS density FROM lineitem" for p in _POINTS))
 def kernel_density(spark, sf_dir):
     return summary.density(read_table(spark, sf_dir, "lineitem"), "l_quantity", _POINTS, 2.0).select("point", F.round("density", ROUND).alias("density"))
 
