@@ -14,6 +14,8 @@ from pyspark.sql.window import Window
 
 #: Of approximate quantiles: their error in rank is at most a task's rows over this.
 QUANTILE_ACCURACY = 10_000
+#: Rows of a task's sorted order that one window holds.
+CHUNK = 200_000
 
 
 def join_back(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -107,18 +109,41 @@ def iqr_outliers(df: DataFrame, keys: Sequence[str], value: str, out: str = "is_
     return join_back(df, q, keys).withColumn(out, F.coalesce(flag, F.lit(False))).drop("_q")
 
 
-def local_outlier_factor(df: DataFrame, keys: Sequence[str], value: str, row_id: str, k: int = 20, limit: float = 1.5) -> DataFrame:
+def sorted_chunks(df: DataFrame, keys: Sequence[str], value: str, row_id: str, reach: int, chunk: int = CHUNK) -> DataFrame:
+    """df by place in each task's sorted order, in chunks that overlap by reach rows on both sides.
+
+    Adds _n (the task's rows), _pos (from 0), _chunk and _own (whether the row belongs to this chunk). Places are
+    exact: values fall into buckets between approximate quantiles, buckets' sizes are summed, and rows are
+    numbered within buckets only.
+    """
+    splits = F.percentile_approx(value, [i / 128 for i in range(1, 128)], QUANTILE_ACCURACY)
+    bounds = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), splits.alias("_splits"))
+    bucket = F.when(F.col("_n") > chunk, F.size(F.filter("_splits", lambda x: x < F.col(value)))).otherwise(0)
+    placed = join_back(df, bounds, keys).withColumn("_bucket", bucket).drop("_splits")
+    sizes = placed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = join_back(placed, sizes.select(*keys, "_bucket", before.alias("_before")), [*keys, "_bucket"])
+    place = F.col("_before") + F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(value, row_id)) - 1
+    placed = placed.withColumn("_pos", place).drop("_bucket", "_before")
+    at = lambda x: F.floor(x / chunk)
+    chunks = F.sequence(at(F.greatest(F.col("_pos") - reach, F.lit(0))), at(F.least(F.col("_pos") + reach, F.col("_n") - 1)))
+    return placed.withColumn("_chunk", F.explode(chunks)).withColumn("_own", F.col("_chunk") == at(F.col("_pos")))
+
+
+def local_outlier_factor(df: DataFrame, keys: Sequence[str], value: str, row_id: str, k: int = 20, limit: float = 1.5, chunk: int = CHUNK) -> DataFrame:
     """df with lof and is_outlier: the local outlier factor of one number, by its k nearest in sorted order.
 
-    The nearest k are among the k before and the k after; ties go to the earlier place. Null values get null.
+    The nearest k are among the k before and the k after; ties go to the earlier place. A row's factor depends
+    on the 3k rows to either side, so large tasks are cut into chunks of their sorted order that overlap by as
+    many. Null values get null.
     """
-    known = df.filter(F.col(value).isNotNull())
-    w = Window.partitionBy(*keys).orderBy(value, row_id)
+    known = sorted_chunks(df.filter(F.col(value).isNotNull()), keys, value, row_id, 3 * k, chunk)
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_pos")
     near_rows = w.rowsBetween(-k, k)
-    near = known.withColumns({"_i": F.row_number().over(w), "_n": F.count(F.lit(1)).over(Window.partitionBy(*keys)), "_near": F.collect_list(F.struct(F.col(value).alias("v"), F.lit(0).alias("x"))).over(near_rows)})
-    near = near.withColumn("_k", F.least(F.lit(k), F.col("_n") - 1)).withColumn("_own", F.least(F.col("_i"), F.lit(k + 1)).cast("int") - 1)
-    first = F.col("_i") - F.col("_own")
-    steps = F.transform("_near", lambda x, i: F.struct(F.abs(x["v"] - F.col(value)).alias("d"), (first + i).alias("j")))
+    near = known.withColumns({"_i": F.row_number().over(w), "_near": F.collect_list(F.col(value)).over(near_rows)})
+    near = near.withColumn("_k", F.least(F.lit(k), F.col("_n") - 1)).withColumn("_at", F.least(F.col("_i"), F.lit(k + 1)).cast("int") - 1)
+    first = F.col("_i") - F.col("_at")
+    steps = F.transform("_near", lambda x, i: F.struct(F.abs(x - F.col(value)).alias("d"), (first + i).alias("j")))
     others = F.array_sort(F.filter(steps, lambda x: x["j"] != F.col("_i")))
     near = near.withColumn("_nn", F.slice(others, F.lit(1), F.greatest(F.col("_k").cast("int"), F.lit(0)))).withColumn("_kd", F.get("_nn", F.size("_nn") - 1)["d"])
     around = near.withColumn("_kds", F.collect_list(F.coalesce("_kd", F.lit(0.0))).over(near_rows))
@@ -127,7 +152,7 @@ def local_outlier_factor(df: DataFrame, keys: Sequence[str], value: str, row_id:
     dense = around.withColumn("_lrd", F.when(F.col("_k") > 0, 1 / (total / F.when(F.col("_k") > 0, F.col("_k")) + 1e-10)))
     dense = dense.withColumn("_lrds", F.collect_list(F.coalesce("_lrd", F.lit(0.0))).over(near_rows))
     mean = F.aggregate(F.transform("_nn", lambda x: F.get("_lrds", (x["j"] - first).cast("int"))), F.lit(0.0), lambda a, x: a + x) / F.when(F.col("_k") > 0, F.col("_k"))
-    found = dense.withColumn("lof", mean / F.col("_lrd"))
+    found = dense.withColumn("lof", mean / F.col("_lrd")).filter("_own")
     found = found.select(*df.columns, "lof").unionByName(df.filter(F.col(value).isNull()).withColumn("lof", F.lit(None).cast("double")))
     return found.withColumn("is_outlier", F.coalesce(F.col("lof") > limit, F.lit(False)))
 

@@ -170,3 +170,16 @@ def test_exact_quantiles(spark, monkeypatch):
         assert got.keys() == want.keys()
         for k in want:
             assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12) for a, b in zip(got[k], want[k]))
+
+
+@pytest.mark.parametrize("chunk", [7, 40])
+def test_lof_in_chunks(spark, chunk):
+    import random
+
+    draw = random.Random(2)
+    rows = [("a", i, round(draw.gauss(0, 3), 1)) for i in range(150)] + [("b", i, float(i % 3)) for i in range(200, 230)] + [(None, 300, 1.0), (None, 301, 9.0)]
+    df = frame(spark, rows, "k string, i long, v double")
+    whole = {x.i: x.lof for x in stats.local_outlier_factor(df, KEYS, "v", "i", k=4).collect()}
+    cut = {x.i: x.lof for x in stats.local_outlier_factor(df, KEYS, "v", "i", k=4, chunk=chunk).collect()}
+    assert whole.keys() == cut.keys() == {i for _, i, _ in rows}
+    assert all(math.isclose(whole[i], cut[i], rel_tol=1e-9) for i in whole)
