@@ -192,5 +192,6 @@ def predictions(docs: DataFrame, model: Classifier, text: str = "text") -> DataF
             yield pd.DataFrame({"lang_pred": langs, "score": scores})
         workers.release()
 
+    predicted = predicted.asNondeterministic()  # else a filter on the result would run it a second time
     kept = [F.col(f"`{x}`") for x in docs.columns if x not in ("lang_pred", "score")]
     return docs.select(*kept, predicted(F.col(text)).alias("_found")).select(*kept, "_found.lang_pred", "_found.score")
