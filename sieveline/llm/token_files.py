@@ -10,6 +10,7 @@ the files in order; beside each file, ``*.docs.arrows`` has each document's key,
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -42,6 +43,7 @@ class CachedTokenizer:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks share the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -80,13 +82,13 @@ class CachedTokenizer:
         if not stretches or self.mark is None or any("<|" in x for x in stretches):
             each = [x.ids for x in tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
             return np.fromiter(map(len, each), dtype=np.int64, count=len(each)), np.array([x for ids in each for x in ids], dtype=np.uint32)
-        ids = np.array(tokenizer.encode(self.mark.join(["", *stretches]), add_special_tokens=False).ids, dtype=np.uint32)
+        ids = np.array(tokenizer.encode_batch_fast([self.mark.join(["", *stretches])], add_special_tokens=False)[0].ids, dtype=np.uint32)
         marks = np.flatnonzero(ids == self.mark_id)
         return np.diff(np.append(marks, len(ids))) - 1, np.delete(ids, marks)
 
     def _bare(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for words of letters alone, told apart by the tokens that end a word."""
-        ids = np.array(self.bare.encode(" ".join(words), add_special_tokens=False).ids, dtype=np.uint32)
+        ids = np.array(self.bare.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=np.uint32)
         ends = np.flatnonzero(self.last[ids])
         if len(ends) == len(words):
             return np.diff(ends, prepend=-1), ids
