@@ -31,7 +31,8 @@ from sieveline.session import cut, shared_path
 
 LENGTH = 2048
 BATCH = 64
-CACHE_MOST = 3 << 18
+CACHE_MOST = 1 << 20
+CHARS_AT_ONCE = 1 << 21
 
 
 class CachedTokenizer:
@@ -243,7 +244,7 @@ def write_token_files(docs: DataFrame, path: str, out: str, key: str = "doc_id",
         tokenizer, writer = load(path), None
         keys, begins, counts = [], [], []
         for rows in batches:
-            for part in in_parts(x or "" for x in workers.texts(rows.column(1))):
+            for part in in_parts((x or "" for x in workers.texts(rows.column(1))), CHARS_AT_ONCE):
                 if writer is None:
                     place = TaskContext.get().partitionId()
                     name = f"{out}/part-{place:06d}-{TaskContext.get().taskAttemptId()}"
