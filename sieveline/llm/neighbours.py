@@ -2,7 +2,9 @@
 
 Each table rotates unit vectors by three rounds of random signs and a Hadamard transform, and assigns them to
 the nearest signed axis, once or, for large sets, several times over. A query probes the buckets of the axes
-next nearest to it as well. Rows and queries meet by (table, bucket); there a matrix product scores all pairs
+next nearest to it as well. How many axes, tables and probes a set takes is chosen by the recall that they have
+for a sample of its queries, whose nearest are found among all rows. Rows and queries meet by (table, bucket);
+there a matrix product scores all pairs
 at once and each query keeps its best few, so what leaves a bucket is bounded by the queries. Rows
 and queries of a large bucket are dealt over several tasks, every part of one meeting every part of the other. Nothing is capped or dropped.
 """
@@ -27,8 +29,15 @@ PROBES = 10
 SEED = 20_011
 #: Rows of a bucket that one task scores; larger buckets are split.
 SPLIT = 4096
-#: Distinct rows up to which one signed axis is a bucket; each further axis takes 16 times as many.
+#: Queries whose probes are worked out at once.
+BLOCK = 128
+#: Distinct rows up to which one signed axis is a bucket; each further axis is tried from 16 times as many on.
 ONE_AXIS = 1 << 20
+#: Axes, least tables and least probes, by rising numbers of rows that a query visits; after the last, every bucket is probed.
+LADDER = ((3, 48, 100), (3, 48, 300), (2, 24, 20), (2, 24, 40), (2, 24, 100), (1, 1, 1), (1, 24, 20))
+#: Part of the true neighbours of SAMPLE queries that must be met, above the 0.9 that is asked for by the sample's error.
+RECALL = 0.95
+SAMPLE = 100
 
 
 @lru_cache(maxsize=64)
@@ -58,22 +67,24 @@ def rotated(unit: np.ndarray, table: int, axis: int) -> np.ndarray:
 def buckets(unit: np.ndarray, table: int, axes: int, probes: int = 1) -> list[np.ndarray]:
     """The buckets of each row, nearest first: one probe for rows of the index, several for queries.
 
-    With several axes, the probes beyond the first replace one axis at a time by its runner-ups, those first
-    that lose least.
+    With several axes, probes are those combinations of the axes' runner-ups that lose least (in squares).
     """
-    values = [rotated(unit, table, axis) for axis in range(axes)]
-    width = values[0].shape[1]
-    probes = min(probes, width)
-    order = [np.argpartition(-x, min(probes, width) - 1, axis=1)[:, :probes] if probes < width else np.argsort(-x, axis=1) for x in values]
-    order = [np.take_along_axis(o, np.argsort(-np.take_along_axis(x, o, axis=1), axis=1, kind="stable"), axis=1) for x, o in zip(values, order)]
-    base = sum(o[:, 0].astype(np.int64) * width ** (axes - 1 - a) for a, o in enumerate(order))
-    found, losses = [base], [np.full(len(unit), -1.0)]
-    for a, (x, o) in enumerate(zip(values, order)):
-        for p in range(1, probes):
-            found.append(base + (o[:, p].astype(np.int64) - o[:, 0]) * width ** (axes - 1 - a))
-            losses.append(x[np.arange(len(x)), o[:, 0]] - x[np.arange(len(x)), o[:, p]])
-    best = np.argsort(np.stack(losses), axis=0, kind="stable")[:probes]
-    return [np.take_along_axis(np.stack(found), best[p : p + 1], axis=0)[0] for p in range(probes)]
+    if probes > 1 and len(unit) > BLOCK:
+        parts = [buckets(unit[i : i + BLOCK], table, axes, probes) for i in range(0, len(unit), BLOCK)]
+        return [np.concatenate(x) for x in zip(*parts)]
+    found, losses = np.zeros((len(unit), 1), dtype=np.int64), np.zeros((len(unit), 1))
+    for axis in range(axes):
+        values = rotated(unit, table, axis)
+        width = values.shape[1]
+        some = min(probes, width)
+        order = np.argpartition(-values, some - 1, axis=1)[:, :some] if some < width else np.argsort(-values, axis=1, kind="stable")
+        order = np.take_along_axis(order, np.argsort(-np.take_along_axis(values, order, axis=1), axis=1, kind="stable"), axis=1)
+        high = np.take_along_axis(values, order, axis=1)
+        found = (found[:, :, None] * width + order[:, None, :]).reshape(len(unit), -1)
+        losses = (losses[:, :, None] + ((high[:, :1] - high) ** 2)[:, None, :]).reshape(len(unit), -1)
+        best = np.argsort(losses, axis=1, kind="stable")[:, :probes]
+        found, losses = np.take_along_axis(found, best, axis=1), np.take_along_axis(losses, best, axis=1)
+    return list(found.T)
 
 
 def _units(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -124,6 +135,65 @@ def _met(keep: int):
     return run
 
 
+def _sample_nearest(asked: list[tuple[int, bytes]], k: int):
+    """The k nearest of each sampled query in a part of the rows (rep, vec), the query's own class left out."""
+
+    def run(batches):
+        best = {rep: [] for rep, _ in asked}
+        lengths = {len(vec) for _, vec in asked}
+        for batch in batches:
+            vecs, reps = batch.column("vec").to_pylist(), batch.column("rep").to_numpy()
+            for length in lengths:
+                at = [i for i, x in enumerate(vecs) if len(x) == length]
+                queries = [(rep, vec) for rep, vec in asked if len(vec) == length]
+                if not at:
+                    continue
+                near = np.stack([np.frombuffer(vec, dtype=np.float64) for _, vec in queries]) @ _units(batch.column("vec").take(pa.array(at)))[1].T
+                for (rep, vec), scores in zip(queries, near / np.array([[np.linalg.norm(np.frombuffer(vec, dtype=np.float64))] for _, vec in queries])):
+                    top = np.argpartition(-scores, min(k, len(at) - 1))[: k + 1]
+                    own = [(-float(scores[i]), int(reps[at[i]]), vecs[at[i]]) for i in top if vecs[at[i]] != vec]
+                    best[rep] = sorted(best[rep] + own)[:k]
+        rows = [(rep, -score, other, vec) for rep, found in best.items() for score, other, vec in found]
+        columns = list(zip(*rows)) or [(), (), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, type=t) for x, t in zip(columns, (pa.int64(), pa.float64(), pa.int64(), pa.binary()))], names=["query", "score", "rep", "vec"])
+
+    return run
+
+
+def met_share(pairs: list[tuple[bytes, bytes]], axes: int, tables: int, probes: int) -> float:
+    """The part of pairs (query, row) that share a bucket: the recall, as those that meet are scored exactly."""
+    met = 0
+    for length in {len(x) for x, _ in pairs}:
+        q, r = (np.stack([np.frombuffer(x[side], dtype=np.float64) for x in pairs if len(x[side]) == length]) for side in (0, 1))
+        q, r = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (q, r))
+        together = np.zeros(len(q), dtype=bool)
+        for table in range(tables):
+            left = np.flatnonzero(~together)
+            if len(left):
+                own = buckets(r[left], table, axes)[0]
+                together[left] = (np.stack(buckets(q[left], table, axes, probes)) == own).any(axis=0)
+        met += int(together.sum())
+    return met / len(pairs) if pairs else 1.0
+
+
+def choose(classes: DataFrame, queries: DataFrame, n: int, k: int, tables: int = TABLES, probes: int = PROBES) -> tuple[int, int, int]:
+    """Axes, tables and probes for n distinct rows: the first of LADDER that meets RECALL of a sample's true neighbours.
+
+    tables and probes are the least of each. What is collected is SAMPLE queries and their k nearest among all rows.
+    """
+    asked = [(x.rep, bytes(x.vec)) for x in queries.select("rep", "vec").orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).collect()]
+    near = classes.select("rep", "vec").mapInArrow(_sample_nearest(asked, k), "query long, score double, rep long, vec binary")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
+    vecs = dict(asked)
+    pairs = [(vecs[x.query], bytes(x.vec)) for x in near.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k).collect()]
+    most = 1 + max(0, ceil(log2(max(1, n / ONE_AXIS)) / 4))
+    for axes, least_tables, least_probes in LADDER:
+        chosen = axes, max(tables, least_tables), max(probes, least_probes)
+        if axes <= most and met_share(pairs, *chosen) >= RECALL:
+            return chosen
+    return 1, 1, max((2 << max(0, ceil(log2(len(x) / 8))) for x, _ in pairs), default=probes)  # every bucket
+
+
 def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 50, k: int = 5, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """query_id, rank, vec_id and score: the k nearest found for each row whose key is divisible by every.
 
@@ -131,7 +201,7 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     query's own. Vectors that are null, empty or zero or hold null or non-finite components, and rows without a
     key, take no part; vectors of different length never meet. Equal vectors are indexed once, with their k + 1
     smallest keys, of which no query can need more; repeated rows (same key and vector) count once. Queries
-    that meet no candidate have no rows.
+    that meet no candidate have no rows. tables and probes are the least of each that are taken: see choose.
     """
     values = F.col(vector).cast("array<double>")
     rows = vectors.select(F.col(key).cast("bigint").alias("id"), values.alias("v")).filter(F.col("id").isNotNull() & (F.size("v") > 0))
@@ -146,7 +216,7 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     members = asked.select(F.col("id").alias("query_id"), "vec").join(queries.select("vec", F.col("rep").alias("query")), "vec").drop("vec")
 
     n = classes.count()
-    axes = 1 + max(0, ceil(log2(max(1, n / ONE_AXIS)) / 4))
+    axes, tables, probes = choose(classes, queries, n, k, tables, probes)
     kinds = "table int, bucket bigint, rep bigint, vec binary, is_query boolean"
     index = classes.select("rep", "vec").mapInArrow(_placed(tables, axes, 1, False), kinds).withColumn("size", F.length("vec"))
     asking = queries.select("rep", "vec").mapInArrow(_placed(tables, axes, probes, True), kinds).withColumn("size", F.length("vec"))

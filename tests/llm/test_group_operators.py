@@ -122,6 +122,27 @@ def test_buckets_with_several_axes():
     assert (one[0] == many[0]).all() and all(len(set(x)) == 6 for x in np.stack(many, axis=1).tolist())
 
 
+@pytest.mark.parametrize("rows_per_axis", [1 << 20, 500, 10])
+def test_neighbours_recall_with_more_axes(spark, monkeypatch, rows_per_axis):
+    """Past the switches to two and three axes, recall stays above what is asked for."""
+    monkeypatch.setattr(neighbours, "ONE_AXIS", rows_per_axis)
+    rows = [(i, x.tolist()) for i, x in enumerate(np.random.default_rng(3).normal(size=(2000, 64)))]
+    want = nearest_brute(rows)
+    got = neighbours.nearest(vectors(spark, [(i, v, 0, 0, 0) for i, v in rows])).collect()
+    found = {q: {x.vec_id for x in got if x.query_id == q} for q in want}
+    assert sum(len(found[q] & set(want[q])) for q in want) >= 0.9 * sum(map(len, want.values()))
+
+
+def test_neighbours_plans():
+    """Recall of the ladder's plans for pairs as near as neighbours in a large set are, and of the last resort for any pair."""
+    draw = np.random.default_rng(4)
+    q, noise = draw.normal(size=(2, 200, 64))
+    near = [(a.tobytes(), (0.6 * a + 0.8 * b).tobytes()) for a, b in zip(q, noise)]
+    assert neighbours.met_share(near, 2, 12, 10) < 0.9 < neighbours.met_share(near, 2, 24, 40)
+    assert neighbours.met_share(near, 3, 12, 10) < 0.9 < neighbours.met_share(near, 3, 48, 300)
+    assert neighbours.met_share([(a.tobytes(), b.tobytes()) for a, b in zip(q, noise)], 1, 1, 128) == 1
+
+
 def test_sharding_table():
     names = [f"n{i}" for i in range(7)]
     assert sharding.lookup_table(names, 101) == brute.maglev(names, 101, sharding._hash)
