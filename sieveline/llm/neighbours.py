@@ -31,6 +31,8 @@ SEED = 20_011
 SPLIT = 4096
 #: Queries whose probes are worked out at once.
 BLOCK = 128
+#: Pairs of a bucket that are scored exactly at once.
+TIES = 50_000
 #: Distinct rows up to which one signed axis is a bucket; each further axis is tried from 16 times as many on.
 ONE_AXIS = 1 << 20
 #: Axes, least tables and least probes, by rising numbers of rows that a query visits; after the last, every bucket is probed.
@@ -124,13 +126,16 @@ def _met(keep: int):
         for begin in range(0, len(q), 512):
             part = q[begin : begin + 512]
             near = part @ unit
-            some = min(keep + 4, len(r))  # a few more than are kept, as the matrix product rounds in its own way
-            best = np.argpartition(-near, some - 1, axis=1)[:, :some]
-            at = np.repeat(np.arange(len(part)), some)
-            exact = _scores(part[at], r[best.reshape(-1)])
-            out.append(pd.DataFrame({"query": queries["rep"].to_numpy()[begin + at], "rep": reps[best.reshape(-1)], "score": exact}))
-        found = pd.concat(out).sort_values(["query", "score", "rep"], ascending=[True, False, True], kind="stable")
-        return found.groupby("query").head(keep)
+            last = min(keep, len(r)) - 1
+            # the matrix product rounds in its own way: all that may equal the last one kept is scored exactly
+            margin = 4 * (q.shape[1] + 4) * np.finfo(float).eps * np.linalg.norm(part, axis=1, keepdims=True)
+            at, best = np.nonzero(near >= -np.partition(-near, last, axis=1)[:, last : last + 1] - margin)
+            exact = np.concatenate([_scores(part[at[i : i + TIES]], r[best[i : i + TIES]]) for i in range(0, len(at), TIES)])
+            order = np.lexsort((reps[best], -exact, at))
+            at, best, exact = at[order], best[order], exact[order]
+            kept = np.arange(len(at)) - np.searchsorted(at, at) < keep
+            out.append(pd.DataFrame({"query": queries["rep"].to_numpy()[begin + at[kept]], "rep": reps[best[kept]], "score": exact[kept]}))
+        return pd.concat(out)
 
     return run
 

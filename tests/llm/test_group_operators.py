@@ -143,6 +143,20 @@ def test_neighbours_plans():
     assert neighbours.met_share([(a.tobytes(), b.tobytes()) for a, b in zip(q, noise)], 1, 1, 128) == 1
 
 
+def test_neighbours_ties_go_to_smaller_ids(spark):
+    """Forty different vectors of one direction, and as many of signs at one angle to the query."""
+    draw = random.Random(5)
+    ids = draw.sample(range(101, 149), 40)
+    rows = [(50, [1.0] * 16)] + [(i, [2.0**-n] * 16) for n, i in enumerate(ids)]
+    got = neighbours.nearest(vectors(spark, [(i, v, 0, 0, 0) for i, v in rows])).collect()
+    assert [x.vec_id for x in sorted(got, key=lambda x: x["rank"])] == sorted(ids)[:5]
+    q, signs = np.ones((1, 64)), np.ones((40, 64))
+    for n in range(40):
+        signs[n, [n, n + 10, n + 20]] = -1
+    group = neighbours.pd.DataFrame({"rep": [50, *ids], "vec": [x.tobytes() for x in (*q, *signs)], "is_query": [True] + [False] * 40})
+    assert neighbours._met(6)(group)["rep"].tolist() == sorted(ids)[:6]
+
+
 def test_sharding_table():
     names = [f"n{i}" for i in range(7)]
     assert sharding.lookup_table(names, 101) == brute.maglev(names, 101, sharding._hash)
