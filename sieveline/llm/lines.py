@@ -24,15 +24,15 @@ def _hash(line: Column) -> tuple[Column, Column]:
 
 
 def _lines(docs: DataFrame, key: str, text: str, site: str) -> DataFrame:
-    """key, site, at (from 0) and the hashes of each line that is not blank."""
-    split = docs.select(F.col(key).alias("key"), F.coalesce(F.col(site), F.lit("")).alias("site"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("at", "line"))
-    return split.filter(F.length(F.trim("line")) > 0).select("key", "site", "at", *_hash(F.col("line")))
+    """key, body (the text's hash), site, at (from 0) and the hashes of each line that is not blank."""
+    split = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("body"), F.coalesce(F.col(site), F.lit("")).alias("site"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("at", "line"))
+    return split.filter(F.length(F.trim("line")) > 0).select("key", "body", "site", "at", *_hash(F.col("line")))
 
 
 def widespread_lines(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
-    """h1, h2 and the first place (key, at) of each line that is found on at least min_sites sites."""
+    """h1, h2 and the first place (key, at, body) of each line that is found on at least min_sites sites."""
     lines = _lines(docs, key, text, site)
-    first = F.min(F.struct("key", "at")).alias("first")
+    first = F.min(F.struct("key", "at", "body")).alias("first")
     sketched = lines.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"), first)
     guessed = sketched.withColumn("sites", F.hll_sketch_estimate("sketch")).drop("sketch").filter(F.col("sites") >= min_sites * (1 - NEAR))
     sure = guessed.filter(F.col("sites") > min_sites * (1 + NEAR)).select("h1", "h2", "first")
@@ -46,19 +46,20 @@ def remove_widespread_lines(docs: DataFrame, min_sites: int = MIN_SITES, key: st
     """docs with widespread lines taken out of text, and n_lines and n_removed_lines added.
 
     Lines end at line feeds; blank lines never count and stay. A line stays where it is found first, by key
-    and then place, so a key should name one row: rows that share a key lose the same line numbers. A null
-    text has no lines and stays null; a null site counts as one site of its own. Columns of docs named like
-    the two that are added are replaced; all others stay, as do repeated rows.
+    and then place. Rows that share a key, or have none, are told apart by their texts; only rows of one key
+    and one text lose the same line numbers. A null text has no lines and stays null; a null site counts as one
+    site of its own. Columns of docs named like the two that are added are replaced; all others stay, as do
+    repeated rows.
     """
     from sieveline.session import cut
 
     spread = cut(widespread_lines(docs, min_sites, key, text, site), "widespread-lines")
-    lines = _lines(docs, key, text, site).select("key", "at", "h1", "h2")
-    gone = lines.join(spread, ["h1", "h2"]).filter(~(F.col("key").eqNullSafe(F.col("first.key")) & (F.col("at") == F.col("first.at"))))
-    gone = gone.groupBy("key").agg(F.collect_set("at").alias("_gone"))
+    lines = _lines(docs, key, text, site).select("key", "body", "at", "h1", "h2")
+    gone = lines.join(spread, ["h1", "h2"]).filter(~(F.col("key").eqNullSafe(F.col("first.key")) & (F.col("body") == F.col("first.body")) & (F.col("at") == F.col("first.at"))))
+    gone = gone.groupBy("key", "body").agg(F.collect_set("at").alias("_gone"))
     kept = [x for x in docs.columns if x not in ("n_lines", "n_removed_lines")]
     all_lines = F.split(F.col(f"_d.{text}"), "\n", -1)
-    with_gone = docs.select(*(F.col(f"`{x}`") for x in kept)).alias("_d").join(gone.alias("_g"), F.col(f"_d.{key}").eqNullSafe(F.col("_g.key")), "left")
+    with_gone = docs.select(*(F.col(f"`{x}`") for x in kept)).alias("_d").join(gone.alias("_g"), F.col(f"_d.{key}").eqNullSafe(F.col("_g.key")) & (F.xxhash64(f"_d.{text}") == F.col("_g.body")), "left")
     left = F.filter(F.transform(all_lines, lambda x, i: F.when(~F.array_contains("_gone", i), x)), lambda x: x.isNotNull())
     new = F.when(F.col("_gone").isNull(), F.col(f"_d.{text}")).otherwise(F.array_join(left, "\n"))
     n = F.when(F.col(f"_d.{text}").isNull(), 0).otherwise(F.size(all_lines)).cast("bigint").alias("n_lines")

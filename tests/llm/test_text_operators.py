@@ -243,6 +243,15 @@ def test_lines(spark):
     assert lines.remove_widespread_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_of_rows_that_share_a_key(spark):
+    """Rows without an id, or with one id, lose their own lines only; copies of one row are treated alike."""
+    rows = [(i, "Boiler plate", f"s{i}") for i in range(10, 22)] + [(1, "Boiler plate\nkept", "s1")]
+    rows += [(None, "Boiler plate\nb", "a"), (None, "a\nBoiler plate", "a"), (None, "clean\nclean too", "a"), (7, "x\nBoiler plate", "a"), (7, "y\nz", "a"), (7, "x\nBoiler plate", "a")]
+    got = [(x.doc_id, x.text, x.n_removed_lines) for x in lines.remove_widespread_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()]
+    want = [(i, "", 1) for i in range(10, 22)] + [(1, "kept", 1), (None, "Boiler plate\nb", 0), (None, "a", 1), (None, "clean\nclean too", 0), (7, "x", 1), (7, "y\nz", 0), (7, "x", 1)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("spread", [9, 10, 11, 13, 30])
 def test_lines_threshold_is_exact(spark, spread):
     docs = table(spark, ["line"] * spread, sources=[f"s{i}" for i in range(spread)])
