@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 #: Of approximate quantiles: their error in rank is at most a task's rows over this.
@@ -174,23 +175,45 @@ def gaussian_mixture_outliers(df: DataFrame, value: str, parts: int = 2, share:
     return scored.crossJoin(F.broadcast(limit)).withColumn("is_outlier", F.col("log_density") < F.col("_limit")).drop("_limit")
 
 
-def one_class_svm_outliers(df: DataFrame, value: str) -> DataFrame:
-    """Needs an outside library in the workers; there is no stand-in for it."""
+def one_class_svm_outliers(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """df with is_outlier by a one-class model for each task, fitted on all its values; null values are no outliers.
+
+    Distinct values weigh as often as they occur. Needs an outside library on the driver and in the workers; there
+    is no stand-in for it.
+    """
     try:
-        from sklearn.svm import OneClassSVM
+        import sklearn.svm  # noqa: F401
     except ImportError as missing:
         raise NotImplementedError("one-class support vectors need scikit-learn") from missing
-    sample = [[x[0]] for x in df.select(value).filter(F.col(value).isNotNull()).limit(10_000).collect()]
-    model = OneClassSVM(kernel="rbf", gamma="auto").fit(sample)
-    flag = F.pandas_udf(lambda x: x.map(lambda v: v is not None and model.predict([[v]])[0] < 0), "boolean")
-    return df.withColumn("is_outlier", flag(F.col(value)))
 
+    def judged(task):
+        from sklearn.svm import OneClassSVM
+
+        values = task[[value]].to_numpy(dtype=float)
+        task["is_outlier"] = OneClassSVM(kernel="rbf", gamma="auto").fit(values, sample_weight=task["_count"].to_numpy(dtype=float)).predict(values) < 0
+        return task.drop(columns="_count")
 
-def outliers(df: DataFrame, keys: Sequence[str], value: str, row_id: str, task_type: str = "regression") -> DataFrame:
-    """df with is_outlier: by quartiles in tasks that look normal, else by the local outlier factor (regression) or support vectors."""
+    counts = df.filter(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_count"))
+    schema = T.StructType([x for x in counts.schema if x.name != "_count"] + [T.StructField("is_outlier", T.BooleanType())])
+    flags = counts.groupBy(*keys).applyInPandas(judged, schema)
+    return join_back(df, flags, [*keys, value]).withColumn("is_outlier", F.coalesce("is_outlier", F.lit(False)))
+
+
+def outliers(df: DataFrame, keys: Sequence[str], value: str, row_id: str, task_type: str | Column = "regression") -> DataFrame:
+    """df with is_outlier: by quartiles in tasks that look normal, else by the local outlier factor (regression) or support vectors.
+
+    task_type is one for all records, or a column with that of each task (null: regression). Support vectors are
+    asked for, and their library needed, only where there are records for them.
+    """
     gate = normality(df, keys, value).select(*keys, (F.coalesce("p", F.lit(0.0)) >= 0.05).alias("_normal"))
     both = join_back(df, gate, keys)
     straight = iqr_outliers(both.filter("_normal"), keys, value)
     rest = both.filter("NOT _normal")
-    rest = local_outlier_factor(rest, keys, value, row_id).drop("lof") if task_type == "regression" else one_class_svm_outliers(rest, value)
-    return straight.unionByName(rest).drop("_normal")
+    if isinstance(task_type, Column):
+        kind = F.coalesce(task_type, F.lit("regression"))
+        others = rest.filter(kind != "regression")
+        found = straight.unionByName(local_outlier_factor(rest.filter(kind == "regression"), keys, value, row_id).drop("lof"))
+        found = found if others.isEmpty() else found.unionByName(one_class_svm_outliers(others, value, keys))
+    else:
+        found = straight.unionByName(local_outlier_factor(rest, keys, value, row_id).drop("lof") if task_type == "regression" else one_class_svm_outliers(rest, value, keys))
+    return found.drop("_normal")

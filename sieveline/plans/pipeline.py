@@ -62,7 +62,7 @@ def prepare_tasks(df: DataFrame, settings: Settings, keys: tuple[str, ...], task
     if settings.threshold is not None:
         out = stats.labels(out, keys, value, "_x", settings.threshold)
     if settings.detect_outliers:
-        out = stats.outliers(out, keys, "_x", "row_id", task_type or "regression").filter(~F.col("is_outlier")).drop("is_outlier")
+        out = stats.outliers(out, keys, "_x", "row_id", task_type or kind).filter(~F.col("is_outlier")).drop("is_outlier")
     if not settings.keep_duplicates:
         out = dedup.strict_or_first(out.withColumn("_pk", F.col(case("Test")) == PK_TEST), keys, "Standardized_SMILES", "row_id", "_pk").drop("_pk")
     return out.drop("_x")

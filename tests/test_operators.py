@@ -1,4 +1,6 @@
 import math
+import shutil
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,6 +57,47 @@ def test_svm_needs_its_library(spark):
         stats.one_class_svm_outliers(frame(spark, [(1.0,)], "v double"), "v")
 
 
+SVM = '''
+import numpy as np
+
+
+class OneClassSVM:
+    """Stands in for the library's: outliers are what is further than 1 from the weighted mean."""
+
+    def __init__(self, kernel, gamma):
+        assert (kernel, gamma) == ("rbf", "auto")
+
+    def fit(self, x, sample_weight):
+        self.mean = (x[:, 0] * sample_weight).sum() / sample_weight.sum()
+        return self
+
+    def predict(self, x):
+        return np.where(abs(x[:, 0] - self.mean) > 1, -1, 1)
+'''
+
+
+def test_svm_by_task(spark, tmp_path):
+    """Classification tasks get a model each over all their values; the others keep the local outlier factor."""
+    rows = [("a", i, 0.0, "classification") for i in range(12_000)] + [("a", 20_000, 5.0, "classification"), ("a", 20_001, None, "classification")]
+    rows += [("b", 30_000 + i, 5.0, "classification") for i in range(20)] + [(None, 40_000, 0.0, "classification"), ("r", 50_000, 1.0, "regression")]
+    df = frame(spark, rows, "k string, i long, v double, t string")
+    with pytest.raises(NotImplementedError):
+        stats.outliers(df, KEYS, "v", "i", F.col("t"))
+    assert stats.outliers(df.filter("t = 'regression'"), KEYS, "v", "i", F.col("t")).count() == 1
+    package = tmp_path / "sklearn"
+    package.mkdir()
+    (package / "__init__.py").write_text("")
+    (package / "svm.py").write_text(SVM)
+    spark.sparkContext.addPyFile(shutil.make_archive(str(tmp_path / "sklearn"), "zip", tmp_path, "sklearn"))
+    try:
+        got = stats.outliers(df, KEYS, "v", "i", F.col("t"))
+        assert got.count() == len(rows) and [x.i for x in got.filter("is_outlier").collect()] == [20_000]
+    finally:
+        for name in [x for x in sys.modules if x.split(".")[0] == "sklearn"]:
+            del sys.modules[name]
+        sys.path[:] = [x for x in sys.path if not x.endswith("sklearn.zip")]
+
+
 def test_strict_dedup_and_recovery(spark):
     rows = [(1, "a", "x"), (2, "a", "x"), (3, "a", "y"), (4, "b", "x"), (5, "b", "x"), (6, "c", None), (7, "c", None), (8, "c", "z"), (9, "d", None)]
     df = frame(spark, rows, "i long, k string, s string")
