@@ -67,6 +67,10 @@ def standardise(df: DataFrame, structure: str, keep_stereo: bool = True) -> Data
     return df.join(known.select(structure, F.col("_w.std").alias("Standardized_SMILES"), F.col("_w.scaffold").alias("Scaffold")), structure, "left")
 
 
+#: The columns that descriptors adds.
+DESCRIPTORS = ("logp", "tpsa", "donors", "acceptors", "acid_pka", "base_pka")
+
+
 def descriptors(df: DataFrame, structure: str) -> DataFrame:
     """df with logp, tpsa, donors, acceptors, acid_pka and base_pka, as the pH corrections take them."""
     _toolkit()

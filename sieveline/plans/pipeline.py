@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from functools import reduce
 
@@ -30,7 +31,19 @@ def add_ph(df: DataFrame, value: str, settings: Settings, lower: bool = False) -
     direct = [F.col(columns[x.lower()]) for x in PH_COLUMNS if x.lower() in columns]
     text = lambda name: F.col(case(name)) if case(name) in df.columns else F.lit(None).cast("string")
     found = df.withColumn("inferred_pH", ph.infer_ph(direct, text("Test_Subject"), text("Measurement_Condition"), text("Test_Type")))
-    inputs = {x: F.col(x) for x in ("acid_pka", "base_pka", "logp", "tpsa", "donors", "acceptors") if x in df.columns}
+    needed = {"hh": ("acid_pka", "base_pka"), "mp": ("logp", "tpsa", "donors", "acceptors")}
+    missing = [x for method, names in needed.items() if settings.ph_method in (method, "all") for x in names if x not in df.columns]
+    if missing:
+        try:
+            # what the input has stays its own; only what is missing is taken from the structure
+            own_columns = [x for x in chem.DESCRIPTORS if x in found.columns]
+            described = chem.descriptors(found.withColumnsRenamed({x: f"_own_{x}" for x in own_columns}), case(settings.smiles_col))
+            found = described.drop(*(x for x in chem.DESCRIPTORS if x not in missing)).withColumnsRenamed({f"_own_{x}": x for x in own_columns})
+        except chem.ChemBackendUnavailable:
+            if settings.ph_method != "all":
+                raise
+            logging.getLogger(__name__).warning("without RDKit the pH corrections that need %s are left out", ", ".join(missing))
+    inputs = {x: F.col(x) for x in ("acid_pka", "base_pka", "logp", "tpsa", "donors", "acceptors") if x in found.columns}
     methods = [x for x, needs in (("hh", ("acid_pka", "base_pka")), ("emp", ()), ("mp", ("logp", "tpsa", "donors", "acceptors"))) if settings.ph_method in (x, "all") and all(n in inputs for n in needs)]
     own = number(F.col(value).cast("string"))
     for method in methods:
@@ -51,11 +64,18 @@ def prepare_tasks(df: DataFrame, settings: Settings, keys: tuple[str, ...], task
         out = units.convert_column(out, value, unit, f"{value}_si", f"{unit}_si")
     if settings.correct_ph:
         out = add_ph(out, value, settings, lower)
-    if "Standardized_SMILES" not in out.columns:
+    structure, by_scaffold = "Standardized_SMILES", settings.split and settings.split_method == "scaffold"
+    if structure not in out.columns:
         try:
-            out = chem.standardise(out, smiles, settings.keep_stereo)
+            out = chem.standardise(out.drop("Scaffold"), smiles, settings.keep_stereo)
         except chem.ChemBackendUnavailable:
-            out = out.withColumns({"Standardized_SMILES": F.col(smiles), "Scaffold": F.lit(None).cast("string")})
+            if by_scaffold:
+                raise
+            logging.getLogger(__name__).warning("without RDKit no structure is standardised: duplicates are those of one spelling")
+            structure = smiles
+    elif by_scaffold and "Scaffold" not in out.columns:
+        given = chem.standardise(out.withColumnRenamed(structure, "_given"), "_given", settings.keep_stereo)
+        out = given.drop(structure).withColumnRenamed("_given", structure)
     out = out.withColumn("_x", number(F.col(value).cast("string")))
     kind = F.lit(task_type) if task_type else F.col("task_type") if "task_type" in out.columns else F.lit("regression")
     out = stats.zscore(out, keys, "_x", f"{value}_scaled").withColumn(f"{value}_scaled", F.when(kind == "regression", F.col(f"{value}_scaled")))
@@ -64,7 +84,7 @@ def prepare_tasks(df: DataFrame, settings: Settings, keys: tuple[str, ...], task
     if settings.detect_outliers:
         out = stats.outliers(out, keys, "_x", "row_id", task_type or kind).filter(~F.col("is_outlier")).drop("is_outlier")
     if not settings.keep_duplicates:
-        out = dedup.strict_or_first(out.withColumn("_pk", F.col(case("Test")) == PK_TEST), keys, "Standardized_SMILES", "row_id", "_pk").drop("_pk")
+        out = dedup.strict_or_first(out.withColumn("_pk", F.col(case("Test")) == PK_TEST), keys, structure, "row_id", "_pk").drop("_pk")
     return out.drop("_x")
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sieveline.functions.cleaning import SENTINEL
-from sieveline.operators import quality
+from sieveline.operators import chem, quality
 from sieveline.plans import pipeline, registry
 from sieveline.sources import config, readers, sinks
 from sieveline.streaming import records
@@ -65,6 +65,16 @@ def test_tasks(spark, assay, tmp_path):
     assert {x.split: x.n for x in back.groupBy("split").agg(F.count("*").alias("n")).collect()} == {"test": 12, "valid": 6, "train": 42}
 
 
+def test_tasks_without_toolkit(spark, assay):
+    """No raw string under the name of a standard one, no scaffold split without scaffolds, no correction without its inputs."""
+    with pytest.raises(chem.ChemBackendUnavailable):
+        pipeline.run_tasks(spark, config.Settings().merged({"input_path": assay, "split": True, "split_method": "scaffold"}))
+    assert not {"Standardized_SMILES", "Scaffold"} & set(pipeline.run_tasks(spark, config.Settings().merged({"input_path": assay})).columns)
+    for method in ("hh", "mp"):
+        with pytest.raises(chem.ChemBackendUnavailable):
+            pipeline.run_tasks(spark, config.Settings().merged({"input_path": assay, "correct_ph": True, "ph_method": method}))
+
+
 def test_no_quorum(spark, assay, tmp_path):
     few = tmp_path / "few.csv"
     few.write_text(HEADER + "\nC0,SM0,Solubility,S,,5,ug/mL,\n")
