@@ -17,7 +17,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without text, or without a letter, are in no language and go; a missing language is filled in."""
+    """Documents without text, or without a letter, are in no language and go; a missing language is filled in.
+
+    The prediction rejects nothing else: its language fills a null lang, which run() returns.
+    """
     found = language.predictions(docs, language.fit(docs))
     kept = found.filter(F.col("lang_pred") != language.UNKNOWN)
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
@@ -58,8 +61,8 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, with the hash of what they decode to."""
-    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), keep_ids=False)
+    """Token ids of what is left and where each token's bytes end, with their hashes and the document's language."""
+    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), carry=("lang",))
 
 
 STAGES = [

@@ -231,37 +231,49 @@ def in_parts(texts: Iterable[str], most: int = CHARS_AT_ONCE) -> Iterator[list[s
         yield part
 
 
-def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", keep_ids: bool = True) -> DataFrame:
-    """One row per row of docs: key, n_tokens, ids_sha256, decoded_sha256 and, if kept, ids and byte_ends.
+def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", keep_ids: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of docs: key, n_tokens, ids_sha256, decoded_sha256, if kept ids and byte_ends, and the columns to carry.
 
     ids: token ids as little-endian unsigned 32-bit integers; byte_ends: likewise where each token's bytes end
     in the decoded text. A null text counts as empty; it and an empty text have no tokens. Repeated rows and
-    rows with a null key each give a row. Other columns of docs, whatever their names, are not read. The path
+    rows with a null key each give a row. All other columns of docs, whatever their names, are not read. The path
     of the rank file must exist on every executor.
     """
     fields = [(key, docs.schema[key].dataType.simpleString()), ("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
     if keep_ids:
         fields += [("ids", "binary"), ("byte_ends", "binary")]
+    own = len(fields)
+    fields += [(x, docs.schema[x].dataType.simpleString()) for x in carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         workers.enter("bpe", load.cache_clear)
         bpe = load(path)
         for batch in batches:
-            rows: list[list] = [[] for _ in fields[1:]]
+            rows, done = [[] for _ in fields[1:own]], 0
+
+            def made() -> pa.RecordBatch:
+                columns = [*(pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary())))]
+                kept = [batch.column(n).slice(done, len(rows[0])) for n in (0, *range(2, 2 + len(carry)))]
+                return pa.RecordBatch.from_arrays([kept[0], *columns, *kept[1:]], names=[x for x, _ in fields])
+
             for part in in_parts(x or "" for x in workers.texts(batch.column(1))):
                 ids, ends = bpe.encode(part)
                 decoded, byte_ends = bpe.decode(ids)
                 begin = 0
                 for end in ends.tolist():
-                    own = ids[begin:end]
+                    tokens = ids[begin:end]
                     first, last = (int(byte_ends[begin - 1]) if begin else 0), (int(byte_ends[end - 1]) if end else 0)
-                    found = [end - begin, hashlib.sha256(raw := own.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(decoded[first:last].tobytes()).hexdigest()]
+                    found = [end - begin, hashlib.sha256(raw := tokens.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(decoded[first:last].tobytes()).hexdigest()]
                     if keep_ids:
                         found += [raw, (byte_ends[begin:end] - first).astype("<u4").tobytes()]
                     for column, value in zip(rows, found):
                         column.append(value)
                     begin = end
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows[0], pa.int64()), *(pa.array(x, pa.string()) for x in rows[1:3]), *(pa.array(x, pa.binary()) for x in rows[3:])], names=[x for x, _ in fields])
+                if keep_ids:  # ids are large: a part's leave before the next part's are made
+                    yield made()
+                    rows, done = [[] for _ in rows], done + len(rows[0])
+            if not keep_ids:
+                yield made()
         workers.release()
 
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, ", ".join(f"`{name}` {kind}" for name, kind in fields))
+    return docs.select(F.col(key), F.col(text), *carry).mapInArrow(run, ", ".join(f"`{name}` {kind}" for name, kind in fields))

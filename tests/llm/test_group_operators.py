@@ -255,6 +255,16 @@ def test_pipeline(spark, data):
     assert run.filter(F.col("doc_id").isNull()).count() == 0
 
 
+def test_pipeline_delivers_tokens(spark, data):
+    docs = spark.createDataFrame([(1, "Où est le chat?", "fr"), (None, "", None), (3, "it is 1,234 ™", "en")], "doc_id long, text string, lang string")
+    coder = bpe.load(registry.public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    got = {x.doc_id: x for x in corpus_pipeline.encode_tokens(spark, docs.coalesce(1), data).collect()}
+    assert {k: x.lang for k, x in got.items()} == {1: "fr", None: None, 3: "en"}
+    for x in docs.collect():
+        assert got[x.doc_id].ids == np.asarray(coder.encode([x.text])[0]).astype("<u4").tobytes() and len(got[x.doc_id].byte_ends) == 4 * got[x.doc_id].n_tokens
+        assert got[x.doc_id].n_tokens == 0 or np.frombuffer(got[x.doc_id].byte_ends, "<u4")[-1] == len(x.text.encode())
+
+
 def test_pipeline_odd_tables(spark, data):
     """Nulls in every column, repeated rows, repeated ids, blank and very long texts, other columns, and no rows."""
     long = " ".join(f"word{i}" for i in range(30000))
