@@ -15,6 +15,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import repeat
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -133,9 +134,7 @@ class CachedTokenizer:
         stretches: list[str] = []
         ends = []
         for text in texts:
-            # letter case goes before the pairs are merged; a final sigma or a special token needs the text as it is
-            plain = text if "Σ" in text or "<|" in text else text.lower()
-            stretches += plain.replace("\n", " ").split(" ")
+            stretches += _lowered(text).replace("\n", " ").split(" ")
             ends.append(len(stretches))
         which = np.fromiter(map(self.seen.get, stretches, repeat(-1)), dtype=np.int64, count=len(stretches))
         if len(missing := np.flatnonzero(which < 0)):
@@ -155,6 +154,18 @@ def load(path: str) -> CachedTokenizer:
     return CachedTokenizer(path)
 
 
+def _lowered(text: str) -> str:
+    """text in lower case where the library, which composes first and then lower-cases, gives the same ids for both; else text.
+
+    A final sigma or a special token needs the text as it is; so do marks that compose with a letter of one case
+    and not of the other.
+    """
+    if "<|" in text or "Σ" in text:
+        return text
+    low = text.lower()
+    return low if text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", low)) else text
+
+
 def sequence_schema(dtype: type, length: int) -> pa.Schema:
     return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))])
 
