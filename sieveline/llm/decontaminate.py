@@ -4,7 +4,8 @@ An item of m characters may differ from a stretch of a document by k = m * RATE
 at least one piece must stand in such a stretch unchanged. One Aho-Corasick pass finds all pieces of all items;
 each hit gives a window, which Myers' bit-parallel distance then decides. Before that, the item's disjoint
 grams are counted in the window: an edit can spoil one of them, so more than k missing ones rule it out.
-Documents don't move: the items go to them, in blocks of a fixed size.
+Documents don't move: the items go to them, in blocks of a fixed size. An item too short for edits is one piece,
+and counts where its words stand unchanged.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from sieveline.llm import workers
 
 RATE = 0.1
-#: Items with fewer characters are too short to name a benchmark, and match nothing.
+#: Items with fewer characters have no budget, and match as whole words only.
 LEAST = 20
 GRAM = 4
 #: Characters of items that are broadcast at once; more items are taken in blocks.
@@ -94,7 +95,8 @@ class Matcher:
     """Items by their pieces."""
 
     def __init__(self, items: list[Item], rate: float = RATE, least: int = LEAST):
-        self.items = [(i, t, int(len(t) * rate)) for i, t in ((i, normal(t)) for i, t in items) if len(t) >= least]
+        self.items = [(i, t, int(len(t) * rate) if len(t) >= least else 0) for i, t in ((i, normal(t)) for i, t in items) if t]
+        self.whole = [len(t) < least for _, t, _ in self.items]
         self.masks = [_peq(t) for _, t, _ in self.items]
         self.grams = [[t[i : i + GRAM] for i in range(0, len(t) - GRAM + 1, GRAM)] for _, t, _ in self.items]
         pieces: dict[str, list[tuple[int, int]]] = {}
@@ -114,11 +116,16 @@ class Matcher:
         if not self.items or not plain:
             return []
         seen: dict[int, set[int]] = {}
+        best: dict[int, tuple[int, int, int]] = {}
         for last, (length, where) in self.automaton.iter(plain):
             for n, at in where:
+                if self.whole[n]:
+                    begin, end = last + 1 - length, last + 1
+                    if n not in best and (begin == 0 or not plain[begin - 1].isalnum()) and (end == len(plain) or not plain[end].isalnum()):
+                        best[n] = 0, begin, end
+                    continue
                 seen.setdefault(n, set()).add((last + 1 - length - at) // (self.items[n][2] + 1))
-        best: dict[int, tuple[int, int, int]] = {}
-        for n, shifts in seen.items():
+        for n, shifts in () if first and best else seen.items():
             _, item, k = self.items[n]
             for shift in sorted(shifts):  # of one item: hits whose shifts share a step of k + 1 share a window
                 begin = max(0, shift * (k + 1) - k)
@@ -162,8 +169,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
 
     distance is the least edit distance of the item to a stretch of the document, both in lower case with
     single blanks; start and end are that stretch, the first of equals. Documents that hold none, null and
-    empty texts give no row; so do items that are null, empty or shorter than least. Items that share an id
-    count each; repeated items count once. Repeated documents each give their rows. Other columns are not read.
+    empty texts give no row; so do items that are null or empty. Items of fewer than least characters match
+    without edits, as whole words. Items that share an id count each; repeated items count once. Repeated documents each give their rows. Other columns are not read.
     """
     found = None
     for items in item_blocks(benchmark):
