@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.session import cut
+
 MIN_SITES = 10
 LG_K = 10
 #: Within this part of the threshold an estimate doesn't decide; a sketch of 2^10 has a standard error of 3 %.
@@ -25,7 +27,9 @@ def _hash(line: Column) -> tuple[Column, Column]:
 
 def _lines(docs: DataFrame, key: str, text: str, site: str) -> DataFrame:
     """key, body (the text's hash), site, at (from 0) and the hashes of each line that is not blank."""
-    split = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("body"), F.coalesce(F.col(site), F.lit("")).alias("site"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("at", "line"))
+    # beneath the lines, so that a text is hashed once and not for each of its lines
+    whole = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("body"), F.coalesce(F.col(site), F.lit("")).alias("site"), F.col(text).alias("text"))
+    split = whole.select("key", "body", "site", F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
     return split.filter(F.length(F.trim("line")) > 0).select("key", "body", "site", "at", *_hash(F.col("line")))
 
 
@@ -35,6 +39,7 @@ def widespread_lines(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "do
     first = F.min(F.struct("key", "at", "body")).alias("first")
     sketched = lines.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"), first)
     guessed = sketched.withColumn("sites", F.hll_sketch_estimate("sketch")).drop("sketch").filter(F.col("sites") >= min_sites * (1 - NEAR))
+    guessed = cut(guessed, "guessed-lines")  # read twice; all lines are sketched once
     sure = guessed.filter(F.col("sites") > min_sites * (1 + NEAR)).select("h1", "h2", "first")
     near = guessed.filter(F.col("sites") <= min_sites * (1 + NEAR))
     found = lines.select("h1", "h2", "site").join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").distinct()
@@ -49,20 +54,24 @@ def remove_widespread_lines(docs: DataFrame, min_sites: int = MIN_SITES, key: st
     and then place. Rows that share a key, or have none, are told apart by their texts; only rows of one key
     and one text lose the same line numbers. A null text has no lines and stays null; a null site counts as one
     site of its own. Columns of docs named like the two that are added are replaced; all others stay, as do
-    repeated rows.
+    repeated rows. Work is linear in a text's lines, however many of them go.
     """
-    from sieveline.session import cut
-
     spread = cut(widespread_lines(docs, min_sites, key, text, site), "widespread-lines")
     lines = _lines(docs, key, text, site).select("key", "body", "at", "h1", "h2")
     gone = lines.join(spread, ["h1", "h2"]).filter(~(F.col("key").eqNullSafe(F.col("first.key")) & (F.col("body") == F.col("first.body")) & (F.col("at") == F.col("first.at"))))
     gone = gone.groupBy("key", "body").agg(F.collect_set("at").alias("_gone"))
     kept = [x for x in docs.columns if x not in ("n_lines", "n_removed_lines")]
-    all_lines = F.split(F.col(f"_d.{text}"), "\n", -1)
+    own = F.col(f"_d.{text}")
     with_gone = docs.select(*(F.col(f"`{x}`") for x in kept)).alias("_d").join(gone.alias("_g"), F.col(f"_d.{key}").eqNullSafe(F.col("_g.key")) & (F.xxhash64(f"_d.{text}") == F.col("_g.body")), "left")
-    left = F.filter(F.transform(all_lines, lambda x, i: F.when(~F.array_contains("_gone", i), x)), lambda x: x.isNotNull())
-    new = F.when(F.col("_gone").isNull(), F.col(f"_d.{text}")).otherwise(F.array_join(left, "\n"))
-    n = F.when(F.col(f"_d.{text}").isNull(), 0).otherwise(F.size(all_lines)).cast("bigint").alias("n_lines")
+
+    def left(x: Column) -> Column:
+        """The lines at all places but those that go, by sets of places."""
+        return F.transform(F.array_except(F.sequence(F.lit(0), F.size(x["l"]) - 1), x["g"]), lambda i: F.get(x["l"], i))
+
+    # an array of one struct holds the lines while its lambda runs, so that a text is split once
+    split = F.transform(F.array(F.struct(F.split(own, "\n", -1).alias("l"), F.col("_gone").alias("g"))), left)
+    new = F.when(F.col("_gone").isNull(), own).otherwise(F.array_join(F.get(split, F.lit(0)), "\n"))
+    n = F.coalesce(F.length(own) - F.length(F.replace(own, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("bigint").alias("n_lines")
     return with_gone.select(*(new.alias(x) if x == text else F.col(f"_d.`{x}`") for x in kept), n, F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_removed_lines"))
 
 
