@@ -6,6 +6,8 @@ in either conversation is rendered as its completion, with the spans that a loss
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,12 +48,50 @@ def _body(turns: Column) -> Column:
     return F.array_join(F.transform(turns, _rendered), "")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often body names it or its lambdas run."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, b: a + b)
+
+
+def _ends(lengths: Column) -> Column:
+    """The running totals of an array, by totals of blocks as long as the root of its length."""
+    block = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(lengths))).cast("int"))
+
+    def running(x: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.size(x["n"]), x["b"]), lambda i: _total(F.slice(x["n"], i + 1, x["b"])))
+        return _let(
+            F.struct(x["n"].alias("n"), x["b"].alias("b"), blocks.alias("blocks")),
+            lambda y: F.transform(y["n"], lambda _, i: _total(F.slice(y["blocks"], F.lit(1), (i / y["b"]).cast("int"))) + _total(F.slice(y["n"], i - i % y["b"] + 1, i % y["b"] + 1))),
+        )
+
+    return _let(F.struct(lengths.alias("n"), block.alias("b")), running)
+
+
 def _mask(turns: Column) -> Column:
     """start:end of what may be learned in the rendered turns, in code points: replies with their end marks."""
-    lengths = F.transform(turns, lambda x: F.length(_rendered(x)))
-    ends = F.transform(turns, lambda x, i: F.aggregate(F.slice(lengths, F.lit(1), i + 1), F.lit(0), lambda a, b: a + b))
-    spans = F.transform(turns, lambda x, i: F.when(x["role"] == LEARNED, F.concat_ws(":", (F.get(ends, i) - F.length(x["text"]) - len(END)).cast("string"), F.get(ends, i).cast("string"))))
-    return F.array_join(F.filter(spans, lambda x: x.isNotNull()), ",")
+
+    def spans(x: Column) -> Column:
+        end = lambda i: F.get(x["ends"], i)
+        return F.transform(x["turns"], lambda t, i: F.when(t["role"] == LEARNED, F.concat_ws(":", (end(i) - F.length(t["text"]) - len(END)).cast("string"), end(i).cast("string"))))
+
+    ends = _ends(F.transform(turns, lambda x: F.length(_rendered(x))))
+    return F.array_join(F.filter(_let(F.struct(turns.alias("turns"), ends.alias("ends")), spans), lambda x: x.isNotNull()), ",")
+
+
+def _common(chosen: Column, rejected: Column) -> Column:
+    """How many turns both begin with."""
+
+    def first(x: Column) -> Column:
+        least = F.least(F.size(x["c"]), F.size(x["r"]))
+        other = lambda i: F.get(x["r"], i)
+        differ = F.transform(x["c"], lambda t, i: F.when((i >= least) | (t["role"] != other(i)["role"]) | (t["text"] != other(i)["text"]), i))
+        return F.coalesce(F.array_min(F.filter(differ, lambda i: i.isNotNull())), least)
+
+    return _let(F.struct(chosen.alias("c"), rejected.alias("r")), first)
 
 
 def format_preferences(pairs: DataFrame) -> DataFrame:
@@ -60,13 +100,12 @@ def format_preferences(pairs: DataFrame) -> DataFrame:
     Turns are equal when role and text are; their numbers don't matter. The common prefix may be empty, and
     then so is the prompt; where one conversation continues the other, or both are equal, the shorter one's
     completion is empty. A null array counts as an empty one. Repeated pairs stay. Masks are comma-joined
-    start:end spans of replies in the completion; the prompt is never learned.
+    start:end spans of replies in the completion; the prompt is never learned. Work grows with the turns of a
+    conversation to the power of 1.5.
     """
     nothing = F.array().cast(dict(pairs.dtypes)["chosen"])
     both = pairs.select("pair_id", F.coalesce("chosen", nothing).alias("_c"), F.coalesce("rejected", nothing).alias("_r"))
-    least = F.least(F.size("_c"), F.size("_r"))
-    differ = F.filter(F.transform("_c", lambda x, i: F.when((i >= least) | (x["role"] != F.get("_r", i)["role"]) | (x["text"] != F.get("_r", i)["text"]), i)), lambda i: i.isNotNull())
-    cut = both.withColumn("_n", F.coalesce(F.array_min(differ), least))
+    cut = both.withColumn("_n", _common(F.col("_c"), F.col("_r")))
     rest = cut.select("pair_id", "_n", F.slice("_c", F.lit(1), F.col("_n")).alias("_p"), *(F.slice(x, F.col("_n") + 1, F.size(x)).alias(x) for x in ("_c", "_r")))
     return rest.select("pair_id", F.col("_n").cast("bigint").alias("n_prompt_turns"), _body(F.col("_p")).alias("prompt"), _body(F.col("_c")).alias("chosen"), _body(F.col("_r")).alias("rejected"), _mask(F.col("_c")).alias("chosen_mask"), _mask(F.col("_r")).alias("rejected_mask"))
 
