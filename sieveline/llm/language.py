@@ -18,19 +18,24 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sieveline.llm import workers
+from sieveline.session import cut
 
-#: Bounds of the sample that the classifier is fitted on: texts of each language, their length, languages.
+#: Bounds of the sample that the classifier is fitted on: texts of each language and of all, and their length.
 SAMPLE = 300
+SAMPLE_ALL = 6000
 SAMPLE_CHARS = 50_000
-LANGUAGES = 100
+#: Landmarks of each language; of all, but for one of each language at least.
 LANDMARKS = 32
 LANDMARKS_ALL = 512
 RIDGE = 1e-3
-SIGNS = 120
 BATCH = 128
+#: Bits of a slot: n-grams are found, and counted, by slots of a table.
+SLOTS = 21
 UNKNOWN = "und"
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
 @lru_cache(maxsize=1)
@@ -39,14 +44,13 @@ def _letters() -> np.ndarray:
 
 
 class StringKernel:
-    """n-grams over an alphabet: 0 is a gap between letters, 1 any letter that the alphabet lacks."""
+    """n-grams over an alphabet of any size: 0 is a gap between letters, 1 any letter that the alphabet lacks."""
 
     def __init__(self, alphabet: str):
         self.size = len(alphabet) + 2
-        self.table = _letters().astype(np.uint8)
+        self.table = _letters().astype(np.int64)
         self.table[[ord(x) for x in alphabet]] = np.arange(2, self.size)
-        self.numbers = self.size**3 + self.size**2 + self.size
-        self.mark = np.zeros(self.numbers, dtype=bool)
+        self.mark = np.zeros(1 << SLOTS, dtype=bool)
 
     def grams(self, text: str) -> np.ndarray:
         """Numbers of the n-grams of a text, some repeated; none where it has no letter."""
@@ -57,28 +61,58 @@ class StringKernel:
         keep = signs != 0
         keep[0] = True
         keep[1:] |= signs[:-1] != 0
-        a = signs[keep].astype(np.int64)
+        a = signs[keep]
         n = self.size
         two = a[:-1] * n + a[1:]
         return np.concatenate([a, two + n, two[:-1] * n + a[2:] + n + n * n])
 
-    def distinct(self, grams: np.ndarray) -> int:
-        self.mark[grams] = True
+    def distinct(self, grams: np.ndarray, slots: np.ndarray) -> int:
+        """How many differ; of few, which hardly ever share a slot, by slots."""
+        if len(grams) > 1 << SLOTS - 5:
+            return len(np.unique(grams))
+        self.mark[slots] = True
         found = int(np.count_nonzero(self.mark))
-        self.mark[grams] = False
+        self.mark[slots] = False
         return found
 
 
+def _slots(grams: np.ndarray, turn: int = 0) -> np.ndarray:
+    """The slot of each n-gram; each turn deals them out differently."""
+    return ((grams.view(np.uint64) * _ODD[turn]) >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+
+class Features:
+    """Columns of known n-grams, exactly: those that share a slot in one table go to the next."""
+
+    def __init__(self, features: np.ndarray):
+        self.features = np.append(features, -1)
+        self.tables: list[np.ndarray] = []
+        left = np.arange(len(features))
+        while len(left):
+            table = np.full(1 << SLOTS, len(features), dtype=np.int32)
+            slots = _slots(features[left], len(self.tables) % len(_ODD))
+            table[slots] = left
+            self.tables.append(table)
+            left = left[table[slots] != left]
+
+    def columns(self, grams: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """The columns of those n-grams that are features."""
+        found = []
+        for turn, table in enumerate(self.tables):
+            at = table[slots if turn == 0 else _slots(grams, turn % len(_ODD))]
+            known = self.features[at] == grams
+            found.append(at[known])
+            if turn + 1 < len(self.tables):  # what sits elsewhere met another n-gram here
+                grams = grams[~known & (at < len(self.features) - 1)]
+        return np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
+
+
 class Classifier:
     """One-versus-rest kernel ridge regression over Nyström landmarks."""
 
     def __init__(self, texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE):
-        signs: dict[str, int] = {}
-        for text in texts:
-            for x in set(text.lower()):
-                if _letters()[ord(x)]:
-                    signs[x] = signs.get(x, 0) + 1
-        self.alphabet = "".join(sorted(sorted(signs, key=lambda x: (-signs[x], x))[:SIGNS]))
+        signs = {x for text in texts for x in set(text.lower()) if _letters()[ord(x)]}
+        self.alphabet = "".join(sorted(signs))
         self.langs = sorted(set(langs))
         kernel = StringKernel(self.alphabet)
         grams = [kernel.grams(x) for x in texts]
@@ -104,9 +138,7 @@ class Scorer:
     """A classifier with its tables unfolded, as a task holds it."""
 
     def __init__(self, model: Classifier):
-        self.model, self.kernel = model, StringKernel(model.alphabet)
-        self.column = np.full(self.kernel.numbers, len(model.features), dtype=np.int32)
-        self.column[model.features] = np.arange(len(model.features))
+        self.model, self.kernel, self.features = model, StringKernel(model.alphabet), Features(model.features)
 
     def kernel_rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The kernel of each text with each landmark, and whether the text has a letter."""
@@ -114,15 +146,16 @@ class Scorer:
         rows, lettered = np.zeros((len(texts), model.presence.shape[1]), dtype=np.float32), np.zeros(len(texts), dtype=bool)
         for begin in range(0, len(texts), BATCH):
             part = texts[begin : begin + BATCH]
-            here = np.zeros((len(part), len(model.features) + 1), dtype=np.float32)
+            here = np.zeros((len(part), len(model.features)), dtype=np.float32)
             sizes = np.ones(len(part))
             for i, text in enumerate(part):
                 grams = self.kernel.grams(text)
                 if len(grams):
-                    here[i, self.column[grams]] = 1
-                    sizes[i] = self.kernel.distinct(grams)
+                    slots = _slots(grams)
+                    here[i, self.features.columns(grams, slots)] = 1
+                    sizes[i] = self.kernel.distinct(grams, slots)
                     lettered[begin + i] = True
-            rows[begin : begin + BATCH] = (here[:, :-1] @ model.presence) / model.norms / np.sqrt(sizes)[:, None]
+            rows[begin : begin + BATCH] = (here @ model.presence) / model.norms / np.sqrt(sizes)[:, None]
         return rows, lettered
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -141,27 +174,32 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+def sampled(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> DataFrame:
+    """lang and text of the rows that fit() learns from: those of least hash of key and text in each language, each once.
+
+    Rows that are held out, or have no language or a text that is empty or longer than SAMPLE_CHARS, are not drawn.
+    Each language gives at most sample rows, and fewer where there are more than SAMPLE_ALL / sample languages, but
+    one at least; beyond SAMPLE_ALL languages, those with most rows count. All of this is done in Spark.
+    """
+    known = docs.filter(~held_out(F.col(key)) & F.col(lang).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    known = known.filter(F.length("text").between(1, SAMPLE_CHARS)).withColumn("order", F.xxhash64("key", "text"))
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("order").alias("n"))
+    sizes = cut(sizes.orderBy(F.desc("n"), "lang").limit(SAMPLE_ALL), "languages")
+    most = min(sample, max(1, SAMPLE_ALL // max(1, sizes.count())))
+    # about three times as many as are needed go to the exact choice; a language with few rows sends all of them
+    share = sizes.select("lang", F.least(F.lit(1.0), 3.0 * (most + 20) / F.col("n")).alias("share"))
+    drawn = known.join(F.broadcast(share), "lang").filter(F.pmod("order", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    first = Window.partitionBy("lang").orderBy("order", "text")
+    return drawn.select("lang", "order", "text").distinct().withColumn("n", F.row_number().over(first)).filter(F.col("n") <= most).select("lang", "order", "text")
+
+
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Classifier:
-    """A classifier from a bounded sample of the rows that are not held out and have a text and a language.
+    """A classifier from a bounded sample of the rows that are not held out and have a text and a language: see sampled.
 
-    At most sample texts of each of at most LANGUAGES languages, of at most SAMPLE_CHARS characters each, come
-    to the driver: those of least hash of the key. Without such rows it knows no language.
+    What comes to the driver is that sample, whatever keys repeat or are null. Without such rows it knows no language.
     """
-    known = docs.filter(~held_out(F.col(key)) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    known = known.filter(F.length("text").between(1, SAMPLE_CHARS)).withColumn("order", F.pmod(F.xxhash64("key"), F.lit(1 << 30)))
-    counts = {x["lang"]: x["n"] for x in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    if not counts:
-        return Classifier([], [])
-    below = None
-    for name, n in sorted(counts.items()):  # about twice as many as are needed, so that enough remain
-        most = int(min(1, 2 * sample / n + 20 / n) * (1 << 30))
-        below = F.when(F.col("lang") == name, most) if below is None else below.when(F.col("lang") == name, most)
-    drawn = known.filter(F.col("order") < below).select("lang", "order", "text").collect()
-    kept: dict[str, dict[str, None]] = {x: {} for x in counts}
-    for row in sorted(drawn, key=lambda x: (x["lang"], x["order"], x["text"])):
-        if len(kept[row["lang"]]) < sample:
-            kept[row["lang"]][row["text"]] = None
-    return Classifier([t for x in sorted(kept) for t in kept[x]], [x for x in sorted(kept) for _ in kept[x]])
+    kept = sorted(sampled(docs, key, text, lang, sample).collect(), key=lambda x: (x["lang"], x["order"], x["text"]))
+    return Classifier([x["text"] for x in kept], [x["lang"] for x in kept])
 
 
 _SCORERS: dict[str, Scorer] = {}
