@@ -33,7 +33,7 @@ LANDMARKS_ALL = 512
 RIDGE = 1e-3
 BATCH = 128
 #: Bits of a slot: n-grams are found, and counted, by slots of a table.
-SLOTS = 21
+SLOTS = 18
 UNKNOWN = "und"
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -68,7 +68,7 @@ class StringKernel:
 
     def distinct(self, grams: np.ndarray, slots: np.ndarray) -> int:
         """How many differ; of few, which hardly ever share a slot, by slots."""
-        if len(grams) > 1 << SLOTS - 5:
+        if len(grams) > 1 << SLOTS - 3:
             return len(np.unique(grams))
         self.mark[slots] = True
         found = int(np.count_nonzero(self.mark))
