@@ -1,5 +1,6 @@
 import random
 import sys
+import time
 from pathlib import Path
 
 import duckdb
@@ -106,7 +107,7 @@ def test_neighbours_recall_and_scores(spark, data):
 
 
 def test_neighbours_odd_tables(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "SPLIT", 2)
+    monkeypatch.setattr(neighbours, "PART_BYTES", 50)
     rows = [(i, [1.0, 0.0, 0.0]) for i in range(0, 9)] + [(50, [1.0, 0.0, 0.0]), (50, [1.0, 0.0, 0.0]), (51, [1.0, 0.1, 0.0]), (52, None), (53, []), (54, [0.0, 0.0, 0.0]), (55, [1.0, None, 0.0]), (56, [float("nan"), 1.0, 0.0]), (57, [float("inf"), 1.0, 0.0]), (None, [1.0, 0.0, 0.0]), (100, [1.0, 0.0]), (150, [0.0, 0.0, 1.0])]
     df = vectors(spark, [(i, v, 0, 0, 0) for i, v in rows])
     got = neighbours.nearest(df).collect()
@@ -115,32 +116,47 @@ def test_neighbours_odd_tables(spark, monkeypatch):
     assert neighbours.nearest(df.limit(0)).count() == 0
 
 
-def test_buckets_with_several_axes():
-    unit = np.random.default_rng(1).normal(size=(50, 16))
-    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-    one, many = neighbours.buckets(unit, 0, 2), neighbours.buckets(unit, 0, 2, 6)
-    assert (one[0] == many[0]).all() and all(len(set(x)) == 6 for x in np.stack(many, axis=1).tolist())
-
-
-@pytest.mark.parametrize("rows_per_axis", [1 << 20, 500, 10])
-def test_neighbours_recall_with_more_axes(spark, monkeypatch, rows_per_axis):
-    """Past the switches to two and three axes, recall stays above what is asked for."""
-    monkeypatch.setattr(neighbours, "ONE_AXIS", rows_per_axis)
-    rows = [(i, x.tolist()) for i, x in enumerate(np.random.default_rng(3).normal(size=(2000, 64)))]
+@pytest.mark.parametrize("bytes_, run", [(1 << 25, 1024), (40_000, 50), (2_000, 1)])
+def test_neighbours_recall_with_many_parts(spark, monkeypatch, bytes_, run):
+    """Recall stays above what is asked for however the buckets are dealt out: few parts, many, and split buckets."""
+    monkeypatch.setattr(neighbours, "PART_BYTES", bytes_)
+    monkeypatch.setattr(neighbours, "RUN", run)
+    draw = np.random.default_rng(3)
+    near = draw.normal(size=64) + 0.05 * draw.normal(size=(300, 64))  # these share their buckets
+    rows = [(i, x.tolist()) for i, x in enumerate([*draw.normal(size=(1500, 64)), *near])]
     want = nearest_brute(rows)
     got = neighbours.nearest(vectors(spark, [(i, v, 0, 0, 0) for i, v in rows])).collect()
-    found = {q: {x.vec_id for x in got if x.query_id == q} for q in want}
-    assert sum(len(found[q] & set(want[q])) for q in want) >= 0.9 * sum(map(len, want.values()))
+    found = {q: [x.vec_id for x in sorted(got, key=lambda x: x["rank"]) if x.query_id == q] for q in want}
+    assert sum(len(set(found[q]) & set(want[q])) for q in want) >= 0.9 * sum(map(len, want.values()))
+    assert all(found[q] == want[q] for q in want if q >= 1500)
 
 
-def test_neighbours_plans():
-    """Recall of the ladder's plans for pairs as near as neighbours in a large set are, and of the last resort for any pair."""
+def test_neighbours_probes():
+    """More probes meet more, all of them everything; near pairs need few."""
     draw = np.random.default_rng(4)
     q, noise = draw.normal(size=(2, 200, 64))
-    near = [(a.tobytes(), (0.6 * a + 0.8 * b).tobytes()) for a, b in zip(q, noise)]
-    assert neighbours.met_share(near, 2, 12, 10) < 0.9 < neighbours.met_share(near, 2, 24, 40)
-    assert neighbours.met_share(near, 3, 12, 10) < 0.9 < neighbours.met_share(near, 3, 48, 300)
-    assert neighbours.met_share([(a.tobytes(), b.tobytes()) for a, b in zip(q, noise)], 1, 1, 128) == 1
+    near = list(zip(q, 0.6 * q + 0.8 * noise))
+    shares = [neighbours.met_share(near, x) for x in (*neighbours.PROBES, None)]
+    assert shares == sorted(shares) and shares[1] > 0.8 and shares[3] > 0.95 and shares[-1] == 1
+    assert neighbours.met_share(list(zip(q, noise)), None) == 1
+    first, second = neighbours.losses(neighbours._unit(q), 0)
+    probed = (first[:, :, None] + second[:, None, :] <= neighbours.reaches(first, second, 500)[:, None, None]).sum(axis=(1, 2))
+    assert (probed == 500).all()
+
+
+@pytest.mark.parametrize("size", [1e-200, 5e-324, 1e200, 1.7e308])
+def test_neighbours_of_tiny_and_huge_vectors(spark, size):
+    rows = [(0, [size, size]), (1, [1.0, 1.0]), (2, [1.0, 0.5]), (3, [size, 0.0]), (4, [-size, size]), (5, [0.0, -1.0])]
+    df = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<double>")
+    got = sorted((x["rank"], x.vec_id, round(x.score, 9)) for x in neighbours.nearest(df).collect())
+    assert got == [(1, 1, 1.0), (2, 2, round(1.5 / 2.5**0.5, 9)), (3, 3, round(0.5**0.5, 9)), (4, 4, 0.0), (5, 5, -round(0.5**0.5, 9))]
+
+
+def test_neighbours_with_repeated_keys(spark):
+    """Rows that share a key but not a vector each ask and are found, and the better score counts."""
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.1]), (1, [0.1, 1.0]), (2, [1.0, 1.0])]
+    got = sorted((x.query_id, x["rank"], x.vec_id) for x in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == [(0, 1, 1), (0, 2, 2)]
 
 
 def test_neighbours_ties_go_to_smaller_ids(spark):
@@ -150,11 +166,11 @@ def test_neighbours_ties_go_to_smaller_ids(spark):
     rows = [(50, [1.0] * 16)] + [(i, [2.0**-n] * 16) for n, i in enumerate(ids)]
     got = neighbours.nearest(vectors(spark, [(i, v, 0, 0, 0) for i, v in rows])).collect()
     assert [x.vec_id for x in sorted(got, key=lambda x: x["rank"])] == sorted(ids)[:5]
-    q, signs = np.ones((1, 64)), np.ones((40, 64))
+    signs = np.ones((40, 64), dtype=np.float32)
     for n in range(40):
         signs[n, [n, n + 10, n + 20]] = -1
-    group = neighbours.pd.DataFrame({"rep": [50, *ids], "vec": [x.tobytes() for x in (*q, *signs)], "is_query": [True] + [False] * 40})
-    assert neighbours._met(6)(group)["rep"].tolist() == sorted(ids)[:6]
+    got = neighbours.nearest(vectors(spark, [(i, x.tolist(), 0, 0, 0) for i, x in zip([50, *ids], [np.ones(64), *signs])])).collect()
+    assert [x.vec_id for x in sorted(got, key=lambda x: x["rank"])] == sorted(ids)[:5]
 
 
 def test_sharding_table():
@@ -201,6 +217,25 @@ def test_equal_and_null_conversations(spark):
     assert got[1] == (2, "", "") and got[2][0] == 0 and got[2][1] == "" and got[4] == (0, "", "") and got[5] == (1, "<|assistant|>\nr<|end|>\n", "")
 
 
+def test_long_conversations(spark):
+    """Ten thousand turns take seconds, and their masks cut out the replies; also for numbers of turns around squares."""
+    def made(n, off=0):
+        return [(i, "assistant" if i % 2 else "user", f"t{i % 7}" if i < n // 2 else f"x{i % 11 + off}") for i in range(n)]
+
+    kind = "pair_id long, chosen array<struct<turn:long,role:string,text:string>>, rejected array<struct<turn:long,role:string,text:string>>"
+    sizes = [1, 2, 3, 4, 5, 8, 9, 10, 15, 16, 17, 10_000]
+    began = time.perf_counter()
+    got = {x.pair_id: x for x in chat.format_preferences(spark.createDataFrame([(n, made(n), made(n, 1)) for n in sizes], kind)).collect()}
+    assert time.perf_counter() - began < 60
+    for n in sizes:
+        for side, off in (("chosen", 0), ("rejected", 1)):
+            turns_, text = made(n, off)[got[n].n_prompt_turns :], got[n][side]
+            assert text == "".join(f"<|{r}|>\n{t}<|end|>\n" for _, r, t in turns_)
+            spans = [x.split(":") for x in got[n][f"{side}_mask"].split(",") if x]
+            assert [text[int(a) : int(b)] for a, b in spans] == [f"{t}<|end|>\n" for _, r, t in turns_ if r == "assistant"]
+        assert got[n].n_prompt_turns == n // 2
+
+
 @pytest.mark.parametrize("name", ["op6_line_dedup", "op7_sharding", "op10_preferences"])
 def test_against_sql(spark, data, name):
     con = duckdb.connect()

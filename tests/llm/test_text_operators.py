@@ -1,6 +1,7 @@
 import hashlib
 import random
 import sys
+import time
 import zlib
 from pathlib import Path
 
@@ -8,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -87,6 +89,19 @@ def test_token_cache_is_the_library():
         cached.thin()
 
 
+def test_token_cache_composes_before_it_lowers():
+    """Marks after letters of both cases, in texts of their own and next to each other, as the library encodes them."""
+    marks = [chr(x) for x in range(0x300, 0x370)]
+    texts = [f"{x}{m}" for m in marks for x in "AEGHIJKLNORSTUWYZaehjtwyΑΙΥΩωιÅÜǓ"] + ["Υ\u0308\u0301 ΐ Ϊ\u0301", "J\u030c J", "İ I\u0307", "Ŵ\u030a W\u030a"]
+    texts += random_texts(1500, [*"AJHTWYajhtwy ,.", "Υ", "Ι", "\u030c", "\u0331", "\u0308", "\u030a", "\u0301", "\u0345"], seed=9)
+    cached, plain = token_files.CachedTokenizer(WORDS), Tokenizer.from_file(WORDS)
+    ids, ends = cached.encode(texts)
+    begin = 0
+    for text, end in zip(texts, ends.tolist()):
+        assert ids[begin:end].tolist() == plain.encode(text, add_special_tokens=False).ids, ascii(text)
+        begin = end
+
+
 def expected_tokens(docs):
     plain, start, out = Tokenizer.from_file(WORDS), 0, []
     for key, text in docs:
@@ -186,6 +201,33 @@ def test_decontamination_table(spark):
     assert decontaminate.find_contamination(table(spark, texts).limit(0), bench).count() == 0
 
 
+def test_decontamination_short_items(spark):
+    """Items with fewer than 20 characters are found as whole words, without edits."""
+    texts = ["say SHORT\n one, then", "short ones", "ashort one", "short  one", "shortone", "a short one!", "sh0rt one", "12 is 4", "124"]
+    bench = items(spark, [(1, "short one", 1, 1), (2, " 4 ", 1, 1), (3, "  ", 1, 1)])
+    got = sorted((x.doc_id, x.item_id, x.distance, x.start, x.end) for x in decontaminate.find_contamination(table(spark, texts), bench).collect())
+    assert got == [(0, 1, 0, 4, 14), (3, 1, 0, 0, 10), (5, 1, 0, 2, 11), (7, 2, 0, 6, 7)]
+    assert sorted(x.doc_id for x in decontaminate.without_contamination(table(spark, texts), bench).collect()) == [1, 2, 4, 6, 8]
+
+
+def test_decontamination_table_with_edits(spark):
+    """Distances above 0 on a table of documents by items, against the plain edit distance of each pair."""
+    draw = random.Random(11)
+    words = "the fox dog lazy brown seven wizards hum over jumps quick".split()
+    bench = [(i, " ".join(draw.choices(words, k=draw.randint(2, 9)))) for i in range(12)]
+    texts = [" ".join(draw.choices(words, k=12)) + " " + edited(draw.choice(bench)[1], n % 8, draw) + " " + " ".join(draw.choices(words, k=5)) for n in range(60)]
+    got = {(x.doc_id, x.item_id): x.distance for x in decontaminate.find_contamination(table(spark, texts), items(spark, [(*x, 1, 1) for x in bench])).collect()}
+    want = {}
+    for n, text in enumerate(texts):
+        for i, item in bench:
+            if len(item) < decontaminate.LEAST:
+                if f" {item} " in f" {text} ":
+                    want[n, i] = 0
+            elif (d := brute.closest(item, text)) <= int(len(item) * decontaminate.RATE):
+                want[n, i] = d
+    assert got == want and max(want.values()) > 1
+
+
 def test_decontamination_blocks(spark):
     bench = items(spark, [(i, f"{ITEM} number {i}", 1, 1) for i in range(20)])
     blocks = decontaminate.item_blocks(bench, block_chars=300)
@@ -222,6 +264,52 @@ def test_language_kernel_is_the_plain_one():
     assert np.allclose(rows, want, atol=1e-6)
 
 
+def test_language_features_are_exact():
+    """n-grams that share slots keep their own columns."""
+    grams = np.unique(np.random.default_rng(2).integers(0, 1 << 48, 200_000))
+    features = language.Features(grams[::2])
+    assert len(features.tables) > 1
+    asked = np.random.default_rng(3).permutation(grams)
+    assert sorted(features.columns(asked, language._slots(asked)).tolist()) == list(range(len(grams[::2])))
+
+
+SCRIPTS = {
+    "zh": "我们今天去学校学习中文和历史因为老师说这个很重要",
+    "ja": "わたしたちは今日学校で日本語と歴史を勉強しますこれはとても大切です",
+    "el": "σήμερα πηγαίνουμε στο σχολείο για να μάθουμε ελληνικά και ιστορία",
+    "ru": "сегодня мы идём в школу учить русский язык и историю",
+    "en": "today we go to school to learn the english language and history",
+}
+
+
+def test_language_of_many_scripts(spark):
+    """Chinese and Japanese share signs, and none of the scripts is cut out of the alphabet."""
+    draw = random.Random(4)
+    texts, langs = [], []
+    for lang, text in SCRIPTS.items():
+        for _ in range(60):
+            parts = list(text) if lang in ("zh", "ja") else text.split()
+            draw.shuffle(parts)
+            texts.append(("" if lang in ("zh", "ja") else " ").join(parts[: draw.randint(6, len(parts))]))
+            langs.append(lang)
+    docs = table(spark, texts, langs)
+    got = language.predictions(docs, language.fit(docs)).filter(language.held_out(F.col("doc_id"))).collect()
+    assert len(got) > 60 and sum(x.lang_pred == x.lang for x in got) >= 0.95 * len(got)
+
+
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """Rows without keys, repeated rows and many languages leave no more rows than the bounds say."""
+    monkeypatch.setattr(language, "SAMPLE_ALL", 200)
+    rows = spark.range(20_000).selectExpr("CAST(NULL AS BIGINT) doc_id", "concat('word', id, ' and more') text", "'en' lang")
+    rows = rows.unionByName(spark.range(5000).selectExpr("7L doc_id", "'the same again' text", "'fr' lang"))
+    got = language.sampled(rows, sample=50).groupBy("lang").count().collect()
+    assert {x.lang: x["count"] for x in got} == {"en": 50, "fr": 1}
+    many = spark.range(3000).selectExpr("id doc_id", "concat('text ', id) text", "concat('l', id % 150) lang")
+    got = language.sampled(many).groupBy("lang").count().collect()
+    assert len(got) == 150 and {x["count"] for x in got} == {1}
+    assert len(language.fit(many).langs) == 150
+
+
 def test_language_odd_tables(spark):
     texts = [*ODD, "the cat and the dog", "le chat et le chien", "123 !?"]
     langs = ["en"] * len(ODD) + ["en", "fr", None]
@@ -252,6 +340,17 @@ def test_lines_of_rows_that_share_a_key(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_lines_of_a_long_text(spark):
+    """200,000 lines, half of which go, take seconds."""
+    long = "\n".join("Boiler plate" if i % 2 else f"own {i}" for i in range(200_000))
+    docs = spark.createDataFrame([(i, "Boiler plate", f"s{i}") for i in range(12)] + [(99, long, "z")], "doc_id long, text string, source string")
+    began = time.perf_counter()
+    got = {x.doc_id: x for x in lines.remove_widespread_lines(docs).collect()}
+    assert time.perf_counter() - began < 60
+    assert got[99].text == "\n".join(f"own {i}" for i in range(0, 200_000, 2)) and got[99].n_removed_lines == 100_000 and got[99].n_lines == 200_000
+    assert [got[i].text for i in range(3)] == ["Boiler plate", "", ""]
+
+
 @pytest.mark.parametrize("spread", [9, 10, 11, 13, 30])
 def test_lines_threshold_is_exact(spark, spread):
     docs = table(spark, ["line"] * spread, sources=[f"s{i}" for i in range(spread)])
