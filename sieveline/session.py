@@ -9,8 +9,10 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[1])
+BROADCAST_BYTES = 8 << 20
 
 
 def build_session(name: str = "sieveline", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -60,11 +62,63 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def few(table: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if its values have BROADCAST_BYTES at most; beyond, Spark joins by sorting."""
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) + 8 if kind in ("string", "binary") else F.lit(8) for name, kind in table.dtypes]
+    total = table.agg(F.sum(sum(sizes, F.lit(0)))).first()[0] or 0
+    return F.broadcast(table) if total <= BROADCAST_BYTES else table
+
+
+_open: list[Scratch] = []
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts lineage, and survives lost executors."""
+    """Write df to the shared folder and read it again: cuts lineage, and survives lost executors.
+
+    The files stay until the folder is cleared, or the scratch around ends.
+    """
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    if _open:
+        _open[-1].paths[id(found)] = (path, found)
+    return found
+
+
+class Scratch:
+    """Cuts made within its block are deleted at its end, but for those kept, which the scratch around then has.
+
+    What is still to be computed after the block may read kept cuts only.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def __enter__(self) -> Scratch:
+        _open.append(self)
+        return self
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        path, place = self.paths.pop(id(table), None), _open.index(self)
+        if path and place:
+            _open[place - 1].paths[id(table)] = path
+        return table
+
+    def drop(self, table: DataFrame) -> None:
+        """Delete a cut of this scratch now; tables that are none of its cuts are left alone."""
+        if id(table) in self.paths:
+            delete(self.spark, self.paths.pop(id(table))[0])
+
+    def __exit__(self, *_) -> None:
+        _open.remove(self)
+        for path, _table in self.paths.values():
+            delete(self.spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a path by Spark's own file systems, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,9 +1,11 @@
 import json
+from pathlib import Path
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from sieveline import session
 from sieveline.functions.cleaning import SENTINEL
 from sieveline.operators import chem, quality
 from sieveline.plans import pipeline, registry
@@ -150,3 +152,26 @@ def test_against_sql(spark, data, name):
         return sorted(tuple(map(cell, row)) for row in df[sorted(df.columns)].itertuples(index=False))
 
     assert normal(got) == normal(want)
+
+
+def test_scratch_deletes_what_is_not_kept(spark):
+    """Cuts go with their scratch; kept ones belong to the scratch around, or stay."""
+    path = lambda df: Path(df.inputFiles()[0].removeprefix("file:").replace("///", "/")).parent
+    with session.Scratch(spark) as outer:
+        first = session.cut(spark.range(3), "first")
+        with session.Scratch(spark) as inner:
+            gone, kept = session.cut(spark.range(4), "gone"), inner.keep(session.cut(spark.range(5), "kept"))
+            paths = [path(x) for x in (first, gone, kept)]
+        assert [x.exists() for x in paths] == [True, False, True] and kept.count() == 5
+        outer.drop(first)
+        outer.drop(spark.range(1))
+        outer.keep(kept)
+    assert [x.exists() for x in paths] == [False, False, True] and kept.count() == 5
+
+
+def test_small_tables_are_broadcast(spark, monkeypatch):
+    names = spark.range(100).selectExpr("id", "repeat('x', 100) AS name")
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(session.few(names))
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 10_000)
+    assert not hinted(session.few(names)) and hinted(session.few(names.limit(0)))
