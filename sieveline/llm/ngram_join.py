@@ -3,8 +3,9 @@
 Two texts are linked when they share at least 75 % of the union of their five-word shingles.
 
 1. A link needs three quarters of a text's shingles to stand in some other text. Shingles go to tasks by
-   ranges of their hash, packed in arrays; what returns is how many of each text's shingles occur elsewhere.
-   Texts below three quarters are linked with nothing and are done: at this point most are.
+   ranges of their hash, packed in arrays; what returns is how many of each text's shingles occur elsewhere. A
+   block of texts sends each shingle once, so one that all texts have meets as often as there are blocks. Texts
+   below three quarters are linked with nothing and are done: at this point most are.
 2. Of the rest, each text is taken once, however many copies it has. Texts that share their least shingle
    form a group (large ones are split), whose members are linked among themselves by matrix products.
 3. The token-group matrix holds, for each shingle, the groups with it among their members' rarest shingles;
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.llm import workers
-from sieveline.session import cut
+from sieveline.session import Scratch, cut, few
 
 WORDS = 5
 PERCENT = 75
@@ -40,8 +41,10 @@ SET_BYTES = 16 << 20
 #: Shingles that a task packs at a time, and texts in a group.
 PACK = 1_000_000
 GROUP = 64
-#: Rows up to which a table of keys is broadcast; beyond, Spark joins by sorting.
-BROADCAST_ROWS = 1_000_000
+#: Texts with one shingle of which a block tells the first round, which looks for some links only.
+FIRST_TEXTS = 256
+#: Pairs that a task finds before it drops repeated ones.
+PAIRS = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -90,35 +93,33 @@ def linked(shared, n, m):
     return 100 * shared >= PERCENT * (n + m - shared)
 
 
-def _few(keys: DataFrame) -> DataFrame:
-    """A written table of keys, to be broadcast if its rows are few."""
-    return F.broadcast(keys) if keys.count() < BROADCAST_ROWS else keys
-
-
 # --- packed exchange: (part, block, counts of each text in the block, shingles by text) ---
 
 PACKED = "part int, block long, counts binary, tokens binary, info binary"
 
 
-def _by_part(sets: list[np.ndarray], parts: int, at_least: int, aligned: list[np.ndarray] | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
-    """For each range of hashes with shingles, and for at_least: its number, counts of each text, and shingles (and what is aligned with them) by text."""
-    tokens = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
-    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+def _by_part(tokens: np.ndarray, owner: np.ndarray, owners: int, parts: int, at_least: int, aligned: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """For each range of hashes with shingles, and for at_least: its number, counts of each owner, and shingles (and what is aligned with them) by owner."""
     part = _part(tokens, parts)
-    order = np.argsort(part, kind="stable")
-    tokens, owner, more = tokens[order], owner[order], np.concatenate(aligned)[order] if aligned else None
+    order = np.lexsort((owner, part))
+    tokens, owner, more = tokens[order], owner[order], aligned[order] if aligned is not None else None
     begin = 0
     for k, end in enumerate(np.cumsum(np.bincount(part, minlength=parts)).tolist()):
         if end > begin or k == at_least:
-            yield k, np.bincount(owner[begin:end], minlength=len(sets)).astype("<u4"), tokens[begin:end], None if more is None else more[begin:end]
+            yield k, np.bincount(owner[begin:end], minlength=owners).astype("<u4"), tokens[begin:end], None if more is None else more[begin:end]
         begin = end
 
 
-def _pack(block: int, sets: list[np.ndarray], parts: int, info: bytes) -> pa.RecordBatch:
-    """One row for each range of hashes that the block's shingles touch; one of them has the info."""
-    rows = [(k, block, counts.tobytes(), tokens.tobytes(), info if k == block % parts else None) for k, counts, tokens, _ in _by_part(sets, parts, block % parts)]
-    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=["part", "block", "counts", "tokens", "info"])
+def _joined(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of the sets, one set after the other, and the set of each."""
+    return np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+
+
+def _places_in_runs(*columns: np.ndarray) -> np.ndarray:
+    """The place of each row in its run of equal rows."""
+    at, new = np.arange(len(columns[0])), np.ones(len(columns[0]), dtype=bool)
+    new[1:] = np.any([x[1:] != x[:-1] for x in columns], axis=0)
+    return at - np.maximum.accumulate(np.where(new, at, 0))
 
 
 def _part(tokens: np.ndarray, parts: int) -> np.ndarray:
@@ -140,7 +141,7 @@ def _ends(sizes) -> np.ndarray:
 
 # --- 1: which texts can be linked at all ---
 
-INFO = np.dtype([("at", "<i8"), ("id", "<i8"), ("null", "?"), ("h1", "<i8"), ("h2", "<i8"), ("n", "<i8")])
+INFO = np.dtype([("at", "<i8"), ("id", "<i8"), ("null", "?"), ("h1", "<i8"), ("h2", "<i8"), ("n", "<i8"), ("here", "<i8")])
 MARKED = "id long, h1 long, h2 long, n long, alive boolean"
 
 
@@ -153,7 +154,19 @@ def _pack_texts(parts: int, words: int):
         held = done = 0
 
         def packed():
-            return _pack(_block(done), sets, parts, np.array(info, dtype=INFO).tobytes())
+            """One row for each range of hashes that the block's shingles touch; one of them has the info.
+
+            Shingles that several of the block's texts have are known to occur elsewhere; one owner more sends them once.
+            """
+            block, (tokens, owner) = _block(done), _joined(sets)
+            _, index, inverse, times = np.unique(tokens, return_index=True, return_inverse=True, return_counts=True)
+            again = times[inverse] > 1
+            here = np.bincount(owner[again], minlength=len(sets)).tolist()
+            about = np.array([(*x, here[x[0]]) for x in info], dtype=INFO).tobytes()
+            tokens, owner = np.append(tokens[~again], tokens[index[times > 1]]), np.append(owner[~again], np.full(np.count_nonzero(times > 1), len(sets)))
+            rows = [(k, block, counts.tobytes(), own.tobytes(), about if k == block % parts else None) for k, counts, own, _ in _by_part(tokens, owner, len(sets) + 1, parts, block % parts)]
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=["part", "block", "counts", "tokens", "info"])
 
         for batch in batches:
             for key, text, h1, h2 in zip(*(batch.column(i) for i in range(4))):
@@ -175,7 +188,7 @@ def _pack_texts(parts: int, words: int):
 
 
 def _count_elsewhere(table: pa.Table) -> pa.Table:
-    """For each block and each of its texts, how many of its shingles in this range occur in other texts too."""
+    """For each block and each of its texts, how many of its own shingles in this range occur in other blocks too."""
     tokens = [_numbers(x.as_py(), "<u8") for x in table.column("tokens")]
     sizes = _ends([len(x) for x in tokens])
     _, inverse, times = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
@@ -195,7 +208,7 @@ def _mark(table: pa.Table) -> pa.Table:
     """The texts of a block, with whether enough of their shingles occur elsewhere."""
     hits = sum(_numbers(x.as_py(), "<u4").astype(np.int64) for x in table.column("hits"))
     info = np.concatenate([_numbers(x.as_py(), INFO) for x in table.column("info") if x.is_valid])
-    alive = (hits[info["at"]] >= needed(info["n"])) & (info["n"] > 0)
+    alive = (hits[info["at"]] + info["here"] >= needed(info["n"])) & (info["n"] > 0)
     return pa.table({"id": pa.array(info["id"], mask=info["null"]), "h1": info["h1"], "h2": info["h2"], "n": info["n"], "alive": alive})
 
 
@@ -221,43 +234,66 @@ def _sets_of(words: int):
     return run
 
 
-def _pack_sets(parts: int):
+BLOCKS = "block long, nodes binary, sizes binary, tokens binary"
+COUNTED = "block long, tokens binary, times binary"
+
+
+def _blocks_of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, tokens) in blocks of about PACK shingles."""
+    sets, nodes, held, done = [], [], 0, 0
+
+    def packed():
+        sizes = np.array([len(x) for x in sets], dtype="<u4")
+        columns = (_block(done),), (np.array(nodes, dtype="<i8").tobytes(),), (sizes.tobytes(),), (np.concatenate(sets).tobytes(),)
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), *[pa.binary()] * 3))], names=["block", "nodes", "sizes", "tokens"])
+
+    for batch in batches:
+        for node, tokens in zip(batch.column(0), batch.column(1)):
+            sets.append(_numbers(tokens.as_py(), "<u8"))
+            nodes.append(node.as_py())
+            held += len(sets[-1])
+            if held >= PACK:
+                yield packed()
+                sets, nodes, held, done = [], [], 0, done + 1
+    if nodes:
+        yield packed()
+
+
+def _pack_counts(parts: int):
+    """Each block's distinct shingles by ranges of hashes, with how many of its texts have them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, nodes, held, done = [], [], 0, 0
         for batch in batches:
-            for node, tokens in zip(batch.column(0), batch.column(1)):
-                sets.append(_numbers(tokens.as_py(), "<u8"))
-                nodes.append(node.as_py())
-                held += len(sets[-1])
-                if held >= PACK:
-                    yield _pack(_block(done), sets, parts, np.array(nodes, dtype="<i8").tobytes())
-                    sets, nodes, held, done = [], [], 0, done + 1
-        if nodes:
-            yield _pack(_block(done), sets, parts, np.array(nodes, dtype="<i8").tobytes())
+            for block, tokens in zip(batch.column(0).to_pylist(), batch.column(1)):
+                tokens, times = np.unique(_numbers(tokens.as_py(), "<u8"), return_counts=True)
+                rows = [(k, block, own.tobytes(), n.astype("<u4").tobytes()) for k, _, own, n in _by_part(tokens, np.zeros(len(tokens), dtype=np.int64), 1, parts, -1, times)]
+                kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=["part", "block", "tokens", "times"])
 
     return run
 
 
 def _frequencies(table: pa.Table) -> pa.Table:
-    """The rows again, with the number of texts that have each shingle."""
+    """The rows again, with the number of texts of all blocks that have each shingle."""
     tokens = [_numbers(x.as_py(), "<u8") for x in table.column("tokens")]
-    _, inverse, times = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
-    times = np.split(times[inverse].astype("<u4"), _ends([len(x) for x in tokens])[:-1])
-    return pa.table({"block": table.column("block"), "counts": table.column("counts"), "tokens": table.column("tokens"), "times": pa.array([x.tobytes() for x in times], pa.binary()), "info": table.column("info")})
+    _, inverse = np.unique(np.concatenate(tokens), return_inverse=True)
+    times = np.bincount(inverse, weights=np.concatenate([_numbers(x.as_py(), "<u4") for x in table.column("times")]))[inverse]
+    times = np.split(np.minimum(times, 0xFFFFFFFF).astype("<u4"), _ends([len(x) for x in tokens])[:-1])
+    return pa.table({"block": table.column("block"), "tokens": table.column("tokens"), "times": pa.array([x.tobytes() for x in times], pa.binary())})
 
 
 ORDERED = "node long, n long, least long, prefix binary, tokens binary"
 
 
-def _ordered(table: pa.Table) -> pa.Table:
+def _ordered(block: pa.Table, counted: pa.Table) -> pa.Table:
     """Each text of a block: its least shingle in a hash order, and its rarest ones that other texts have too."""
-    nodes = np.concatenate([_numbers(x.as_py(), "<i8") for x in table.column("info") if x.is_valid])
-    tokens = np.concatenate([_numbers(x.as_py(), "<u8") for x in table.column("tokens")])
-    times = np.concatenate([_numbers(x.as_py(), "<u4") for x in table.column("times")])
-    owner = np.concatenate([np.repeat(np.arange(len(nodes)), _numbers(x.as_py(), "<u4")) for x in table.column("counts")])
-    order = np.lexsort((tokens, times, owner))
+    nodes, sizes, tokens = (_numbers(block.column(x)[0].as_py(), kind) for x, kind in (("nodes", "<i8"), ("sizes", "<u4"), ("tokens", "<u8")))
+    known = np.concatenate([_numbers(x.as_py(), "<u8") for x in counted.column("tokens")])
+    times = np.concatenate([_numbers(x.as_py(), "<u4") for x in counted.column("times")])
+    order = np.argsort(known)
+    times = times[order][np.searchsorted(known[order], tokens)]
+    order = np.lexsort((tokens, times, np.repeat(np.arange(len(nodes)), sizes)))
     tokens, times = tokens[order], times[order]
-    sizes = np.bincount(owner, minlength=len(nodes))
     rows: list[list] = [[], [], [], []]
     begin = 0
     for end in _ends(sizes).tolist():
@@ -328,16 +364,20 @@ def _join_group(table: pa.Table) -> pa.Table:
     return pa.table({"node": nodes, "grp": np.full(len(nodes), nodes.min()), "comp": nodes[comp], "n": table.column("n"), "prefix": table.column("prefix"), "tokens": table.column("tokens")})
 
 
-def _members(sets: DataFrame) -> DataFrame:
+def _members(sets: DataFrame, held: Scratch) -> DataFrame:
     size = sets.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
     parts = max(1, ceil(size / SET_BYTES))
-    packed = sets.select("node", "tokens").mapInArrow(_pack_sets(parts), PACKED)
-    times = packed.groupBy("part").applyInArrow(_frequencies, "block long, counts binary, tokens binary, times binary, info binary")
-    ordered = cut(times.groupBy("block").applyInArrow(_ordered, ORDERED), "ordered-sets")
+    blocks = cut(sets.select("node", "tokens").mapInArrow(_blocks_of_sets, BLOCKS), "blocks-of-sets")
+    packed = blocks.select("block", "tokens").mapInArrow(_pack_counts(parts), f"part int, {COUNTED}")
+    counted = packed.groupBy("part").applyInArrow(_frequencies, COUNTED)
+    ordered = cut(blocks.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(_ordered, ORDERED), "ordered-sets")
+    held.drop(blocks)
     large = cut(ordered.groupBy("least").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("splits")).filter(F.col("splits") > 1), "large-groups")
-    joined = ordered.join(_few(large), "least", "left")
+    joined = ordered.join(few(large), "least", "left")
     grouped = joined.withColumn("split", F.pmod(F.xxhash64("node"), F.coalesce("splits", F.lit(1).cast("bigint"))))
-    return cut(grouped.select("least", "split", "node", "n", "prefix", "tokens").groupBy("least", "split").applyInArrow(_join_group, MEMBERS), "groups")
+    members = cut(grouped.select("least", "split", "node", "n", "prefix", "tokens").groupBy("least", "split").applyInArrow(_join_group, MEMBERS), "groups")
+    held.drop(ordered)
+    return members
 
 
 # --- 3: the token-group matrix ---
@@ -346,14 +386,25 @@ CARD = np.dtype([("node", "<i8"), ("grp", "<i8"), ("comp", "<i8"), ("n", "<i8")]
 ENTRIES = "part int, counts binary, tokens binary, places binary, cards binary"
 
 
-def _pack_matrix(parts: int):
-    """Rows (node, grp, comp, n, prefix) by ranges of hashes, each shingle with its place in its text's order."""
+def _pack_matrix(parts: int, first: bool):
+    """Rows (node, grp, comp, n, prefix) by ranges of hashes, each shingle with its place in its text's order.
+
+    first: of the texts with one shingle, a block sends FIRST_TEXTS at most, all components before their second texts.
+    """
 
     def packed(sets: list[np.ndarray], cards: list[tuple]) -> pa.RecordBatch:
         # shingles that no other text has come first in a text's order, and were left out of its prefix
-        places = [np.arange(len(x)) + c[3] - needed(c[3]) + 1 - len(x) for x, c in zip(sets, cards)]
+        places = np.concatenate([np.arange(len(x)) + c[3] - needed(c[3]) + 1 - len(x) for x, c in zip(sets, cards)])
         cards = np.array(cards, dtype=CARD)
-        rows = [(k, counts[counts > 0].tobytes(), tokens.tobytes(), own.astype("<u4").tobytes(), cards[counts > 0].tobytes()) for k, counts, tokens, own in _by_part(sets, parts, -1, places)]
+        tokens, owner = _joined(sets)
+        ordered = np.sort(tokens)
+        if first and (ordered[FIRST_TEXTS:] == ordered[:-FIRST_TEXTS]).any():
+            comps = cards["comp"][owner]
+            order = np.lexsort((places, comps, tokens))
+            order = order[np.lexsort((_places_in_runs(tokens[order], comps[order]), tokens[order]))]
+            kept = np.sort(order[_places_in_runs(tokens[order]) < FIRST_TEXTS])
+            tokens, owner, places = tokens[kept], owner[kept], places[kept]
+        rows = [(k, counts[counts > 0].tobytes(), own.tobytes(), at.astype("<u4").tobytes(), cards[counts > 0].tobytes()) for k, counts, own, at in _by_part(tokens, owner, len(cards), parts, -1, places)]
         columns = [*zip(*rows)] or [()] * 5
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int32(), *[pa.binary()] * 4))], names=["part", "counts", "tokens", "places", "cards"])
 
@@ -380,6 +431,11 @@ def _may_link(q: np.ndarray, at: np.ndarray, x: np.ndarray, places: np.ndarray)
     return (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (rest >= needed_together(n, m))
 
 
+def _distinct(pairs: np.ndarray) -> np.ndarray:
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    return pairs[np.append(True, (pairs[1:] != pairs[:-1]).any(axis=1))] if len(pairs) else pairs
+
+
 def _candidates(first: bool):
     """Candidate groups of texts in other components, with a rarest shingle in common.
 
@@ -400,8 +456,12 @@ def _candidates(first: bool):
             comp = cards["comp"][owner]
             apart = np.minimum.reduceat(comp, begins) != np.maximum.reduceat(comp, begins)
             begins, ends = begins[apart], ends[apart]
-        found: set[tuple[int, int]] = set()
+        found: list[np.ndarray] = []
+        n_found, most = 0, PAIRS
         for begin, end in zip(begins.tolist(), ends.tolist()):
+            if n_found > most:
+                found = [_distinct(np.concatenate(found))]
+                n_found, most = len(found[0]), PAIRS + 2 * len(found[0])
             texts, at = cards[owner[begin:end]], places[begin:end]
             names, sizes = np.unique(texts["comp"], return_counts=True)
             main = names[sizes.argmax()]
@@ -412,16 +472,17 @@ def _candidates(first: bool):
                 held = np.flatnonzero((texts["grp"] == group) & (texts["comp"] == main))
                 asks = asks[_may_link(texts[asks], at[asks], texts[held], at[held]).any(axis=1)]
                 asks = asks[np.unique(texts["comp"][asks], return_index=True)[1]]
-                found.update((x, int(group)) for x in texts["node"][asks].tolist())
+                found.append(np.stack([texts["node"][asks], np.full(len(asks), group)], axis=1))
+                n_found += len(asks)
                 continue
             for k in range(0, len(asks), 512):
                 q = asks[k : k + 512]
                 own, theirs = texts["comp"][q][:, None], texts["comp"]
                 fits = _may_link(texts[q], at[q], texts, at) & ((theirs == main) | (own > theirs))
                 a, b = np.nonzero(fits)
-                pairs = np.unique(np.stack([texts["node"][q[a]], texts["grp"][b]], axis=1), axis=0)
-                found.update(map(tuple, pairs.tolist()))
-        pairs = np.array(sorted(found), dtype=np.int64).reshape(-1, 2)
+                found.append(_distinct(np.stack([texts["node"][q[a]], texts["grp"][b]], axis=1)))
+                n_found += len(found[-1])
+        pairs = _distinct(np.concatenate(found)) if found else np.zeros((0, 2), dtype=np.int64)
         return pa.table({"node": pairs[:, 0], "grp": pairs[:, 1]})
 
     return run
@@ -445,11 +506,13 @@ def _links(members: DataFrame, first: bool) -> DataFrame:
     """Pairs of components (u > v) that a link connects."""
     size = members.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
     parts = max(1, ceil(size / SET_BYTES))
-    packed = members.select("node", "grp", "comp", "n", "prefix").mapInArrow(_pack_matrix(parts), ENTRIES)
+    packed = members.select("node", "grp", "comp", "n", "prefix").mapInArrow(_pack_matrix(parts, first), ENTRIES)
     pairs = cut(packed.groupBy("part").applyInArrow(_candidates(first), "node long, grp long").distinct(), "candidates")
+    if pairs.isEmpty():
+        return pairs.select(F.col("node").alias("u"), F.col("grp").alias("v"))
     asked = pairs.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / 2048).alias("splits"))  # many texts that ask are dealt out
     asked = cut(asked, "asked-groups")
-    asked = _few(asked)
+    asked = few(asked)
     asks = pairs.join(members.select("node", "comp", "n", "tokens"), "node").join(asked, "grp")
     asks = asks.withColumn("split", F.pmod(F.xxhash64("node"), F.col("splits")))
     asks = asks.select("grp", "split", *(F.col(x).alias(f"q_{x}") for x in ("comp", "n", "tokens")))
@@ -487,10 +550,10 @@ def components(links: DataFrame) -> DataFrame:
 
 def _relabelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """members with their components' labels, in new groups: a component's texts stand together."""
-    named = members.join(_few(labels.select(F.col("node").alias("comp"), "label")), "comp", "left").withColumn("comp", F.coalesce("label", "comp")).drop("label")
+    named = members.join(few(labels.select(F.col("node").alias("comp"), "label")), "comp", "left").withColumn("comp", F.coalesce("label", "comp")).drop("label")
     named = cut(named, "relabelled")
     large = cut(named.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("splits")).filter(F.col("splits") > 1), "large-components")
-    both = named.join(_few(large), "comp", "left")
+    both = named.join(few(large), "comp", "left")
     return both.withColumn("grp", F.xxhash64("comp", F.pmod(F.xxhash64("node"), F.coalesce("splits", F.lit(1).cast("bigint"))))).drop("splits")
 
 
@@ -505,22 +568,24 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     """
     hashed = docs.select(F.col(key).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     hashed = hashed.select("id", "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(WORDS), "text").alias("h2"))
-    marked = _marked(hashed, words)
-    alive = cut(marked.filter("alive").select("h1", "h2").distinct(), "alive-texts")
-    texts = hashed.join(_few(alive), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.any_value("text").alias("text"))
-    sets = cut(texts.mapInArrow(_sets_of(words), "h1 long, h2 long, n long, tokens binary").withColumn("node", F.monotonically_increasing_id()), "shingle-sets")
-
-    members = _members(sets)
-    for first in (True, False):
-        links = _links(members, first)
-        if not links.isEmpty():
-            members = cut(_relabelled(members, components(links)), "connected-groups")
-
-    classes = marked.filter("n > 0").groupBy("h1", "h2").agg(F.min("id").alias("rep"))
-    classes = cut(classes.join(sets.select("h1", "h2", "node"), ["h1", "h2"], "left").join(members.select("node", "comp"), "node", "left").select("h1", "h2", "rep", "comp"), "text-classes")
-    connected = classes.filter("comp IS NOT NULL")
-    least = cut(connected.groupBy("comp").agg(F.min("rep").alias("least")), "least-keys")
-    named = connected.join(_few(least), "comp").select("h1", "h2", F.col("least").alias("component_id"))
-    named = cut(named.unionByName(classes.filter("comp IS NULL").select("h1", "h2", F.col("rep").alias("component_id"))), "named-classes")
+    with Scratch(docs.sparkSession) as held:
+        marked = held.keep(_marked(hashed, words))
+        alive = cut(marked.filter("alive").select("h1", "h2").distinct(), "alive-texts")
+        texts = hashed.join(few(alive), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.any_value("text").alias("text"))
+        sets = cut(texts.mapInArrow(_sets_of(words), "h1 long, h2 long, n long, tokens binary").withColumn("node", F.monotonically_increasing_id()), "shingle-sets")
+
+        members = _members(sets, held)
+        for first in (True, False):
+            links = _links(members, first)
+            if not links.isEmpty():
+                before, members = members, cut(_relabelled(members, components(links)), "connected-groups")
+                held.drop(before)
+
+        classes = marked.filter("n > 0").groupBy("h1", "h2").agg(F.min("id").alias("rep"))
+        classes = cut(classes.join(sets.select("h1", "h2", "node"), ["h1", "h2"], "left").join(members.select("node", "comp"), "node", "left").select("h1", "h2", "rep", "comp"), "text-classes")
+        connected = classes.filter("comp IS NOT NULL")
+        least = cut(connected.groupBy("comp").agg(F.min("rep").alias("least")), "least-keys")
+        named = connected.join(few(least), "comp").select("h1", "h2", F.col("least").alias("component_id"))
+        named = held.keep(cut(named.unionByName(classes.filter("comp IS NULL").select("h1", "h2", F.col("rep").alias("component_id"))), "named-classes"))
     found = marked.join(named, ["h1", "h2"], "left")
     return found.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))

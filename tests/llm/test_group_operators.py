@@ -13,6 +13,7 @@ import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from sieveline.llm import bpe, chat, decontaminate, neighbours, ngram_join, registry, sharding  # noqa: E402
+from sieveline import session  # noqa: E402
 from sieveline.session import read_table  # noqa: E402
 
 SCHEMA = "doc_id long, text string, node long, grp long, n long, tokens string"
@@ -49,12 +50,28 @@ def test_near_copies(spark, seed, monkeypatch):
         monkeypatch.setattr(ngram_join, "GROUP", 3)
         monkeypatch.setattr(ngram_join, "TEXT_BYTES", 4000)
         monkeypatch.setattr(ngram_join, "SET_BYTES", 4000)
-        monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 1)
+        monkeypatch.setattr(ngram_join, "PACK", 600)
+        monkeypatch.setattr(ngram_join, "FIRST_TEXTS", 2)
+        monkeypatch.setattr(ngram_join, "PAIRS", 3)
+        monkeypatch.setattr(session, "BROADCAST_BYTES", 1)
     rows = corpus(seed)
     want = {(i, *x) for (i, _), x in zip(rows, brute.near_copies(rows))}
     assert {tuple(x) for x in ngram_join.near_copies(table(spark, rows).repartition(5)).collect()} == want
 
 
+def test_near_copies_of_one_passage_in_all_texts(spark):
+    """A block of texts sends a shingle once, however many of its texts have it."""
+    draw = random.Random(3)
+    passage = "this licence line stands in all"
+    texts = [passage + " " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(20)) for _ in range(2000)]
+    docs = spark.createDataFrame([(i, t, i, i) for i, t in enumerate(texts)], "id long, text string, h1 long, h2 long").coalesce(4)
+    sent = docs.mapInArrow(ngram_join._pack_texts(50, 5), ngram_join.PACKED).selectExpr("part", "octet_length(tokens) AS n").groupBy("part").sum("n").collect()
+    sizes = sorted(x[1] for x in sent)
+    assert len(sizes) == 50 and sizes[-1] < 1.3 * sizes[25]
+    got = ngram_join.near_copies(docs.select(docs.id.alias("doc_id"), "text"))
+    assert got.filter("doc_id = component_id").count() == 2000
+
+
 def test_near_copies_odd_tables(spark):
     rows = [(3, "a b c d e f g"), (3, "a b c d e f g"), (None, "a b c d e f g"), (None, "z y"), (None, None), (7, None), (8, "z y"), (9, "only null keys"), (1, "a b c d e f g h i j k l m n o p q r s")]
     got = sorted(((x.doc_id, x.n_shingles, x.component_id) for x in ngram_join.near_copies(table(spark, rows)).collect()), key=str)
