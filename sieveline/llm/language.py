@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sieveline.llm import workers
-from sieveline.session import cut
+from sieveline.session import Scratch, cut
 
 #: Bounds of the sample that the classifier is fitted on: texts of each language and of all, and their length.
 SAMPLE = 300
@@ -198,7 +198,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
     What comes to the driver is that sample, whatever keys repeat or are null. Without such rows it knows no language.
     """
-    kept = sorted(sampled(docs, key, text, lang, sample).collect(), key=lambda x: (x["lang"], x["order"], x["text"]))
+    with Scratch(docs.sparkSession):
+        kept = sorted(sampled(docs, key, text, lang, sample).collect(), key=lambda x: (x["lang"], x["order"], x["text"]))
     return Classifier([x["text"] for x in kept], [x["lang"] for x in kept])
 
 

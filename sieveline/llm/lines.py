@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.session import cut
+from sieveline.session import Scratch, cut
 
 MIN_SITES = 10
 LG_K = 10
@@ -56,7 +56,8 @@ def remove_widespread_lines(docs: DataFrame, min_sites: int = MIN_SITES, key: st
     site of its own. Columns of docs named like the two that are added are replaced; all others stay, as do
     repeated rows. Work is linear in a text's lines, however many of them go.
     """
-    spread = cut(widespread_lines(docs, min_sites, key, text, site), "widespread-lines")
+    with Scratch(docs.sparkSession) as held:
+        spread = held.keep(cut(widespread_lines(docs, min_sites, key, text, site), "widespread-lines"))
     lines = _lines(docs, key, text, site).select("key", "body", "at", "h1", "h2")
     gone = lines.join(spread, ["h1", "h2"]).filter(~(F.col("key").eqNullSafe(F.col("first.key")) & (F.col("body") == F.col("first.body")) & (F.col("at") == F.col("first.at"))))
     gone = gone.groupBy("key", "body").agg(F.collect_set("at").alias("_gone"))
