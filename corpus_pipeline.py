@@ -1,7 +1,7 @@
 """A training corpus in five stages, each over all that its predecessor kept.
 
 run() applies the stages one after the other; each result is written to the shared folder and read again, so
-a lost executor costs no more than the stage that runs.
+a lost executor costs no more than the stage that runs. What a stage read is deleted once its own result stands.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.llm import bpe, decontaminate, language, lines, ngram_join
-from sieveline.session import cut, read_table
+from sieveline.session import Scratch, cut, few, read_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -34,11 +34,6 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", changed).select(*COLUMNS)
 
 
-def _few(keys: DataFrame) -> DataFrame:
-    """A written table of keys, to be broadcast if its rows are few."""
-    return F.broadcast(keys) if keys.count() < ngram_join.BROADCAST_ROWS else keys
-
-
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the least doc_id.
 
@@ -47,12 +42,12 @@ def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     found = ngram_join.near_copies(docs)
     copies = cut(found.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct(), "near-copies")
-    kept = docs.join(_few(copies), "doc_id", "left_anti").select(*COLUMNS)
+    kept = docs.join(few(copies), "doc_id", "left_anti").select(*COLUMNS)
     again = cut(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated-ids")
     if again.isEmpty():
         return kept
-    once = kept.join(_few(again), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(_few(again), "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
+    once = kept.join(few(again), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(few(again), "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,8 +73,11 @@ ORACLE_SQL = None  # a language classifier and token ids have no SQL; tests/llm
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for n, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if n + 1 < len(STAGES):
-            docs = cut(docs, f"pipeline-{n}-{name.replace(' ', '-')}")
-    return docs
+    with Scratch(spark) as held:
+        for n, (name, stage) in enumerate(STAGES[:-1]):
+            with Scratch(spark) as own:  # what a stage cuts on its way goes once its result stands
+                kept = own.keep(cut(stage(spark, docs, sf_dir), f"pipeline-{n}-{name.replace(' ', '-')}"))
+            held.drop(docs)
+            docs = kept
+        held.keep(docs)  # the last stage is still to be computed from it
+    return STAGES[-1][1](spark, docs, sf_dir)
