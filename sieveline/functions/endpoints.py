@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.schema import API_SYNONYMS, CLI_SYNONYMS, ENDPOINTS
+from sieveline.session import cut
 
 MIN_LIKENESS = 0.55
 #: Isoforms that have endpoints of their own, and tokens that name none.
@@ -55,7 +56,10 @@ def likeness(a: Column, b: Column) -> Column:
 
     Shared pairs are counted once each, their numbers in the denominator as often as they occur.
     """
-    pairs_a, pairs_b, tokens_a, tokens_b = bigrams(a), bigrams(b), F.split(a, " "), F.split(b, " ")
+    return _likeness(bigrams(a), bigrams(b), F.split(a, " "), F.split(b, " "))
+
+
+def _likeness(pairs_a: Column, pairs_b: Column, tokens_a: Column, tokens_b: Column) -> Column:
     total = F.size(pairs_a) + F.size(pairs_b)
     dice = F.when(total > 0, 2.0 * F.size(F.array_intersect(pairs_a, pairs_b)) / F.when(total > 0, total)).otherwise(0.0)
     union = F.size(F.array_union(tokens_a, tokens_b))
@@ -75,8 +79,11 @@ def best_stretch(names: DataFrame, name: str, synonyms: list[tuple[str, str]], o
 
 def most_alike(names: DataFrame, name: str, labels: list[str], out: str = "alike", score: str = "score") -> DataFrame:
     """names with the label most like each, the first listed of equals, and its score."""
-    listed = names.sparkSession.createDataFrame([(x, _normal(x), i) for i, x in enumerate(labels)], "label string, normal string, place int")
-    scored = names.select(name).distinct().crossJoin(F.broadcast(listed)).withColumn("s", likeness(F.col(name), F.col("normal")))
+    rows = [(x, [y[k : k + 2] for k in range(len(y) - 1)], _normal(x).split(" "), i) for i, x in enumerate(labels) if (y := _normal(x).replace(" ", "")) is not None]
+    listed = names.sparkSession.createDataFrame(rows, "label string, pairs array<string>, tokens array<string>, place int")
+    # pairs and tokens of a name are worked out once, before it meets the labels
+    own = names.select(name).distinct().select(name, bigrams(F.col(name)).alias("_pairs"), F.split(name, " ").alias("_tokens")).filter(F.col(name).isNotNull())
+    scored = own.crossJoin(F.broadcast(listed)).withColumn("s", _likeness(F.col("_pairs"), F.col("pairs"), F.col("_tokens"), F.col("tokens")))
     best = scored.groupBy(name).agg(F.max_by(F.struct("label", "s"), F.struct("s", (-F.col("place")).alias("first"))).alias("best"))
     return names.join(best.select(name, F.col("best.label").alias(out), F.col("best.s").alias(score)), name, "left")
 
@@ -84,17 +91,20 @@ def most_alike(names: DataFrame, name: str, labels: list[str], out: str = "alike
 def match_endpoints(df: DataFrame, column: str, dialect: str = "api", own: dict[str, str] | None = None, min_likeness: float = MIN_LIKENESS, endpoints: tuple[str, ...] = ENDPOINTS) -> DataFrame:
     """Each distinct name of a column and its endpoint, itself where it has none: (column, endpoint).
 
-    In order: CYP isoforms; exact names; unmappable tokens; synonyms as whole-token stretches; likeness.
+    In order: CYP isoforms; exact names; unmappable tokens; synonyms as whole-token stretches; likeness. Each step
+    is asked about the names that the steps before it left open; distinct names are written in between.
     """
     synonyms = synonym_list(dialect, own)
     names = df.select(F.col(column)).filter(F.col(column).isNotNull()).distinct().withColumn("_n", normal_name(F.col(column)))
     exact = names.sparkSession.createDataFrame(synonyms, "_n string, exact string")
-    found = best_stretch(names.join(F.broadcast(exact), "_n", "left"), "_n", synonyms)
-    found = most_alike(found, "_n", list(endpoints))
     own_text = F.col(column)
     unmappable = F.arrays_overlap(F.split("_n", " "), F.array(*map(F.lit, UNMAPPABLE)))
-    alike = F.when(F.col("score") >= min_likeness, F.col("alike"))
-    return found.select(own_text, F.coalesce(cyp_endpoint(own_text), F.col("exact"), F.when(unmappable, own_text), F.col("stretch"), alike, own_text).alias("endpoint"))
+    named = names.join(F.broadcast(exact), "_n", "left").select(own_text, "_n", F.coalesce(cyp_endpoint(own_text), F.col("exact"), F.when(unmappable, own_text)).alias("endpoint"))
+    named = cut(named, "endpoint-names")
+    stretched = cut(best_stretch(named.filter("endpoint IS NULL").drop("endpoint"), "_n", synonyms), "endpoint-stretches")
+    alike = most_alike(stretched.filter("stretch IS NULL").drop("stretch"), "_n", list(endpoints))
+    alike = alike.select(own_text, F.coalesce(F.when(F.col("score") >= min_likeness, F.col("alike")), own_text).alias("endpoint"))
+    return named.filter("endpoint IS NOT NULL").select(column, "endpoint").unionByName(stretched.filter("stretch IS NOT NULL").select(own_text, F.col("stretch").alias("endpoint"))).unionByName(alike)
 
 
 def map_endpoints(df: DataFrame, column: str, mapping: DataFrame, out: str = "endpoint") -> DataFrame:

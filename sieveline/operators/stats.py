@@ -171,8 +171,8 @@ def gaussian_mixture_outliers(df: DataFrame, value: str, parts: int = 2, share:
         mean, variance = float(normal.mean[0]), max(float(normal.cov.toArray()[0, 0]), 1e-12)
         density = density + F.lit(float(weight) / (2 * 3.141592653589793 * variance) ** 0.5) * F.exp(-F.pow(F.col(value) - mean, F.lit(2.0)) / (2 * variance))
     scored = known.withColumn("log_density", F.log(density + 1e-300))
-    limit = scored.agg(F.percentile("log_density", F.lit(share)).alias("_limit"))
-    return scored.crossJoin(F.broadcast(limit)).withColumn("is_outlier", F.col("log_density") < F.col("_limit")).drop("_limit")
+    limit = exact_quantiles(scored, (), "log_density", (share,), "_limit")
+    return join_back(scored, limit, ()).withColumn("is_outlier", F.col("log_density") < F.get("_limit", F.lit(0))).drop("_limit")
 
 
 def one_class_svm_outliers(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:

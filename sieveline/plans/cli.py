@@ -14,6 +14,8 @@ def main(arguments: list[str] | None = None) -> int:
     given = config.from_arguments(words)
     path = given.pop("config", None)
     settings = config.Settings().merged(config.from_file(path) if path else {}).merged(given)
+    if settings.endpoint_mapper != "manual":
+        raise ValueError("an outside mapper is a callable, which only callers in Python can give: see pipeline.wide_matrix")
     spark = build_session()
     if settings.to_matrix:
         wide, unmapped = pipeline.run_matrix(spark, settings)

@@ -120,7 +120,7 @@ def wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str]
     text = lambda name: F.col(f"`{lowered[name]}`") if name in lowered else F.lit(SENTINEL)
     keyed = df.withColumn("endpoint_key", endpoint_key(text("test"), text("test_type"), text("measurement_type")))
     mapping = endpoints.map_by_callable(keyed, "endpoint_key", ask) if ask else endpoints.match_endpoints(keyed, "endpoint_key", settings.dialect, own_synonyms, settings.min_similarity, names)
-    mapped = endpoints.map_endpoints(keyed, "endpoint_key", F.broadcast(mapping))
+    mapped = endpoints.map_endpoints(keyed, "endpoint_key", mapping)
     if prepared or "measurement_unit" not in lowered:
         valued = mapped.withColumn("value_si", number(F.col(f"`{value}`").cast("string")))
     else:
@@ -182,5 +182,5 @@ def rename_for_conversion(df: DataFrame, dialect: str = "api") -> DataFrame:
     short = {"Chemical ID": "compound_id", "SMILES_Structure_Parent": "smiles", "Test": "original_endpoint", "Test_Type": "test_type", "Test_Subject": "species", "Measurement_Type": "measurement_type", "Measurement_Relation": "relation", "Measurement_Value": "value", "Measurement_Unit": "unit"}
     named = cleaning.canonicalise_columns(df)
     kept = named.select(*(F.col(f"`{x}`").alias(short[x]) for x in named.columns if x in short))
-    mapped = endpoints.map_endpoints(kept, "original_endpoint", F.broadcast(endpoints.match_endpoints(kept, "original_endpoint", dialect)))
+    mapped = endpoints.map_endpoints(kept, "original_endpoint", endpoints.match_endpoints(kept, "original_endpoint", dialect))
     return mapped.withColumns({"original_endpoint": F.col("endpoint"), "value": number(F.col("value").cast("string"))}).drop("endpoint")

@@ -128,10 +128,12 @@ def read_endpoints(spark: SparkSession, path: str | None = None) -> tuple[str, .
     return tuple(x.strip() for x in first[0].value.split("\t") if x.strip()) if first else ()
 
 
-def read_vocabulary(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
-    """A controlled vocabulary: the columns of a small CSV, each without its blanks."""
+def read_vocabulary(spark: SparkSession, path: str, most: int = 10_000) -> dict[str, tuple[str, ...]]:
+    """A controlled vocabulary: the columns of a small CSV, each without its blanks; raises beyond most rows."""
     table = spark.read.option("header", True).csv(path)
-    rows = table.limit(10_000).collect()
+    rows = table.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows of vocabulary")
     return {c: tuple(x[c] for x in rows if x[c]) for c in table.columns}
 
 

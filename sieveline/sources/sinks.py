@@ -19,8 +19,8 @@ def task_name(*columns: Column) -> Column:
 def write_tasks(df: DataFrame, path: str, task: str = "task", by_split: bool = False, form: str = "parquet") -> None:
     """One folder per task, and in it, if asked, one per split; empty ones don't come up."""
     by = [task, "split"] if by_split else [task]
-    # rows of a task stay together, so that a task is written by few files
-    writer = df.repartition(*by).write.mode("overwrite").partitionBy(*by)
+    # rows of a task stay together, so that it is written by few files; a large one is split over several tasks
+    writer = df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by)
     (writer.option("header", True).csv if form == "csv" else writer.parquet)(path)
 
 
