@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sieveline.functions.cleaning import number
-from sieveline.operators.stats import exact_quantiles, join_back
+from sieveline.operators.stats import CHUNK, exact_quantiles, join_back, sorted_chunks
 
 DIGITS = 3
 
@@ -40,17 +40,19 @@ def random_split(df: DataFrame, keys: Sequence[str], row_id: str, test: float =
     return ranked.withColumn("split", _parts(F.col("_rank"), F.col("_rank_n"), test, valid)).drop("_rank", "_rank_n")
 
 
-def group_split(df: DataFrame, keys: Sequence[str], group: str, row_id: str, test: float = 0.2, valid: float = 0.1) -> DataFrame:
+def group_split(df: DataFrame, keys: Sequence[str], group: str, row_id: str, test: float = 0.2, valid: float = 0.1, chunk: int = CHUNK) -> DataFrame:
     """Whole groups, largest first (of equal ones, by first row): test until it has its share, then valid, then train.
 
-    A null group is a group. What is summed up is sizes of groups and places among groups of one size.
+    A null group is a group; row_id is a number. What is summed up is sizes of groups and places among groups of one size.
     """
     groups = df.groupBy(*keys, group).agg(F.count(F.lit(1)).alias("_n"), F.min(row_id).alias("_first"))
     sizes = groups.groupBy(*keys, "_n").agg(F.count(F.lit(1)).alias("_of"))
     larger = Window.partitionBy(*keys).orderBy(F.desc("_n")).rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumns({"_above": F.coalesce(F.sum(F.col("_n") * F.col("_of")).over(larger), F.lit(0)), "_all": F.sum(F.col("_n") * F.col("_of")).over(Window.partitionBy(*keys))}).drop("_of")
-    place = F.row_number().over(Window.partitionBy(*keys, "_n").orderBy("_first")) - 1
-    placed = join_back(groups.withColumn("_place", place), sizes, [*keys, "_n"]).withColumn("_before", F.col("_above") + F.col("_place") * F.col("_n"))
+    # many groups may be of one size, such as those of one row: places come from buckets of the order, not from one window
+    same = groups.withColumnRenamed("_n", "_rows")
+    same = sorted_chunks(same, [*keys, "_rows"], "_first", group, 0, chunk).select(*keys, group, F.col("_rows").alias("_n"), F.col("_pos").alias("_place"))
+    placed = join_back(same, sizes, [*keys, "_n"]).withColumn("_before", F.col("_above") + F.col("_place") * F.col("_n"))
     is_test = F.col("_before") / F.col("_all") < test
     full = placed.groupBy(*keys).agg(F.coalesce(F.max(F.when(is_test, F.col("_before") + F.col("_n"))), F.lit(0)).alias("_full"))
     told = join_back(placed, full, keys)

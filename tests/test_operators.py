@@ -114,13 +114,14 @@ def test_random_split_sizes(spark):
     assert counts == {("a", "test"): 16, ("a", "valid"): 8, ("a", "train"): 53, (None, "test"): 5, (None, "valid"): 3, (None, "train"): 15}
 
 
-@pytest.mark.parametrize("sizes", [[16, 15] + [5] * 8 + [2, 2, 1, 1], [1] * 10, [50, 1], [3, 3, 3, 1]])
-def test_group_split_is_the_greedy_fill(spark, sizes):
+@pytest.mark.parametrize("chunk", [stats.CHUNK, 3])
+@pytest.mark.parametrize("sizes", [[16, 15] + [5] * 8 + [2, 2, 1, 1], [1] * 10, [50, 1], [3, 3, 3, 1], [2] * 7 + [1] * 300])
+def test_group_split_is_the_greedy_fill(spark, sizes, chunk):
     rows, first = [], 0
     for g, n in enumerate(sizes):
         rows += [(first + i, g, "a") for i in range(n)]
         first += n
-    got = {(x.g): x.split for x in split.group_split(frame(spark, rows, "i long, g long, k string"), KEYS, "g", "i").select("g", "split").distinct().collect()}
+    got = {(x.g): x.split for x in split.group_split(frame(spark, rows, "i long, g long, k string"), KEYS, "g", "i", chunk=chunk).select("g", "split").distinct().collect()}
     total, test, valid, want = len(rows), 0, 0, {}
     for g in sorted(range(len(sizes)), key=lambda g: -sizes[g]):
         if test / total < 0.2:
