@@ -19,7 +19,7 @@ def main(arguments: list[str] | None = None) -> int:
     spark = build_session()
     if settings.to_matrix:
         wide, unmapped = pipeline.run_matrix(spark, settings)
-        sinks.write_matrix(wide, settings.output_path, settings.activity_col, settings.endpoint_mapper, 0, False)
+        sinks.write_matrix(wide, settings.output_path, settings.activity_col, settings.endpoint_mapper, *pipeline.matrix_facts(spark, settings))
         if "endpoint_key" in unmapped.columns:
             sinks.write_unmapped(unmapped, f"{settings.output_path}/unmapped", "endpoint_key")
     else:

@@ -6,7 +6,7 @@ import logging
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.functions import cleaning, endpoints, ph, units
@@ -18,6 +18,7 @@ from sieveline.sources.config import Settings
 
 PH_COLUMNS = ("pH", "pH_Value", "Measurement_pH", "Test_pH")
 PK_TEST = "Pharmacokinetics"
+PK_TEXTS = ("test", "test_type", "measurement_type", "test_subject")
 
 
 def _case(lower: bool) -> Callable[[str], str]:
@@ -109,6 +110,12 @@ def _find(columns: list[str], wanted: list[str], holds: Callable[[str], bool], w
     raise ValueError(f"no {what} column")
 
 
+def _texts(df: DataFrame) -> Callable[[str], Column]:
+    """The column of a lower-case name, or what stands for one that is lacking."""
+    lowered = {x.lower(): x for x in df.columns}
+    return lambda name: F.col(f"`{lowered[name]}`") if name in lowered else F.lit(SENTINEL)
+
+
 def wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str] | None = None, ask: Callable[[list[str]], dict[str, str]] | None = None, names: tuple[str, ...] = ENDPOINTS) -> tuple[DataFrame, DataFrame]:
     """The wide matrix and the records without an endpoint. ask: an outside mapper of distinct names, in place of the rules."""
     columns = df.columns
@@ -116,8 +123,7 @@ def wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str]
     smiles = _find(columns, ["Standardized_SMILES", "smiles_structure_parent", "smiles"] if prepared else [settings.smiles_col, "smiles_structure_parent"], lambda x: "smiles" in x, "structure")
     ladder = ["measurement_value_si", "measurement_value_scaled", "measurement_value"] if prepared else [settings.activity_col]
     value = _find(columns, ladder, lambda x: "measurement" in x and "value" in x or prepared and "activity" in x, "activity")
-    lowered = {x.lower(): x for x in columns}
-    text = lambda name: F.col(f"`{lowered[name]}`") if name in lowered else F.lit(SENTINEL)
+    lowered, text = {x.lower(): x for x in columns}, _texts(df)
     keyed = df.withColumn("endpoint_key", endpoint_key(text("test"), text("test_type"), text("measurement_type")))
     mapping = endpoints.map_by_callable(keyed, "endpoint_key", ask) if ask else endpoints.match_endpoints(keyed, "endpoint_key", settings.dialect, own_synonyms, settings.min_similarity, names)
     mapped = endpoints.map_endpoints(keyed, "endpoint_key", mapping)
@@ -132,7 +138,7 @@ def wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str]
     if efflux:
         valued = matrix.inject_ratio_rows(valued, "endpoint", "value_si", efflux)
     fill = 0.0 if settings.fill_missing or settings.dialect == "cli" else None
-    pk = matrix.is_pk_row(*(text(x) for x in ("test", "test_type", "measurement_type", "test_subject")))
+    pk = matrix.is_pk_row(*(text(x) for x in PK_TEXTS))
     wide = matrix.matrix_with_rows(valued.withColumnRenamed(smiles, "smiles"), "smiles", "endpoint", "value_si", names, F.coalesce(pk, F.lit(False)), fill)
     return wide, matrix.unmapped(valued, "endpoint", names)
 
@@ -147,6 +153,18 @@ def run_matrix(spark: SparkSession, settings: Settings) -> tuple[DataFrame, Data
     return wide_matrix(records, settings, own)
 
 
+def matrix_facts(spark: SparkSession, settings: Settings) -> tuple[int, bool]:
+    """How many distinct names a source asks endpoints for, and whether any of its records is of pharmacokinetics."""
+    try:
+        records = readers.read_records(spark, settings.input_path)
+    except readers.HumanPkWorkbook:
+        return 0, True
+    text = _texts(records)
+    key, pk = endpoint_key(text("test"), text("test_type"), text("measurement_type")), matrix.is_pk_row(*(text(x) for x in PK_TEXTS))
+    told = records.select(key.alias("key"), pk.alias("pk")).agg(F.count_distinct("key").alias("names"), F.coalesce(F.bool_or("pk"), F.lit(False)).alias("pk")).first()
+    return told.names, told.pk
+
+
 def preprocess_frame(df: DataFrame, task_type: str, task: str | None = None, settings: Settings | None = None, **options) -> DataFrame:
     """Python's way in: one task's records, all of them, by lower-case canonical names; raises where nothing is left."""
     settings = (settings or Settings()).merged({"activity_col": "measurement_value", "smiles_col": "smiles_structure_parent", "dialect": "api", "correct_ph": True} | options)

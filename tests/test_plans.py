@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sieveline import session
 from sieveline.functions.cleaning import SENTINEL
 from sieveline.operators import chem, quality
-from sieveline.plans import pipeline, registry
+from sieveline.plans import cli, pipeline, registry
 from sieveline.sources import config, readers, sinks
 from sieveline.streaming import records
 
@@ -97,6 +97,12 @@ def test_matrix(spark, assay, tmp_path):
     assert api.filter("smiles = 'SM2'").first()["DILI"] is None
 
 
+def test_matrix_by_command_line(spark, assay, tmp_path):
+    assert cli.main(["--input-path", assay, "--to-matrix", "--output-path", str(tmp_path / "out")]) == 0
+    told = json.loads(spark.read.text(str(tmp_path / "out" / "metadata")).first()[0])
+    assert told["endpoint_map_size"] == 5 and told["has_pk"] is True and told["columns"] == 87
+
+
 def test_python_entry(spark, assay):
     raw = readers.read_csv(spark, assay).limit(60)
     out = pipeline.preprocess_frame(raw, "regression")
