@@ -94,23 +94,34 @@ def descriptors(df: DataFrame, structure: str) -> DataFrame:
     return df.join(known.select(structure, "_d.*"), structure, "left")
 
 
-def atom_graph(df: DataFrame, structure: str) -> DataFrame:
-    """df with nodes (atomic number, degree, charge, hydrogens, aromatic) and edges (src, dst, order) of each structure."""
+def atom_graph(df: DataFrame, structure: str, places: bool = False) -> DataFrame:
+    """df with nodes (features of each atom) and edges (src, dst, features; both ways) of each structure.
+
+    The toolkit only tells attributes; features, one-hot or as places, are columns. Null for what is no structure.
+    """
+    from sieveline.operators import features
+
     _toolkit()
 
-    @F.pandas_udf("nodes array<array<double>>, edges array<struct<src:int,dst:int,bond:double>>")
-    def drawn(parts: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf(
+        "atoms array<struct<number:int,degree:int,chirality:string,charge:int,hybridisation:string,hydrogens:int,aromatic:boolean>>,"
+        "bonds array<struct<src:int,dst:int,kind:string,direction:string,conjugated:boolean,ring:boolean>>"
+    )
+    def told(parts: pd.Series) -> pd.DataFrame:
         from rdkit import Chem
 
         def one(text):
             mol = Chem.MolFromSmiles(text) if text else None
             if mol is None:
                 return None, None
-            nodes = [[float(a.GetAtomicNum()), float(a.GetDegree()), float(a.GetFormalCharge()), float(a.GetTotalNumHs()), float(a.GetIsAromatic())] for a in mol.GetAtoms()]
-            edges = [(b.GetBeginAtomIdx(), b.GetEndAtomIdx(), b.GetBondTypeAsDouble()) for b in mol.GetBonds()]
-            return nodes, [{"src": x, "dst": y, "bond": o} for a, b, o in edges for x, y in ((a, b), (b, a))]
+            atoms = [{"number": a.GetAtomicNum(), "degree": a.GetTotalDegree(), "chirality": str(a.GetChiralTag()), "charge": a.GetFormalCharge(), "hybridisation": str(a.GetHybridization()), "hydrogens": a.GetTotalNumHs(), "aromatic": a.GetIsAromatic()} for a in mol.GetAtoms()]
+            bonds = [(b.GetBeginAtomIdx(), b.GetEndAtomIdx(), str(b.GetBondType()), str(b.GetBondDir()), b.GetIsConjugated(), b.IsInRing()) for b in mol.GetBonds()]
+            return atoms, [{"src": x, "dst": y, "kind": k, "direction": d, "conjugated": c, "ring": r} for a, b, k, d, c, r in bonds for x, y in ((a, b), (b, a))]
 
-        return pd.DataFrame([one(x) for x in parts], columns=["nodes", "edges"])
+        return pd.DataFrame([one(x) for x in parts], columns=["atoms", "bonds"])
 
-    known = df.select(structure).distinct().withColumn("_g", drawn(F.col(structure)))
-    return df.join(known.select(structure, "_g.*"), structure, "left")
+    of_atom, of_bond = (features.atom_indices, features.bond_indices) if places else (features.atom_onehot, features.bond_onehot)
+    nodes = F.transform("_g.atoms", lambda a: of_atom(*(a[x] for x in ("number", "degree", "chirality", "charge", "hybridisation", "hydrogens", "aromatic"))))
+    edges = F.transform("_g.bonds", lambda b: F.struct(b["src"].alias("src"), b["dst"].alias("dst"), of_bond(*(b[x] for x in ("kind", "direction", "conjugated", "ring"))).alias("bond")))
+    known = df.select(structure).distinct().withColumn("_g", told(F.col(structure)))
+    return df.join(known.select(structure, nodes.alias("nodes"), edges.alias("edges")), structure, "left")

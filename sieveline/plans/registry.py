@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.functions import cleaning, endpoints, ph, units
-from sieveline.operators import chem, dedup, matrix, quality, split, stats, summary
+from sieveline.operators import chem, dedup, features, matrix, quality, split, stats, summary
 from sieveline.session import read_table
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -132,6 +132,16 @@ def task_profile_many(spark, sf_dir):
     return _profile(spark, sf_dir, ("l_suppkey",))
 
 
+@query("""WITH t AS (SELECT l_suppkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 'inactive' WHEN l_discount < 0.02 THEN 'Active' ELSE 'active' END AS v FROM lineitem),
+p AS (SELECT l_suppkey, l_linenumber, count(*) AS n, count(*) FILTER (WHERE v = 'active') AS n_active, count(*) FILTER (WHERE v = 'inactive') AS n_inactive FROM t GROUP BY ALL)
+SELECT *, 'classification' AS task_type, n >= 50 AND n_active >= 25 AND n_inactive >= 25 AS has_quorum FROM p""")
+def class_quorum(spark, sf_dir):
+    """Tasks of words, some with too few of a class; other spellings of a class don't count."""
+    word = F.when(F.col("l_returnflag") == "R", F.lit("inactive")).when(F.col("l_discount") < 0.02, F.lit("Active")).otherwise(F.lit("active"))
+    told = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_linenumber", word.alias("v"))
+    return quality.task_profile(told, ("l_suppkey", "l_linenumber"), "v").select("l_suppkey", "l_linenumber", "n", "n_active", "n_inactive", "task_type", "has_quorum")
+
+
 @query("""SELECT event_id, user_id FROM events WHERE (user_id) IN (SELECT user_id FROM events GROUP BY user_id HAVING count(*) >= 50 AND count(*) - count(*) FILTER (WHERE CAST(value AS VARCHAR) SIMILAR TO '[<>].*') >= 25
   AND NOT bool_and(value IN (0, 1)))""")
 def quorum_records(spark, sf_dir):
@@ -237,15 +247,27 @@ def threshold_label(spark, sf_dir):
     return stats.labels(customers, ("c_mktsegment",), "text", "c_acctbal", 4500.0, out="label").select("c_custkey", "label")
 
 
-@query("""WITH m AS (SELECT l_suppkey, count(*)::DOUBLE AS n, avg(l_extendedprice) AS mu FROM lineitem GROUP BY l_suppkey),
-p AS (SELECT l.l_suppkey, any_value(n) AS n, avg(power(l_extendedprice - mu, 2)) AS m2, avg(power(l_extendedprice - mu, 3)) AS m3, avg(power(l_extendedprice - mu, 4)) AS m4 FROM lineitem l JOIN m ON l.l_suppkey = m.l_suppkey GROUP BY l.l_suppkey),
-g AS (SELECT l_suppkey, n, m3 / power(m2, 1.5) AS g1, m4 / (m2 * m2) - 3 AS g2 FROM p WHERE n >= 8 AND m2 > 0),
+@query("""SELECT c_custkey, CASE WHEN c_nationkey % 2 = 0 THEN CASE WHEN c_acctbal > 2000 THEN 'active' ELSE 'inactive' END WHEN c_acctbal >= 4500 THEN 'active' ELSE 'inactive' END AS label FROM customer""")
+def named_labels(spark, sf_dir):
+    """Tasks whose labels are words keep them, in lower case; the others go by the threshold."""
+    word = F.when(F.col("c_acctbal") > 2000, F.lit("Active")).otherwise(F.lit("INACTIVE"))
+    text = F.when(F.col("c_nationkey") % 2 == 0, word).otherwise(F.col("c_acctbal").cast("string"))
+    return stats.labels(read_table(spark, sf_dir, "customer").withColumn("text", text), ("c_nationkey",), "text", "c_acctbal", 4500.0, out="label").select("c_custkey", "label")
+
+
+#: Common table expressions of the normality test; the last is r, with z1 and z2 of each key.
+_NORMALITY = """m AS (SELECT {key}, count(*)::DOUBLE AS n, avg({value}) AS mu FROM {table} GROUP BY {key}),
+p AS (SELECT l.{key}, any_value(n) AS n, avg(power({value} - mu, 2)) AS m2, avg(power({value} - mu, 3)) AS m3, avg(power({value} - mu, 4)) AS m4 FROM {table} l JOIN m ON l.{key} = m.{key} GROUP BY l.{key}),
+g AS (SELECT {key}, n, m3 / power(m2, 1.5) AS g1, m4 / (m2 * m2) - 3 AS g2 FROM p WHERE n >= 8 AND m2 > 0),
 z AS (SELECT *, g1 * sqrt((n + 1) * (n + 3) / (6 * (n - 2))) AS y, 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9)) AS beta,
   (g2 + 3 - 3 * (n - 1) / (n + 1)) / sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))) AS x,
   6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))) AS sb FROM g),
 w AS (SELECT *, -1 + sqrt(2 * (beta - 1)) AS w2, 6 + 8 / sb * (2 / sb + sqrt(1 + 4 / (sb * sb))) AS a FROM z),
-k AS (SELECT l_suppkey, n, 1 / sqrt(0.5 * ln(w2)) * asinh(y / sqrt(2 / (w2 - 1))) AS z1, 1 + x * sqrt(2 / (a - 4)) AS d, a FROM w),
-r AS (SELECT l_suppkey, n, z1, ((1 - 2 / (9 * a)) - sign(d) * cbrt((1 - 2 / a) / abs(d))) / sqrt(2 / (9 * a)) AS z2 FROM k)
+k AS (SELECT {key}, n, 1 / sqrt(0.5 * ln(w2)) * asinh(y / sqrt(2 / (w2 - 1))) AS z1, 1 + x * sqrt(2 / (a - 4)) AS d, a FROM w),
+r AS (SELECT {key}, n, z1, ((1 - 2 / (9 * a)) - sign(d) * cbrt((1 - 2 / a) / abs(d))) / sqrt(2 / (9 * a)) AS z2 FROM k)"""
+
+
+@query(f"""WITH {_NORMALITY.format(table="lineitem", key="l_suppkey", value="l_extendedprice")}
 SELECT l_suppkey, n::BIGINT AS n, round(z1 * z1 + z2 * z2, 4) AS k2, round(exp(-(z1 * z1 + z2 * z2) / 2), 4) AS p FROM r""")
 def normality_k2(spark, sf_dir):
     found = stats.normality(read_table(spark, sf_dir, "lineitem"), ("l_suppkey",), "l_extendedprice")
@@ -261,17 +283,42 @@ def iqr_outliers(spark, sf_dir):
 _NEAR = 5
 
 
-@query(f"""WITH s AS (SELECT s_suppkey, s_nationkey, s_acctbal AS v, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal, s_suppkey) AS i, count(*) OVER (PARTITION BY s_nationkey) AS n FROM supplier),
-nn AS (SELECT * FROM (SELECT a.s_suppkey, a.s_nationkey, a.i, b.i AS j, abs(a.v - b.v) AS d, least({_NEAR}, a.n - 1) AS k, row_number() OVER (PARTITION BY a.s_suppkey ORDER BY abs(a.v - b.v), b.i) AS r FROM s a JOIN s b ON a.s_nationkey = b.s_nationkey AND a.i <> b.i) WHERE r <= k),
-kd AS (SELECT s_nationkey, i, max(d) AS kd FROM nn GROUP BY ALL),
-lrd AS (SELECT nn.s_suppkey, nn.s_nationkey, nn.i, any_value(nn.k) AS k, 1 / (sum(greatest(nn.d, kd.kd)) / any_value(nn.k) + 1e-10) AS lrd FROM nn JOIN kd ON nn.s_nationkey = kd.s_nationkey AND nn.j = kd.i GROUP BY ALL),
-lof AS (SELECT nn.s_suppkey, sum(o.lrd) / any_value(nn.k) / any_value(own.lrd) AS lof FROM nn JOIN lrd o ON nn.s_nationkey = o.s_nationkey AND nn.j = o.i JOIN lrd own ON nn.s_suppkey = own.s_suppkey GROUP BY nn.s_suppkey)
+#: Common table expressions of the local outlier factor; the last is lof, with that of each id.
+_LOF = """s AS (SELECT {id}, {key}, {value} AS v, row_number() OVER (PARTITION BY {key} ORDER BY {value}, {id}) AS i, count(*) OVER (PARTITION BY {key}) AS n FROM {table}),
+nn AS (SELECT * FROM (SELECT a.{id}, a.{key}, a.i, b.i AS j, abs(a.v - b.v) AS d, least({k}, a.n - 1) AS k, row_number() OVER (PARTITION BY a.{id} ORDER BY abs(a.v - b.v), b.i) AS r FROM s a JOIN s b ON a.{key} = b.{key} AND a.i <> b.i) WHERE r <= k),
+kd AS (SELECT {key}, i, max(d) AS kd FROM nn GROUP BY ALL),
+lrd AS (SELECT nn.{id}, nn.{key}, nn.i, any_value(nn.k) AS k, 1 / (sum(greatest(nn.d, kd.kd)) / any_value(nn.k) + 1e-10) AS lrd FROM nn JOIN kd ON nn.{key} = kd.{key} AND nn.j = kd.i GROUP BY ALL),
+lof AS (SELECT nn.{id}, sum(o.lrd) / any_value(nn.k) / any_value(own.lrd) AS lof FROM nn JOIN lrd o ON nn.{key} = o.{key} AND nn.j = o.i JOIN lrd own ON nn.{id} = own.{id} GROUP BY nn.{id})"""
+
+
+@query(f"""WITH {_LOF.format(table="supplier", key="s_nationkey", id="s_suppkey", value="s_acctbal", k=_NEAR)}
 SELECT s.s_suppkey, round(lof, 6) AS lof, coalesce(lof > 1.5, FALSE) AS is_outlier FROM s LEFT JOIN lof ON s.s_suppkey = lof.s_suppkey""")
 def lof_1d(spark, sf_dir):
     found = stats.local_outlier_factor(read_table(spark, sf_dir, "supplier"), ("s_nationkey",), "s_acctbal", "s_suppkey", k=_NEAR)
     return found.select("s_suppkey", F.round("lof", ROUND).alias("lof"), "is_outlier")
 
 
+@query(f"""WITH {_LOF.format(table="customer", key="c_mktsegment", id="c_custkey", value="c_acctbal", k=_NEAR)}
+SELECT s.c_custkey, round(lof, 6) AS lof, coalesce(lof > 1.5, FALSE) AS is_outlier FROM s LEFT JOIN lof ON s.c_custkey = lof.c_custkey""")
+def lof_chunks(spark, sf_dir):
+    """Groups far larger than the reach of a row, in many chunks."""
+    found = stats.local_outlier_factor(read_table(spark, sf_dir, "customer"), ("c_mktsegment",), "c_acctbal", "c_custkey", k=_NEAR, chunk=64)
+    return found.select("c_custkey", F.round("lof", ROUND).alias("lof"), "is_outlier")
+
+
+def _dispatch_sql(table: str, key: str, id: str, value: str) -> str:
+    names = {"table": table, "key": key, "id": id, "value": value}
+    return """WITH {normality}, q AS (SELECT {key}, quantile_cont({value}::DOUBLE, 0.25) AS a, quantile_cont({value}::DOUBLE, 0.75) AS b FROM {table} GROUP BY {key}), {lof}
+SELECT t.{id}, t.{key}, t.{value}, CASE WHEN coalesce(exp(-(z1 * z1 + z2 * z2) / 2), 0) >= 0.05 THEN t.{value} < q.a - 1.5 * (q.b - q.a) OR t.{value} > q.b + 1.5 * (q.b - q.a) ELSE coalesce(lof > 1.5, FALSE) END AS is_outlier
+FROM {table} t JOIN q ON t.{key} = q.{key} LEFT JOIN r ON t.{key} = r.{key} LEFT JOIN lof ON t.{id} = lof.{id}""".format(normality=_NORMALITY.format(**names), lof=_LOF.format(**names, k=20), **names)
+
+
+@query(_dispatch_sql("orders", "o_custkey", "o_orderkey", "o_totalprice"))
+def outlier_dispatch_orders(spark, sf_dir):
+    """Tasks of both kinds: those that look normal and those that don't."""
+    return stats.outliers(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), ("o_custkey",), "o_totalprice", "o_orderkey")
+
+
 @query("SELECT o_orderkey, o_custkey FROM (SELECT *, count(*) OVER (PARTITION BY o_orderpriority, o_custkey) AS c FROM orders) WHERE c = 1")
 def strict_dedup(spark, sf_dir):
     return dedup.strict(read_table(spark, sf_dir, "orders"), ("o_orderpriority",), "o_custkey").select("o_orderkey", "o_custkey")
@@ -285,6 +332,15 @@ def dedup_recover(spark, sf_dir):
     return dedup.strict_or_first(docs, ("source",), "digest", "doc_id").select("doc_id", "source")
 
 
+@query("""WITH c AS (SELECT o_orderkey, o_custkey, count(*) OVER (PARTITION BY o_custkey, o_orderpriority) AS n, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey) AS r, bool_or(o_orderkey % 40 = 0) OVER (PARTITION BY o_custkey) AS whole FROM orders),
+s AS (SELECT *, sum((n = 1)::INT) OVER (PARTITION BY o_custkey) AS singles FROM c)
+SELECT o_orderkey, o_custkey FROM s WHERE whole OR CASE WHEN singles = 0 THEN r = 1 ELSE n = 1 END""")
+def dedup_skips_groups(spark, sf_dir):
+    """Tasks with a record of the kind that is left alone keep all their records."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", (F.col("o_orderkey") % 40 == 0).alias("alone"))
+    return dedup.strict_or_first(orders, ("o_custkey",), "o_orderpriority", "o_orderkey", "alone").select("o_orderkey", "o_custkey")
+
+
 @query("SELECT min(doc_id) AS doc_id, lang FROM documents GROUP BY lang")
 def first_of_each(spark, sf_dir):
     return dedup.first_of_each(read_table(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", "doc_id")
@@ -395,6 +451,66 @@ def one_hot(spark, sf_dir):
     return coded.select("event_id", *(F.get("x", F.lit(i)).alias(f"is_{x}") for i, x in enumerate((*EVENT_TYPES[:3], "other"))))
 
 
+def _one_of(choices, at: str) -> Column:
+    """The choice whose place, from 0, a number tells; null beyond them."""
+    return F.get(F.array(*map(F.lit, choices)), F.expr(f"cast({at} AS INT)"))
+
+
+def _places(choices, value: str, other: bool = False) -> str:
+    """SQL for a list of 0 and 1, one place for each choice."""
+    told = ["'" + x + "'" if isinstance(x, str) else str(x) for x in choices]
+    return "[" + ", ".join([f"coalesce(({value} = {x})::INT, 0)" for x in told] + [f"(coalesce({value} NOT IN ({', '.join(told)}), TRUE))::INT"] * other) + "]"
+
+
+def _place(choices, value: str, default) -> str:
+    told = ["'" + x + "'" if isinstance(x, str) else str(x) for x in choices]
+    return f"coalesce(list_position([{', '.join(told)}], {value}) - 1, {default})"
+
+
+def _chosen(choices, at: str) -> str:
+    return f"([{_sql_list(choices)}])[{at} + 1]"
+
+
+_HAND, _ORBIT = (*features.CHIRALITIES, "CHI_ALLENE"), (*features.HYBRIDISATIONS, "SP2D")
+_WAY = (*features.DIRECTIONS, "EITHERDOUBLE")
+
+
+@query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, l_quantity::INT AS num, l_partkey % 7 AS deg, {_chosen(_HAND, "l_suppkey % 6")} AS hand, l_partkey % 13 - 6 AS charge, {_chosen(_ORBIT, "l_orderkey % 9")} AS orbit, l_linenumber AS hyd, l_returnflag = 'A' AS aro FROM lineitem)
+SELECT l_orderkey, l_linenumber, array_to_string(list_concat(list_concat(list_concat({_places(features.ATOMIC_NUMBERS, "num", True)}, {_places(features.DEGREES, "deg", True)}), list_concat({_places(features.CHIRALITIES, "hand")}, [{_place(features.CHARGES, "charge", 11)}])), list_concat({_places(features.HYBRIDISATIONS, "orbit")}, list_concat({_places(features.HYDROGENS, "hyd")}, [aro::INT]))), ',') AS onehot,
+  array_to_string([{_place(features.ATOMIC_NUMBERS, "num", 18)}, {_place(features.DEGREES, "deg", 5)}, {_place(features.CHIRALITIES, "hand", 0)}, {_place(features.CHARGES, "charge", 11)}, {_place(features.HYBRIDISATIONS, "orbit", 6)}, {_place(features.HYDROGENS, "hyd", 4)}, aro::INT], ',') AS places FROM t""")
+def atom_features(spark, sf_dir):
+    told = [F.col("l_quantity").cast("int"), F.expr("cast(l_partkey % 7 AS INT)"), _one_of(_HAND, "l_suppkey % 6"), F.expr("cast(l_partkey % 13 - 6 AS INT)"), _one_of(_ORBIT, "l_orderkey % 9"), F.col("l_linenumber").cast("int"), F.col("l_returnflag") == "A"]
+    joined = lambda x: F.array_join(F.transform(x, lambda v: v.cast("int").cast("string")), ",")
+    return read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", joined(features.atom_onehot(*told)).alias("onehot"), joined(features.atom_indices(*told)).alias("places"))
+
+
+@query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, {_chosen(features.BONDS, "l_partkey % 5")} AS kind, {_chosen(_WAY, "l_suppkey % 4")} AS way, l_returnflag = 'A' AS con, l_linestatus = 'O' AS ring FROM lineitem)
+SELECT l_orderkey, l_linenumber, array_to_string(list_concat(list_concat({_places(features.BONDS, "kind")}, [(kind IS NULL)::INT]), list_concat({_places(features.DIRECTIONS, "way")}, [con::INT, ring::INT])), ',') AS onehot,
+  CASE WHEN kind IS NULL THEN 4 ELSE {_place(features.BONDS, "kind", -1)} END::INT AS kind_place, ({_place(features.DIRECTIONS, "way", -1)})::INT AS way_place FROM t""")
+def bond_features(spark, sf_dir):
+    told = [_one_of(features.BONDS, "l_partkey % 5"), _one_of(_WAY, "l_suppkey % 4"), F.col("l_returnflag") == "A", F.col("l_linestatus") == "O"]
+    coded = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", features.bond_onehot(*told).alias("x"), features.bond_indices(*told).alias("i"))
+    onehot = F.array_join(F.transform("x", lambda v: v.cast("int").cast("string")), ",")
+    return coded.select("l_orderkey", "l_linenumber", onehot.alias("onehot"), F.get("i", F.lit(0)).alias("kind_place"), F.coalesce(F.get("i", F.lit(1)), F.lit(-1)).alias("way_place"))
+
+
+_SYMBOLS = ("C", "H", "O", "N", "P", "S", "F", "Cl", "Br", "Si", "I")
+
+
+@query(f"""WITH t AS (SELECT p_partkey, p_partkey % 5 <> 0 AS fine, p_retailprice AS tpsa, p_size / 10.0 AS logp, p_partkey % 3 AS rings, [{_chosen(_SYMBOLS, "(p_partkey * i) % 11")} FOR i IN range(1, p_size + 1)] AS e FROM part)
+SELECT p_partkey, CASE WHEN fine THEN round(tpsa * 0.01, 6) ELSE 0 END::DOUBLE AS tpsa, CASE WHEN fine THEN round(logp, 6) ELSE 0 END::DOUBLE AS logp,
+  array_to_string(list_concat(list_concat([(fine AND rings > 0)::INT, CASE WHEN fine THEN rings ELSE 0 END], [{", ".join(f"CASE WHEN fine THEN len([x FOR x IN e IF x = '{x}']) ELSE 0 END" for x in features.ELEMENTS)}, CASE WHEN fine THEN len([x FOR x IN e IF x NOT IN ({_sql_list(features.ELEMENTS)})]) ELSE 0 END]), [(fine AND (p_partkey * i) % 3 = 0)::INT FOR i IN range(1, 168)]), ',') AS rest FROM t""")
+def motif_features(spark, sf_dir):
+    """Every fifth motif lacks its weight, and so gets zeros."""
+    symbols = F.transform(F.sequence(F.lit(1), F.col("p_size").cast("int")), lambda i: F.get(F.array(*map(F.lit, _SYMBOLS)), ((F.col("p_partkey") * i) % 11).cast("int")))
+    keys = F.transform(F.sequence(F.lit(1), F.lit(features.MOTIF_KEYS)), lambda i: ((F.col("p_partkey") * i) % 3 == 0).cast("int"))
+    weight = F.when(F.col("p_partkey") % 5 != 0, F.col("p_size") * 14.0)
+    whole = features.motif_features(F.col("p_retailprice"), F.col("p_size") / 10.0, weight, F.col("p_partkey") % 3, symbols, keys)
+    coded = read_table(spark, sf_dir, "part").select("p_partkey", whole.alias("x"))
+    rest = F.array_join(F.transform(F.slice("x", 4, features.MOTIF_WIDTH - 3), lambda v: v.cast("int").cast("string")), ",")
+    return coded.select("p_partkey", F.round(F.get("x", F.lit(0)), ROUND).alias("tpsa"), F.round(F.get("x", F.lit(1)), ROUND).alias("logp"), rest.alias("rest"))
+
+
 @query("""WITH m AS (SELECT min(l_quantity) AS low FROM lineitem) SELECT floor((l_quantity - low) / 5)::BIGINT AS bin, low + floor((l_quantity - low) / 5) * 5 AS lower, count(*) AS n FROM lineitem, m GROUP BY ALL""")
 def histogram_bins(spark, sf_dir):
     return summary.histogram(read_table(spark, sf_dir, "lineitem"), "l_quantity", 5.0)
@@ -411,7 +527,7 @@ def gmm_low_density(spark, sf_dir):
     return stats.gaussian_mixture_outliers(read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), "c_acctbal")
 
 
-@query()
+@query(_dispatch_sql("supplier", "s_nationkey", "s_suppkey", "s_acctbal"))
 def outlier_dispatch(spark, sf_dir):
     return stats.outliers(read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal"), ("s_nationkey",), "s_acctbal", "s_suppkey")
 
