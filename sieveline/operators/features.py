@@ -87,5 +87,5 @@ def motif_features(tpsa: Column, logp: Column, heavy_weight: Column, rings: Colu
     if place is not None:
         parts, width = [F.array(place.cast("double")), *parts], width + 1
     whole = F.concat(*parts)
-    fine = (F.size(keys) == MOTIF_KEYS) & ~F.exists(whole, lambda x: x.isNull())
+    fine = symbols.isNotNull() & (F.size(keys) == MOTIF_KEYS) & ~F.exists(whole, lambda x: x.isNull())
     return F.when(F.coalesce(fine, F.lit(False)), whole).otherwise(F.array_repeat(F.lit(0.0), width))

@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+import logging
 import sys
 
+from pyspark.sql import SparkSession
+
 from sieveline.plans import pipeline
 from sieveline.session import build_session
-from sieveline.sources import config, sinks
+from sieveline.sources import config, readers, sinks
+
+
+def run(spark: SparkSession, settings: config.Settings) -> None:
+    if not settings.to_matrix:
+        sinks.write_tasks(pipeline.run_tasks(spark, settings), settings.output_path, by_split=settings.split)
+        return
+    wide, unmapped = pipeline.run_matrix(spark, settings)
+    if "endpoint_key" not in unmapped.columns:
+        raise readers.HumanPkWorkbook(wide)
+    sinks.write_matrix(wide, settings.output_path, settings.activity_col, settings.endpoint_mapper, *pipeline.matrix_facts(spark, settings))
+    sinks.write_unmapped(unmapped, f"{settings.output_path}/unmapped", "endpoint_key")
 
 
 def main(arguments: list[str] | None = None) -> int:
@@ -17,13 +31,11 @@ def main(arguments: list[str] | None = None) -> int:
     if settings.endpoint_mapper != "manual":
         raise ValueError("an outside mapper is a callable, which only callers in Python can give: see pipeline.wide_matrix")
     spark = build_session()
-    if settings.to_matrix:
-        wide, unmapped = pipeline.run_matrix(spark, settings)
-        sinks.write_matrix(wide, settings.output_path, settings.activity_col, settings.endpoint_mapper, *pipeline.matrix_facts(spark, settings))
-        if "endpoint_key" in unmapped.columns:
-            sinks.write_unmapped(unmapped, f"{settings.output_path}/unmapped", "endpoint_key")
-    else:
-        sinks.write_tasks(pipeline.run_tasks(spark, settings), settings.output_path, by_split=settings.split)
+    try:
+        run(spark, settings)
+    except readers.HumanPkWorkbook as found:
+        written = sinks.write_human_pk(found.frame, settings.output_path, settings.input_path)
+        logging.getLogger(__name__).warning("human pharmacokinetics have neither tasks nor endpoints: written as they are to %s", written)
     return 0
 
 

@@ -90,8 +90,11 @@ def prepare_tasks(df: DataFrame, settings: Settings, keys: tuple[str, ...], task
 
 
 def run_tasks(spark: SparkSession, settings: Settings) -> DataFrame:
-    """Records of all tasks with a quorum, prepared and, if asked, split; raises where no task has one."""
-    records = readers.read_records(spark, settings.input_path)
+    """Records of all tasks with a quorum, prepared and, if asked, split; raises where no task has one.
+
+    A workbook of human pharmacokinetics has no tasks: readers.HumanPkWorkbook comes through, with its frame.
+    """
+    records = readers.read_records(spark, settings.input_path, base_dir=settings.base_dir)
     keys = tuple(CONDITION_COLUMNS)
     relation = "Measurement_Relation" if "Measurement_Relation" in records.columns else None
     good = quality.with_quorum(records, keys, settings.activity_col, relation)
@@ -146,7 +149,7 @@ def wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str]
 def run_matrix(spark: SparkSession, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """The wide matrix of a source; a workbook of human pharmacokinetics comes back as it is."""
     try:
-        records = readers.read_records(spark, settings.input_path)
+        records = readers.read_records(spark, settings.input_path, base_dir=settings.base_dir)
     except readers.HumanPkWorkbook as found:
         return found.frame, found.frame.limit(0)
     own = readers.read_synonyms(spark, settings.mapping_path) if settings.mapping_path else None
@@ -156,7 +159,7 @@ def run_matrix(spark: SparkSession, settings: Settings) -> tuple[DataFrame, Data
 def matrix_facts(spark: SparkSession, settings: Settings) -> tuple[int, bool]:
     """How many distinct names a source asks endpoints for, and whether any of its records is of pharmacokinetics."""
     try:
-        records = readers.read_records(spark, settings.input_path)
+        records = readers.read_records(spark, settings.input_path, base_dir=settings.base_dir)
     except readers.HumanPkWorkbook:
         return 0, True
     text = _texts(records)
@@ -184,7 +187,7 @@ def to_wide_matrix(source: DataFrame | str, spark: SparkSession | None = None, s
     spark = spark or SparkSession.active()
     if isinstance(source, DataFrame) and settings.skip_preprocessing:
         return wide_matrix(source, settings)[0]
-    return wide_matrix(readers.read_records(spark, source, lower=True), settings)[0]
+    return wide_matrix(readers.read_records(spark, source, lower=True, base_dir=settings.base_dir), settings)[0]
 
 
 def load_datasets(sources: list[DataFrame], task: str, settings: Settings | None = None) -> DataFrame:

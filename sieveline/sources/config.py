@@ -13,6 +13,7 @@ CHOICES = {"split_method": ("random", "scaffold", "stratified"), "endpoint_mappe
 @dataclass(frozen=True)
 class Settings:
     input_path: str | None = None
+    base_dir: str | None = None
     output_path: str = "processed_data"
     smiles_col: str = "SMILES_Structure_Parent"
     activity_col: str = "Measurement_Value"

@@ -39,6 +39,14 @@ def write_matrix(df: DataFrame, path: str, value: str, mapper: str, n_mapped: in
     return told
 
 
+def write_human_pk(df: DataFrame, path: str, source: str) -> str:
+    """A table of human pharmacokinetics as it is, as CSV in a folder named after its source."""
+    name = source.rstrip("/").rpartition("/")[2].rpartition(".")[0]
+    out = f"{path}/{name}_HumanPK"
+    df.write.mode("overwrite").option("header", True).csv(out)
+    return out
+
+
 def write_unmapped(df: DataFrame, path: str, name: str, k: int = 20) -> list[tuple[str, int]]:
     """Records without an endpoint as CSV, and the most frequent of their names."""
     df.write.mode("overwrite").option("header", True).csv(path)

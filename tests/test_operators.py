@@ -5,7 +5,7 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-from sieveline.operators import chem, dedup, matrix, quality, split, stats, summary
+from sieveline.operators import chem, dedup, features, matrix, quality, split, stats, summary
 
 KEYS = ("k",)
 
@@ -186,6 +186,26 @@ def test_chemistry_is_optional(spark):
     assert got["C"] == 6 and got["Cl"] == 1
 
 
+def test_features(spark):
+    """Widths, what is in no list, nulls, and motifs that lack an attribute or a key."""
+    rows = [(6, 4, "CHI_OTHER", 0, "SP3", 3, False), (92, 9, "?", 7, "?", 8, True), (None,) * 7]
+    atoms = frame(spark, rows, "n int, d int, c string, q int, h string, k int, a boolean")
+    got = atoms.select(features.atom_onehot(*map(F.col, atoms.columns)).alias("x"), features.atom_indices(*map(F.col, atoms.columns)).alias("i")).collect()
+    assert [len(x.x) for x in got] == [43] * 3
+    assert [x.i for x in got] == [[2, 4, 3, 5, 3, 3, 0], [18, 5, 0, 11, 6, 4, 1], [18, 5, 0, 11, 6, 4, 0]]
+    assert [i for i, v in enumerate(got[0].x) if v] == [2, 23, 28, 29, 33, 40] and got[0].x[29] == 5 and got[1].x[29] == 11
+    bonds = frame(spark, [("AROMATIC", "NONE", True, True), (None, "ENDUPRIGHT", False, None), ("DATIVE", "?", None, False)], "k string, d string, c boolean, r boolean")
+    got = bonds.select(features.bond_onehot(*map(F.col, bonds.columns)).alias("x"), features.bond_indices(*map(F.col, bonds.columns)).alias("i")).collect()
+    assert [x.x for x in got] == [[0, 0, 0, 1, 0, 1, 0, 0, 1, 1], [0, 0, 0, 0, 1, 0, 1, 0, 0, 0], [0.0] * 10]
+    assert [x.i for x in got] == [[3, 0, 1, 1], [4, 1, 0, 0], [None, None, 0, 0]]
+    motifs = [(50.0, 1.5, 120.0, 2, ["C", "C", "Cl", "N"], [1] * 167), (None, 1.5, 120.0, 2, ["C"], [1] * 167), (50.0, 1.5, 120.0, 2, ["C"], [1]), (50.0, 1.5, 120.0, 0, None, [0] * 167), (50.0, 1.5, 120.0, 0, [], [0] * 167)]
+    df = frame(spark, motifs, "t double, l double, w double, r int, s array<string>, k array<int>")
+    got = df.select(features.motif_features(*map(F.col, df.columns)).alias("x"), features.motif_features(*map(F.col, df.columns), F.lit(7)).alias("y")).collect()
+    assert [len(x.x) for x in got] == [182] * 5 and [len(x.y) for x in got] == [183] * 5
+    assert got[0].x[:5] == [0.5, 1.5, 1.2, 1, 2] and got[0].x[5:15] == [2, 0, 0, 1, 0, 0, 0, 0, 0, 1] and got[0].y[0] == 7
+    assert [any(x.x) for x in got] == [True, False, False, False, True] and not any(got[1].y)
+
+
 def test_density_and_gallery(spark):
     df = frame(spark, [(i, float(i), f"g{i % 3}") for i in range(9)], "i long, v double, g string")
     got = {x.point: x.density for x in summary.density(df, "v", [4.0, 40.0], 1.0).collect()}

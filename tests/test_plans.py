@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sieveline import session
 from sieveline.functions.cleaning import SENTINEL
-from sieveline.operators import chem, quality
+from sieveline.operators import chem, quality, stats
 from sieveline.plans import cli, pipeline, registry
 from sieveline.sources import config, readers, sinks
 from sieveline.streaming import records
@@ -103,6 +103,33 @@ def test_matrix_by_command_line(spark, assay, tmp_path):
     assert told["endpoint_map_size"] == 5 and told["has_pk"] is True and told["columns"] == 87
 
 
+@pytest.mark.parametrize("mode", [[], ["--to-matrix"]])
+def test_human_pk_by_command_line(spark, tmp_path, monkeypatch, mode):
+    """Such a workbook is written as it is, by both ways in; the reader of its format is replaced here."""
+    book = tmp_path / "trial.xlsx"
+    book.write_text("")
+    frame = spark.createDataFrame([("CCO", "3")], "SMILES_Structure_Parent string, auc string")
+
+    def read(*_):
+        raise readers.HumanPkWorkbook(frame)
+
+    monkeypatch.setattr(readers, "read_workbook", read)
+    assert cli.main(["--input-path", str(book), "--output-path", str(tmp_path / "out"), *mode]) == 0
+    back = spark.read.option("header", True).csv(str(tmp_path / "out" / "trial_HumanPK"))
+    assert [tuple(x) for x in back.collect()] == [("CCO", "3")]
+
+
+def test_paths_outside_the_base(spark, assay, tmp_path):
+    outside = config.Settings().merged({"input_path": assay, "base_dir": str(tmp_path)})
+    for way in (pipeline.run_tasks, pipeline.run_matrix, pipeline.matrix_facts):
+        with pytest.raises(ValueError, match="outside"):
+            way(spark, outside)
+    with pytest.raises(ValueError, match="outside"):
+        pipeline.to_wide_matrix(str(tmp_path / ".." / "x.csv"), spark, base_dir=str(tmp_path))
+    inside = config.Settings().merged({"input_path": assay, "base_dir": str(Path(assay).parent)})
+    assert pipeline.run_matrix(spark, inside)[0].count() > 0
+
+
 def test_python_entry(spark, assay):
     raw = readers.read_csv(spark, assay).limit(60)
     out = pipeline.preprocess_frame(raw, "regression")
@@ -160,6 +187,14 @@ def test_against_sql(spark, data, name):
     assert normal(got) == normal(want)
 
 
+def test_queries_reach_their_branches(spark, data):
+    """Task kinds, quorums and outlier tests of the queries come out both ways on the data that they run on."""
+    quorum = {x.has_quorum for x in registry.QUERIES["class_quorum"](spark, data.replace("sf0.001", "sf0.01")).select("has_quorum").distinct().collect()}
+    assert quorum == {True, False}
+    gate = stats.normality(session.read_table(spark, data, "orders"), ("o_custkey",), "o_totalprice")
+    assert gate.filter("p >= 0.05").count() > 0 and gate.filter("coalesce(p, 0) < 0.05").count() > 0
+
+
 def test_scratch_deletes_what_is_not_kept(spark):
     """Cuts go with their scratch; kept ones belong to the scratch around, or stay."""
     path = lambda df: Path(df.inputFiles()[0].removeprefix("file:").replace("///", "/")).parent
