@@ -62,11 +62,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def few(table: DataFrame) -> DataFrame:
-    """A written table, to be broadcast if its values have BROADCAST_BYTES at most; beyond, Spark joins by sorting."""
+def small(table: DataFrame) -> bool:
+    """Whether the values of a written table have BROADCAST_BYTES at most."""
     sizes = [F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) + 8 if kind in ("string", "binary") else F.lit(8) for name, kind in table.dtypes]
-    total = table.agg(F.sum(sum(sizes, F.lit(0)))).first()[0] or 0
-    return F.broadcast(table) if total <= BROADCAST_BYTES else table
+    return (table.agg(F.sum(sum(sizes, F.lit(0)))).first()[0] or 0) <= BROADCAST_BYTES
+
+
+def few(table: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it is small; beyond, Spark joins by sorting."""
+    return F.broadcast(table) if small(table) else table
 
 
 _open: list[Scratch] = []
