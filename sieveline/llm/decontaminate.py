@@ -155,13 +155,14 @@ def _matcher(items: tuple[Item, ...], rate: float, least: int) -> Matcher:
     return Matcher(list(items), rate, least)
 
 
-def item_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> list[tuple[Item, ...]]:
-    """The items in blocks of about block_chars characters, each collected by itself."""
+def item_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[tuple[Item, ...]]:
+    """The items in blocks of about block_chars characters, each collected by itself, and one at a time."""
     kept = benchmark.filter(F.col(item).isNotNull() & F.col(text).isNotNull()).select(F.col(item).alias("item"), F.col(text).alias("text"))
     chars = kept.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, ceil(chars / block_chars))
     part = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
-    return [tuple(sorted({(x.item, x.text) for x in kept.filter(part == k).collect()})) for k in range(blocks)]
+    for k in range(blocks):
+        yield tuple(sorted({(x.item, x.text) for x in kept.filter(part == k).collect()}))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", rate: float = RATE, least: int = LEAST) -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, chat, decontaminate, language, lines, neighbours, ngram_join, pii, sharding, token_files
+from sieveline.llm import bpe, chat, decontaminate, language, lines, neighbours, ngram_join, periodic_runs, pii, ranked_search, sharding, token_files, warc
 from sieveline.session import read_table
 
 
@@ -60,6 +60,19 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_preferences(chat.random_negatives(chat.turns_of(conversations)))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.digests(periodic_runs.find_runs(periodic_runs.plant_repeats(docs)))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_pii": op2_pii,
@@ -71,9 +84,14 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_preferences": op10_preferences,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_warc": op13_warc,
 }
 ORACLES = {
     "op6_line_dedup": lines.ORACLE,
     "op7_sharding": sharding.oracle(),
     "op10_preferences": chat.ORACLE,
+    "op11_ranked_search": ranked_search.ORACLE,
+    "op13_warc": warc.ORACLE,
 }

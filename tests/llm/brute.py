@@ -1,7 +1,10 @@
 """Plain versions of the operators, for small tables."""
 
 import hashlib
+import math
 import re
+import zlib
+from collections import Counter
 
 
 def words(text):
@@ -92,3 +95,69 @@ def maglev(names, size, number):
         table[slot] = k
         turn += 1
     return [table[i] for i in range(size)]
+
+
+def periodic_runs(words):
+    """(start, length, period) of each run, by trying all periods."""
+    n, found = len(words), {}
+    for q in range(1, n // 3 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j - i + q >= max(24, 3 * q):
+                found.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted((a, b - a, q) for (a, b), q in found.items())
+
+
+def collapsed(words, runs):
+    gone = {i for a, n, q in runs for i in range(a + q, a + n)}
+    return " ".join(x for i, x in enumerate(words) if i not in gone)
+
+
+def planted(key, words):
+    h, n = zlib.crc32(str(key).encode()), len(words)
+    if key is None or h % 10 or not n:
+        return words
+    a = h // 10 % n
+    p = 1 + (n - a) // (3 + h // 10 % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranked(docs, items, most=20):
+    """(item, rank, id, score), by scoring all documents for all items."""
+    terms = lambda t: TERM.findall("".join(chr(ord(x) + 32) if "A" <= x <= "Z" else x for x in t or ""))
+    counts = [(key, Counter(terms(t))) for key, t in docs]
+    counts = [(key, c) for key, c in counts if c]
+    n_docs, n_all = len(counts), sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    out = []
+    for item, text in items:
+        asked, scored = Counter(terms(text)), []
+        for key, c in counts:
+            m = 75 + 25 * sum(c.values()) * n_docs // n_all
+            score = sum(k * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 12 * m)) for t, k in asked.items() if c[t])
+            if score > 0:
+                scored.append((-score, key is None, key))
+        out += [(item, i + 1, key, -s) for i, (s, _, key) in enumerate(sorted(scored, key=lambda x: (x[0], x[1], x[2] or 0))[:most])]
+    return out
+
+
+def archived(pages, least=1000):
+    """(id, bytes, digest, type, refers to) of (id, html) rows."""
+    last = {}
+    for key, html in pages:
+        raw = (html or "").encode()
+        if key is not None and len(raw) >= least:
+            last[raw] = max(key, last.get(raw, key))
+    out = []
+    for key, html in pages:
+        raw = (html or "").encode()
+        first = last.get(raw, key)
+        out.append((key, len(raw), hashlib.sha1(raw).hexdigest(), "response" if first == key else "revisit", None if first == key else first))
+    return out
