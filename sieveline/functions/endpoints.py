@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.schema import API_SYNONYMS, CLI_SYNONYMS, ENDPOINTS
-from sieveline.session import cut
+from sieveline.session import Scratch, cut
 
 MIN_LIKENESS = 0.55
 #: Isoforms that have endpoints of their own, and tokens that name none.
@@ -100,11 +100,14 @@ def match_endpoints(df: DataFrame, column: str, dialect: str = "api", own: dict[
     own_text = F.col(column)
     unmappable = F.arrays_overlap(F.split("_n", " "), F.array(*map(F.lit, UNMAPPABLE)))
     named = names.join(F.broadcast(exact), "_n", "left").select(own_text, "_n", F.coalesce(cyp_endpoint(own_text), F.col("exact"), F.when(unmappable, own_text)).alias("endpoint"))
-    named = cut(named, "endpoint-names")
-    stretched = cut(best_stretch(named.filter("endpoint IS NULL").drop("endpoint"), "_n", synonyms), "endpoint-stretches")
-    alike = most_alike(stretched.filter("stretch IS NULL").drop("stretch"), "_n", list(endpoints))
-    alike = alike.select(own_text, F.coalesce(F.when(F.col("score") >= min_likeness, F.col("alike")), own_text).alias("endpoint"))
-    return named.filter("endpoint IS NOT NULL").select(column, "endpoint").unionByName(stretched.filter("stretch IS NOT NULL").select(own_text, F.col("stretch").alias("endpoint"))).unionByName(alike)
+    with Scratch(df.sparkSession) as held:
+        named = held.keep(cut(named, "endpoint-names"))
+        stretched = cut(best_stretch(named.filter("endpoint IS NULL").drop("endpoint"), "_n", synonyms), "endpoint-stretches")
+        alike = most_alike(stretched.filter("stretch IS NULL").drop("stretch"), "_n", list(endpoints))
+        alike = alike.select(own_text, F.coalesce(F.when(F.col("score") >= min_likeness, F.col("alike")), own_text).alias("endpoint"))
+        rest = stretched.filter("stretch IS NOT NULL").select(own_text, F.col("stretch").alias("endpoint")).unionByName(alike)
+        rest = held.keep(cut(rest, "endpoint-rest"))
+    return named.filter("endpoint IS NOT NULL").select(column, "endpoint").unionByName(rest)
 
 
 def map_endpoints(df: DataFrame, column: str, mapping: DataFrame, out: str = "endpoint") -> DataFrame:

@@ -68,14 +68,14 @@ def standardise(df: DataFrame, structure: str, keep_stereo: bool = True) -> Data
 
 
 #: The columns that descriptors adds.
-DESCRIPTORS = ("logp", "tpsa", "donors", "acceptors", "acid_pka", "base_pka")
+DESCRIPTORS = ("logp", "tpsa", "donors", "acceptors")
 
 
 def descriptors(df: DataFrame, structure: str) -> DataFrame:
-    """df with logp, tpsa, donors, acceptors, acid_pka and base_pka, as the pH corrections take them."""
+    """df with logp, tpsa, donors and acceptors, as one of the pH corrections takes them."""
     _toolkit()
 
-    @F.pandas_udf("logp double, tpsa double, donors double, acceptors double, acid_pka double, base_pka double")
+    @F.pandas_udf("logp double, tpsa double, donors double, acceptors double")
     def described(parts: pd.Series) -> pd.DataFrame:
         from rdkit import Chem
         from rdkit.Chem import Crippen, Lipinski, rdMolDescriptors
@@ -83,12 +83,10 @@ def descriptors(df: DataFrame, structure: str) -> DataFrame:
         def one(text):
             mol = Chem.MolFromSmiles(text) if text else None
             if mol is None:
-                return [None] * 6
-            acid = any(a.GetSymbol() == "O" and a.GetDegree() == 1 and a.GetNeighbors()[0].GetSymbol() == "C" for a in mol.GetAtoms())
-            base = any(a.GetSymbol() == "N" and a.GetDegree() <= 3 for a in mol.GetAtoms())
-            return [Crippen.MolLogP(mol), rdMolDescriptors.CalcTPSA(mol), float(Lipinski.NumHDonors(mol)), float(Lipinski.NumHAcceptors(mol)), 4.5 if acid else None, 9.5 if base else None]
+                return [None] * len(DESCRIPTORS)
+            return [Crippen.MolLogP(mol), rdMolDescriptors.CalcTPSA(mol), float(Lipinski.NumHDonors(mol)), float(Lipinski.NumHAcceptors(mol))]
 
-        return pd.DataFrame([one(x) for x in parts], columns=["logp", "tpsa", "donors", "acceptors", "acid_pka", "base_pka"])
+        return pd.DataFrame([one(x) for x in parts], columns=[*DESCRIPTORS])
 
     known = df.select(structure).distinct().withColumn("_d", described(F.col(structure)))
     return df.join(known.select(structure, "_d.*"), structure, "left")

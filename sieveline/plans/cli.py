@@ -30,7 +30,7 @@ def main(arguments: list[str] | None = None) -> int:
     settings = config.Settings().merged(config.from_file(path) if path else {}).merged(given)
     if settings.endpoint_mapper != "manual":
         raise ValueError("an outside mapper is a callable, which only callers in Python can give: see pipeline.wide_matrix")
-    spark = build_session()
+    spark = build_session(scratch=settings.scratch_path or f"{settings.output_path.rstrip('/')}_scratch")
     try:
         run(spark, settings)
     except readers.HumanPkWorkbook as found:

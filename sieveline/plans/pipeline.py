@@ -9,15 +9,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.functions import cleaning, endpoints, ph, units
+from sieveline.functions import cleaning, endpoints, ph, structures, units
 from sieveline.functions.cleaning import endpoint_key, number, qualitative
-from sieveline.operators import chem, dedup, matrix, quality, split, stats
+from sieveline.operators import chem, dedup, fragments, matrix, quality, split, stats
 from sieveline.schema import CONDITION_COLUMNS, ENDPOINTS, SENTINEL
+from sieveline.session import numbered
 from sieveline.sources import readers, sinks
 from sieveline.sources.config import Settings
 
 PH_COLUMNS = ("pH", "pH_Value", "Measurement_pH", "Test_pH")
 PK_TEST = "Pharmacokinetics"
+RING_KEY = "Ring_Linker_Key"
 PK_TEXTS = ("test", "test_type", "measurement_type", "test_subject")
 
 
@@ -32,18 +34,24 @@ def add_ph(df: DataFrame, value: str, settings: Settings, lower: bool = False) -
     direct = [F.col(columns[x.lower()]) for x in PH_COLUMNS if x.lower() in columns]
     text = lambda name: F.col(case(name)) if case(name) in df.columns else F.lit(None).cast("string")
     found = df.withColumn("inferred_pH", ph.infer_ph(direct, text("Test_Subject"), text("Measurement_Condition"), text("Test_Type")))
-    needed = {"hh": ("acid_pka", "base_pka"), "mp": ("logp", "tpsa", "donors", "acceptors")}
-    missing = [x for method, names in needed.items() if settings.ph_method in (method, "all") for x in names if x not in df.columns]
+    asked = settings.ph_method
+    pkas = [x for x in ("acid_pka", "base_pka") if asked in ("hh", "all") and x not in df.columns]
+    if pkas:  # what the input has stays its own
+        # each distinct structure is read once
+        told = structures.pkas(structures.graph(F.col("_structure")))
+        known = found.select(F.col(f"`{case(settings.smiles_col)}`").alias("_structure")).distinct().withColumn("_p", told)
+        found = found.join(known, F.col(f"`{case(settings.smiles_col)}`") == F.col("_structure"), "left")
+        found = found.withColumns({x: F.col(f"_p.{x.removesuffix('_pka')}") for x in pkas}).drop("_structure", "_p")
+    missing = [x for x in chem.DESCRIPTORS if asked in ("mp", "all") and x not in df.columns]
     if missing:
         try:
-            # what the input has stays its own; only what is missing is taken from the structure
             own_columns = [x for x in chem.DESCRIPTORS if x in found.columns]
             described = chem.descriptors(found.withColumnsRenamed({x: f"_own_{x}" for x in own_columns}), case(settings.smiles_col))
             found = described.drop(*(x for x in chem.DESCRIPTORS if x not in missing)).withColumnsRenamed({f"_own_{x}": x for x in own_columns})
         except chem.ChemBackendUnavailable:
-            if settings.ph_method != "all":
+            if asked != "all":
                 raise
-            logging.getLogger(__name__).warning("without RDKit the pH corrections that need %s are left out", ", ".join(missing))
+            logging.getLogger(__name__).warning("without RDKit the pH correction that needs %s is left out", ", ".join(missing))
     inputs = {x: F.col(x) for x in ("acid_pka", "base_pka", "logp", "tpsa", "donors", "acceptors") if x in found.columns}
     methods = [x for x, needs in (("hh", ("acid_pka", "base_pka")), ("emp", ()), ("mp", ("logp", "tpsa", "donors", "acceptors"))) if settings.ph_method in (x, "all") and all(n in inputs for n in needs)]
     own = number(F.col(value).cast("string"))
@@ -70,13 +78,11 @@ def prepare_tasks(df: DataFrame, settings: Settings, keys: tuple[str, ...], task
         try:
             out = chem.standardise(out.drop("Scaffold"), smiles, settings.keep_stereo)
         except chem.ChemBackendUnavailable:
-            if by_scaffold:
-                raise
             logging.getLogger(__name__).warning("without RDKit no structure is standardised: duplicates are those of one spelling")
             structure = smiles
-    elif by_scaffold and "Scaffold" not in out.columns:
-        given = chem.standardise(out.withColumnRenamed(structure, "_given"), "_given", settings.keep_stereo)
-        out = given.drop(structure).withColumnRenamed("_given", structure)
+    if by_scaffold and "Scaffold" not in out.columns:
+        # rings and what links them, read from the structure as it stands, under a name of its own
+        out = fragments.with_fragments(out, structure).drop("rings", "fragments", "edges").withColumnRenamed("ring_linker_key", RING_KEY)
     out = out.withColumn("_x", number(F.col(value).cast("string")))
     kind = F.lit(task_type) if task_type else F.col("task_type") if "task_type" in out.columns else F.lit("regression")
     out = stats.zscore(out, keys, "_x", f"{value}_scaled").withColumn(f"{value}_scaled", F.when(kind == "regression", F.col(f"{value}_scaled")))
@@ -102,7 +108,8 @@ def run_tasks(spark: SparkSession, settings: Settings) -> DataFrame:
         raise quality.TrainingQuorumError("regression", "no task has enough records to train on")
     out = prepare_tasks(good, settings, keys)
     if settings.split:
-        out = split.split(out, settings.split_method, keys, "row_id", "Scaffold", settings.activity_col, settings.test_size, settings.valid_size)
+        group = "Scaffold" if "Scaffold" in out.columns else RING_KEY
+        out = split.split(out, settings.split_method, keys, "row_id", group, settings.activity_col, settings.test_size, settings.valid_size)
     return out.withColumn("task", sinks.task_name(*(F.col(x) for x in keys)))
 
 
@@ -149,7 +156,7 @@ def wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str]
 def run_matrix(spark: SparkSession, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """The wide matrix of a source; a workbook of human pharmacokinetics comes back as it is."""
     try:
-        records = readers.read_records(spark, settings.input_path, base_dir=settings.base_dir)
+        records = readers.read_records(spark, settings.input_path, base_dir=settings.base_dir, number_rows=False)
     except readers.HumanPkWorkbook as found:
         return found.frame, found.frame.limit(0)
     own = readers.read_synonyms(spark, settings.mapping_path) if settings.mapping_path else None
@@ -159,7 +166,7 @@ def run_matrix(spark: SparkSession, settings: Settings) -> tuple[DataFrame, Data
 def matrix_facts(spark: SparkSession, settings: Settings) -> tuple[int, bool]:
     """How many distinct names a source asks endpoints for, and whether any of its records is of pharmacokinetics."""
     try:
-        records = readers.read_records(spark, settings.input_path, base_dir=settings.base_dir)
+        records = readers.read_records(spark, settings.input_path, base_dir=settings.base_dir, number_rows=False)
     except readers.HumanPkWorkbook:
         return 0, True
     text = _texts(records)
@@ -173,7 +180,7 @@ def preprocess_frame(df: DataFrame, task_type: str, task: str | None = None, set
     settings = (settings or Settings()).merged({"activity_col": "measurement_value", "smiles_col": "smiles_structure_parent", "dialect": "api", "correct_ph": True} | options)
     records = readers.canonical(df, lower=True, smiles=settings.smiles_col)
     if "row_id" not in records.columns:
-        records = records.withColumn("row_id", F.monotonically_increasing_id())
+        records = numbered(records)
     quality.require_quorum(records, settings.activity_col, task_type, "measurement_relation" if "measurement_relation" in records.columns else None)
     out = prepare_tasks(records, settings, (), task_type, lower=True)
     if out.isEmpty():
@@ -187,7 +194,7 @@ def to_wide_matrix(source: DataFrame | str, spark: SparkSession | None = None, s
     spark = spark or SparkSession.active()
     if isinstance(source, DataFrame) and settings.skip_preprocessing:
         return wide_matrix(source, settings)[0]
-    return wide_matrix(readers.read_records(spark, source, lower=True, base_dir=settings.base_dir), settings)[0]
+    return wide_matrix(readers.read_records(spark, source, lower=True, base_dir=settings.base_dir, number_rows=False), settings)[0]
 
 
 def load_datasets(sources: list[DataFrame], task: str, settings: Settings | None = None) -> DataFrame:

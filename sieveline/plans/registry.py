@@ -10,9 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.functions import cleaning, endpoints, ph, units
-from sieveline.operators import chem, dedup, features, matrix, quality, split, stats, summary
-from sieveline.session import read_table
+from sieveline.functions import cleaning, endpoints, ph, structures, units
+from sieveline.operators import chem, dedup, features, fragments, matrix, quality, split, stats, summary
+from sieveline.session import numbered, read_table
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 SPLIT_KEYS = ("l_returnflag", "l_linestatus")
@@ -583,3 +583,88 @@ def cyp_guard(spark, sf_dir):
     iso = F.when(F.col("p_size") % 4 == 0, F.lit("2C19")).when(F.col("p_size") % 4 == 1, F.lit("3A4")).when(F.col("p_size") % 4 == 2, F.lit("7q1")).otherwise(F.lit(""))
     name = F.concat(F.lit("CYP"), iso, F.when(F.col("p_size") % 2 == 0, F.lit("-Substrate")).otherwise(F.lit(" inhibition")))
     return read_table(spark, sf_dir, "part").select("p_partkey", endpoints.cyp_endpoint(name).alias("endpoint"))
+
+
+@query("""WITH t AS (SELECT l_partkey, l_suppkey % 10 AS task FROM lineitem GROUP BY l_partkey, l_suppkey),
+c AS (SELECT task, l_partkey, count(*) AS n FROM t GROUP BY task, l_partkey), s AS (SELECT *, sum((n = 1)::INT) OVER (PARTITION BY task) AS singles FROM c)
+SELECT task, l_partkey FROM s WHERE singles = 0 OR n = 1""")
+def dedup_aggregated_records(spark, sf_dir):
+    """Records that an aggregation makes, numbered as they are read, and cleared of duplicates by these numbers."""
+    lines = read_table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    records = numbered(lines.select("l_partkey", (F.col("l_suppkey") % 10).alias("task")))
+    return dedup.strict_or_first(records, ("task",), "l_partkey", "row_id").select("task", "l_partkey")
+
+
+#: What hangs on a carbon: as text, whether it has an oxygen whose only bond is to carbon, and a nitrogen with three bonds at most.
+_GROUPS = (("C", 0, 0), ("O", 1, 0), ("OC", 0, 0), ("N", 0, 1), ("C#N", 0, 1), ("[N+](C)(C)C", 0, 0), ("c1ccccc1", 0, 0), ("C(=O)O", 1, 0), ("S(C)(=O)=O", 0, 0), ("[O-]", 1, 0), ("N(=O)=O", 0, 1))
+_SPOTS = ("p_partkey % 11", "p_partkey // 11 % 11", "p_size % 11")
+
+
+def _compounds(spark, sf_dir) -> DataFrame:
+    """Structures of a carbon with three groups, one for each part; every thirteenth is no structure."""
+    chosen = [_one_of([x for x, _, _ in _GROUPS], at.replace("//", "DIV")) for at in _SPOTS]
+    text = F.concat(F.lit("C("), chosen[0], F.lit(")("), chosen[1], F.lit(")"), chosen[2])
+    return read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice", F.when(F.col("p_partkey") % 13 == 0, F.concat(text, F.lit("("))).otherwise(text).alias("structure"))
+
+
+def _any_of(place: int) -> str:
+    return " + ".join(f"([{', '.join(str(x[place]) for x in _GROUPS)}])[({at}) + 1]" for at in _SPOTS)
+
+
+@query(f"""WITH t AS (SELECT p_partkey, p_retailprice AS v, 4.0::DOUBLE + p_size % 7 AS ph, CASE WHEN p_partkey % 13 > 0 AND {_any_of(1)} > 0 THEN 4.5::DOUBLE END AS a, CASE WHEN p_partkey % 13 > 0 AND {_any_of(2)} > 0 THEN 9.5::DOUBLE END AS b FROM part),
+c AS (SELECT *, a IS NOT NULL AND (b IS NULL OR abs(a - 7.4) < abs(b - 7.4)) AS acid FROM t),
+f AS (SELECT *, CASE WHEN acid THEN 1 - 1 / (1 + power(10.0, a - 7.4)) ELSE 1 - 1 / (1 + power(10.0, 7.4 - b)) END AS ft, CASE WHEN acid THEN 1 - 1 / (1 + power(10.0, a - ph)) ELSE 1 - 1 / (1 + power(10.0, ph - b)) END AS fm FROM c)
+SELECT p_partkey, a AS acid_pka, b AS base_pka, round(CASE WHEN a IS NULL AND b IS NULL THEN v ELSE v * ft / fm END, 6) AS corrected FROM f""")
+def structure_pka(spark, sf_dir):
+    """The pKa rule over structures that are read as columns, and the correction that takes it."""
+    told = _compounds(spark, sf_dir).withColumn("_p", structures.pkas(structures.graph(F.col("structure"))))
+    acid, base = F.col("_p.acid"), F.col("_p.base")
+    found = ph.corrected(F.col("p_retailprice"), F.lit(4.0) + F.col("p_size") % 7, "hh", acid_pka=acid, base_pka=base)
+    return told.select("p_partkey", acid.alias("acid_pka"), base.alias("base_pka"), F.round(found["hh"], ROUND).alias("corrected"))
+
+
+#: Ring systems to hang groups on, each written in two ways; and groups that are no part of a scaffold.
+_SYSTEMS = (("C1CCCCC1", "C2CCCCC2"), ("c1ccccc1", "c1(ccccc1)"), ("C1CCC2CCCCC2C1", "C2CCCC1CCCCC12"), ("C1CCCC1C2CCCC2", "C1(CCCC1)C1CCCC1"), ("O=C1CCCCC1", "C1(CCCCC1)=O"), ("c1ccccc1CCc2ccncc2", "c1cnccc1CCc1ccccc1"), ("C1CC2(C1)CCC2", "C1C2(CC1)CCC2"))
+_HANGING = ("", "C", "CC(C)C", "O", "CCO", "Cl")
+_SYSTEM, _WRITTEN, _HANG = "p_partkey % 7", "p_partkey // 7 % 2", "p_size % 6"
+
+
+@query(f"""WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 17 > 0 THEN {_SYSTEM} END AS s FROM part), f AS (SELECT s, min(p_partkey) AS first FROM t GROUP BY s)
+SELECT p_partkey, first FROM t JOIN f ON t.s IS NOT DISTINCT FROM f.s""")
+def scaffold_key_groups(spark, sf_dir):
+    """Structures by the key of their rings and links: the first part of each group. What hangs on the rings, and how they are written, makes no difference."""
+    system = F.when(F.expr(_WRITTEN.replace("//", "DIV")) == 0, _one_of([a for a, _ in _SYSTEMS], _SYSTEM)).otherwise(_one_of([b for _, b in _SYSTEMS], _SYSTEM))
+    hang = _one_of(_HANGING, _HANG)
+    # the first atom of each system may bear a group more, in a branch behind its ring closure; that of the keto one may not
+    text = F.when((hang == "") | system.contains("=O") | system.startswith("O="), system).otherwise(F.regexp_replace(system, r"^([Cc][0-9]?)", F.concat(F.lit("$1("), hang, F.lit(")"))))
+    parts = read_table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 17 > 0, text).otherwise(F.lit("C1CC")).alias("structure"))
+    keyed = fragments.with_fragments(parts, "structure").select("p_partkey", "ring_linker_key")
+    first = keyed.groupBy("ring_linker_key").agg(F.min("p_partkey").alias("first"))
+    return stats.join_back(keyed, first, ("ring_linker_key",)).select("p_partkey", "first")
+
+
+@query()
+def fragment_words(spark, sf_dir):
+    """Fragments of structures with their places in a vocabulary that the commonest fragments' own structures make."""
+    listed = spark.createDataFrame([("CO", 2, 9), ("C=O", 2, 8), ("c1ccccc1", 6, 7), ("CC", 2, 6), ("CN", 2, 5), ("CC#N", 3, 4)], "smiles string, atom_num int, freq long")
+    found = fragments.with_fragments(_compounds(spark, sf_dir).select("p_partkey", "structure"), "structure")
+    nodes = fragments.fragment_nodes(found, "p_partkey", fragments.vocabulary(listed))
+    return nodes.select("p_partkey", "node", "kind", F.array_join("atoms", ",").alias("atoms"), "word")
+
+
+@query("SELECT l_orderkey, a AS atom, l_linenumber AS node FROM (SELECT l_orderkey, l_linenumber, unnest(range(l_partkey % 5, l_partkey % 5 + l_suppkey % 4)) AS a FROM lineitem)")
+def graph_incidence(spark, sf_dir):
+    """Atoms and nodes that meet: an order is a graph, and each of its lines a node of some atoms in a row."""
+    first, n = F.expr("cast(l_partkey % 5 AS BIGINT)"), F.expr("cast(l_suppkey % 4 AS BIGINT)")
+    atoms = F.when(n > 0, F.sequence(first, first + n - 1))
+    nodes = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", atoms.alias("atoms"))
+    return fragments.incidence(nodes, "l_orderkey", "l_linenumber")
+
+
+@query("""WITH g AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey), p AS (SELECT *, (row_number() OVER (ORDER BY l_orderkey) - 1) // 32 AS batch FROM g)
+SELECT l_orderkey, n, batch, coalesce(sum(n) OVER (PARTITION BY batch ORDER BY l_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS in_batch, coalesce(sum(n) OVER (ORDER BY l_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS in_all FROM p""")
+def graph_offsets(spark, sf_dir):
+    """Where each graph's nodes begin in the union of its batch of 32, and in that of all graphs."""
+    graphs = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    batched = fragments.batch_offsets(graphs, "l_orderkey", "n", 32, "in_batch")
+    return fragments.batch_offsets(batched, "l_orderkey", "n", out="in_all").select("l_orderkey", "n", "batch", "in_batch", "in_all")

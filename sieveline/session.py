@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 import uuid
+from contextvars import ContextVar
 from pathlib import Path
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +16,11 @@ PACKAGE_ROOT = str(Path(__file__).resolve().parents[1])
 BROADCAST_BYTES = 8 << 20
 
 
-def build_session(name: str = "sieveline", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """A session with the settings this library is tested under; a running session keeps its own."""
+def build_session(name: str = "sieveline", master: str | None = None, shuffle_partitions: int | None = None, scratch: str | None = None) -> SparkSession:
+    """A session with the settings this library is tested under; a running session keeps its own.
+
+    scratch is a folder that driver and executors share, for where spark.checkpoint.dir is not set.
+    """
     conf = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -25,6 +29,8 @@ def build_session(name: str = "sieveline", master: str | None = None, shuffle_pa
         "spark.ui.showConsoleProgress": "false",
     }
     builder = SparkSession.builder.appName(name).config(map=conf)
+    if scratch and not SparkConf().get("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", scratch)
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
@@ -42,19 +48,14 @@ def workers_find_package(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session.
+    """The folder that driver and executors share: spark.checkpoint.dir of the session, or else its context's checkpoint folder.
 
-    It is set here only where it is unset and everything runs in one process (local masters, as in tests).
+    Without either there is an error at every master: a folder of one machine would do on that machine only.
     """
-    kept = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if kept:
-        return kept.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    own = "file://" + tempfile.mkdtemp(prefix="spark-sieveline-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    kept = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not kept:
+        raise ValueError("set spark.checkpoint.dir, as the session starts, to a folder that the driver and all executors share")
+    return kept.rstrip("/")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -73,7 +74,8 @@ def few(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if small(table) else table
 
 
-_open: list[Scratch] = []
+#: The scratches that are open in this thread, the innermost last.
+_open: ContextVar[tuple[Scratch, ...]] = ContextVar("open_scratches", default=())
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -84,13 +86,13 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     found = df.sparkSession.read.schema(df.schema).parquet(path)
-    if _open:
-        _open[-1].paths[id(found)] = (path, found)
+    if around := _open.get():
+        around[-1].paths[id(found)] = (path, found)
     return found
 
 
 class Scratch:
-    """Cuts made within its block are deleted at its end, but for those kept, which the scratch around then has.
+    """Cuts made within its block, by its thread, are deleted at its end, but for those kept, which the scratch around then has.
 
     What is still to be computed after the block may read kept cuts only.
     """
@@ -99,13 +101,14 @@ class Scratch:
         self.spark, self.paths = spark, {}
 
     def __enter__(self) -> Scratch:
-        _open.append(self)
+        self.around = _open.get()
+        _open.set((*self.around, self))
         return self
 
     def keep(self, table: DataFrame) -> DataFrame:
-        path, place = self.paths.pop(id(table), None), _open.index(self)
-        if path and place:
-            _open[place - 1].paths[id(table)] = path
+        path = self.paths.pop(id(table), None)
+        if path and self.around:
+            self.around[-1].paths[id(table)] = path
         return table
 
     def drop(self, table: DataFrame) -> None:
@@ -114,7 +117,7 @@ class Scratch:
             delete(self.spark, self.paths.pop(id(table))[0])
 
     def __exit__(self, *_) -> None:
-        _open.remove(self)
+        _open.set(self.around)
         for path, _table in self.paths.values():
             delete(self.spark, path)
 
@@ -125,5 +128,14 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def numbered(df: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """df, written, with a number for each row that is the same wherever the result is read.
+
+    A number that is worked out anew on each side of a join is another one there as soon as partitions differ, as
+    behind an adaptive exchange; so the rows are cut as they get it.
+    """
+    return cut(df.withColumn(row_id, F.monotonically_increasing_id()), "numbered")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

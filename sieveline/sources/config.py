@@ -15,6 +15,7 @@ class Settings:
     input_path: str | None = None
     base_dir: str | None = None
     output_path: str = "processed_data"
+    scratch_path: str | None = None
     smiles_col: str = "SMILES_Structure_Parent"
     activity_col: str = "Measurement_Value"
     task_type: str | None = None

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sieveline.functions import cleaning
 from sieveline.functions.cleaning import canonicalise_columns, clean_text_columns, fill_conditions, missing_to_null, with_sentinel
 from sieveline.schema import ENDPOINTS
+from sieveline.session import numbered
 
 #: Sheets that are read where they are there, with the row of their header.
 SHEETS = {"ADMET": 0, "PK": 0, "데이터": 1}
@@ -98,15 +99,16 @@ def canonical(df: DataFrame, lower: bool = False, smiles: str = "SMILES_Structur
     return filled.select(*(with_sentinel(F.col(f"`{x}`")).alias(x) if kind == "string" and x not in kept_null else F.col(f"`{x}`") for x, kind in filled.dtypes))
 
 
-def read_records(spark: SparkSession, source: str | DataFrame, lower: bool = False, base_dir: str | None = None) -> DataFrame:
-    """Records in canonical form, with a row_id that is fixed once they are read."""
+def read_records(spark: SparkSession, source: str | DataFrame, lower: bool = False, base_dir: str | None = None, number_rows: bool = True) -> DataFrame:
+    """Records in canonical form; with a row_id, if rows are to be numbered, for which they are written (session.numbered)."""
     if isinstance(source, DataFrame):
         raw = source
     else:
         path = check_path(source, base_dir)
         kind = path.lower().rstrip("/").rpartition(".")[2]
         raw = {"csv": read_csv, "parquet": lambda s, p: s.read.parquet(p)}.get(kind, read_workbook)(spark, path)
-    return canonical(raw, lower).withColumn("row_id", F.monotonically_increasing_id())
+    records = canonical(raw, lower)
+    return numbered(records) if number_rows else records
 
 
 def read_synonyms(spark: SparkSession, path: str, most: int = 100_000) -> dict[str, str]:

@@ -1,4 +1,5 @@
 import json
+import threading
 from pathlib import Path
 
 import duckdb
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sieveline import session
 from sieveline.functions.cleaning import SENTINEL
-from sieveline.operators import chem, quality, stats
+from sieveline.operators import chem, dedup, quality, split, stats
 from sieveline.plans import cli, pipeline, registry
 from sieveline.sources import config, readers, sinks
 from sieveline.streaming import records
@@ -68,13 +69,30 @@ def test_tasks(spark, assay, tmp_path):
 
 
 def test_tasks_without_toolkit(spark, assay):
-    """No raw string under the name of a standard one, no scaffold split without scaffolds, no correction without its inputs."""
-    with pytest.raises(chem.ChemBackendUnavailable):
-        pipeline.run_tasks(spark, config.Settings().merged({"input_path": assay, "split": True, "split_method": "scaffold"}))
+    """No raw string under the name of a standard one, and no correction without its inputs."""
     assert not {"Standardized_SMILES", "Scaffold"} & set(pipeline.run_tasks(spark, config.Settings().merged({"input_path": assay})).columns)
-    for method in ("hh", "mp"):
-        with pytest.raises(chem.ChemBackendUnavailable):
-            pipeline.run_tasks(spark, config.Settings().merged({"input_path": assay, "correct_ph": True, "ph_method": method}))
+    with pytest.raises(chem.ChemBackendUnavailable):
+        pipeline.run_tasks(spark, config.Settings().merged({"input_path": assay, "correct_ph": True, "ph_method": "mp"}))
+
+
+def test_scaffold_split_and_pka_rule_end_to_end(spark, tmp_path):
+    """Structures of three ring systems and two chains, in ways of writing of their own, split by whole groups; aspirin and ethanol corrected."""
+    rings = ["c1ccccc1", "C1CCCCC1", "c1ccncc1"]
+    texts = [("C" * (i % 6 + 1)) + rings[i % 3] for i in range(54)] + ["CC(=O)Oc1ccccc1C(=O)O", "CCO", "CCN", "OCC", "not read", "CC(=O)Oc1ccccc1C(=O)[O-]"]
+    path = tmp_path / "in.csv"
+    path.write_text("\n".join(["SMILES_Structure_Parent,Test,Measurement_Value,pH"] + [f"{x},Physicochem,{100 + i},4" for i, x in enumerate(texts)]))
+    out = pipeline.run_tasks(spark, config.Settings().merged({"input_path": str(path), "split": True, "split_method": "scaffold", "correct_ph": True, "ph_method": "hh", "keep_duplicates": True}))
+    rows = out.collect()
+    assert len(rows) == 60
+    parts = {}
+    for x in rows:
+        parts.setdefault(x.Ring_Linker_Key, set()).add(x["split"])
+    assert all(len(x) == 1 for x in parts.values()) and len(parts) == 5  # three ring systems, no rings, unreadable
+    corrected = {x.SMILES_Structure_Parent: (float(x.Measurement_Value), x.Measurement_Value_pH_corrected_hh) for x in rows}
+    for text, acid in (("CC(=O)Oc1ccccc1C(=O)O", True), ("CCO", True), ("not read", False)):
+        raw, found = corrected[text]
+        factor = 0.0016549491248390955 if acid else 1.0
+        assert abs(found / raw - factor) < 1e-12
 
 
 def test_no_quorum(spark, assay, tmp_path):
@@ -216,3 +234,64 @@ def test_small_tables_are_broadcast(spark, monkeypatch):
     assert hinted(session.few(names))
     monkeypatch.setattr(session, "BROADCAST_BYTES", 10_000)
     assert not hinted(session.few(names)) and hinted(session.few(names.limit(0)))
+
+
+@pytest.mark.parametrize("made_by", ["groupBy", "join", "repartition"])
+def test_row_ids_are_the_same_on_both_sides_of_joins(spark, tmp_path, made_by):
+    """Records from an exchange whose partitions are put together anew as columns are pruned: written, counted and collected alike."""
+    n = 40_000
+    base = spark.range(2 * n).select((F.col("id") % n).cast("string").alias("SMILES_Structure_Parent"), F.col("id").alias("k"), F.lit("1").alias("Measurement_Value"), F.repeat(F.lit("x"), 40).alias("Test"))
+    sources = {
+        "groupBy": lambda: base.groupBy("k", "SMILES_Structure_Parent").agg(F.first("Measurement_Value").alias("Measurement_Value"), F.first("Test").alias("Test")),
+        "join": lambda: base.join(spark.range(2 * n).withColumnRenamed("id", "k").hint("merge"), "k"),
+        "repartition": lambda: base.repartition("k"),
+    }
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        records = readers.read_records(spark, sources[made_by]().drop("k"))
+        kept = dedup.strict_or_first(records, ("Test",), "SMILES_Structure_Parent", "row_id")
+        kept.write.parquet(str(tmp_path / "kept"))
+        assert (spark.read.parquet(str(tmp_path / "kept")).count(), kept.count(), len(kept.collect())) == (n, n, n)
+        parts = split.random_split(records, ("Test",), "row_id")
+        parts.write.parquet(str(tmp_path / "parts"))
+        back = spark.read.parquet(str(tmp_path / "parts"))
+        assert {x["split"]: x["count"] for x in back.groupBy("split").count().collect()} == {"test": 16_000, "valid": 8_000, "train": 56_000}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_scratches_of_two_threads(spark):
+    """What one thread cuts is not in the scratch of another, which may end first."""
+    begun, ended, alive = threading.Event(), threading.Event(), []
+
+    def slow():
+        with session.Scratch(spark):
+            begun.set()
+            own = session.cut(spark.range(7), "slow")
+            ended.wait(60)
+            alive.append(own.count())
+
+    thread = threading.Thread(target=slow)
+    thread.start()
+    begun.wait(60)
+    with session.Scratch(spark):
+        session.cut(spark.range(3), "fast")
+    ended.set()
+    thread.join(120)
+    assert alive == [7]
+
+
+def test_no_shared_folder_is_an_error(spark):
+    class Bare:
+        class conf:
+            get = staticmethod(lambda name, default=None: default)
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Bare)
