@@ -293,7 +293,8 @@ def look_up(manifest: DataFrame, wanted: DataFrame, prefix: bool = False, payloa
 
     order = ORDER if one else ("key",)
     asked = wanted.select(*order)
-    placed = asked.repartitionByRange(*(F.col(x) for x in order)).sortWithinPartitions(*order)
+    # as many tasks as archives: what a task reads are records, of which its keys' bytes tell nothing
+    placed = asked.repartitionByRange(max(1, len(archives)), *(F.col(x) for x in order)).sortWithinPartitions(*order)
     return placed.mapInArrow(run, ", ".join(fields))
 
 

@@ -252,7 +252,7 @@ def test_files_are_warc(spark):
     n = 0
     for row in manifest.collect():
         files, path = pa.fs.FileSystem.from_uri(row.file)
-        with files.open_input_stream(path) as source:
+        with files.open_input_stream(path, compression=None) as source:
             raw = gzip.decompress(source.read())
         for part in raw.split(b"WARC/1.1\r\n")[1:]:
             headers, block = warc.parse(b"WARC/1.1\r\n" + part)
