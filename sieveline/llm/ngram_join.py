@@ -38,6 +38,8 @@ PERCENT = 75
 #: Bytes of text, or of shingles, of which one task gets what falls in its range of hashes.
 TEXT_BYTES = 12 << 20
 SET_BYTES = 16 << 20
+#: Bytes of the shingles of texts that ask one group in one task.
+ASK_BYTES = 8 << 20
 #: Shingles that a task packs at a time, and texts in a group.
 PACK = 1_000_000
 GROUP = 64
@@ -93,21 +95,34 @@ def linked(shared, n, m):
     return 100 * shared >= PERCENT * (n + m - shared)
 
 
-# --- packed exchange: (part, block, counts of each text in the block, shingles by text) ---
+# --- packed exchange: (part, block, the block's texts with shingles here and how many, shingles by text) ---
 
 PACKED = "part int, block long, counts binary, tokens binary, info binary"
 
 
-def _by_part(tokens: np.ndarray, owner: np.ndarray, owners: int, parts: int, at_least: int, aligned: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
-    """For each range of hashes with shingles, and for at_least: its number, counts of each owner, and shingles (and what is aligned with them) by owner."""
+def _by_part(tokens: np.ndarray, owner: np.ndarray, parts: int, at_least: int, aligned: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """For each range of hashes with shingles, and for at_least: its number, the owners in it, their counts, and shingles (and what is aligned with them) by owner.
+
+    What is given for a range grows with its shingles, whatever the number of ranges and of owners.
+    """
     part = _part(tokens, parts)
     order = np.lexsort((owner, part))
-    tokens, owner, more = tokens[order], owner[order], aligned[order] if aligned is not None else None
-    begin = 0
-    for k, end in enumerate(np.cumsum(np.bincount(part, minlength=parts)).tolist()):
-        if end > begin or k == at_least:
-            yield k, np.bincount(owner[begin:end], minlength=owners).astype("<u4"), tokens[begin:end], None if more is None else more[begin:end]
-        begin = end
+    tokens, owner, part, more = tokens[order], owner[order], part[order], aligned[order] if aligned is not None else None
+    begins = np.flatnonzero(np.diff(part, prepend=-1))
+    for begin, end in zip(begins.tolist(), [*begins[1:].tolist(), len(part)]):
+        first = np.flatnonzero(np.diff(owner[begin:end], prepend=-1))
+        yield int(part[begin]), owner[begin:end][first], np.diff(np.append(first, end - begin)), tokens[begin:end], None if more is None else more[begin:end]
+    if at_least >= 0 and not (part == at_least).any():
+        yield at_least, owner[:0], owner[:0], tokens[:0], None if more is None else more[:0]
+
+
+def _pairs(owners: np.ndarray, counts: np.ndarray) -> bytes:
+    return np.stack([owners, counts]).astype("<u4").tobytes()
+
+
+def _of_pairs(x: bytes) -> np.ndarray:
+    """Owners and their counts, as two rows."""
+    return _numbers(x, "<u4").reshape(2, -1).astype(np.int64)
 
 
 def _joined(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +179,7 @@ def _pack_texts(parts: int, words: int):
             here = np.bincount(owner[again], minlength=len(sets)).tolist()
             about = np.array([(*x, here[x[0]]) for x in info], dtype=INFO).tobytes()
             tokens, owner = np.append(tokens[~again], tokens[index[times > 1]]), np.append(owner[~again], np.full(np.count_nonzero(times > 1), len(sets)))
-            rows = [(k, block, counts.tobytes(), own.tobytes(), about if k == block % parts else None) for k, counts, own, _ in _by_part(tokens, owner, len(sets) + 1, parts, block % parts)]
+            rows = [(k, block, _pairs(held_by, counts), own.tobytes(), about if k == block % parts else None) for k, held_by, counts, own, _ in _by_part(tokens, owner, parts, block % parts)]
             kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=["part", "block", "counts", "tokens", "info"])
 
@@ -195,9 +210,10 @@ def _count_elsewhere(table: pa.Table) -> pa.Table:
     again = times[inverse] > 1
     hits, begin = [], 0
     for counts, end in zip(table.column("counts"), sizes.tolist()):
-        counts = _numbers(counts.as_py(), "<u4")
-        owner = np.repeat(np.arange(len(counts)), counts)
-        hits.append(np.bincount(owner[again[begin:end]], minlength=len(counts)).astype("<u4").tobytes())
+        owners, counts = _of_pairs(counts.as_py())
+        which = np.repeat(np.arange(len(counts)), counts)
+        met = np.bincount(which[again[begin:end]], minlength=len(counts))
+        hits.append(_pairs(owners[met > 0], met[met > 0]))
         begin = end
     del tokens, inverse, again
     workers.release()
@@ -206,8 +222,11 @@ def _count_elsewhere(table: pa.Table) -> pa.Table:
 
 def _mark(table: pa.Table) -> pa.Table:
     """The texts of a block, with whether enough of their shingles occur elsewhere."""
-    hits = sum(_numbers(x.as_py(), "<u4").astype(np.int64) for x in table.column("hits"))
     info = np.concatenate([_numbers(x.as_py(), INFO) for x in table.column("info") if x.is_valid])
+    hits = np.zeros(int(info["at"].max(initial=0)) + 2, dtype=np.int64)  # the last is what the block's texts share
+    for x in table.column("hits"):
+        owners, counts = _of_pairs(x.as_py())
+        hits[owners] += counts
     alive = (hits[info["at"]] + info["here"] >= needed(info["n"])) & (info["n"] > 0)
     return pa.table({"id": pa.array(info["id"], mask=info["null"]), "h1": info["h1"], "h2": info["h2"], "n": info["n"], "alive": alive})
 
@@ -266,7 +285,7 @@ def _pack_counts(parts: int):
         for batch in batches:
             for block, tokens in zip(batch.column(0).to_pylist(), batch.column(1)):
                 tokens, times = np.unique(_numbers(tokens.as_py(), "<u8"), return_counts=True)
-                rows = [(k, block, own.tobytes(), n.astype("<u4").tobytes()) for k, _, own, n in _by_part(tokens, np.zeros(len(tokens), dtype=np.int64), 1, parts, -1, times)]
+                rows = [(k, block, own.tobytes(), n.astype("<u4").tobytes()) for k, _, _, own, n in _by_part(tokens, np.zeros(len(tokens), dtype=np.int64), parts, -1, times)]
                 kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=["part", "block", "tokens", "times"])
 
@@ -404,7 +423,7 @@ def _pack_matrix(parts: int, first: bool):
             order = order[np.lexsort((_places_in_runs(tokens[order], comps[order]), tokens[order]))]
             kept = np.sort(order[_places_in_runs(tokens[order]) < FIRST_TEXTS])
             tokens, owner, places = tokens[kept], owner[kept], places[kept]
-        rows = [(k, counts[counts > 0].tobytes(), own.tobytes(), at.astype("<u4").tobytes(), cards[counts > 0].tobytes()) for k, counts, own, at in _by_part(tokens, owner, len(cards), parts, -1, places)]
+        rows = [(k, counts.astype("<u4").tobytes(), own.tobytes(), at.astype("<u4").tobytes(), cards[held_by].tobytes()) for k, held_by, counts, own, at in _by_part(tokens, owner, parts, -1, places)]
         columns = [*zip(*rows)] or [()] * 5
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int32(), *[pa.binary()] * 4))], names=["part", "counts", "tokens", "places", "cards"])
 
@@ -510,7 +529,8 @@ def _links(members: DataFrame, first: bool) -> DataFrame:
     pairs = cut(packed.groupBy("part").applyInArrow(_candidates(first), "node long, grp long").distinct(), "candidates")
     if pairs.isEmpty():
         return pairs.select(F.col("node").alias("u"), F.col("grp").alias("v"))
-    asked = pairs.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / 2048).alias("splits"))  # many texts that ask are dealt out
+    # texts that ask are dealt out by the bytes of their shingles
+    asked = pairs.join(members.select("node", "n"), "node").groupBy("grp").agg(F.ceil(F.sum(F.lit(8) * F.col("n")) / ASK_BYTES).alias("splits"))
     asked = cut(asked, "asked-groups")
     asked = few(asked)
     asks = pairs.join(members.select("node", "comp", "n", "tokens"), "node").join(asked, "grp")
