@@ -26,13 +26,15 @@ from sieveline.session import cut
 
 TABLES = 2
 #: Probes in each table that are tried, by the recall that they give; after the last, all buckets are probed.
-PROBES = (250, 500, 1000, 2000, 4000, 8000, 16_000)
+PROBES = (8, 16, 30, 60, 125, 250, 500, 1000, 1500, 2000, 3000, 4000, 6000, 8000, 16_000)
 #: Axes of each rotation, nearest first, whose pairs are ranked to find how far the probes reach.
 AXES = 256
 #: Part of the true neighbours of SAMPLE queries that must be met, above the 0.9 that is asked for by the sample's error.
-RECALL = 0.95
-SAMPLE = 100
+RECALL = 0.94
+SAMPLE = 200
 SEED = 20_011
+#: Buckets of one first axis are dealt in so many cells, by their second axis.
+CELLS = 16
 #: Bytes of the rows of a part, as numbers of 64 bits; parts of a table, at least.
 PART_BYTES = 32 << 20
 LEAST_PARTS = 8
@@ -168,43 +170,53 @@ def choose(classes: DataFrame, queries: DataFrame, k: int, tables: int = TABLES)
     return next((x for x in PROBES if met_share(pairs, x, tables) >= RECALL), None)
 
 
-# --- parts: buckets by their first axis, large ones split ---
+# --- parts: cells of buckets, by both axes, large ones split ---
 
 
-def _count_axes(tables: int):
+def _cells(width: int) -> int:
+    """How many cells the buckets of one first axis have; widths are powers of two."""
+    return min(CELLS, width)
+
+
+def _cell(a: np.ndarray, b: np.ndarray, width: int) -> np.ndarray:
+    return a * _cells(width) + b * _cells(width) // width
+
+
+def _count_cells(tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             for _, rows in _by_length(batch.column(0)):
                 for table in range(tables):
-                    values = rotated(_unit(rows), table, 0)
-                    mine = counts.setdefault((rows.shape[1], table), np.zeros(values.shape[1], dtype=np.int64))
-                    mine += np.bincount(values.argmax(axis=1), minlength=len(mine))
-        rows = [(length, table, axis, int(n)) for (length, table), mine in counts.items() for axis, n in enumerate(mine) if n]
+                    width = 2 << max(0, ceil(log2(max(1, rows.shape[1]))))
+                    mine = counts.setdefault((rows.shape[1], table), np.zeros(width * _cells(width), dtype=np.int64))
+                    mine += np.bincount(_cell(*buckets(_unit(rows), table), width), minlength=len(mine))
+        rows = [(length, table, cell, int(n)) for (length, table), mine in counts.items() for cell, n in enumerate(mine) if n]
         columns = list(zip(*rows)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["length", "table", "axis", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["length", "table", "cell", "n"])
 
     return run
 
 
 class Parts:
-    """Which parts hold the buckets of each first axis: several axes share a part, or one has several."""
+    """Which parts hold the buckets of each cell: several cells in a row share a part, or one has several."""
 
     def __init__(self, counts: list[tuple[int, int, int, int]]):
         self.of: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         self.tables: list[int] = []
         for length, table in sorted({x[:2] for x in counts}):
-            mine = sorted((axis, n) for a, b, axis, n in counts if (a, b) == (length, table))
+            mine = sorted((cell, n) for a, b, cell, n in counts if (a, b) == (length, table))
             most = max(1, min(PART_BYTES // (8 * length), ceil(sum(n for _, n in mine) / LEAST_PARTS)))
             width = 2 << max(0, ceil(log2(max(1, length))))
-            begins, splits, held = np.zeros(width, dtype=np.int64), np.zeros(width, dtype=np.int64), most
-            for axis, n in mine:
-                splits[axis] = ceil(n / most)
-                if splits[axis] > 1 or held + n > most:
-                    begins[axis], held = len(self.tables), n if splits[axis] == 1 else most
-                    self.tables += [table] * int(splits[axis])
+            size = width * _cells(width)
+            begins, splits, held = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64), most
+            for cell, n in mine:
+                splits[cell] = ceil(n / most)
+                if splits[cell] > 1 or held + n > most:
+                    begins[cell], held = len(self.tables), n if splits[cell] == 1 else most
+                    self.tables += [table] * int(splits[cell])
                 else:
-                    begins[axis], held = len(self.tables) - 1, held + n
+                    begins[cell], held = len(self.tables) - 1, held + n
             self.of[length, table] = begins, splits
 
     def __len__(self) -> int:
@@ -221,9 +233,11 @@ def _placed_rows(parts: Parts, tables: int, names: list[str]):
                 for table in range(tables):
                     a, b = buckets(_unit(rows), table)
                     begins, splits = parts.of[rows.shape[1], table]
-                    spread = (kept.column(1).to_numpy().view(np.uint64) % splits[a].astype(np.uint64)).astype(np.int64)
-                    bucket = a * len(begins) + b
-                    yield pa.RecordBatch.from_arrays([pa.array(begins[a] + spread, pa.int32()), pa.array(np.zeros(len(at), dtype=bool)), pa.array(bucket), pa.nulls(len(at), pa.float64()), *kept.columns], names=names)
+                    width = len(begins) // _cells(2 << max(0, ceil(log2(max(1, rows.shape[1])))))
+                    cell = _cell(a, b, width)
+                    spread = (kept.column(1).to_numpy().view(np.uint64) % splits[cell].astype(np.uint64)).astype(np.int64)
+                    bucket = a * width + b
+                    yield pa.RecordBatch.from_arrays([pa.array(begins[cell] + spread, pa.int32()), pa.array(np.zeros(len(at), dtype=bool)), pa.array(bucket), pa.nulls(len(at), pa.float64()), *kept.columns], names=names)
 
     return run
 
@@ -243,9 +257,11 @@ def _placed_queries(parts: Parts, tables: int, probes: int | None, names: list[s
                         first, second = losses(unit, table)
                         reach = reaches(first, second, probes)
                         held = np.flatnonzero(splits)
-                        axes = np.repeat(held, splits[held])
-                        own = np.concatenate([begins[a] + np.arange(splits[a]) for a in held])
-                        q, part = np.nonzero(first[:, axes] <= reach[:, None])
+                        cells = np.repeat(held, splits[held])
+                        own = np.concatenate([begins[x] + np.arange(splits[x]) for x in held])
+                        each = _cells(first.shape[1])
+                        least = second.reshape(len(second), each, -1).min(axis=2)  # the nearest of a cell's second axes
+                        q, part = np.nonzero(first[:, cells // each] + least[:, cells % each] <= reach[:, None])
                         q, part = np.unique(np.stack([q, own[part]]), axis=1)
                         kept = batch.take(pa.array(at[begin + q]))
                         yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(np.ones(len(q), dtype=bool)), pa.array(np.full(len(q), table)), pa.array(reach[q]), *kept.columns], names=names)
@@ -360,8 +376,8 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     queries = cut(classes.select("tag", "more", "vec").join(queries, ["tag", "more"]).select("query", F.col("tag").alias("qtag"), "more", "vec"), "query-vectors")
 
     probes = choose(classes, queries, k, tables)
-    counted = classes.select("vec").mapInArrow(_count_axes(tables), "length long, table long, axis long, n long")
-    parts = Parts([tuple(x) for x in counted.groupBy("length", "table", "axis").agg(F.sum("n")).collect()])  # a bounded number for each length
+    counted = classes.select("vec").mapInArrow(_count_cells(tables), "length long, table long, cell long, n long")
+    parts = Parts([tuple(x) for x in counted.groupBy("length", "table", "cell").agg(F.sum("n")).collect()])  # 4 * CELLS * length at most for each length and table
     names = ["part", "asks", "bucket", "reach", "rep", "tag", "vec"]
     placed = f"part int, asks boolean, bucket long, reach double, rep long, tag long, vec array<{'float' if single else 'double'}>"
     index = classes.select("rep", "tag", "vec").mapInArrow(_placed_rows(parts, tables, names), placed)
