@@ -8,12 +8,16 @@ from __future__ import annotations
 
 import json
 import re
+import time
+import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.schema import API_SYNONYMS, CLI_SYNONYMS, ENDPOINTS
-from sieveline.session import Scratch, cut
+from sieveline.session import Scratch, cut, file_system
 
 MIN_LIKENESS = 0.55
 #: Isoforms that have endpoints of their own, and tokens that name none.
@@ -124,6 +128,43 @@ def map_by_callable(df: DataFrame, column: str, ask, most: int = 10_000) -> Data
     return df.sparkSession.createDataFrame([(x, found.get(x) or x) for x in sorted(names)], f"`{column}` string, endpoint string")
 
 
+def map_by_service(df: DataFrame, column: str, ask: Callable[[list[str]], dict[str, str]], store: str, at_once: int = 50, tries: int = 4, wait: float = 1.0, callers: int = 8) -> DataFrame:
+    """The same mapping from a service, for any number of names: (column, endpoint).
+
+    ask takes at most at_once names and returns what it knows of them; it runs in the tasks, of which there are as many as callers
+    (so no more calls are open at a time), and is tried again after an error, each time after twice the wait. Answers are kept in the
+    folder store, a part for each call of this function; only names that it lacks are asked, so a run that failed asks the next time
+    what is still open. A service that fails each time leaves its names open, and the mapping gives them themselves; so are names
+    that it doesn't answer, but these are not asked again. store must be a folder that driver and executors share.
+    """
+    spark = df.sparkSession
+    schema = "name string, endpoint string"
+    names = df.select(F.col(column).alias("name")).filter(F.col(column).isNotNull()).distinct()
+    where, files = file_system(spark, store)
+    known = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(store) if files.exists(where) else None
+    open_ = names.join(known, "name", "left_anti") if known is not None else names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column(0).to_pylist()
+            for at in range(0, len(held), at_once):
+                some = held[at : at + at_once]
+                for k in range(tries):
+                    try:
+                        told = ask(some)
+                    except Exception:  # whatever a service raises, the names stay open
+                        if k + 1 < tries:
+                            time.sleep(wait * 2**k)
+                        continue
+                    yield pa.RecordBatch.from_pydict({"name": pa.array(some, pa.string()), "endpoint": pa.array([told.get(x) or x for x in some], pa.string())})
+                    break
+
+    # what has been answered is written once: a task that runs again asks again, and the last answer counts
+    open_.repartition(callers, "name").mapInArrow(run, schema).write.parquet(f"{store.rstrip('/')}/{uuid.uuid4().hex[:12]}")
+    answers = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(store).groupBy("name").agg(F.min("endpoint").alias("endpoint"))
+    return names.join(answers, "name", "left").select(F.col("name").alias(column), F.coalesce("endpoint", "name").alias("endpoint"))
+
+
 def prompt_for(names: list[str], endpoints: tuple[str, ...] = ENDPOINTS) -> str:
     """What an outside language service is asked, for map_by_callable."""
     return f"Map each name to the one endpoint of the list that it measures, or to itself. Answer with one JSON object and nothing else.\nEndpoints: {', '.join(endpoints)}\nNames: {json.dumps(names, ensure_ascii=False)}"

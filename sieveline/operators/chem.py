@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.functions import structures
+from sieveline.session import spread
+
 
 class ChemBackendUnavailable(ImportError):
     """The operator needs a chemistry toolkit that is not installed; there is no stand-in for it."""
@@ -67,6 +70,13 @@ def standardise(df: DataFrame, structure: str, keep_stereo: bool = True) -> Data
     return df.join(known.select(structure, F.col("_w.std").alias("Standardized_SMILES"), F.col("_w.scaffold").alias("Scaffold")), structure, "left")
 
 
+def with_pkas(df: DataFrame, structure: str) -> DataFrame:
+    """df with acid_pka and base_pka by structures.pkas, each distinct structure read once; null for what is no structure."""
+    known = df.select(F.col(f"`{structure}`").alias("_structure")).filter(F.col("_structure").isNotNull()).distinct()
+    told = spread(known, "_structure").select("_structure", structures.pkas(structures.graph(F.col("_structure"))).alias("_p")).select("_structure", F.col("_p.acid").alias("acid_pka"), F.col("_p.base").alias("base_pka"))
+    return df.drop("acid_pka", "base_pka").join(told, F.col(f"`{structure}`") == F.col("_structure"), "left").drop("_structure")
+
+
 #: The columns that descriptors adds.
 DESCRIPTORS = ("logp", "tpsa", "donors", "acceptors")
 

@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sieveline.operators.chem import one_hot
 
 #: What has a place of its own, in order.
 ATOMIC_NUMBERS = (1, 5, 6, 7, 8, 9, 11, 13, 14, 15, 16, 17, 19, 30, 33, 34, 35, 53)
@@ -37,10 +36,18 @@ def _flag(value: Column) -> Column:
     return F.coalesce(value.cast("int"), F.lit(0))
 
 
+def _row_of(value: Column, choices: Sequence, other: bool = False) -> Column:
+    """chem.one_hot by one look-up in an array of ready rows: the first is for what is in no list."""
+    width = len(choices) + other
+    ready = [[float(other and j == width - 1) for j in range(width)]] + [[float(i == j) for j in range(width)] for i in range(len(choices))]
+    rows = F.array(*(F.array(*map(F.lit, x)) for x in ready))
+    return F.get(rows, F.coalesce(F.array_position(F.array(*map(F.lit, choices)), value), F.lit(0)).cast("int"))
+
+
 def atom_onehot(number: Column, degree: Column, chirality: Column, charge: Column, hybridisation: Column, hydrogens: Column, aromatic: Column) -> Column:
     """43 numbers: element (19), degree (6), chirality (4), place of the charge, hybridisation (7), hydrogens (5), aromatic."""
-    places = F.concat(one_hot(number, ATOMIC_NUMBERS, other=True), one_hot(degree, DEGREES, other=True), one_hot(chirality, CHIRALITIES))
-    tail = F.concat(one_hot(hybridisation, HYBRIDISATIONS), one_hot(hydrogens, HYDROGENS), F.array(_flag(aromatic).cast("double")))
+    places = F.concat(_row_of(number, ATOMIC_NUMBERS, other=True), _row_of(degree, DEGREES, other=True), _row_of(chirality, CHIRALITIES))
+    tail = F.concat(_row_of(hybridisation, HYBRIDISATIONS), _row_of(hydrogens, HYDROGENS), F.array(_flag(aromatic).cast("double")))
     return F.concat(places, F.array(index_of(charge, CHARGES, len(CHARGES)).cast("double")), tail)
 
 
@@ -59,7 +66,7 @@ def atom_indices(number: Column, degree: Column, chirality: Column, charge: Colu
 
 def bond_onehot(kind: Column, direction: Column, conjugated: Column, ring: Column) -> Column:
     """10 numbers: type (4, and one for null, which is no bond), direction (3), conjugated, in a ring. Motif bonds alike."""
-    return F.concat(one_hot(kind, BONDS), F.array(kind.isNull().cast("double")), one_hot(direction, DIRECTIONS), F.array(_flag(conjugated).cast("double"), _flag(ring).cast("double")))
+    return F.concat(_row_of(kind, BONDS), F.array(kind.isNull().cast("double")), _row_of(direction, DIRECTIONS), F.array(_flag(conjugated).cast("double"), _flag(ring).cast("double")))
 
 
 def bond_indices(kind: Column, direction: Column, conjugated: Column, ring: Column) -> Column:

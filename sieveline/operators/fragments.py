@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sieveline.functions import structures
-from sieveline.session import cut, few
+from sieveline.session import cut, few, spread
 
 Bond = tuple[int, int, str]
 FRAGMENTS = (
@@ -239,7 +239,7 @@ def with_fragments(df: DataFrame, structure: str, merged: bool = False) -> DataF
     cube of its atoms.
     """
     names = [x.split(" ")[0] for x in FRAGMENTS.split(", ")]
-    known = df.select(F.col(f"`{structure}`").alias("structure")).filter(F.col("structure").isNotNull()).distinct().withColumn("graph", structures.graph(F.col("structure"))).filter(F.col("graph").isNotNull())
+    known = spread(df.select(F.col(f"`{structure}`").alias("structure")).filter(F.col("structure").isNotNull()).distinct(), "structure").withColumn("graph", structures.graph(F.col("structure"))).filter(F.col("graph").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -6,6 +6,7 @@ that a task with a third of all records is no larger in any one place.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,10 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from sieveline.session import Scratch, cut, small
+
 #: Of approximate quantiles: their error in rank is at most a task's rows over this.
 QUANTILE_ACCURACY = 10_000
 #: Rows of a task's sorted order that one window holds.
 CHUNK = 200_000
+#: Buckets of a task's values that is larger than that.
+SPLITS = 1000
+#: Rounds of a mixture's fit that one plan holds.
+STEPS = 8
 
 
 def join_back(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -115,17 +122,22 @@ def sorted_chunks(df: DataFrame, keys: Sequence[str], value: str, row_id: str, r
 
     Adds _n (the task's rows), _pos (from 0), _chunk and _own (whether the row belongs to this chunk). Places are
     exact: values fall into buckets between approximate quantiles, buckets' sizes are summed, and rows are
-    numbered within buckets only.
+    numbered within buckets only. A value that is a quantile twice has many rows: these are a bucket of their own, which is
+    dealt out by a hash of row_id, in whose order its rows then come.
     """
-    splits = F.percentile_approx(value, [i / 128 for i in range(1, 128)], QUANTILE_ACCURACY)
+    splits = F.percentile_approx(value, [i / SPLITS for i in range(1, SPLITS)], QUANTILE_ACCURACY)
     bounds = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), splits.alias("_splits"))
-    bucket = F.when(F.col("_n") > chunk, F.size(F.filter("_splits", lambda x: x < F.col(value)))).otherwise(0)
-    placed = join_back(df, bounds, keys).withColumn("_bucket", bucket).drop("_splits")
-    sizes = placed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = F.coalesce(F.sum("_size").over(Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = join_back(placed, sizes.select(*keys, "_bucket", before.alias("_before")), [*keys, "_bucket"])
-    place = F.col("_before") + F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(value, row_id)) - 1
-    placed = placed.withColumn("_pos", place).drop("_bucket", "_before")
+    again = F.array_distinct(F.filter("_splits", lambda x, i: x == F.get("_splits", i - 1)))
+    bounds = bounds.select(*keys, "_n", F.when(F.col("_n") > chunk, F.array_distinct("_splits")).otherwise(F.array()).alias("_splits"), F.when(F.col("_n") > chunk, again).otherwise(F.array()).alias("_often"))
+    often = F.coalesce(F.array_contains("_often", F.col(value)), F.lit(False))
+    bucket = 2 * F.size(F.filter("_splits", lambda x: x < F.col(value))) + often.cast("int")
+    part = F.when(often, F.substring(F.md5(F.col(row_id).cast("string").cast("binary")), 1, 3)).otherwise(F.lit(""))
+    placed = join_back(df, bounds, keys).withColumns({"_bucket": bucket, "_part": part}).drop("_splits", "_often")
+    sizes = placed.groupBy(*keys, "_bucket", "_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.partitionBy(*keys).orderBy("_bucket", "_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = join_back(placed, sizes.select(*keys, "_bucket", "_part", before.alias("_before")), [*keys, "_bucket", "_part"])
+    place = F.col("_before") + F.row_number().over(Window.partitionBy(*keys, "_bucket", "_part").orderBy(value, row_id)) - 1
+    placed = placed.withColumn("_pos", place).drop("_bucket", "_part", "_before")
     at = lambda x: F.floor(x / chunk)
     chunks = F.sequence(at(F.greatest(F.col("_pos") - reach, F.lit(0))), at(F.least(F.col("_pos") + reach, F.col("_n") - 1)))
     return placed.withColumn("_chunk", F.explode(chunks)).withColumn("_own", F.col("_chunk") == at(F.col("_pos")))
@@ -158,21 +170,84 @@ def local_outlier_factor(df: DataFrame, keys: Sequence[str], value: str, row_id:
     return found.withColumn("is_outlier", F.coalesce(F.col("lof") > limit, F.lit(False)))
 
 
-def gaussian_mixture_outliers(df: DataFrame, value: str, parts: int = 2, share: float = 0.05, seed: int = 42) -> DataFrame:
-    """df with log_density under a mixture of normal distributions, and whether it is in the lowest share."""
-    from pyspark.ml.clustering import GaussianMixture
-    from pyspark.ml.feature import VectorAssembler
+def _shares(value: Column) -> tuple[Column, Column]:
+    """For the parts (_w, _m, _s: weights, means, variances) of a mixture: log density of value, and the share that each part has in it."""
+    each = F.transform(F.arrays_zip("_w", "_m", "_s"), lambda p: F.log(p["_w"]) - 0.5 * F.log(2 * math.pi * p["_s"]) - (value - p["_m"]) * (value - p["_m"]) / (2 * p["_s"]))
+    most = F.array_max(each)
+    density = most + F.log(F.aggregate(each, F.lit(0.0), lambda a, x: a + F.exp(x - most)))
+    return density, F.transform(each, lambda x: F.exp(x - density))
+
+
+def gaussian_mixtures(df: DataFrame, value: str, keys: Sequence[str] = (), parts: int = 2, rounds: int = 100, least_gain: float = 1e-3) -> DataFrame:
+    """keys, n, weights, means, variances and rounds of a mixture of normal distributions for each task.
 
-    known = df.filter(F.col(value).isNotNull())
-    ready = VectorAssembler(inputCols=[value], outputCol="_x").transform(known)
-    model = GaussianMixture(k=parts, seed=seed, featuresCol="_x").fit(ready)
-    density = F.lit(0.0)
-    for weight, normal in zip(model.weights, model.gaussians):
-        mean, variance = float(normal.mean[0]), max(float(normal.cov.toArray()[0, 0]), 1e-12)
-        density = density + F.lit(float(weight) / (2 * 3.141592653589793 * variance) ** 0.5) * F.exp(-F.pow(F.col(value) - mean, F.lit(2.0)) / (2 * variance))
-    scored = known.withColumn("log_density", F.log(density + 1e-300))
-    limit = exact_quantiles(scored, (), "log_density", (share,), "_limit")
-    return join_back(scored, limit, ()).withColumn("is_outlier", F.col("log_density") < F.get("_limit", F.lit(0))).drop("_limit")
+    Expectation and maximisation run for all tasks at once: each round joins the tasks' parts to their distinct
+    values, with how often they occur, and is one aggregation. It begins with equal weights, the task's variance, and means spread evenly from one deviation
+    below its mean to one above. A task stops when its mean log likelihood rises by less than least_gain, or after rounds. Null and NaN values
+    don't count; variances are raised by 1e-6.
+    """
+    x, floor = F.col("_v"), 1e-6
+    known = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(*keys, F.col(value).cast("double").alias("_v"))
+    with Scratch(df.sparkSession) as held:
+        counted = cut(known.groupBy(*keys, "_v").agg(F.count(F.lit(1)).cast("double").alias("_c")), "mixture-values")
+        first = counted.groupBy(*keys).agg(F.sum("_c").alias("_n"), (F.sum(x * F.col("_c")) / F.sum("_c")).alias("_mean"))
+        spread = join_back(counted, first, keys).groupBy(*keys).agg(F.first("_n").alias("_n"), F.first("_mean").alias("_mean"), (F.sum(F.col("_c") * (x - F.col("_mean")) * (x - F.col("_mean"))) / F.sum("_c")).alias("_var"))
+        steps = [0.0] if parts == 1 else [2 * i / (parts - 1) - 1 for i in range(parts)]
+        means = F.array(*(F.col("_mean") + F.lit(z) * F.sqrt("_var") for z in steps))
+        start = spread.select(*keys, "_n", F.array_repeat(F.lit(1 / parts), parts).alias("_w"), means.alias("_m"), F.array_repeat(F.col("_var") + floor, parts).alias("_s"), F.lit(float("-inf")).alias("_ll"), F.lit(0).alias("_round"), F.lit(False).alias("_done"))
+        if not keys:  # an empty table has one empty task
+            start = start.filter("_n > 0")
+        now = cut(start, "mixture-start")
+        told = F.broadcast if small(now) else lambda t: t
+
+        kept = ("_n", "_w", "_m", "_s", "_ll", "_round", "_done")
+
+        def step(now: DataFrame) -> DataFrame:
+            """One round; tasks go through it once, so that rounds may follow each other in one plan."""
+            parts_of = told(now).select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), *kept)
+            met = counted.join(parts_of, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]) if keys else counted.crossJoin(parts_of)
+            density, shares = _shares(x)
+            met = met.select(*keys, "_c", "_v", *kept, density.alias("_d"), shares.alias("_r"))
+            of = lambda j, y: F.sum(F.col("_c") * F.get("_r", F.lit(j)) * y)
+            away = lambda j: x - F.get("_m", F.lit(j))
+            sums = [F.array(of(j, F.lit(1.0)), of(j, away(j)), of(j, away(j) * away(j))) for j in range(parts)]
+            both = met.groupBy(*keys).agg(*(F.first(y).alias(y) for y in kept), F.array(*sums).alias("_sums"), (F.sum(F.col("_c") * F.col("_d")) / F.sum("_c")).alias("_new"))
+            if not keys:
+                both = both.filter("_n IS NOT NULL")
+            at = lambda i: F.transform("_sums", lambda p: F.get(p, F.lit(i)))
+            size = F.transform("_sums", lambda p: F.greatest(F.get(p, F.lit(0)), F.lit(1e-300)))
+            moved = F.zip_with(at(1), size, lambda a, n: a / n)
+            fresh = ~F.col("_done")
+            return both.select(
+                *keys, "_n",
+                F.when(fresh, F.transform(size, lambda n: n / F.col("_n"))).otherwise(F.col("_w")).alias("_w"),
+                F.when(fresh, F.zip_with("_m", moved, lambda m, d: m + d)).otherwise(F.col("_m")).alias("_m"),
+                F.when(fresh, F.zip_with(F.zip_with(at(2), size, lambda a, n: a / n), moved, lambda v, d: F.greatest(v - d * d, F.lit(0.0)) + floor)).otherwise(F.col("_s")).alias("_s"),
+                F.when(fresh, F.col("_new")).otherwise(F.col("_ll")).alias("_ll"),
+                F.when(fresh, F.col("_round") + 1).otherwise(F.col("_round")).alias("_round"),
+                (F.col("_done") | (F.abs(F.col("_new") - F.col("_ll")) < least_gain) | (F.col("_round") + 1 >= rounds)).alias("_done"),
+            )
+
+        while not now.filter("NOT _done").isEmpty():
+            later = now
+            for _ in range(STEPS):
+                later = step(later)
+            before, now = now, cut(later, "mixture-step")
+            held.drop(before)
+        held.keep(now)
+    return now.select(*keys, F.col("_n").cast("bigint").alias("n"), F.col("_w").alias("weights"), F.col("_m").alias("means"), F.col("_s").alias("variances"), F.col("_round").alias("rounds"))
+
+
+def gaussian_mixture_outliers(df: DataFrame, value: str, parts: int = 2, share: float = 0.05, keys: Sequence[str] = ()) -> DataFrame:
+    """df with log_density under its task's mixture of normal distributions, and whether it is below the share's exact quantile of these.
+
+    Rows without a value have no density, and are no outliers.
+    """
+    fitted = gaussian_mixtures(df, value, keys, parts).select(*keys, F.col("weights").alias("_w"), F.col("means").alias("_m"), F.col("variances").alias("_s"))
+    x = F.col(value).cast("double")
+    scored = join_back(df, fitted, keys).withColumn("log_density", F.when(x.isNotNull() & ~F.isnan(x), _shares(x)[0])).drop("_w", "_m", "_s")
+    limit = exact_quantiles(scored, keys, "log_density", (share,), "_limit")
+    return join_back(scored, limit, keys).withColumn("is_outlier", F.coalesce(F.col("log_density") < F.get("_limit", F.lit(0)), F.lit(False))).drop("_limit")
 
 
 def one_class_svm_outliers(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -206,7 +281,7 @@ def outliers(df: DataFrame, keys: Sequence[str], value: str, row_id: str, task_t
     asked for, and their library needed, only where there are records for them.
     """
     gate = normality(df, keys, value).select(*keys, (F.coalesce("p", F.lit(0.0)) >= 0.05).alias("_normal"))
-    both = join_back(df, gate, keys)
+    both = cut(join_back(df, gate, keys), "gated")  # read by each of the ways below, several times
     straight = iqr_outliers(both.filter("_normal"), keys, value)
     rest = both.filter("NOT _normal")
     if isinstance(task_type, Column):

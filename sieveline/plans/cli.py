@@ -6,15 +6,22 @@ import logging
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from sieveline.plans import pipeline
+from sieveline.schema import CONDITION_COLUMNS
 from sieveline.session import build_session
 from sieveline.sources import config, readers, sinks
 
 
 def run(spark: SparkSession, settings: config.Settings) -> None:
     if not settings.to_matrix:
-        sinks.write_tasks(pipeline.run_tasks(spark, settings), settings.output_path, by_split=settings.split)
+        if settings.form == "named":
+            base = settings.input_path.rstrip("/").rpartition("/")[2].partition(".")[0]
+            out = pipeline.run_tasks(spark, settings).withColumn("task", sinks.task_name(*(F.col(x) for x in CONDITION_COLUMNS), whole=True))
+            sinks.write_named(out, settings.output_path, base, by_split=settings.split)
+        else:
+            sinks.write_tasks(pipeline.run_tasks(spark, settings), settings.output_path, by_split=settings.split, form=settings.form)
         return
     wide, unmapped = pipeline.run_matrix(spark, settings)
     if "endpoint_key" not in unmapped.columns:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.functions import cleaning, endpoints, ph, structures, units
+from sieveline.functions import cleaning, endpoints, ph, units
 from sieveline.functions.cleaning import endpoint_key, number, qualitative
 from sieveline.operators import chem, dedup, fragments, matrix, quality, split, stats
 from sieveline.schema import CONDITION_COLUMNS, ENDPOINTS, SENTINEL
@@ -37,11 +37,9 @@ def add_ph(df: DataFrame, value: str, settings: Settings, lower: bool = False) -
     asked = settings.ph_method
     pkas = [x for x in ("acid_pka", "base_pka") if asked in ("hh", "all") and x not in df.columns]
     if pkas:  # what the input has stays its own
-        # each distinct structure is read once
-        told = structures.pkas(structures.graph(F.col("_structure")))
-        known = found.select(F.col(f"`{case(settings.smiles_col)}`").alias("_structure")).distinct().withColumn("_p", told)
-        found = found.join(known, F.col(f"`{case(settings.smiles_col)}`") == F.col("_structure"), "left")
-        found = found.withColumns({x: F.col(f"_p.{x.removesuffix('_pka')}") for x in pkas}).drop("_structure", "_p")
+        own_columns = [x for x in ("acid_pka", "base_pka") if x not in pkas]
+        told = chem.with_pkas(found.withColumnsRenamed({x: f"_own_{x}" for x in own_columns}), case(settings.smiles_col))
+        found = told.drop(*own_columns).withColumnsRenamed({f"_own_{x}": x for x in own_columns})
     missing = [x for x in chem.DESCRIPTORS if asked in ("mp", "all") and x not in df.columns]
     if missing:
         try:
@@ -84,6 +82,7 @@ def prepare_tasks(df: DataFrame, settings: Settings, keys: tuple[str, ...], task
         # rings and what links them, read from the structure as it stands, under a name of its own
         out = fragments.with_fragments(out, structure).drop("rings", "fragments", "edges").withColumnRenamed("ring_linker_key", RING_KEY)
     out = out.withColumn("_x", number(F.col(value).cast("string")))
+    task_type = task_type or settings.task_type
     kind = F.lit(task_type) if task_type else F.col("task_type") if "task_type" in out.columns else F.lit("regression")
     out = stats.zscore(out, keys, "_x", f"{value}_scaled").withColumn(f"{value}_scaled", F.when(kind == "regression", F.col(f"{value}_scaled")))
     if settings.threshold is not None:

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.functions import cleaning, endpoints, ph, structures, units
+from sieveline.functions import cleaning, endpoints, ph, units
 from sieveline.operators import chem, dedup, features, fragments, matrix, quality, split, stats, summary
 from sieveline.session import numbered, read_table
 
@@ -617,10 +617,9 @@ f AS (SELECT *, CASE WHEN acid THEN 1 - 1 / (1 + power(10.0, a - 7.4)) ELSE 1 -
 SELECT p_partkey, a AS acid_pka, b AS base_pka, round(CASE WHEN a IS NULL AND b IS NULL THEN v ELSE v * ft / fm END, 6) AS corrected FROM f""")
 def structure_pka(spark, sf_dir):
     """The pKa rule over structures that are read as columns, and the correction that takes it."""
-    told = _compounds(spark, sf_dir).withColumn("_p", structures.pkas(structures.graph(F.col("structure"))))
-    acid, base = F.col("_p.acid"), F.col("_p.base")
-    found = ph.corrected(F.col("p_retailprice"), F.lit(4.0) + F.col("p_size") % 7, "hh", acid_pka=acid, base_pka=base)
-    return told.select("p_partkey", acid.alias("acid_pka"), base.alias("base_pka"), F.round(found["hh"], ROUND).alias("corrected"))
+    told = chem.with_pkas(_compounds(spark, sf_dir), "structure")
+    found = ph.corrected(F.col("p_retailprice"), F.lit(4.0) + F.col("p_size") % 7, "hh", acid_pka=F.col("acid_pka"), base_pka=F.col("base_pka"))
+    return told.select("p_partkey", "acid_pka", "base_pka", F.round(found["hh"], ROUND).alias("corrected"))
 
 
 #: Ring systems to hang groups on, each written in two ways; and groups that are no part of a scaffold.
@@ -668,3 +667,11 @@ def graph_offsets(spark, sf_dir):
     graphs = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
     batched = fragments.batch_offsets(graphs, "l_orderkey", "n", 32, "in_batch")
     return fragments.batch_offsets(batched, "l_orderkey", "n", out="in_all").select("l_orderkey", "n", "batch", "in_batch", "in_all")
+
+
+@query()
+def gmm_by_task(spark, sf_dir):
+    """A mixture for each customer segment at once; the rows of least density in each."""
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    found = stats.gaussian_mixture_outliers(customers, "c_acctbal", keys=("c_mktsegment",))
+    return found.select("c_custkey", "c_mktsegment", F.round("log_density", ROUND).alias("log_density"), "is_outlier")

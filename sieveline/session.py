@@ -122,10 +122,21 @@ class Scratch:
             delete(self.spark, path)
 
 
+def file_system(spark: SparkSession, path: str):
+    """A path and its file system, as Spark itself has them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a path by Spark's own file systems, if it is there."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    where, files = file_system(spark, path)
+    files.delete(where, True)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """df dealt out over all cores, for rows that are few in bytes and long in work, which Spark would put together."""
+    return df.repartition(max(2, df.sparkSession.sparkContext.defaultParallelism), *columns)
 
 
 def numbered(df: DataFrame, row_id: str = "row_id") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import asdict, dataclass, fields, replace
 
 TRUE = ("1", "true", "yes", "y", "on")
-CHOICES = {"split_method": ("random", "scaffold", "stratified"), "endpoint_mapper": ("manual", "llm"), "ph_method": ("all", "hh", "emp", "mp")}
+CHOICES = {"split_method": ("random", "scaffold", "stratified"), "endpoint_mapper": ("manual", "llm"), "ph_method": ("all", "hh", "emp", "mp"), "form": ("parquet", "csv", "named"), "task_type": (None, "regression", "classification")}
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,7 @@ class Settings:
     split_method: str = "random"
     test_size: float = 0.2
     valid_size: float = 0.1
+    form: str = "parquet"
     to_matrix: bool = False
     endpoint_mapper: str = "manual"
     mapping_path: str | None = None

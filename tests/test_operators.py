@@ -247,3 +247,64 @@ def test_lof_in_chunks(spark, chunk):
     cut = {x.i: x.lof for x in stats.local_outlier_factor(df, KEYS, "v", "i", k=4, chunk=chunk).collect()}
     assert whole.keys() == cut.keys() == {i for _, i, _ in rows}
     assert all(math.isclose(whole[i], cut[i], rel_tol=1e-9) for i in whole)
+
+
+def plain_mixture(values, parts=2, rounds=100, least_gain=1e-3):
+    n = len(values)
+    mean = sum(values) / n
+    var = sum((x - mean) ** 2 for x in values) / n
+    w, m, s, last = [1 / parts] * parts, [mean + z * var**0.5 for z in ([0.0] if parts == 1 else [2 * i / (parts - 1) - 1 for i in range(parts)])], [var + 1e-6] * parts, -math.inf
+    for k in range(rounds):
+        p = [[a * math.exp(-((x - b) ** 2) / (2 * c)) / math.sqrt(2 * math.pi * c) for a, b, c in zip(w, m, s)] for x in values]
+        total = [sum(x) for x in p]
+        now = sum(map(math.log, total)) / n
+        r = [[y / t for y in x] for x, t in zip(p, total)]
+        size = [sum(x[j] for x in r) for j in range(parts)]
+        w = [x / n for x in size]
+        m = [sum(x[j] * v for x, v in zip(r, values)) / size[j] for j in range(parts)]
+        s = [sum(x[j] * (v - m[j]) ** 2 for x, v in zip(r, values)) / size[j] + 1e-6 for j in range(parts)]
+        if abs(now - last) < least_gain:
+            break
+        last = now
+    return w, m, s, k + 1
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3])
+def test_mixtures_of_many_tasks(spark, parts):
+    """All tasks at once, each as it comes out by itself: two humps, one, equal values, one value, repeated values, a null key."""
+    import random
+
+    draw = random.Random(parts)
+    tasks = {"two": [draw.gauss(0, 1) for _ in range(60)] + [draw.gauss(9, 2) for _ in range(40)], "one": [draw.gauss(5, 3) for _ in range(50)], "same": [4.0] * 9, "single": [7.0], None: [1.0] * 20 + [2.0] * 20 + [10.0] * 5}
+    df = frame(spark, [(k, v) for k, x in tasks.items() for v in x] + [("one", None), ("one", float("nan"))], "k string, v double")
+    got = {x.k: x for x in stats.gaussian_mixtures(df, "v", KEYS, parts).collect()}
+    assert set(got) == set(tasks)
+    for k, values in tasks.items():
+        w, m, s, rounds = plain_mixture(values, parts)
+        row = got[k]
+        assert row.n == len(values) and row.rounds == rounds
+        for a, b in ((row.weights, w), (row.means, m), (row.variances, s)):
+            assert all(math.isclose(x, y, rel_tol=1e-6, abs_tol=1e-9) for x, y in zip(a, b)), (k, a, b)
+    flagged = stats.gaussian_mixture_outliers(df, "v", parts, keys=KEYS).collect()
+    assert len(flagged) == df.count() and not any(x.is_outlier for x in flagged if x.v is None or x.v != x.v)
+    w, m, s, _ = plain_mixture(tasks["two"], parts)
+    density = sorted(math.log(sum(a * math.exp(-((x - b) ** 2) / (2 * c)) / math.sqrt(2 * math.pi * c) for a, b, c in zip(w, m, s))) for x in tasks["two"])
+    limit = density[4] + (density[5] - density[4]) * 0.95
+    assert sum(x.is_outlier for x in flagged if x.k == "two") == sum(d < limit for d in density) == 5
+
+
+def test_mixture_without_keys(spark):
+    values = [float(x % 7) + 20 * (x % 3) for x in range(90)]
+    df = frame(spark, [(v,) for v in values], "v double")
+    row = stats.gaussian_mixtures(df, "v").first()
+    w, m, s, rounds = plain_mixture(values)
+    assert row.rounds == rounds and all(math.isclose(x, y, rel_tol=1e-6) for x, y in zip(row.means, m))
+    assert stats.gaussian_mixtures(df.limit(0), "v").count() == 0 and stats.gaussian_mixture_outliers(df.limit(0), "v").count() == 0
+
+
+def test_places_of_a_value_with_most_rows(spark):
+    """A repeated value's rows are dealt out, and places stay those of a sorted order."""
+    rows = [(i, 5.0 if i % 3 else float(i % 50)) for i in range(3000)]
+    got = stats.sorted_chunks(frame(spark, rows, "i long, v double"), (), "v", "i", 0, 500).collect()
+    assert sorted(x._pos for x in got) == list(range(3000))
+    assert [x.v for x in sorted(got, key=lambda x: x._pos)] == sorted(v for _, v in rows)

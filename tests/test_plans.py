@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sieveline import session
+from sieveline.functions import endpoints
 from sieveline.functions.cleaning import SENTINEL
 from sieveline.operators import chem, dedup, quality, split, stats
 from sieveline.plans import cli, pipeline, registry
@@ -295,3 +296,80 @@ def test_no_shared_folder_is_an_error(spark):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Bare)
+
+
+def test_named_files_by_command_line(spark, assay, tmp_path):
+    """Files as the tasks are called, with all conditions, and again for each split; a second run replaces them."""
+    out = tmp_path / "out"
+    for _ in range(2):
+        assert cli.main(["--input-path", assay, "--split", "--form", "named", "--output-path", str(out)]) == 0
+    name = "assay_Physicochem_ClogP" + "_Not_specified" * 8
+    found = sorted(str(x.relative_to(out)) for x in out.rglob("*.csv"))
+    assert found == [f"{name}_processed.csv"] + [f"splits/{name}_{x}.csv" for x in ("test", "train", "valid")]
+    assert len((out / f"{name}_processed.csv").read_text().splitlines()) == 61 and len((out / "splits" / f"{name}_test.csv").read_text().splitlines()) == 13
+    assert {x.name for x in out.iterdir() if not x.name.startswith(".")} == {f"{name}_processed.csv", "splits"}
+
+
+def test_half_done_renames_are_completed(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(i, f"t {i % 3}", "a/b") for i in range(9)], "x int, task string, u string")
+    path = str(tmp_path / "out")
+    finish, done = sinks.finish_named, []
+
+    def lost(s, p):
+        done.append(p)
+        if len(done) > 1:
+            raise KeyboardInterrupt
+        return finish(s, p)
+
+    monkeypatch.setattr(sinks, "finish_named", lost)
+    with pytest.raises(KeyboardInterrupt):
+        sinks.write_named(df, path, "b")
+    told = json.loads((tmp_path / "out" / sinks.MANIFEST).read_text())
+    first, target = told[0]
+    Path(first).rename(target)  # one was renamed before the driver was lost
+    monkeypatch.undo()
+    assert sinks.finish_named(spark, path) and not sinks.finish_named(spark, path)
+    assert sorted(x.name for x in (tmp_path / "out").glob("*.csv")) == [f"b_t {k}_processed.csv" for k in range(3)]
+    assert sum(len(x.read_text().splitlines()) - 1 for x in (tmp_path / "out").glob("*.csv")) == 9
+
+
+def test_outside_service(spark, tmp_path):
+    """Fifty thousand names and a service that fails at times: all are answered in the end, and none is asked once it was."""
+    folder, n = tmp_path / "calls", 50_000
+    folder.mkdir()
+
+    def ask(names, folder=str(folder), n=n):
+        import os
+        import uuid
+
+        if hash(tuple(names)) % 3 == 0 and not os.path.exists(f"{folder}/again"):
+            raise ConnectionError("busy")
+        with open(f"{folder}/{uuid.uuid4().hex}.txt", "w") as file:
+            file.write("\n".join(names))
+        return {x: f"E{int(x[1:]) % 7}" for x in names if int(x[1:]) % 10}
+
+    df = spark.range(2 * n).select(F.concat(F.lit("n"), (F.col("id") % n).cast("string")).alias("name"), F.lit(1).alias("endpoint"))
+    store = str(tmp_path / "answers")
+    first = endpoints.map_by_service(df, "name", ask, store, tries=1, wait=0.0)
+    assert first.count() == n and spark.read.option("recursiveFileLookup", True).parquet(store).count() < n
+    (folder / "again").touch()
+    got = endpoints.map_by_service(df, "name", ask, store, wait=0.0)
+    assert got.filter("endpoint <> CASE WHEN cast(substr(name, 2) AS int) % 10 = 0 THEN name ELSE concat('E', cast(substr(name, 2) AS int) % 7) END").count() == 0
+    asked = [x for file in folder.glob("*.txt") for x in file.read_text().split("\n")]
+    assert len(asked) == len(set(asked)) == n
+    endpoints.map_by_service(df, "name", ask, store)
+    assert len(list(folder.glob("*.txt"))) == len(asked) / 50 or len(asked) == n
+
+
+def test_running_means(spark, tmp_path):
+    """Means by window; a row that comes later than the watermark is left out."""
+    schema = "e string, p string, v double, t timestamp"
+    batches = [[("a", "x", 1.0, "2020-01-01 00:10:00"), ("a", "x", 3.0, "2020-01-01 00:50:00")], [("a", "x", 5.0, "2020-01-01 05:00:00")], [("b", "x", 1.0, "2020-01-01 05:30:00")], [("b", "x", 1.0, "2020-01-01 05:40:00")], [("a", "x", 99.0, "2020-01-01 00:20:00"), ("b", "x", 7.0, "2020-01-01 09:00:00")]]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, "e string, p string, v double, t string").withColumn("t", F.col("t").cast("timestamp")).coalesce(1).write.parquet(str(tmp_path / "in" / f"{k}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).option("latestFirst", False).parquet(str(tmp_path / "in"))
+    run = records.running_means(stream, "e", "p", "v", "t").writeStream.format("memory").queryName("running").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
+    run.processAllAvailable()
+    run.stop()
+    got = {(x.e, x.window.start.hour): (x["mean"], x.n) for x in spark.table("running").collect()}
+    assert got[("a", 0)] == (2.0, 2) and got[("a", 5)] == (5.0, 1)
