@@ -50,7 +50,7 @@ class StringKernel:
         self.size = len(alphabet) + 2
         self.table = _letters().astype(np.int64)
         self.table[[ord(x) for x in alphabet]] = np.arange(2, self.size)
-        self.mark = np.zeros(1 << SLOTS, dtype=bool)
+        self.mark, self.held = np.zeros(1 << SLOTS, dtype=bool), np.zeros(1 << SLOTS, dtype=np.int64)
 
     def grams(self, text: str) -> np.ndarray:
         """Numbers of the n-grams of a text, some repeated; none where it has no letter."""
@@ -67,13 +67,12 @@ class StringKernel:
         return np.concatenate([a, two + n, two[:-1] * n + a[2:] + n + n * n])
 
     def distinct(self, grams: np.ndarray, slots: np.ndarray) -> int:
-        """How many differ; of few, which hardly ever share a slot, by slots."""
-        if len(grams) > 1 << SLOTS - 3:
-            return len(np.unique(grams))
+        """How many differ: one for each slot that is taken, and those of which another one has the slot."""
+        self.held[slots] = grams
         self.mark[slots] = True
         found = int(np.count_nonzero(self.mark))
         self.mark[slots] = False
-        return found
+        return found + len(np.unique(grams[self.held[slots] != grams]))
 
 
 def _slots(grams: np.ndarray, turn: int = 0) -> np.ndarray:

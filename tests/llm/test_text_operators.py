@@ -356,3 +356,12 @@ def test_lines_threshold_is_exact(spark, spread):
     docs = table(spark, ["line"] * spread, sources=[f"s{i}" for i in range(spread)])
     removed = sum(x.n_removed_lines for x in lines.remove_widespread_lines(docs).collect())
     assert removed == (spread - 1 if spread >= lines.MIN_SITES else 0)
+
+
+def test_grams_are_counted_exactly(monkeypatch):
+    """Also where many share a slot of the table."""
+    kernel = language.StringKernel("abcdefghijklmnopqrstuvwxyz")
+    for text in random_texts(40, "abcdefghijklmnopqrstuvwxyz ", 3000, 5) + ["", "a", "ab ab"]:
+        grams = kernel.grams(text)
+        assert kernel.distinct(grams, language._slots(grams)) == len(set(grams.tolist()))
+        assert kernel.distinct(grams, language._slots(grams) % 50) == len(set(grams.tolist()))
