@@ -36,7 +36,7 @@ from sieveline.session import Scratch, cut, few
 WORDS = 5
 PERCENT = 75
 #: Bytes of text, or of shingles, of which one task gets what falls in its range of hashes.
-TEXT_BYTES = 12 << 20
+TEXT_BYTES = 6 << 20
 SET_BYTES = 16 << 20
 #: Bytes of the shingles of texts that ask one group in one task.
 ASK_BYTES = 8 << 20
@@ -117,12 +117,19 @@ def _by_part(tokens: np.ndarray, owner: np.ndarray, parts: int, at_least: int, a
 
 
 def _pairs(owners: np.ndarray, counts: np.ndarray) -> bytes:
-    return np.stack([owners, counts]).astype("<u4").tobytes()
-
-
-def _of_pairs(x: bytes) -> np.ndarray:
-    """Owners and their counts, as two rows."""
-    return _numbers(x, "<u4").reshape(2, -1).astype(np.int64)
+    """Owners and their counts, packed: counts of all owners up to the last where that is shorter, else both."""
+    last = int(owners[-1]) + 1 if len(owners) else 0
+    if last < 2 * len(owners):
+        return b"\0" + np.bincount(owners, counts, minlength=last).astype("<u4").tobytes()
+    return b"\1" + np.stack([owners, counts]).astype("<u4").tobytes()
+
+
+def _of_pairs(x: bytes) -> tuple[np.ndarray, np.ndarray]:
+    found = np.frombuffer(x, dtype="<u4", offset=1).astype(np.int64)
+    if x[:1] == b"\0":
+        owners = np.flatnonzero(found)
+        return owners, found[owners]
+    return found[: len(found) // 2], found[len(found) // 2 :]
 
 
 def _joined(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
