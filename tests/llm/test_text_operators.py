@@ -230,7 +230,7 @@ def test_decontamination_table_with_edits(spark):
 
 def test_decontamination_blocks(spark):
     bench = items(spark, [(i, f"{ITEM} number {i}", 1, 1) for i in range(20)])
-    blocks = decontaminate.item_blocks(bench, block_chars=300)
+    blocks = [*decontaminate.item_blocks(bench, block_chars=300)]
     assert len(blocks) > 3 and sorted(i for b in blocks for i, _ in b) == list(range(20))
 
 
