@@ -12,6 +12,7 @@ from sieveline.functions import cleaning
 from sieveline.functions.cleaning import canonicalise_columns, clean_text_columns, fill_conditions, missing_to_null, with_sentinel
 from sieveline.schema import ENDPOINTS
 from sieveline.session import numbered
+from sieveline.sources import workbook
 
 #: Sheets that are read where they are there, with the row of their header.
 SHEETS = {"ADMET": 0, "PK": 0, "데이터": 1}
@@ -61,21 +62,12 @@ def union_sheets(sheets: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def read_workbook(spark: SparkSession, path: str) -> DataFrame:
-    """A workbook's records; it must fit the driver, as its format cannot be split."""
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError as missing:
-        raise ImportError("reading workbooks needs openpyxl") from missing
-    import pandas as pd
-
-    book = pd.ExcelFile(path)
-    chosen, human = choose_sheets(book.sheet_names)
-    frames = {}
-    for name, header in chosen:
-        sheet = book.parse(name, header=header, dtype=str)
-        sheet = sheet.loc[:, ~sheet.columns.duplicated()]
-        frames[name] = spark.createDataFrame(sheet.astype(object).where(sheet.notna(), None), ", ".join(f"`{x}` string" for x in sheet.columns))
-    found = union_sheets(frames)
+    """A workbook's records, all as text with missing tokens as null; its sheets are read in ranges of rows (sources.workbook)."""
+    workbook.register(spark)
+    chosen, human = choose_sheets(workbook.sheet_names(path))
+    sheets = {name: spark.read.format(workbook.FORMAT).options(sheet=name, header=str(header)).load(path) for name, header in chosen}
+    raw = union_sheets(sheets)
+    found = raw.select(*(missing_to_null(F.col(f"`{x}`")).alias(x) for x in raw.columns))
     if human:
         smiles = next((x for x in found.columns if "smiles" in x.lower()), None)
         raise HumanPkWorkbook((found.withColumnRenamed(smiles, "SMILES_Structure_Parent") if smiles else found).withColumn("is_human_pk", F.lit(True)))
