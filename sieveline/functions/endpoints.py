@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.schema import API_SYNONYMS, CLI_SYNONYMS, ENDPOINTS
-from sieveline.session import Scratch, cut, file_system
+from sieveline.session import Scratch, cut, few, file_system
 
 MIN_LIKENESS = 0.55
 #: Isoforms that have endpoints of their own, and tokens that name none.
@@ -73,11 +73,16 @@ def _likeness(pairs_a: Column, pairs_b: Column, tokens_a: Column, tokens_b: Colu
 
 def best_stretch(names: DataFrame, name: str, synonyms: list[tuple[str, str]], out: str = "stretch") -> DataFrame:
     """names with the endpoint of the synonym that stands in a name as whole tokens: most tokens, then latest, then first listed."""
-    listed = names.sparkSession.createDataFrame([(s, e, i, len(s.split())) for i, (s, e) in enumerate(synonyms)], "syn string, endpoint string, place int, tokens int")
-    padded, key = F.concat(F.lit(" "), F.col(name), F.lit(" ")), F.concat(F.lit(" "), F.col("syn"), F.lit(" "))
-    begin = F.size(F.split(F.substring(padded, F.lit(1), F.instr(padded, key)), " "))
-    met = names.select(name).distinct().join(F.broadcast(listed), F.contains(padded, key))
-    best = met.groupBy(name).agg(F.max_by("endpoint", F.struct("tokens", begin.alias("begin"), (-F.col("place")).alias("first"))).alias(out))
+    if not synonyms:
+        return names.withColumn(out, F.lit(None).cast("string"))
+    listed = names.sparkSession.createDataFrame([(s, e, i) for i, (s, e) in enumerate(synonyms)], "_run string, endpoint string, place int")
+    sizes = sorted({len(s.split()) for s, _ in synonyms})
+    own = names.select(name).distinct().withColumn("_tokens", F.split(name, " "))
+    # runs of a name of as many tokens as some synonym has meet the synonyms by equality
+    run = lambda n: F.transform(F.sequence(F.lit(1), F.size("_tokens") - (n - 1)), lambda i: F.struct(F.array_join(F.slice("_tokens", i, n), " ").alias("run"), i.alias("at"), F.lit(n).alias("tokens")))
+    runs = own.select(name, F.explode(F.concat(*(F.when(F.size("_tokens") >= n, run(n)).otherwise(F.array().cast("array<struct<run:string,at:int,tokens:int>>")) for n in sizes))).alias("_r"))
+    first = runs.groupBy(name, F.col("_r.run").alias("_run"), F.col("_r.tokens").alias("tokens")).agg(F.min("_r.at").alias("begin"))
+    best = first.join(few(listed), "_run").groupBy(name).agg(F.max_by("endpoint", F.struct("tokens", "begin", (-F.col("place")).alias("first"))).alias(out))
     return names.join(best, name, "left")
 
 

@@ -11,9 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from sieveline.operators.keyed import join_back
+from sieveline.operators.one_class import one_class_outliers
 from sieveline.session import Scratch, cut, small
 
 #: Of approximate quantiles: their error in rank is at most a task's rows over this.
@@ -26,14 +27,6 @@ SPLITS = 1000
 STEPS = 8
 
 
-def join_back(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """df with each task's aggregates; null keys meet null keys. Without keys, stats is one row."""
-    if not keys:
-        return df.crossJoin(F.broadcast(stats))
-    named = stats.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), *(F.col(x) for x in stats.columns if x not in keys))
-    return df.join(named, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], "left").drop(*(f"_k{i}" for i in range(len(keys))))
-
-
 def zscore(df: DataFrame, keys: Sequence[str], value: str, out: str | None = None) -> DataFrame:
     """value minus its task's mean, over the population's standard deviation; 0 where that is 0, null for null."""
     stats = df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_std"))
@@ -250,35 +243,11 @@ def gaussian_mixture_outliers(df: DataFrame, value: str, parts: int = 2, share:
     return join_back(scored, limit, keys).withColumn("is_outlier", F.coalesce(F.col("log_density") < F.get("_limit", F.lit(0)), F.lit(False))).drop("_limit")
 
 
-def one_class_svm_outliers(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
-    """df with is_outlier by a one-class model for each task, fitted on all its values; null values are no outliers.
-
-    Distinct values weigh as often as they occur. Needs an outside library on the driver and in the workers; there
-    is no stand-in for it.
-    """
-    try:
-        import sklearn.svm  # noqa: F401
-    except ImportError as missing:
-        raise NotImplementedError("one-class support vectors need scikit-learn") from missing
-
-    def judged(task):
-        from sklearn.svm import OneClassSVM
-
-        values = task[[value]].to_numpy(dtype=float)
-        task["is_outlier"] = OneClassSVM(kernel="rbf", gamma="auto").fit(values, sample_weight=task["_count"].to_numpy(dtype=float)).predict(values) < 0
-        return task.drop(columns="_count")
-
-    counts = df.filter(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_count"))
-    schema = T.StructType([x for x in counts.schema if x.name != "_count"] + [T.StructField("is_outlier", T.BooleanType())])
-    flags = counts.groupBy(*keys).applyInPandas(judged, schema)
-    return join_back(df, flags, [*keys, value]).withColumn("is_outlier", F.coalesce("is_outlier", F.lit(False)))
-
-
 def outliers(df: DataFrame, keys: Sequence[str], value: str, row_id: str, task_type: str | Column = "regression") -> DataFrame:
-    """df with is_outlier: by quartiles in tasks that look normal, else by the local outlier factor (regression) or support vectors.
+    """df with is_outlier: by quartiles in tasks that look normal, else by the local outlier factor (regression) or a one-class boundary.
 
-    task_type is one for all records, or a column with that of each task (null: regression). Support vectors are
-    asked for, and their library needed, only where there are records for them.
+    task_type is one for all records, or a column with that of each task (null: regression). A boundary is fitted only where
+    there are records for it.
     """
     gate = normality(df, keys, value).select(*keys, (F.coalesce("p", F.lit(0.0)) >= 0.05).alias("_normal"))
     both = cut(join_back(df, gate, keys), "gated")  # read by each of the ways below, several times
@@ -288,7 +257,7 @@ def outliers(df: DataFrame, keys: Sequence[str], value: str, row_id: str, task_t
         kind = F.coalesce(task_type, F.lit("regression"))
         others = rest.filter(kind != "regression")
         found = straight.unionByName(local_outlier_factor(rest.filter(kind == "regression"), keys, value, row_id).drop("lof"))
-        found = found if others.isEmpty() else found.unionByName(one_class_svm_outliers(others, value, keys))
+        found = found if others.isEmpty() else found.unionByName(one_class_outliers(others, value, keys))
     else:
-        found = straight.unionByName(local_outlier_factor(rest, keys, value, row_id).drop("lof") if task_type == "regression" else one_class_svm_outliers(rest, value, keys))
+        found = straight.unionByName(local_outlier_factor(rest, keys, value, row_id).drop("lof") if task_type == "regression" else one_class_outliers(rest, value, keys))
     return found.drop("_normal")

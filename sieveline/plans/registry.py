@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.functions import cleaning, endpoints, ph, units
-from sieveline.operators import chem, dedup, features, fragments, matrix, quality, split, stats, summary
+from sieveline.operators import chem, dedup, features, fragments, matrix, one_class, quality, split, stats, summary
 from sieveline.session import numbered, read_table
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -675,3 +675,11 @@ def gmm_by_task(spark, sf_dir):
     customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     found = stats.gaussian_mixture_outliers(customers, "c_acctbal", keys=("c_mktsegment",))
     return found.select("c_custkey", "c_mktsegment", F.round("log_density", ROUND).alias("log_density"), "is_outlier")
+
+
+@query()
+def one_class_by_task(spark, sf_dir):
+    """A boundary for each type of event, over the logarithm of its value."""
+    events = read_table(spark, sf_dir, "events").select("event_id", "event_type", F.log1p("value").alias("level"))
+    found = one_class.one_class_outliers(events, "level", ("event_type",))
+    return found.select("event_id", "event_type", "is_outlier")

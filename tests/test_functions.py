@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,3 +115,23 @@ def test_replies():
     assert endpoints.read_reply('```json\n{"a": "DILI", "b": 3}\n```', ["a", "b", "c"]) == {"a": "DILI", "b": "b", "c": "c"}
     assert endpoints.read_reply("sorry", ["a"]) == {"a": "a"} and endpoints.read_reply("[1]", ["a"]) == {"a": "a"}
     assert '"a"' in endpoints.prompt_for(["a"])
+
+
+def test_stretches_against_all_places(spark):
+    """Synonyms that stand in a name as whole tokens: most tokens, then the latest first place, then the first listed."""
+    rng = random.Random(1)
+    synonyms = list({" ".join(rng.choices("abcd", k=rng.randint(1, 3))): f"e{i}" for i in range(30)}.items())
+    names = [*(" ".join(rng.choices("abcdx", k=rng.randint(1, 7))) for _ in range(300)), "", None, "ab", "abc a"]
+
+    def best(name):
+        tokens = name.split(" ") if name is not None else []
+        found = []
+        for place, (synonym, endpoint) in enumerate(synonyms):
+            own = synonym.split(" ")
+            at = [i for i in range(len(tokens) - len(own) + 1) if tokens[i : i + len(own)] == own]
+            found += [(len(own), at[0], -place, endpoint)] if at else []
+        return max(found)[3] if found else None
+
+    got = endpoints.best_stretch(spark.createDataFrame([(x,) for x in names], "n string"), "n", synonyms).collect()
+    assert len(got) == len(names) and all(x.stretch == best(x.n) for x in got)
+    assert {x.stretch for x in endpoints.best_stretch(spark.createDataFrame([("a",)], "n string"), "n", []).collect()} == {None}

@@ -1,11 +1,11 @@
 import math
-import shutil
-import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sieveline.operators import chem, dedup, features, matrix, quality, split, stats, summary
+from sieveline.operators import chem, dedup, features, matrix, one_class, quality, split, stats, summary
+from sieveline.plans import registry
 
 KEYS = ("k",)
 
@@ -52,50 +52,81 @@ def test_lof_against_brute_force(spark, values):
         assert math.isclose(got[i], sum(lrd[j] for _, _, j in near[i]) / k / lrd[i], rel_tol=1e-9)
 
 
-def test_svm_needs_its_library(spark):
-    with pytest.raises(NotImplementedError):
-        stats.one_class_svm_outliers(frame(spark, [(1.0,)], "v double"), "v")
-
-
-SVM = '''
-import numpy as np
-
-
-class OneClassSVM:
-    """Stands in for the library's: outliers are what is further than 1 from the weighted mean."""
-
-    def __init__(self, kernel, gamma):
-        assert (kernel, gamma) == ("rbf", "auto")
-
-    def fit(self, x, sample_weight):
-        self.mean = (x[:, 0] * sample_weight).sum() / sample_weight.sum()
-        return self
-
-    def predict(self, x):
-        return np.where(abs(x[:, 0] - self.mean) > 1, -1, 1)
-'''
-
-
-def test_svm_by_task(spark, tmp_path):
-    """Classification tasks get a model each over all their values; the others keep the local outlier factor."""
-    rows = [("a", i, 0.0, "classification") for i in range(12_000)] + [("a", 20_000, 5.0, "classification"), ("a", 20_001, None, "classification")]
+def dense_one_class(values, nu=0.5):
+    """Flags of each value by pairs of coefficients, the worst pair first, over all rows, each with a coefficient in 0 to 1."""
+    x = np.array(values)
+    k, n = np.exp(-((x[:, None] - x[None, :]) ** 2)), len(x)
+    a = np.clip(nu * n - np.arange(n), 0, 1.0)
+    f = k @ a
+    for _ in range(200_000):
+        up, down = np.where(a < 1 - 1e-12, f, np.inf), np.where(a > 1e-12, f, -np.inf)
+        i, j = int(up.argmin()), int(down.argmax())
+        if down[j] - up[i] < 1e-9:
+            break
+        curve = max(2 - 2 * k[i, j], 1e-12)
+        step = min((f[j] - f[i]) / curve, 1 - a[i], a[j])
+        a[i], a[j] = a[i] + step, a[j] - step
+        f += step * (k[:, i] - k[:, j])
+    rho = (up[i] + down[j]) / 2
+    return f / rho - 1
+
+
+def test_one_class_against_pairs(spark):
+    rng = np.random.default_rng(3)
+    tasks = {"e": rng.exponential(size=150), "f": rng.normal(size=150) * 2, "a": rng.normal(size=60), "b": rng.normal(size=40) * 10, "c": np.repeat([1.0, 1.5, 9.0], [30, 5, 3]), "d": np.array([7.0]), None: rng.uniform(-2, 2, 50) * 3 + 1e6}
+    df = frame(spark, [(k, i, float(v)) for k, vs in tasks.items() for i, v in enumerate(vs)], "k string, i long, v double")
+    got = {(x.k, x.i): x.is_outlier for x in one_class.one_class_outliers(df, "v", KEYS).collect()}
+    assert len(got) == df.count()
+    told = 0
+    for k, values in tasks.items():
+        for i, away in enumerate(dense_one_class(values)):
+            if abs(away + one_class.SLACK) > 3e-4:  # cells of values and the two solvers differ by less
+                told += 1
+                assert got[k, i] == (away < -one_class.SLACK), (k, i, away)
+    assert told > len(got) // 2 and sum(got.values()) > 30
+
+
+def test_query_of_boundaries(spark, data):
+    rows = spark.read.parquet(f"{data}/events.parquet").select("event_id", "event_type", F.log1p("value").alias("level")).collect()
+    got = {x.event_id: x.is_outlier for x in registry.QUERIES["one_class_by_task"](spark, data).collect()}
+    told = 0
+    for kind in {x.event_type for x in rows}:
+        ids, values = zip(*((x.event_id, x.level) for x in rows if x.event_type == kind))
+        for i, away in zip(ids, dense_one_class(values)):
+            if abs(away + one_class.SLACK) > 3e-4:
+                told += 1
+                assert got[i] == (away < -one_class.SLACK), (kind, i, away)
+    assert len(got) == len(rows) and told > len(rows) // 2
+
+
+def test_one_class_in_stretches(spark, monkeypatch):
+    """A task of more cells than a row may hold gets the flags that it has in one row; without keys too."""
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(size=400) * 4, rng.uniform(0, 70, 1500), [500.0, 501.0, 1e9]])
+    df = frame(spark, [("a", i, float(v)) for i, v in enumerate(values)] + [("b", 1, 1.0)], "k string, i long, v double")
+    one = {x.i: x.is_outlier for x in one_class.one_class_outliers(df.filter("k = 'a'"), "v").collect()}
+    monkeypatch.setattr(one_class, "POINTS", 1024)
+    many = {x.i: x.is_outlier for x in one_class.one_class_outliers(df, "v", KEYS).filter("k = 'a'").collect()}
+    differ = [i for i in one if one[i] != many[i]]
+    assert len(one) == len(many) == len(values) and len(differ) <= len(values) // 100, differ
+
+
+def test_one_class_of_odd_values(spark):
+    rows = [("a", 1, None), ("a", 2, math.nan), ("a", 3, math.inf), ("b", 4, None), *(("a", 10 + i, 1.0) for i in range(30)), ("a", 99, 1e308)]
+    df = frame(spark, rows, "k string, i long, v double").withColumn("_at", F.lit("x")).drop("_at")
+    got = one_class.one_class_outliers(df, "v", KEYS)
+    assert got.columns == [*df.columns, "is_outlier"] and got.count() == len(rows) and got.filter("is_outlier").count() == 0
+    assert one_class.one_class_outliers(df.limit(0), "v", KEYS).count() == 0 == one_class.one_class_outliers(df.limit(0), "v").count()
+
+
+def test_boundary_by_kind_of_task(spark):
+    """Classification tasks get a boundary each; the others keep the local outlier factor."""
+    rows = [("a", i, 0.0, "classification") for i in range(3000)] + [("a", 20_000, 5.0, "classification"), ("a", 20_001, None, "classification")]
     rows += [("b", 30_000 + i, 5.0, "classification") for i in range(20)] + [(None, 40_000, 0.0, "classification"), ("r", 50_000, 1.0, "regression")]
     df = frame(spark, rows, "k string, i long, v double, t string")
-    with pytest.raises(NotImplementedError):
-        stats.outliers(df, KEYS, "v", "i", F.col("t"))
-    assert stats.outliers(df.filter("t = 'regression'"), KEYS, "v", "i", F.col("t")).count() == 1
-    package = tmp_path / "sklearn"
-    package.mkdir()
-    (package / "__init__.py").write_text("")
-    (package / "svm.py").write_text(SVM)
-    spark.sparkContext.addPyFile(shutil.make_archive(str(tmp_path / "sklearn"), "zip", tmp_path, "sklearn"))
-    try:
-        got = stats.outliers(df, KEYS, "v", "i", F.col("t"))
-        assert got.count() == len(rows) and [x.i for x in got.filter("is_outlier").collect()] == [20_000]
-    finally:
-        for name in [x for x in sys.modules if x.split(".")[0] == "sklearn"]:
-            del sys.modules[name]
-        sys.path[:] = [x for x in sys.path if not x.endswith("sklearn.zip")]
+    got = stats.outliers(df, KEYS, "v", "i", F.col("t"))
+    assert got.count() == len(rows) and [x.i for x in got.filter("is_outlier").collect()] == [20_000]
+    assert stats.outliers(df.filter("k = 'a'"), KEYS, "v", "i", "classification").filter("is_outlier").count() == 1
 
 
 def test_strict_dedup_and_recovery(spark):
