@@ -373,23 +373,3 @@ def test_running_means(spark, tmp_path):
     run.stop()
     got = {(x.e, x.window.start.hour): (x["mean"], x.n) for x in spark.table("running").collect()}
     assert got[("a", 0)] == (2.0, 2) and got[("a", 5)] == (5.0, 1)
-
-
-def test_running_means_leave_late_rows_out(spark, tmp_path):
-    """Windows' means by entity and endpoint; what is older than the watermark of an earlier batch doesn't count, null values have no mean."""
-    schema = "entity string, endpoint string, v double, at timestamp"
-    batches = [
-        [("a", "x", 1.0, "2024-01-01 00:10:00"), ("a", "x", 3.0, "2024-01-01 00:50:00"), ("a", "y", None, "2024-01-01 00:20:00"), ("b", "x", 5.0, "2024-01-01 05:00:00")],
-        [("a", "x", 99.0, "2024-01-01 00:30:00"), ("b", "x", 7.0, "2024-01-01 05:30:00"), ("b", "x", 9.0, "2024-01-01 04:30:00")],
-        [("c", "x", 0.0, "2024-01-01 12:00:00")],
-    ]
-    source = tmp_path / "in"
-    source.mkdir()
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(source))
-    means = records.running_means(stream, "entity", "endpoint", "v", "at")
-    for i, rows in enumerate(batches):
-        (source / f"{i}.json").write_text("\n".join(json.dumps(dict(zip(("entity", "endpoint", "v", "at"), row))) for row in rows))
-        query = means.writeStream.format("parquet").outputMode("append").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "kept")).trigger(availableNow=True).start()
-        query.awaitTermination(120)
-    got = spark.read.parquet(str(tmp_path / "out")).selectExpr("hour(window.start) AS h", "entity", "endpoint", "mean", "n").collect()
-    assert sorted(map(tuple, got), key=str) == sorted([(0, "a", "x", 2.0, 2), (0, "a", "y", None, 1), (4, "b", "x", 9.0, 1), (5, "b", "x", 6.0, 2)], key=str)
