@@ -86,14 +86,29 @@ def best_stretch(names: DataFrame, name: str, synonyms: list[tuple[str, str]], o
     return names.join(best, name, "left")
 
 
+def _listed(labels: list[str]) -> Column:
+    """The labels with their places, letter pairs and tokens, as a constant of the plan."""
+
+    def one(place: int, label: str) -> Column:
+        packed = _normal(label).replace(" ", "")
+        pairs = [packed[k : k + 2] for k in range(len(packed) - 1)]
+        told = F.split(F.lit(" ".join(pairs)), " ") if pairs else F.array().cast("array<string>")
+        return F.struct(F.lit(-place).alias("first"), F.lit(label).alias("label"), told.alias("pairs"), F.split(F.lit(_normal(label)), " ").alias("tokens"))
+
+    return F.array(*(one(i, x) for i, x in enumerate(labels)))
+
+
 def most_alike(names: DataFrame, name: str, labels: list[str], out: str = "alike", score: str = "score") -> DataFrame:
-    """names with the label most like each, the first listed of equals, and its score."""
-    rows = [(x, [y[k : k + 2] for k in range(len(y) - 1)], _normal(x).split(" "), i) for i, x in enumerate(labels) if (y := _normal(x).replace(" ", "")) is not None]
-    listed = names.sparkSession.createDataFrame(rows, "label string, pairs array<string>, tokens array<string>, place int")
-    # pairs and tokens of a name are worked out once, before it meets the labels
+    """names with the label most like each, the first listed of equals, and its score; null for a null name, or without labels.
+
+    A name meets the labels, which are constants of the plan, within its row: neither a join nor a shuffle pairs them.
+    """
+    if not labels:
+        return names.withColumns({out: F.lit(None).cast("string"), score: F.lit(None).cast("double")})
+    # pairs and tokens of a distinct name are worked out once
     own = names.select(name).distinct().select(name, bigrams(F.col(name)).alias("_pairs"), F.split(name, " ").alias("_tokens")).filter(F.col(name).isNotNull())
-    scored = own.crossJoin(F.broadcast(listed)).withColumn("s", _likeness(F.col("_pairs"), F.col("pairs"), F.col("_tokens"), F.col("tokens")))
-    best = scored.groupBy(name).agg(F.max_by(F.struct("label", "s"), F.struct("s", (-F.col("place")).alias("first"))).alias("best"))
+    tried = F.transform(_listed(labels), lambda x: F.struct(_likeness(F.col("_pairs"), x["pairs"], F.col("_tokens"), x["tokens"]).alias("s"), x["first"].alias("first"), x["label"].alias("label")))
+    best = own.select(name, F.array_max(tried).alias("best"))
     return names.join(best.select(name, F.col("best.label").alias(out), F.col("best.s").alias(score)), name, "left")
 
 

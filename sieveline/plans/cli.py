@@ -23,10 +23,10 @@ def run(spark: SparkSession, settings: config.Settings) -> None:
         else:
             sinks.write_tasks(pipeline.run_tasks(spark, settings), settings.output_path, by_split=settings.split, form=settings.form)
         return
-    wide, unmapped = pipeline.run_matrix(spark, settings)
+    wide, unmapped, facts = pipeline.matrix_and_facts(spark, settings)
     if "endpoint_key" not in unmapped.columns:
         raise readers.HumanPkWorkbook(wide)
-    sinks.write_matrix(wide, settings.output_path, settings.activity_col, settings.endpoint_mapper, *pipeline.matrix_facts(spark, settings))
+    sinks.write_matrix(wide, settings.output_path, settings.activity_col, settings.endpoint_mapper, *facts)
     sinks.write_unmapped(unmapped, f"{settings.output_path}/unmapped", "endpoint_key")
 
 

@@ -13,7 +13,7 @@ from sieveline.functions import cleaning, endpoints, ph, units
 from sieveline.functions.cleaning import endpoint_key, number, qualitative
 from sieveline.operators import chem, dedup, fragments, matrix, quality, split, stats
 from sieveline.schema import CONDITION_COLUMNS, ENDPOINTS, SENTINEL
-from sieveline.session import numbered
+from sieveline.session import Scratch, cut, numbered
 from sieveline.sources import readers, sinks
 from sieveline.sources.config import Settings
 
@@ -127,6 +127,14 @@ def _texts(df: DataFrame) -> Callable[[str], Column]:
 
 def wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str] | None = None, ask: Callable[[list[str]], dict[str, str]] | None = None, names: tuple[str, ...] = ENDPOINTS) -> tuple[DataFrame, DataFrame]:
     """The wide matrix and the records without an endpoint. ask: an outside mapper of distinct names, in place of the rules."""
+    return _wide_matrix(df, settings, own_synonyms, ask, names)[:2]
+
+
+def _wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str] | None, ask: Callable[[list[str]], dict[str, str]] | None = None, names: tuple[str, ...] = ENDPOINTS) -> tuple[DataFrame, DataFrame, tuple[int, bool]]:
+    """wide_matrix, and how many distinct names were asked for, and whether any record is of pharmacokinetics.
+
+    These facts come from the distinct names, which are written once with a mark of their own; the source isn't read again for them.
+    """
     columns = df.columns
     prepared = settings.skip_preprocessing
     smiles = _find(columns, ["Standardized_SMILES", "smiles_structure_parent", "smiles"] if prepared else [settings.smiles_col, "smiles_structure_parent"], lambda x: "smiles" in x, "structure")
@@ -134,7 +142,12 @@ def wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str]
     value = _find(columns, ladder, lambda x: "measurement" in x and "value" in x or prepared and "activity" in x, "activity")
     lowered, text = {x.lower(): x for x in columns}, _texts(df)
     keyed = df.withColumn("endpoint_key", endpoint_key(text("test"), text("test_type"), text("measurement_type")))
-    mapping = endpoints.map_by_callable(keyed, "endpoint_key", ask) if ask else endpoints.match_endpoints(keyed, "endpoint_key", settings.dialect, own_synonyms, settings.min_similarity, names)
+    pk = F.coalesce(matrix.is_pk_row(*(text(x) for x in PK_TEXTS)), F.lit(False))
+    with Scratch(df.sparkSession) as held:
+        asked = cut(keyed.groupBy("endpoint_key").agg(F.bool_or(pk).alias("pk")), "matrix-names")
+        mapping = endpoints.map_by_callable(asked, "endpoint_key", ask) if ask else endpoints.match_endpoints(asked, "endpoint_key", settings.dialect, own_synonyms, settings.min_similarity, names)
+        told = asked.agg(F.count("endpoint_key").alias("names"), F.coalesce(F.bool_or("pk"), F.lit(False)).alias("pk")).first()
+        held.keep_all_but(asked)
     mapped = endpoints.map_endpoints(keyed, "endpoint_key", mapping)
     if prepared or "measurement_unit" not in lowered:
         valued = mapped.withColumn("value_si", number(F.col(f"`{value}`").cast("string")))
@@ -147,31 +160,23 @@ def wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str]
     if efflux:
         valued = matrix.inject_ratio_rows(valued, "endpoint", "value_si", efflux)
     fill = 0.0 if settings.fill_missing or settings.dialect == "cli" else None
-    pk = matrix.is_pk_row(*(text(x) for x in PK_TEXTS))
-    wide = matrix.matrix_with_rows(valued.withColumnRenamed(smiles, "smiles"), "smiles", "endpoint", "value_si", names, F.coalesce(pk, F.lit(False)), fill)
-    return wide, matrix.unmapped(valued, "endpoint", names)
+    wide = matrix.matrix_with_rows(valued.withColumnRenamed(smiles, "smiles"), "smiles", "endpoint", "value_si", names, pk, fill)
+    return wide, matrix.unmapped(valued, "endpoint", names), (told.names, told.pk)
 
 
 def run_matrix(spark: SparkSession, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """The wide matrix of a source; a workbook of human pharmacokinetics comes back as it is."""
-    try:
-        records = readers.read_records(spark, settings.input_path, base_dir=settings.base_dir, number_rows=False)
-    except readers.HumanPkWorkbook as found:
-        return found.frame, found.frame.limit(0)
-    own = readers.read_synonyms(spark, settings.mapping_path) if settings.mapping_path else None
-    return wide_matrix(records, settings, own)
+    return matrix_and_facts(spark, settings)[:2]
 
 
-def matrix_facts(spark: SparkSession, settings: Settings) -> tuple[int, bool]:
-    """How many distinct names a source asks endpoints for, and whether any of its records is of pharmacokinetics."""
+def matrix_and_facts(spark: SparkSession, settings: Settings) -> tuple[DataFrame, DataFrame, tuple[int, bool]]:
+    """run_matrix, and (distinct names that a source asks endpoints for, whether any of its records is of pharmacokinetics)."""
     try:
         records = readers.read_records(spark, settings.input_path, base_dir=settings.base_dir, number_rows=False)
-    except readers.HumanPkWorkbook:
-        return 0, True
-    text = _texts(records)
-    key, pk = endpoint_key(text("test"), text("test_type"), text("measurement_type")), matrix.is_pk_row(*(text(x) for x in PK_TEXTS))
-    told = records.select(key.alias("key"), pk.alias("pk")).agg(F.count_distinct("key").alias("names"), F.coalesce(F.bool_or("pk"), F.lit(False)).alias("pk")).first()
-    return told.names, told.pk
+    except readers.HumanPkWorkbook as found:
+        return found.frame, found.frame.limit(0), (0, True)
+    own = readers.read_synonyms(spark, settings.mapping_path) if settings.mapping_path else None
+    return _wide_matrix(records, settings, own)
 
 
 def preprocess_frame(df: DataFrame, task_type: str, task: str | None = None, settings: Settings | None = None, **options) -> DataFrame:

@@ -111,6 +111,11 @@ class Scratch:
             self.around[-1].paths[id(table)] = path
         return table
 
+    def keep_all_but(self, *tables: DataFrame) -> None:
+        """Keep what was cut here, or kept by scratches within, but for these."""
+        for table in [x for _, x in self.paths.values() if not any(x is y for y in tables)]:
+            self.keep(table)
+
     def drop(self, table: DataFrame) -> None:
         """Delete a cut of this scratch now; tables that are none of its cuts are left alone."""
         if id(table) in self.paths:

@@ -100,6 +100,24 @@ def test_likeness(spark):
     assert value > 0.5 and one(spark, endpoints.likeness(F.col("a"), F.col("b")), a="zz", b="yy") == 0.0
 
 
+def test_most_alike_against_all_pairs(spark):
+    """The label of the greatest likeness, the first listed of equals; without a join of names and labels."""
+    rng = random.Random(5)
+    labels = list(dict.fromkeys(" ".join(rng.choices(("ab", "abc", "bcd", "d", "Ab-c"), k=rng.randint(1, 3))) for _ in range(25))) + ["--", "x"]
+    names = [*(" ".join(rng.choices(("ab", "abc", "cd", "d", "q"), k=rng.randint(1, 4))) for _ in range(60)), "", "q", "ab", None]
+    df = spark.createDataFrame([(x,) for x in names], "n string")
+    pairs = spark.createDataFrame([(x, y, i) for x in {*names} - {None} for i, y in enumerate(labels)], "n string, label string, i int")
+    scored = pairs.select("n", "label", "i", endpoints.likeness(F.col("n"), endpoints.normal_name(F.col("label"))).alias("s")).collect()
+    want = {}
+    for x in sorted(scored, key=lambda x: (-x.s, x.i)):
+        want.setdefault(x.n, (x.label, x.s))
+    out = endpoints.most_alike(df, "n", labels)
+    assert sorted((x.n or "", x.alike or "", x.score or 0.0) for x in out.collect()) == sorted((x or "", *want.get(x, ("", 0.0))) for x in names)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert [tuple(x) for x in endpoints.most_alike(df.limit(1), "n", []).select("alike", "score").collect()] == [(None, None)]
+
+
 def test_mapping_by_callable(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "name string")
     got = {x.name: x.endpoint for x in endpoints.map_by_callable(df, "name", lambda names: {"a": "A"}).collect()}

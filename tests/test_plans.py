@@ -116,6 +116,18 @@ def test_matrix(spark, assay, tmp_path):
     assert api.filter("smiles = 'SM2'").first()["DILI"] is None
 
 
+def test_matrix_reads_its_source_once_for_its_facts(spark, assay, tmp_path):
+    """Facts come from the distinct names; these are deleted, and what the matrix still reads is not."""
+    settings = config.Settings().merged({"input_path": assay})
+    with session.Scratch(spark) as held:
+        wide, _, facts = pipeline.matrix_and_facts(spark, settings)
+        left = sorted(path.rpartition("/")[2].rpartition("-")[0] for path, _ in held.paths.values())
+        assert facts == (5, True) and left == ["endpoint-names", "endpoint-rest"] and wide.count() > 0
+    raw = readers.read_csv(spark, assay)
+    asked = pipeline.wide_matrix(raw, settings, ask=lambda names: {x: "DILI" for x in names})[0]
+    assert asked.filter("DILI IS NOT NULL").count() == asked.count() > 0
+
+
 def test_matrix_by_command_line(spark, assay, tmp_path):
     assert cli.main(["--input-path", assay, "--to-matrix", "--output-path", str(tmp_path / "out")]) == 0
     told = json.loads(spark.read.text(str(tmp_path / "out" / "metadata")).first()[0])
@@ -140,7 +152,7 @@ def test_human_pk_by_command_line(spark, tmp_path, monkeypatch, mode):
 
 def test_paths_outside_the_base(spark, assay, tmp_path):
     outside = config.Settings().merged({"input_path": assay, "base_dir": str(tmp_path)})
-    for way in (pipeline.run_tasks, pipeline.run_matrix, pipeline.matrix_facts):
+    for way in (pipeline.run_tasks, pipeline.run_matrix):
         with pytest.raises(ValueError, match="outside"):
             way(spark, outside)
     with pytest.raises(ValueError, match="outside"):
