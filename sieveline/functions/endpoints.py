@@ -6,6 +6,7 @@ endpoints are constants of the plan, of a size that is fixed when it is made.
 
 from __future__ import annotations
 
+import importlib
 import json
 import re
 import time
@@ -185,6 +186,23 @@ def map_by_service(df: DataFrame, column: str, ask: Callable[[list[str]], dict[s
     return names.join(answers, "name", "left").select(F.col("name").alias(column), F.coalesce("endpoint", "name").alias("endpoint"))
 
 
+def named_service(where: str) -> Callable[[list[str]], dict[str, str]]:
+    """The service package.module:function, as map_by_service takes it; tasks import it themselves, so they must find the module.
+
+    The function takes a list of names, and returns what it knows of them, or a reply as read_reply takes it. A
+    function that isn't there is an error at once.
+    """
+    module, _, name = where.partition(":")
+    if not module or not name or not callable(getattr(importlib.import_module(module), name, None)):
+        raise ValueError(f"no function {where}: a service is named package.module:function")
+
+    def ask(names: list[str]) -> dict[str, str]:
+        told = getattr(importlib.import_module(module), name)(names)
+        return read_reply(told, names) if isinstance(told, str) else told
+
+    return ask
+
+
 def prompt_for(names: list[str], endpoints: tuple[str, ...] = ENDPOINTS) -> str:
     """What an outside language service is asked, for map_by_callable."""
     return f"Map each name to the one endpoint of the list that it measures, or to itself. Answer with one JSON object and nothing else.\nEndpoints: {', '.join(endpoints)}\nNames: {json.dumps(names, ensure_ascii=False)}"

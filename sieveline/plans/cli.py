@@ -35,8 +35,9 @@ def main(arguments: list[str] | None = None) -> int:
     given = config.from_arguments(words)
     path = given.pop("config", None)
     settings = config.Settings().merged(config.from_file(path) if path else {}).merged(given)
-    if settings.endpoint_mapper != "manual":
-        raise ValueError("an outside mapper is a callable, which only callers in Python can give: see pipeline.wide_matrix")
+    if settings.endpoint_mapper != "manual" and not settings.mapper_service:
+        logging.getLogger(__name__).warning("no --mapper-service to ask: endpoints are mapped by the rules")
+        settings = settings.merged({"endpoint_mapper": "manual"})
     spark = build_session(scratch=settings.scratch_path or f"{settings.output_path.rstrip('/')}_scratch")
     try:
         run(spark, settings)

@@ -125,12 +125,16 @@ def _texts(df: DataFrame) -> Callable[[str], Column]:
     return lambda name: F.col(f"`{lowered[name]}`") if name in lowered else F.lit(SENTINEL)
 
 
-def wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str] | None = None, ask: Callable[[list[str]], dict[str, str]] | None = None, names: tuple[str, ...] = ENDPOINTS) -> tuple[DataFrame, DataFrame]:
-    """The wide matrix and the records without an endpoint. ask: an outside mapper of distinct names, in place of the rules."""
-    return _wide_matrix(df, settings, own_synonyms, ask, names)[:2]
+def wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str] | None = None, ask: Callable[[list[str]], dict[str, str]] | None = None, names: tuple[str, ...] = ENDPOINTS, store: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The wide matrix and the records without an endpoint.
+
+    ask: an outside mapper of distinct names, in place of the rules. With store, a folder for its answers, it is asked
+    from tasks, about any number of names (endpoints.map_by_service); else at once on the driver, about a bounded number.
+    """
+    return _wide_matrix(df, settings, own_synonyms, ask, names, store)[:2]
 
 
-def _wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str] | None, ask: Callable[[list[str]], dict[str, str]] | None = None, names: tuple[str, ...] = ENDPOINTS) -> tuple[DataFrame, DataFrame, tuple[int, bool]]:
+def _wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str] | None, ask: Callable[[list[str]], dict[str, str]] | None = None, names: tuple[str, ...] = ENDPOINTS, store: str | None = None) -> tuple[DataFrame, DataFrame, tuple[int, bool]]:
     """wide_matrix, and how many distinct names were asked for, and whether any record is of pharmacokinetics.
 
     These facts come from the distinct names, which are written once with a mark of their own; the source isn't read again for them.
@@ -145,7 +149,12 @@ def _wide_matrix(df: DataFrame, settings: Settings, own_synonyms: dict[str, str]
     pk = F.coalesce(matrix.is_pk_row(*(text(x) for x in PK_TEXTS)), F.lit(False))
     with Scratch(df.sparkSession) as held:
         asked = cut(keyed.groupBy("endpoint_key").agg(F.bool_or(pk).alias("pk")), "matrix-names")
-        mapping = endpoints.map_by_callable(asked, "endpoint_key", ask) if ask else endpoints.match_endpoints(asked, "endpoint_key", settings.dialect, own_synonyms, settings.min_similarity, names)
+        if ask and store:
+            mapping = cut(endpoints.map_by_service(asked, "endpoint_key", ask, store), "matrix-mapping")
+        elif ask:
+            mapping = endpoints.map_by_callable(asked, "endpoint_key", ask)
+        else:
+            mapping = endpoints.match_endpoints(asked, "endpoint_key", settings.dialect, own_synonyms, settings.min_similarity, names)
         told = asked.agg(F.count("endpoint_key").alias("names"), F.coalesce(F.bool_or("pk"), F.lit(False)).alias("pk")).first()
         held.keep_all_but(asked)
     mapped = endpoints.map_endpoints(keyed, "endpoint_key", mapping)
@@ -176,7 +185,8 @@ def matrix_and_facts(spark: SparkSession, settings: Settings) -> tuple[DataFrame
     except readers.HumanPkWorkbook as found:
         return found.frame, found.frame.limit(0), (0, True)
     own = readers.read_synonyms(spark, settings.mapping_path) if settings.mapping_path else None
-    return _wide_matrix(records, settings, own)
+    service = endpoints.named_service(settings.mapper_service) if settings.endpoint_mapper == "llm" and settings.mapper_service else None
+    return _wide_matrix(records, settings, own, service, store=settings.answers_path or f"{settings.output_path.rstrip('/')}_answers")
 
 
 def preprocess_frame(df: DataFrame, task_type: str, task: str | None = None, settings: Settings | None = None, **options) -> DataFrame:

@@ -34,6 +34,8 @@ class Settings:
     form: str = "parquet"
     to_matrix: bool = False
     endpoint_mapper: str = "manual"
+    mapper_service: str | None = None
+    answers_path: str | None = None
     mapping_path: str | None = None
     min_similarity: float = 0.55
     fill_missing: bool = False

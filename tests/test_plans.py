@@ -373,6 +373,37 @@ def test_outside_service(spark, tmp_path):
     assert len(list(folder.glob("*.txt"))) == len(asked) / 50 or len(asked) == n
 
 
+def test_outside_service_by_command_line(spark, assay, tmp_path):
+    """A service by its name maps the names; a second run reads its answers; without a service the rules map them."""
+    (tmp_path / "own_asker.py").write_text(
+        "import json\nimport os\n\n\n"
+        "def ask(names):\n"
+        f"    if os.path.exists({str(tmp_path / 'closed')!r}):\n        raise ConnectionError('closed')\n"
+        "    return '```json\\n' + json.dumps({x: 'DILI' for x in names if 'Nothing' not in x}) + '\\n```'\n"
+    )
+    spark.sparkContext.addPyFile(str(tmp_path / "own_asker.py"))
+    line = ["--input-path", assay, "--to-matrix", "--output-path", str(tmp_path / "out"), "--endpoint-mapper", "llm"]
+    asked = [*line, "--mapper-service", "own_asker:ask", "--answers-path", str(tmp_path / "answers")]
+
+    def run(arguments):
+        assert cli.main(arguments) == 0
+        told = json.loads(spark.read.text(str(tmp_path / "out" / "metadata")).first()[0])
+        rows = spark.read.option("header", True).csv(str(tmp_path / "out" / "matrix")).select("smiles", "DILI", "Lipophilicity").orderBy("smiles").collect()
+        unmapped = spark.read.option("header", True).csv(str(tmp_path / "out" / "unmapped")).collect()
+        return told["mapper"], rows, [x[0] for x in unmapped]
+
+    mapper, rows, unmapped = run(asked)
+    assert mapper == "llm" and {float(x.Lipophilicity) for x in rows} == {0.0} and any(float(x.DILI) for x in rows)
+    assert unmapped == ["Toxicity | Nothing_known"]
+    (tmp_path / "closed").touch()
+    assert run(asked) == (mapper, rows, unmapped)
+    ruled = run(line)
+    assert ruled[0] == "manual" and any(float(x.Lipophilicity) for x in ruled[1])
+    for wrong in ("own_asker", "own_asker:nothing", ":ask"):
+        with pytest.raises(ValueError, match="package.module:function"):
+            endpoints.named_service(wrong)
+
+
 def test_running_means(spark, tmp_path):
     """Means by window; a row that comes later than the watermark is left out."""
     schema = "e string, p string, v double, t timestamp"
