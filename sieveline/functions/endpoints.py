@@ -89,14 +89,15 @@ def best_stretch(names: DataFrame, name: str, synonyms: list[tuple[str, str]], o
 
 def _listed(labels: list[str]) -> Column:
     """The labels with their places, letter pairs and tokens, as a constant of the plan."""
+    quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def one(place: int, label: str) -> Column:
+    def one(place: int, label: str) -> str:
         packed = _normal(label).replace(" ", "")
-        pairs = [packed[k : k + 2] for k in range(len(packed) - 1)]
-        told = F.split(F.lit(" ".join(pairs)), " ") if pairs else F.array().cast("array<string>")
-        return F.struct(F.lit(-place).alias("first"), F.lit(label).alias("label"), told.alias("pairs"), F.split(F.lit(_normal(label)), " ").alias("tokens"))
+        pairs = " ".join(packed[k : k + 2] for k in range(len(packed) - 1))
+        told = f"split('{pairs}', ' ')" if pairs else "cast(array() AS array<string>)"
+        return f"named_struct('first', {-place}, 'label', {quoted(label)}, 'pairs', {told}, 'tokens', split('{_normal(label)}', ' '))"
 
-    return F.array(*(one(i, x) for i, x in enumerate(labels)))
+    return F.expr(f"array({', '.join(one(i, x) for i, x in enumerate(labels))})")
 
 
 def most_alike(names: DataFrame, name: str, labels: list[str], out: str = "alike", score: str = "score") -> DataFrame:

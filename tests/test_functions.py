@@ -103,8 +103,8 @@ def test_likeness(spark):
 def test_most_alike_against_all_pairs(spark):
     """The label of the greatest likeness, the first listed of equals; without a join of names and labels."""
     rng = random.Random(5)
-    labels = list(dict.fromkeys(" ".join(rng.choices(("ab", "abc", "bcd", "d", "Ab-c"), k=rng.randint(1, 3))) for _ in range(25))) + ["--", "x"]
-    names = [*(" ".join(rng.choices(("ab", "abc", "cd", "d", "q"), k=rng.randint(1, 4))) for _ in range(60)), "", "q", "ab", None]
+    labels = list(dict.fromkeys(" ".join(rng.choices(("ab", "abc", "bcd", "d", "Ab-c"), k=rng.randint(1, 3))) for _ in range(25))) + ["--", "x", "it's", "a\\'b", "\\"]
+    names = [*(" ".join(rng.choices(("ab", "abc", "cd", "d", "q"), k=rng.randint(1, 4))) for _ in range(60)), "", "q", "ab", "it s", "a b", None]
     df = spark.createDataFrame([(x,) for x in names], "n string")
     pairs = spark.createDataFrame([(x, y, i) for x in {*names} - {None} for i, y in enumerate(labels)], "n string, label string, i int")
     scored = pairs.select("n", "label", "i", endpoints.likeness(F.col("n"), endpoints.normal_name(F.col("label"))).alias("s")).collect()
