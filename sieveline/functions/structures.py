@@ -22,7 +22,7 @@ GRAPH = f"struct<atoms:array<{ATOM}>,bonds:array<struct<src:int,dst:int,kind:str
 _STATE = "struct<prev:int,n:int,bond:string,stack:array<int>,open:array<struct<label:string,atom:int,bond:string>>,bonds:array<struct<src:int,dst:int,bond:string>>,bad:boolean>"
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """body(value), with value worked out once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -103,8 +103,8 @@ def graph(text: Column) -> Column:
         kinds = F.transform(end["bonds"], lambda b: F.struct(b["src"].alias("src"), b["dst"].alias("dst"), F.coalesce(_lookup(F.nullif(b["bond"], F.lit("")), KINDS), F.when(both(b), F.lit("AROMATIC")).otherwise(F.lit("SINGLE"))).alias("kind")))
         return F.when(good, F.struct(x["atoms"].alias("atoms"), kinds.alias("bonds")).cast(GRAPH))
 
-    read = _let(F.struct(first.alias("text"), tokens.alias("tokens"), folded.alias("end"), atoms.alias("atoms")), told)
-    return _let(_let(read, _without_hydrogens), lambda g: F.when(g.isNotNull() & ~_impossible(g), g))
+    read = let(F.struct(first.alias("text"), tokens.alias("tokens"), folded.alias("end"), atoms.alias("atoms")), told)
+    return let(let(read, _without_hydrogens), lambda g: F.when(g.isNotNull() & ~_impossible(g), g))
 
 
 def neighbours(g: Column, i: Column) -> Column:
@@ -132,7 +132,7 @@ def _without_hydrogens(g: Column) -> Column:
         moved = F.transform(inner, lambda b: F.struct(place(b["src"]).alias("src"), place(b["dst"]).alias("dst"), b["kind"].alias("kind")))
         return F.struct(F.transform(kept, lambda i: F.get(g["atoms"], i)).alias("atoms"), moved.alias("bonds")).cast(GRAPH)
 
-    return F.when(F.exists(g["atoms"], bare), _let(F.filter(every, lambda i: ~goes(i)), renumbered)).otherwise(g)
+    return F.when(F.exists(g["atoms"], bare), let(F.filter(every, lambda i: ~goes(i)), renumbered)).otherwise(g)
 
 
 def _impossible(g: Column) -> Column:

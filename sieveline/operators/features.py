@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sieveline.functions.structures import let
 
 #: What has a place of its own, in order.
 ATOMIC_NUMBERS = (1, 5, 6, 7, 8, 9, 11, 13, 14, 15, 16, 17, 19, 30, 33, 34, 35, 53)
@@ -77,8 +78,7 @@ def bond_indices(kind: Column, direction: Column, conjugated: Column, ring: Colu
 
 def element_counts(symbols: Column) -> Column:
     """Atoms by ELEMENTS, and at the end all others, from an array of symbols."""
-    count = lambda x: F.size(F.filter(symbols, lambda s: s == x))
-    counts = [count(x) for x in ELEMENTS]
+    counts = [F.size(symbols) - F.size(F.array_remove(symbols, x)) for x in ELEMENTS]  # nulls stay, and are not counted
     others = F.size(F.filter(symbols, lambda s: ~s.isin(*ELEMENTS)))
     return F.array(*(x.cast("double") for x in (*counts, others)))
 
@@ -89,10 +89,13 @@ def motif_features(tpsa: Column, logp: Column, heavy_weight: Column, rings: Colu
     A motif with a missing attribute, or without its 167 keys, gets zeros throughout.
     """
     head = F.array(tpsa * 0.01, logp * 1.0, heavy_weight * 0.01, (rings > 0).cast("double"), rings.cast("double"))
-    parts = [head, element_counts(symbols), F.transform(keys, lambda x: x.cast("double"))]
+    parts = [head, let(symbols, element_counts), F.transform(keys, lambda x: x.cast("double"))]
     width = MOTIF_WIDTH
     if place is not None:
         parts, width = [F.array(place.cast("double")), *parts], width + 1
-    whole = F.concat(*parts)
-    fine = symbols.isNotNull() & (F.size(keys) == MOTIF_KEYS) & ~F.exists(whole, lambda x: x.isNull())
-    return F.when(F.coalesce(fine, F.lit(False)), whole).otherwise(F.array_repeat(F.lit(0.0), width))
+
+    def checked(whole: Column) -> Column:  # null where symbols or keys are
+        fine = (F.size(whole) == width) & ~F.exists(whole, lambda x: x.isNull())
+        return F.when(F.coalesce(fine, F.lit(False)), whole).otherwise(F.array_repeat(F.lit(0.0), width))
+
+    return let(F.when(symbols.isNotNull(), F.concat(*parts)), checked)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sieveline.functions import cleaning, endpoints, ph, units
 from sieveline.operators import chem, dedup, features, fragments, matrix, one_class, quality, split, stats, summary
-from sieveline.session import numbered, read_table
+from sieveline.session import dealt, numbered, read_table
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 SPLIT_KEYS = ("l_returnflag", "l_linestatus")
@@ -506,7 +506,7 @@ def motif_features(spark, sf_dir):
     keys = F.transform(F.sequence(F.lit(1), F.lit(features.MOTIF_KEYS)), lambda i: ((F.col("p_partkey") * i) % 3 == 0).cast("int"))
     weight = F.when(F.col("p_partkey") % 5 != 0, F.col("p_size") * 14.0)
     whole = features.motif_features(F.col("p_retailprice"), F.col("p_size") / 10.0, weight, F.col("p_partkey") % 3, symbols, keys)
-    coded = read_table(spark, sf_dir, "part").select("p_partkey", whole.alias("x"))
+    coded = dealt(read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice"), "p_partkey").select("p_partkey", whole.alias("x"))
     rest = F.array_join(F.transform(F.slice("x", 4, features.MOTIF_WIDTH - 3), lambda v: v.cast("int").cast("string")), ",")
     return coded.select("p_partkey", F.round(F.get("x", F.lit(0)), ROUND).alias("tpsa"), F.round(F.get("x", F.lit(1)), ROUND).alias("logp"), rest.alias("rest"))
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[1])
 BROADCAST_BYTES = 8 << 20
+#: Rows of long work that one task gets.
+TASK_ROWS = 20_000
 
 
 def build_session(name: str = "sieveline", master: str | None = None, shuffle_partitions: int | None = None, scratch: str | None = None) -> SparkSession:
@@ -144,6 +146,15 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(max(2, df.sparkSession.sparkContext.defaultParallelism), *columns)
 
 
+def dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """A table dealt out by columns, in tasks of some TASK_ROWS rows, and over all cores at least.
+
+    For tables whose rows are few in bytes and long in work: a file of a million rows is otherwise one task. The rows are
+    counted first, which files of Parquet tell by themselves.
+    """
+    return df.repartition(max(2, df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS)), *columns)
+
+
 def numbered(df: DataFrame, row_id: str = "row_id") -> DataFrame:
     """df, written, with a number for each row that is the same wherever the result is read.
 

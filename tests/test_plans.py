@@ -249,6 +249,17 @@ def test_small_tables_are_broadcast(spark, monkeypatch):
     assert not hinted(session.few(names)) and hinted(session.few(names.limit(0)))
 
 
+def test_long_work_is_dealt_out(spark, data, monkeypatch):
+    """A table that is one file is worked on in tasks of some rows each, however many it has."""
+    widest = lambda df: df.groupBy(F.spark_partition_id()).count().agg(F.count(F.lit(1)), F.max("count"), F.sum("count")).first()
+    tasks, most, rows = widest(registry.motif_features(spark, data))
+    assert tasks > 1 and most < rows
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    tasks, most, rows = widest(session.dealt(spark.range(20_000), "id"))
+    assert (tasks, rows) == (40, 20_000) and most < 1000
+    assert session.dealt(spark.range(0), "id").count() == 0
+
+
 @pytest.mark.parametrize("made_by", ["groupBy", "join", "repartition"])
 def test_row_ids_are_the_same_on_both_sides_of_joins(spark, tmp_path, made_by):
     """Records from an exchange whose partitions are put together anew as columns are pruned: written, counted and collected alike."""
