@@ -228,6 +228,25 @@ def _one(graph: dict, merged: bool) -> tuple:
     return found, _part(atoms, bonds, sorted(inside)) if inside else "", told, [{"src": a, "dst": b, "bonds": x} for (a, b), x in sorted(edges.items())]
 
 
+NAMES = [x.split(" ")[0] for x in FRAGMENTS.split(", ")]
+
+
+def structure_parts(df: DataFrame, structure: str, merged: bool = False) -> DataFrame:
+    """_structure and with_fragments' columns, one row for each distinct structure that can be read."""
+    # texts that are no structure are left out by run: a filter on graph would be worked out for each row of df, before distinct
+    known = spread(df.select(F.col(f"`{structure}`").alias("_structure")).filter(F.col("_structure").isNotNull()).distinct(), "_structure").withColumn("graph", structures.graph(F.col("_structure")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                part = part.filter(part.column(1).is_valid())
+                rows = [_one(x, merged) for x in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([x[k] for x in rows], kind) for k, kind in enumerate(KINDS))], names=["_structure", *NAMES])
+
+    return known.mapInArrow(run, f"_structure string, {FRAGMENTS}")
+
+
 def with_fragments(df: DataFrame, structure: str, merged: bool = False) -> DataFrame:
     """df with rings, ring_linker_key, fragments and edges of each structure; null for what is none.
 
@@ -238,18 +257,8 @@ def with_fragments(df: DataFrame, structure: str, merged: bool = False) -> DataF
     they own (an atom of several is the last one's). Each distinct structure is worked on once; time grows with the
     cube of its atoms.
     """
-    names = [x.split(" ")[0] for x in FRAGMENTS.split(", ")]
-    known = spread(df.select(F.col(f"`{structure}`").alias("structure")).filter(F.col("structure").isNotNull()).distinct(), "structure").withColumn("graph", structures.graph(F.col("structure"))).filter(F.col("graph").isNotNull())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                rows = [_one(x, merged) for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([x[k] for x in rows], kind) for k, kind in enumerate(KINDS))], names=["structure", *names])
-
-    worked = known.mapInArrow(run, f"structure string, {FRAGMENTS}").withColumnRenamed("structure", "_structure")
-    return df.drop(*names).join(worked, F.col(f"`{structure}`") == F.col("_structure"), "left").drop("_structure")
+    worked = structure_parts(df, structure, merged)
+    return df.drop(*NAMES).join(worked, F.col(f"`{structure}`") == F.col("_structure"), "left").drop("_structure")
 
 
 _BONDS = pa.list_(pa.struct([("src", pa.int32()), ("dst", pa.int32()), ("kind", pa.string()), ("ring", pa.bool_())]))

@@ -214,6 +214,16 @@ def test_rings_that_share_more_than_two_atoms(spark):
     assert ring(merged["C1CC2CCC1CC2"]) == [list(range(8))]
 
 
+def test_structures_are_read_once_distinct(spark):
+    """Reading is long work: it comes behind the distinct texts, not before them for each row."""
+    df = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, "C(").when(F.col("id") % 3 == 1, "c1ccccc1C").alias("s"))
+    plan = fragments.structure_parts(df, "s")._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Aggregate", 1)
+    assert "regexp_extract_all" in above and "regexp_extract_all" not in below
+    got = fragments.with_fragments(df, "s").groupBy("s", F.size("fragments").alias("n")).count().collect()
+    assert {(x.s, x.n, x["count"]) for x in got} == {("C(", None, 334), ("c1ccccc1C", 2, 333), (None, None, 333)}
+
+
 def test_vocabulary_and_nodes(spark):
     listed = spark.createDataFrame([("c1ccccc1", 6, 100), ("OC", 2, 50), ("CO", 2, 70), ("CC", 2, 70), ("nothing", 1, 999), ("C1=CC=CC=C1", 6, 1)], "smiles string, atom_num int, freq long")
     words = {x.structure: x.place for x in fragments.vocabulary(listed).collect()}
