@@ -254,10 +254,10 @@ def with_fragments(df: DataFrame, structure: str, merged: bool = False) -> DataF
     doubly; empty without rings. It tells elements, charges, aromatic atoms as they are written, and bonds; not
     stereo, and not that a structure written with alternating bonds may be the same as an aromatic one. fragments have their atoms
     and the code of what these and the bonds between them make; an edge joins two fragments by the bonds between atoms that
-    they own (an atom of several is the last one's). Each distinct structure is worked on once; time grows with the
-    cube of its atoms.
+    they own (an atom of several is the last one's). Each distinct structure is worked on once, and written; time grows with the
+    cube of its atoms. Where structures are few, rows meet them where they are.
     """
-    worked = structure_parts(df, structure, merged)
+    worked = few(cut(structure_parts(df, structure, merged), "structure-parts"))
     return df.drop(*NAMES).join(worked, F.col(f"`{structure}`") == F.col("_structure"), "left").drop("_structure")
 
 

@@ -9,7 +9,7 @@ from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark import SparkConf
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[1])
@@ -66,8 +66,17 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def small(table: DataFrame) -> bool:
-    """Whether the values of a written table have BROADCAST_BYTES at most."""
-    sizes = [F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) + 8 if kind in ("string", "binary") else F.lit(8) for name, kind in table.dtypes]
+    """Whether the values of a written table have BROADCAST_BYTES at most; arrays, structs and maps count by their text."""
+
+    def size(name: str, kind: str) -> Column:
+        value = F.col(f"`{name}`")
+        if kind.startswith(("array", "struct", "map")):
+            value = F.to_json(value)
+        elif kind not in ("string", "binary"):
+            return F.lit(8)
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+
+    sizes = [size(*x) for x in table.dtypes]
     return (table.agg(F.sum(sum(sizes, F.lit(0)))).first()[0] or 0) <= BROADCAST_BYTES
 
 

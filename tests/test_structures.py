@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sieveline import session
 from sieveline.functions import structures
 from sieveline.operators import fragments
 from sieveline.plans import registry
@@ -214,6 +215,20 @@ def test_rings_that_share_more_than_two_atoms(spark):
     assert ring(merged["C1CC2CCC1CC2"]) == [list(range(8))]
 
 
+def test_rows_stay_where_they_are(spark, monkeypatch):
+    """Few structures go to the rows of each task; the rows are neither broadcast nor dealt by structure."""
+    df = spark.range(0, 4000, 1, 4).select(F.col("id").alias("k"), F.when(F.col("id") % 2 == 0, "c1ccccc1C").otherwise("CCO").alias("s"))
+    nodes = fragments.with_fragments(df, "s").select("k", F.explode("fragments").alias("f"))
+    plan = nodes._jdf.queryExecution().sparkPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan and "SortMergeJoin" not in plan
+    where = nodes.groupBy(F.spark_partition_id()).agg(F.count_distinct("k").alias("n")).collect()
+    assert [x.n for x in where] == [1000] * 4
+    parts = fragments.structure_parts(df, "s")
+    said = sum(len(str(x.fragments)) for x in parts.collect())
+    monkeypatch.setattr(session, "BROADCAST_BYTES", said // 10)
+    assert not session.small(parts)
+
+
 def test_structures_are_read_once_distinct(spark):
     """Reading is long work: it comes behind the distinct texts, not before them for each row."""
     df = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, "C(").when(F.col("id") % 3 == 1, "c1ccccc1C").alias("s"))
