@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sieveline.functions.cleaning import number
-from sieveline.operators.stats import CHUNK, exact_quantiles, join_back, sorted_chunks
+from sieveline.operators.stats import CHUNK, exact_quantiles, join_back, sorted_chunks, to_tasks
 
 DIGITS = 3
 
@@ -65,7 +65,7 @@ def stratified_split(df: DataFrame, keys: Sequence[str], value: str, row_id: str
     text = F.col(value).cast("string")
     x = number(text) if dict(df.dtypes)[value] == "string" else F.col(value).cast("double")
     edges = exact_quantiles(df.withColumn("_x", x), keys, "_x", [i / bins for i in range(bins + 1)], "_edges").withColumn("_edges", F.array_distinct("_edges"))
-    both = join_back(df.withColumn("_x", x), edges, keys)
+    both = to_tasks(df.withColumn("_x", x), edges, keys)
     bin_ = F.greatest(F.size(F.filter("_edges", lambda e: e < F.col("_x"))), F.lit(1))
     stratum = F.when(F.col("_x").isNull(), F.coalesce(text, F.lit(""))).otherwise(F.concat(F.lit("#"), bin_.cast("string")))
     ranked = hash_rank(both.withColumn("_stratum", stratum), [*keys, "_stratum"], row_id)

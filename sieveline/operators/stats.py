@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sieveline.operators.keyed import join_back
+from sieveline.operators.keyed import join_back, to_tasks
 from sieveline.operators.one_class import one_class_outliers
-from sieveline.session import Scratch, cut, small
+from sieveline.session import Scratch, cut, few, small
 
 #: Of approximate quantiles: their error in rank is at most a task's rows over this.
 QUANTILE_ACCURACY = 10_000
@@ -31,7 +31,7 @@ def zscore(df: DataFrame, keys: Sequence[str], value: str, out: str | None = Non
     """value minus its task's mean, over the population's standard deviation; 0 where that is 0, null for null."""
     stats = df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_std"))
     scaled = F.when(F.col(value).isNotNull(), F.when(F.col("_std") == 0, F.lit(0.0)).otherwise((F.col(value) - F.col("_mean")) / F.col("_std")))
-    return join_back(df, stats, keys).withColumn(out or f"{value}_scaled", scaled).drop("_mean", "_std")
+    return to_tasks(df, stats, keys).withColumn(out or f"{value}_scaled", scaled).drop("_mean", "_std")
 
 
 def classification_label(text: Column, value: Column, threshold: float, high_is_active: bool = True, named: Column | None = None) -> Column:
@@ -44,7 +44,7 @@ def classification_label(text: Column, value: Column, threshold: float, high_is_
 def labels(df: DataFrame, keys: Sequence[str], text: str, value: str, threshold: float, high_is_active: bool = True, out: str = "Classification_label") -> DataFrame:
     """Classification labels; a task whose values are all active or inactive in some spelling keeps them."""
     stats = df.groupBy(*keys).agg(F.bool_and(F.lower(F.col(text)).isin("active", "inactive")).alias("_named"))
-    return join_back(df, stats, keys).withColumn(out, classification_label(F.col(text), F.col(value), threshold, high_is_active, F.coalesce("_named", F.lit(False)))).drop("_named")
+    return to_tasks(df, stats, keys).withColumn(out, classification_label(F.col(text), F.col(value), threshold, high_is_active, F.coalesce("_named", F.lit(False)))).drop("_named")
 
 
 def normality(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -87,7 +87,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequ
             for i, x in enumerate(shares)
         )
     )
-    both = join_back(known, bounds.select(*keys, "_n", brackets.alias("_b")), keys).select(*keys, "_v", "_n", F.explode("_b").alias("_b"))
+    both = to_tasks(known, bounds.select(*keys, "_n", brackets.alias("_b")), keys).select(*keys, "_v", "_n", F.explode("_b").alias("_b"))
     # outside a bracket the number of values matters and the one next to it; in it, how often each value occurs
     side = F.when(F.col("_v") < F.col("_b.low"), -1).when(F.col("_v") > F.col("_b.high"), 1).otherwise(0)
     placed = both.select(*keys, "_n", "_v", F.col("_b.i").alias("_i"), F.col("_b.p").alias("_p"), side.alias("_side")).withColumn("_in", F.when(F.col("_side") == 0, F.col("_v")))
@@ -107,7 +107,7 @@ def iqr_outliers(df: DataFrame, keys: Sequence[str], value: str, out: str = "is_
     q = exact_quantiles(df, keys, value, (0.25, 0.75), "_q")
     low, high = F.get("_q", F.lit(0)), F.get("_q", F.lit(1))
     flag = (F.col(value) < low - 1.5 * (high - low)) | (F.col(value) > high + 1.5 * (high - low))
-    return join_back(df, q, keys).withColumn(out, F.coalesce(flag, F.lit(False))).drop("_q")
+    return to_tasks(df, q, keys).withColumn(out, F.coalesce(flag, F.lit(False))).drop("_q")
 
 
 def sorted_chunks(df: DataFrame, keys: Sequence[str], value: str, row_id: str, reach: int, chunk: int = CHUNK) -> DataFrame:
@@ -125,7 +125,7 @@ def sorted_chunks(df: DataFrame, keys: Sequence[str], value: str, row_id: str, r
     often = F.coalesce(F.array_contains("_often", F.col(value)), F.lit(False))
     bucket = 2 * F.size(F.filter("_splits", lambda x: x < F.col(value))) + often.cast("int")
     part = F.when(often, F.substring(F.md5(F.col(row_id).cast("string").cast("binary")), 1, 3)).otherwise(F.lit(""))
-    placed = join_back(df, bounds, keys).withColumns({"_bucket": bucket, "_part": part}).drop("_splits", "_often")
+    placed = to_tasks(df, bounds, keys).withColumns({"_bucket": bucket, "_part": part}).drop("_splits", "_often")
     sizes = placed.groupBy(*keys, "_bucket", "_part").agg(F.count(F.lit(1)).alias("_size"))
     before = F.coalesce(F.sum("_size").over(Window.partitionBy(*keys).orderBy("_bucket", "_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = join_back(placed, sizes.select(*keys, "_bucket", "_part", before.alias("_before")), [*keys, "_bucket", "_part"])
@@ -238,9 +238,9 @@ def gaussian_mixture_outliers(df: DataFrame, value: str, parts: int = 2, share:
     """
     fitted = gaussian_mixtures(df, value, keys, parts).select(*keys, F.col("weights").alias("_w"), F.col("means").alias("_m"), F.col("variances").alias("_s"))
     x = F.col(value).cast("double")
-    scored = join_back(df, fitted, keys).withColumn("log_density", F.when(x.isNotNull() & ~F.isnan(x), _shares(x)[0])).drop("_w", "_m", "_s")
+    scored = join_back(df, few(fitted), keys).withColumn("log_density", F.when(x.isNotNull() & ~F.isnan(x), _shares(x)[0])).drop("_w", "_m", "_s")
     limit = exact_quantiles(scored, keys, "log_density", (share,), "_limit")
-    return join_back(scored, limit, keys).withColumn("is_outlier", F.coalesce(F.col("log_density") < F.get("_limit", F.lit(0)), F.lit(False))).drop("_limit")
+    return to_tasks(scored, limit, keys).withColumn("is_outlier", F.coalesce(F.col("log_density") < F.get("_limit", F.lit(0)), F.lit(False))).drop("_limit")
 
 
 def outliers(df: DataFrame, keys: Sequence[str], value: str, row_id: str, task_type: str | Column = "regression") -> DataFrame:
@@ -250,7 +250,7 @@ def outliers(df: DataFrame, keys: Sequence[str], value: str, row_id: str, task_t
     there are records for it.
     """
     gate = normality(df, keys, value).select(*keys, (F.coalesce("p", F.lit(0.0)) >= 0.05).alias("_normal"))
-    both = cut(join_back(df, gate, keys), "gated")  # read by each of the ways below, several times
+    both = cut(to_tasks(df, gate, keys), "gated")  # read by each of the ways below, several times
     straight = iqr_outliers(both.filter("_normal"), keys, value)
     rest = both.filter("NOT _normal")
     if isinstance(task_type, Column):

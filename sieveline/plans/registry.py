@@ -639,7 +639,7 @@ def scaffold_key_groups(spark, sf_dir):
     parts = read_table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 17 > 0, text).otherwise(F.lit("C1CC")).alias("structure"))
     keyed = fragments.with_fragments(parts, "structure").select("p_partkey", "ring_linker_key")
     first = keyed.groupBy("ring_linker_key").agg(F.min("p_partkey").alias("first"))
-    return stats.join_back(keyed, first, ("ring_linker_key",)).select("p_partkey", "first")
+    return stats.to_tasks(keyed, first, ("ring_linker_key",)).select("p_partkey", "first")
 
 
 @query()

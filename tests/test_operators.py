@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sieveline import session
 from sieveline.operators import chem, dedup, features, matrix, one_class, quality, split, stats, summary
 from sieveline.plans import registry
 
@@ -20,6 +21,22 @@ def test_zscore_is_of_the_population(spark):
     assert got == sorted([("", 2.0, 0.0), ("a", 1.0, -1.0), ("a", 3.0, 1.0), ("b", 5.0, 0.0), ("b", 5.0, 0.0), ("a", 0, None)], key=str)
 
 
+def test_rows_of_a_task_stay_where_they_are(spark, monkeypatch):
+    """What is told of few tasks goes to the rows; a task with half of all rows is not read in one place."""
+    df = spark.range(0, 4000, 1, 4).select(F.when(F.col("id") % 2 == 0, "a").when(F.col("id") % 4 == 1, "b").alias("k"), F.col("id").cast("double").alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that Spark takes to be large
+    try:
+        for out in (stats.zscore(df, KEYS, "v", "x"), stats.labels(df, KEYS, "k", "v", 7.0, out="x"), stats.iqr_outliers(df, KEYS, "v", "x")):
+            assert [x.n for x in out.groupBy(F.spark_partition_id()).agg(F.count("x").alias("n")).collect()] == [1000] * 4
+        told = stats.zscore(df, KEYS, "v", "x").agg(F.count("x"), F.count_distinct("k"), F.round(F.sum(F.col("x") * F.col("x")), 6)).first()
+        monkeypatch.setattr(session, "BROADCAST_BYTES", 0)
+        dealt = stats.zscore(df, KEYS, "v", "x").agg(F.count("x"), F.count_distinct("k"), F.round(F.sum(F.col("x") * F.col("x")), 6)).first()
+        assert told == dealt == (4000, 2, 4000.0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_normality_of_known_samples(spark):
     eight = frame(spark, [("a", float(x)) for x in range(1, 9)], "k string, v double")
     from scipy_free import k2  # noqa: PLC0415
